@@ -186,3 +186,13 @@ def extract_cte(src: str, policy, url: str = "url", html: str = "html", tags=Non
             f"{meta_description('_doc')} AS meta_description, "
             f"{truncate(clean_text(main_region('_doc')), policy.max_content_length)} AS content"
             f"{link_sql} FROM (SELECT *, {doc_sql} AS _doc FROM {src})")
+
+
+def safe_title(t: str) -> str:
+    from ..functions.text import PY_SPACE
+    kept = rx_replace(t, rf"[^\p{{L}}\p{{N}}_{PY_SPACE}-]", "")
+    return f"replace({strip(f'substring({kept}, 1, 50)')}, ' ', '_')"
+
+
+def doc_key(title: str, url: str) -> str:
+    return f"{safe_title(title)} || '_' || substring(md5({url}), 1, 12)"
