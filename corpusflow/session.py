@@ -23,7 +23,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     b = (SparkSession.builder.master(f"local[{cores}]").appName(app)
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.driver.memory", "16g")
-         .config("spark.ui.enabled", "false"))
+         .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false"))
     for k, v in SCALE_CONF.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
