@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import crawl, documents, knowledge
+from . import crawl, documents, knowledge, links
 
-MODULES = (crawl, documents, knowledge)
+MODULES = (crawl, documents, knowledge, links)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,9 +22,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from ..checks import oracle_crawl, oracle_docs, oracle_kb
+    from ..checks import oracle_crawl, oracle_docs, oracle_kb, oracle_links
     out = {}
-    for m in (oracle_crawl, oracle_docs, oracle_kb):
+    for m in (oracle_crawl, oracle_docs, oracle_kb, oracle_links):
         out.update(m.queries())
     keys = queries()
     return {k: v for k, v in out.items() if k in keys}

@@ -119,57 +119,21 @@ def robots_rules(spark: SparkSession, sf_dir: str, agent_token: str) -> DataFram
 
 def toc_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Link relation ``(page_url, pos, link_url)`` derived from ``pages``:
-    page i links to pages 2i+1 and 2i+2 when they exist, and pages with
-    i % 5 == 0 (i > 0) also link back to their parent, making cycles.
-    URLs are the raw ``pages.url`` values."""
+    page i links to pages 2i+1 and 2i+2 when they exist and are not
+    multiples of 7 (those start trees of their own, so the graph is a
+    forest with many roots), and pages with i % 5 == 0 (i > 0) also link
+    back to their parent, making cycles. URLs are the raw ``pages.url``."""
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
     src = pages.select(F.col("page_id").alias("src_id"), F.col("url").alias("page_url"))
     tgt = pages.select(F.col("page_id").alias("dst_id"), F.col("url").alias("link_url"))
-    edges = src.select("src_id", "page_url", F.explode(F.array(
-        F.struct((F.col("src_id") * 2 + 1).alias("dst_id"), F.lit(0).alias("pos")),
-        F.struct((F.col("src_id") * 2 + 2).alias("dst_id"), F.lit(1).alias("pos")),
-        F.struct(F.when((F.col("src_id") % 5 == 0) & (F.col("src_id") > 0),
-                        F.floor((F.col("src_id") - 1) / 2)).cast("long").alias("dst_id"),
+    i = F.col("src_id")
+
+    def child(c):
+        return F.when(c % 7 != 0, c)
+    edges = src.select("page_url", F.explode(F.array(
+        F.struct(child(i * 2 + 1).alias("dst_id"), F.lit(0).alias("pos")),
+        F.struct(child(i * 2 + 2).alias("dst_id"), F.lit(1).alias("pos")),
+        F.struct(F.when((i % 5 == 0) & (i > 0), F.floor((i - 1) / 2)).cast("long").alias("dst_id"),
                  F.lit(2).alias("pos")))).alias("e"))
     return (edges.select("page_url", F.col("e.dst_id").alias("dst_id"), F.col("e.pos").alias("pos"))
             .join(tgt, "dst_id").select("page_url", "pos", "link_url"))
-
-
-def doc_url(source: str = "source", doc_id: str = "doc_id"):
-    return F.concat(F.lit("https://"), F.col(source), F.lit(".example.org/doc/"), F.col(doc_id).cast("string"))
-
-
-def store_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Store calls ``(ordinal, url, title, content, metadata)`` derived from
-    ``documents``; every document is stored twice (second pass with an empty
-    content override), so each file key is written twice.
-
-    Fixed assignment rules on doc_id: ids divisible by 5 use the raw
-    ``http://`` URL (which misses the page cache); the first-pass override
-    is empty / the first 499 characters / the full text for remainders
-    0 / 1 / 2 modulo 3; metadata is empty / a JSON object / a JSON array /
-    invalid JSON for remainders 0 / 1 / 2 / 3 modulo 4. The title is the
-    first line cut to 60 characters.
-    """
-    d = read_table(spark, sf_dir, "documents")
-    i = F.col("doc_id")
-    url = F.when(i % 5 == 0, F.concat(F.lit("http://"), F.col("source"), F.lit(".example.org/doc/"),
-                                       i.cast("string"))).otherwise(doc_url())
-    title = F.substring(F.substring_index(F.col("text"), "\n", 1), 1, 60)
-    override = F.when(i % 3 == 0, F.lit("")).when(i % 3 == 1, F.substring("text", 1, 499)).otherwise(F.col("text"))
-    meta = (F.when(i % 4 == 0, F.lit(""))
-            .when(i % 4 == 1, F.to_json(F.struct("lang", "source")))
-            .when(i % 4 == 2, F.to_json(F.array("lang", "source")))
-            .otherwise(F.concat(F.lit("lang="), F.col("lang"))))
-    base = d.select(i.alias("doc_id"), url.alias("url"), title.alias("title"), override.alias("content"),
-                    meta.alias("metadata"))
-    first = base.withColumn("ordinal", F.col("doc_id"))
-    second = base.withColumn("ordinal", F.col("doc_id") + F.lit(ORDINAL_STRIDE)).withColumn("content", F.lit(""))
-    return first.unionByName(second).select("ordinal", "doc_id", "url", "title", "content", "metadata")
-
-
-def page_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Page cache ``(url, content)`` keyed by the upgraded URL: every
-    document except the German ones (which were never fetched)."""
-    d = read_table(spark, sf_dir, "documents")
-    return d.filter(F.col("lang") != "de").select(doc_url().alias("url"), F.col("text").alias("content"))
