@@ -22,9 +22,10 @@ def extract_pages(df: DataFrame, policy: CrawlPolicy, url_col: str = "url",
     ``url_col`` must hold the (upgraded) page URL links are resolved against.
     ``tags`` overrides the boilerplate element list.
     """
+    from ..session import spread
     tags = policy.boilerplate_tags if tags is None else tags
     doc = H.strip_boilerplate(F.col(html_col), tags)
-    out = (df.withColumn("_doc", doc)
+    out = (spread(df).withColumn("_doc", doc)
            .withColumn("title", H.page_title(F.col("_doc")))
            .withColumn("meta_description", H.meta_description(F.col("_doc")))
            .withColumn("content", H.truncate_content(

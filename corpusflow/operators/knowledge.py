@@ -14,16 +14,19 @@ citations and grounding context.
 
 from __future__ import annotations
 
+import hashlib
 import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import RETRIEVE_K, SNIPPET_CHARS, ChunkConfig
 from ..functions.text import PY_SPACE
+from ..session import spread
 
 # Question side broadcast per pass; larger question sets run in batches.
 MAX_BROADCAST_BYTES = 64 << 20
@@ -51,55 +54,69 @@ def chunk_documents(docs: DataFrame, cfg: ChunkConfig, id_col: str = "doc_id",
     n_chunks = F.when(n <= cfg.size, F.lit(1)).otherwise(
         F.ceil((n - cfg.size) / F.lit(step)).cast("int") + 1)
     texts = F.transform(F.sequence(F.lit(0), n_chunks - 1),
-                        lambda p: F.array_join(F.slice("_w", p * step + 1, cfg.size), " "))
+                        lambda p: F.struct(F.array_join(F.slice("_w", p * step + 1, cfg.size), " ").alias("text"),
+                                           F.least(F.lit(cfg.size), n - p * step).alias("n_words")))
     carry = [c for c in docs.columns if c != text_col]
-    return (docs.withColumn("_w", w).filter(F.size("_w") > 0)
-            .select(*carry, F.posexplode(texts).alias("pos", "text"))
-            .withColumn("chunk_id", F.concat(F.col(id_col).cast("string"), F.lit("-"), F.col("pos").cast("string")))
-            .withColumn("n_words", F.size(words(F.col("text")))))
+    return (spread(docs).withColumn("_w", w).filter(F.size("_w") > 0)
+            .select(*carry, F.posexplode(texts).alias("pos", "_c"))
+            .select(*carry, "pos", "_c.text", "_c.n_words")
+            .withColumn("chunk_id", F.concat(F.col(id_col).cast("string"), F.lit("-"), F.col("pos").cast("string"))))
 
 
 # ---- embedding -----------------------------------------------------------------
 
-def tokens(text: Column) -> Column:
-    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda t: t != "")
+def raw_tokens(text: Column) -> Column:
+    """Lower-cased text split on runs of non letter/number characters (empty
+    pieces at the ends are dropped by the embedder)."""
+    return F.split(F.lower(text), r"[^\p{L}\p{N}]+")
 
 
-def bucket_ids(text: Column, dim: int) -> Column:
-    """Hash bucket of every token: first 32 bits of md5, modulo ``dim``."""
-    return F.transform(tokens(text), lambda t: F.pmod(
-        F.conv(F.substring(F.md5(t), 1, 8), 16, 10).cast("long"), F.lit(dim)).cast("int"))
+def token_bucket(token: str, dim: int) -> int:
+    """Hash bucket of a token: first 32 bits of its md5, modulo ``dim``."""
+    return int(hashlib.md5(token.encode("utf-8")).hexdigest()[:8], 16) % dim
 
 
-def _bag_to_vectors(dim: int, bucket_col: str, out_col: str):
+def _bag_to_vectors(dim: int, tok_col: str, out_col: str):
+    """Arrow batch function: token lists -> L2-normalised bucket counts.
+
+    Only the distinct tokens of a batch are hashed (``pc.unique`` +
+    ``index_in``); counting is one ``bincount`` over row*dim + bucket.
+    """
     def run(batches):
+        memo: dict[str, int] = {}
         for rb in batches:
-            col = rb.column(rb.schema.get_field_index(bucket_col))
+            col = rb.column(rb.schema.get_field_index(tok_col))
             n = rb.num_rows
             offsets = np.asarray(col.offsets, dtype=np.int64)
-            offsets = offsets - offsets[0]
-            flat = np.asarray(col.flatten().fill_null(0), dtype=np.int64)
-            rows = np.repeat(np.arange(n), np.diff(offsets))
-            mat = np.zeros((n, dim), dtype=np.float64)
-            np.add.at(mat, (rows, flat), 1.0)
+            rows = np.repeat(np.arange(n, dtype=np.int64), np.diff(offsets - offsets[0]))
+            flat = col.flatten()
+            keep = np.asarray(pc.fill_null(pc.not_equal(flat, ""), False))
+            uniq = pc.unique(flat)
+            ub = np.asarray([memo.setdefault(u, token_bucket(u, dim)) if u is not None else 0
+                             for u in uniq.to_pylist()], dtype=np.int64)
+            idx = np.asarray(pc.fill_null(pc.index_in(flat, value_set=uniq), 0), dtype=np.int64)
+            cells = rows[keep] * dim + ub[idx[keep]] if len(ub) else np.zeros(0, np.int64)
+            mat = np.bincount(cells, minlength=n * dim).astype(np.float64).reshape(n, dim)
             norm = np.sqrt((mat * mat).sum(axis=1))
             norm[norm == 0] = 1.0
             vec = (mat / norm[:, None]).astype(np.float32)
             arr = pa.ListArray.from_arrays(pa.array(np.arange(0, (n + 1) * dim, dim, dtype=np.int32)),
                                            pa.array(vec.reshape(-1)))
-            keep = [rb.column(i) for i, f in enumerate(rb.schema) if f.name != bucket_col]
-            names = [f.name for f in rb.schema if f.name != bucket_col]
-            yield pa.RecordBatch.from_arrays(keep + [arr], names=names + [out_col])
+            keep_cols = [rb.column(i) for i, f in enumerate(rb.schema) if f.name != tok_col]
+            names = [f.name for f in rb.schema if f.name != tok_col]
+            yield pa.RecordBatch.from_arrays(keep_cols + [arr], names=names + [out_col])
     return run
 
 
 def embed(df: DataFrame, text_col: str, dim: int, out_col: str = "vector") -> DataFrame:
     """Hashed bag-of-words embedding, L2-normalised, ``ARRAY<FLOAT>`` of
-    width ``dim``. Token hashing runs in the JVM; counting in Arrow batches."""
-    with_b = df.withColumn("_b", bucket_ids(F.col(text_col), dim))
-    schema = T.StructType([f for f in with_b.schema.fields if f.name != "_b"]
+    width ``dim``. Tokenising runs in the JVM; hashing of distinct tokens
+    and counting run per Arrow batch. This is the pluggable embedder: any
+    Arrow batch function with the same signature can replace it."""
+    with_t = df.withColumn("_t", raw_tokens(F.col(text_col)))
+    schema = T.StructType([f for f in with_t.schema.fields if f.name != "_t"]
                           + [T.StructField(out_col, T.ArrayType(T.FloatType()))])
-    return with_b.mapInArrow(_bag_to_vectors(dim, "_b", out_col), schema)
+    return with_t.mapInArrow(_bag_to_vectors(dim, "_t", out_col), schema)
 
 
 def sparse_weights(df: DataFrame, id_col: str, vec_col: str = "vector") -> DataFrame:

@@ -55,14 +55,18 @@ def toc_expand(seeds: DataFrame, toc_pages: DataFrame, links: DataFrame, policy:
     frontier is empty or ``max_depth`` is reached.
 
     Each level is one job; the only driver round trip is "is the frontier
-    empty". The frontier and the reached set are checkpointed to the shared
-    checkpoint folder per level, which cuts lineage and survives executor
-    loss.
+    empty". Each new frontier is checkpointed to the shared checkpoint
+    folder, which cuts lineage and survives executor loss; the reached set
+    is the union of those checkpointed levels.
     """
     ensure_checkpoint_dir(seeds.sparkSession)
-    toc = toc_pages.select(F.col("url").alias("_toc")).distinct()
-    lk = links.filter(is_allowed_domain(F.col("link_url"), policy)
-                      & ~has_excluded_extension(F.col("link_url"), policy))
+    # inputs are materialised once in the shared checkpoint folder, so no
+    # level recomputes the page classification or the link filter
+    toc = toc_pages.select(F.col("url").alias("_toc")).distinct().checkpoint()
+    # a page hands over links from its first 50 (the extraction cap), so the
+    # per-page window below holds a bounded number of rows
+    lk = links.filter((F.col("pos") < MAX_LINKS_PER_PAGE) & is_allowed_domain(F.col("link_url"), policy)
+                      & ~has_excluded_extension(F.col("link_url"), policy)).checkpoint()
     frontier = seeds.select("url").distinct().withColumn("depth", F.lit(0)).checkpoint()
     reached = frontier
     depth = 0
@@ -77,7 +81,8 @@ def toc_expand(seeds: DataFrame, toc_pages: DataFrame, links: DataFrame, policy:
                .withColumn("depth", F.lit(depth + 1)).checkpoint())
         if nxt.isEmpty():
             break
-        reached = reached.unionByName(nxt).checkpoint()
+        # a union of checkpointed levels: shallow lineage, nothing recomputed
+        reached = reached.unionByName(nxt)
         frontier = nxt
         depth += 1
     return reached

@@ -69,8 +69,29 @@ def page_fetch(frontier: DataFrame, snapshot: DataFrame) -> DataFrame:
         F.coalesce(F.col("_captured"), F.lit(False)))).drop("_captured"))
 
 
+def kth_smallest(df: DataFrame, col: str, k: int, block_bits: int = BLOCK_BITS):
+    """The k-th smallest value of a unique non-negative long column, or None
+    when there are fewer than k rows.
+
+    Per-block counts (partial aggregation), a prefix over the small block
+    table to find the block holding the k-th value, then a bounded sort of
+    that one block (at most 2**block_bits rows). Only one scalar reaches
+    the driver.
+    """
+    blk = F.shiftright(F.col(col), block_bits)
+    counts = df.groupBy(blk.alias("_blk")).agg(F.count(F.lit(1)).alias("_n"))
+    incl = F.sum("_n").over(Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, 0))
+    hit = (counts.withColumn("_incl", incl).filter(F.col("_incl") >= k)
+           .orderBy("_blk").select("_blk", (F.col("_incl") - F.col("_n")).alias("_base")).first())
+    if hit is None:
+        return None
+    rank = k - int(hit["_base"])
+    return (df.filter(blk == F.lit(hit["_blk"])).select(col).orderBy(col).limit(rank)
+            .agg(F.max(col)).first()[0])
+
+
 def crawl_session(seeds: DataFrame, snapshot: DataFrame, policy: CrawlPolicy,
-                  robots: DataFrame | None = None) -> DataFrame:
+                  robots: DataFrame | None = None, running_counts: bool = False) -> DataFrame:
     """Verdict of every seed row ``(ordinal, url)``.
 
     ``snapshot`` is the captured fetch log ``(url, status, content_type,
@@ -78,31 +99,37 @@ def crawl_session(seeds: DataFrame, snapshot: DataFrame, policy: CrawlPolicy,
     extracted page) are carried to the matching rows.
 
     Output adds ``fetch_url, rule, robots_ok, outcome, ok, prev_ok,
-    new_visit, visits_before, verdict, pages_crawled_so_far``.
-    Verdict precedence: budget, visited, excluded, domain, extension,
-    robots, fetch outcome, ok.
+    new_visit, verdict`` (and ``visits_before, pages_crawled_so_far`` with
+    ``running_counts``). Verdict precedence: budget, visited, excluded,
+    domain, extension, robots, fetch outcome, ok.
+
+    The earliest success per URL is aggregated once (narrow columns only,
+    page extraction is pruned from that job) and checkpointed; the budget
+    is the ordinal of the ``max_pages``-th new visit, so the verdict needs
+    no window over the session rows.
     """
     s = with_policy(seeds, policy)
     s = robots_allowed(s, robots, policy)
     s = page_fetch(s, snapshot)
     s = s.withColumn("ok", F.col("rule").isNull() & F.col("robots_ok") & (F.col("outcome") == "fetched"))
-    # visited: earliest successful ordinal per upgraded URL (partial agg)
     first_ok = (s.filter("ok").groupBy("fetch_url")
-                .agg(F.min("ordinal").alias("_first_ok")))
+                .agg(F.min("ordinal").alias("_first_ok"))).checkpoint()
     s = (s.join(first_ok, "fetch_url", "left")
          .withColumn("prev_ok", F.coalesce(F.col("ordinal") > F.col("_first_ok"), F.lit(False)))
-         .withColumn("new_visit", F.col("ok") & (F.col("ordinal") == F.col("_first_ok")))
+         .withColumn("new_visit", F.coalesce(F.col("ordinal") == F.col("_first_ok"), F.lit(False)))
          .drop("_first_ok"))
-    s = running_count_before(s, "new_visit", out="visits_before")
-    verdict = (F.when(F.col("visits_before") >= policy.max_pages, F.lit("budget"))
+    cutoff = kth_smallest(first_ok, "_first_ok", policy.max_pages) if policy.max_pages < (1 << 62) else None
+    over = F.lit(False) if cutoff is None else F.col("ordinal") > F.lit(cutoff)
+    if running_counts:
+        s = running_count_before(s, "new_visit", out="visits_before")
+        s = s.withColumn("pages_crawled_so_far", F.col("visits_before") + F.col("new_visit").cast("long"))
+    verdict = (F.when(over, F.lit("budget"))
                .when(F.col("prev_ok") & (F.col("url") == F.col("fetch_url")), F.lit("visited"))
                .when(F.col("rule").isNotNull(), F.col("rule"))
                .when(~F.col("robots_ok"), F.lit("robots"))
                .when(F.col("outcome") != "fetched", F.col("outcome"))
                .otherwise(F.lit("ok")))
-    return (s.withColumn("verdict", verdict)
-            .withColumn("pages_crawled_so_far",
-                        F.col("visits_before") + F.col("new_visit").cast("long")))
+    return s.withColumn("verdict", verdict)
 
 
 def verdict_detail(policy: CrawlPolicy):

@@ -27,10 +27,11 @@ SESSION_PASSES = 2
 
 def snapshot(spark: SparkSession, sf: str, policy: CrawlPolicy = POLICY) -> DataFrame:
     """Fetch snapshot with the extracted page (HTML dropped map-side)."""
-    return extract_pages(T.fetch_log(spark, sf), policy)
+    return T.fetch_log(spark, sf, transform=lambda df: extract_pages(df, policy))
 
 
-def session(spark: SparkSession, sf: str, policy: CrawlPolicy | None = None) -> DataFrame:
+def session(spark: SparkSession, sf: str, policy: CrawlPolicy | None = None,
+            running_counts: bool = False) -> DataFrame:
     """Crawl session over every seed row.
 
     Without a policy the deployed budget applies (three pages per seed
@@ -41,7 +42,7 @@ def session(spark: SparkSession, sf: str, policy: CrawlPolicy | None = None) ->
     policy = POLICY.with_(max_pages=1 << 62) if policy is None else policy
     seeds = T.session_seeds(spark, sf, SESSION_PASSES)
     robots = T.robots_rules(spark, sf, policy.agent_token)
-    return crawl_session(seeds, snapshot(spark, sf, policy), policy, robots)
+    return crawl_session(seeds, snapshot(spark, sf, policy), policy, robots, running_counts)
 
 
 def pages_upgraded(spark, sf):
@@ -115,7 +116,7 @@ def q_store_policy(spark, sf):
 
 
 def q_page_preview(spark, sf):
-    s = page_kind(session(spark, sf).filter("verdict = 'ok'"), POLICY).filter("kind = 'ok'")
+    s = page_kind(session(spark, sf, running_counts=True).filter("verdict = 'ok'"), POLICY).filter("kind = 'ok'")
     p = page_preview(s.withColumn("url", F.col("fetch_url")))
     return p.select("ordinal", "url", "title", "meta_description", "content", "full_content_length",
                     "links_found", F.to_json("sample_links").alias("sample_links"),
@@ -129,7 +130,7 @@ def q_visited_dedupe(spark, sf):
 
 
 def q_page_budget(spark, sf):
-    s = session(spark, sf, POLICY)
+    s = session(spark, sf, POLICY, running_counts=True)
     return s.select("ordinal", "url", "visits_before", (F.col("verdict") == "budget").alias("over_budget"))
 
 

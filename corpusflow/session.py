@@ -57,3 +57,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if base.startswith("file:"):
         base = base[len("file:"):]
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def spread(df, per_core: int = 2):
+    """Give CPU-heavy row work at least ``per_core`` partitions per core.
+
+    A coarse scan (e.g. one big row group) would run such work in a single
+    task; it is then repartitioned round-robin. On a cluster reading many
+    files the scan already has more partitions than cores and nothing
+    changes, so no shuffle is added at scale.
+    """
+    if df.isStreaming:
+        return df
+    target = df.sparkSession.sparkContext.defaultParallelism * per_core
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df

@@ -24,7 +24,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def fetch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fetch_log(spark: SparkSession, sf_dir: str, transform=None) -> DataFrame:
     """Captured fetch snapshot ``(url, page_id, status, content_type, error,
     html)`` keyed by the upgraded URL, one row per URL (lowest page_id).
 
@@ -32,22 +32,27 @@ def fetch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     Status and content type are assigned by a fixed rule on ``page_id``:
     404 for ids ending in 3, a timeout for ids ending in 4, a PDF body for
     ids with remainder 5 modulo 7, HTML otherwise.
+
+    ``transform`` (e.g. page extraction) is applied before the per-URL
+    dedupe, so the dedupe join moves the transformed rows (bounded text)
+    instead of raw HTML. The dedupe key table holds only (url, page_id).
     """
+    from ..session import spread
     pages = read_table(spark, sf_dir, "pages")
-    p = pages.select("page_id", https_upgrade(F.col("url")).alias("url"), "html")
-    # Colliding URLs: drop every row that has a lower page_id for the same
-    # URL. The aggregate keeps only (url, page_id), never the HTML.
-    first = p.groupBy("url").agg(F.min("page_id").alias("_first"))
-    p = p.join(first, "url").filter(F.col("page_id") == F.col("_first")).drop("_first")
     d10 = F.col("page_id") % 10
-    return p.select(
-        "url", "page_id",
+    p = spread(pages).select(
+        https_upgrade(F.col("url")).alias("url"), "page_id",
         F.when(d10 == 3, F.lit(404)).when(d10 == 4, F.lit(None)).otherwise(F.lit(200))
         .cast("int").alias("status"),
         F.when(F.col("page_id") % 7 == 5, F.lit("application/pdf"))
         .otherwise(F.lit("text/html; charset=utf-8")).alias("content_type"),
         F.when(d10 == 4, F.lit("timeout")).alias("error"),
         "html")
+    if transform is not None:
+        p = transform(p)
+    first = (pages.select(https_upgrade(F.col("url")).alias("url"), "page_id")
+             .groupBy("url").agg(F.min("page_id").alias("page_id")))
+    return p.join(first, ["url", "page_id"], "left_semi")
 
 
 ORDINAL_STRIDE = 1 << 40   # ordinal = pass * stride + page_id
