@@ -179,7 +179,7 @@ FROM chosen WHERE len(u) = 0"""
                          f"FROM sess WHERE verdict = 'ok' AND kind = 'ok'")
     q["page_preview"] = (f"{sess} SELECT ordinal, fetch_url AS url, title, meta_description, substring(content, 1, 2000) AS content, "
                          f"CAST(length(content) AS INTEGER) AS full_content_length, CAST(len(links) AS INTEGER) AS links_found, "
-                         f"to_json(links[1:5]) AS sample_links, pages_crawled_so_far "
+                         f"to_json(links[1:5])::VARCHAR AS sample_links, pages_crawled_so_far "
                          f"FROM sess WHERE verdict = 'ok' AND kind = 'ok'")
     q["visited_dedupe"] = f"{sess} SELECT ordinal, url, prev_ok, new_visit, verdict FROM sess"
     q["page_budget"] = f"{sess_b} SELECT ordinal, url, visits_before, verdict = 'budget' AS over_budget FROM sess"
