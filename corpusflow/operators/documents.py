@@ -50,17 +50,19 @@ def document_metadata(meta: Column) -> Column:
 
 
 def iso_utc(ts: Column) -> Column:
-    """Python ``datetime.isoformat()`` of an aware UTC timestamp: fraction
-    only when microseconds are non-zero, offset ``+00:00``."""
-    with_frac = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
-    no_frac = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ssxxx")
-    return F.when(F.unix_micros(ts) % 1_000_000 == 0, no_frac).otherwise(with_frac)
+    """Python ``datetime.isoformat()`` of an aware UTC time given as a
+    ``TIMESTAMP_NTZ`` wall time: fraction only when microseconds are
+    non-zero, offset ``+00:00``. Independent of the session time zone."""
+    frac = F.date_format(ts, "SSSSSS")
+    base = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
+    return F.concat(base, F.when(frac == "000000", F.lit("")).otherwise(F.concat(F.lit("."), frac)),
+                    F.lit("+00:00"))
 
 
 def document_rows(df: DataFrame, crawled_at: str) -> DataFrame:
     """Assemble documents ``(ordinal, filename, source_url, title, content,
-    crawled_at, metadata)``; ``crawled_at`` is the run timestamp (UTC)."""
-    ts = F.to_timestamp(F.lit(crawled_at))
+    crawled_at, metadata)``; ``crawled_at`` is the run time, UTC wall time."""
+    ts = F.to_timestamp_ntz(F.lit(crawled_at))
     return df.select(
         "ordinal",
         document_key(F.col("title"), F.col("url")).alias("filename"),

@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from ..config import RETRIEVE_K, SNIPPET_CHARS, ChunkConfig
 from ..functions.text import PY_SPACE
-from ..session import spread
+from ..session import ship_package, spread
 
 # Question side broadcast per pass; larger question sets run in batches.
 MAX_BROADCAST_BYTES = 64 << 20
@@ -113,6 +113,7 @@ def embed(df: DataFrame, text_col: str, dim: int, out_col: str = "vector") -> Da
     width ``dim``. Tokenising runs in the JVM; hashing of distinct tokens
     and counting run per Arrow batch. This is the pluggable embedder: any
     Arrow batch function with the same signature can replace it."""
+    ship_package(df.sparkSession)
     with_t = df.withColumn("_t", raw_tokens(F.col(text_col)))
     schema = T.StructType([f for f in with_t.schema.fields if f.name != "_t"]
                           + [T.StructField(out_col, T.ArrayType(T.FloatType()))])
@@ -203,6 +204,7 @@ def vector_topk(questions: DataFrame, corpus: DataFrame, k: int = RETRIEVE_K,
     in its own pass over the corpus. No question x corpus pair becomes a row.
     """
     spark = questions.sparkSession
+    ship_package(spark)
     q_type = questions.schema[q_id].dataType
     c_type = corpus.schema[c_id].dataType
     cor = corpus.select(F.col(c_id).alias("c_id"), F.col(c_vec).alias("vector"))
@@ -254,6 +256,7 @@ def vector_topk_ann(questions: DataFrame, corpus: DataFrame, k: int = RETRIEVE_K
     partitioning, so a list holding a third of the corpus is still spread
     over all tasks. Output as ``vector_topk``."""
     spark = questions.sparkSession
+    ship_package(spark)
     cents, assigned = ivf_index(corpus.select(F.col(c_id).alias("c_id"), F.col(c_vec).alias("vector")),
                                 n_lists, seed)
     c_type = corpus.schema[c_id].dataType

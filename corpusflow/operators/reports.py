@@ -71,6 +71,15 @@ def request_schedule(session: DataFrame, policy: CrawlPolicy) -> DataFrame:
                                     .cast("long").alias("start_offset_us")))
 
 
+def epoch_micros(ts):
+    """Microseconds since 1970-01-01 of a ``TIMESTAMP_NTZ`` wall time,
+    computed from its parts, so no session time zone is involved."""
+    sec = F.extract(F.lit("SECOND"), ts)
+    return (F.unix_date(F.to_date(ts)).cast("long") * 86_400_000_000
+            + F.hour(ts).cast("long") * 3_600_000_000 + F.minute(ts).cast("long") * 60_000_000
+            + (sec * 1_000_000).cast("long"))
+
+
 def spacing_audit(events: DataFrame, delay_s: float, key: str = "user_id",
                   ts: str = "ts", tie: str = "event_id", bucket_s: int = 3600) -> DataFrame:
     """Gap to the previous request of the same key and whether it is below
@@ -81,7 +90,7 @@ def spacing_audit(events: DataFrame, delay_s: float, key: str = "user_id",
     from the latest timestamp of the previous non-empty bucket of that key,
     found on the small per-(key, bucket) aggregate.
     """
-    us = F.unix_micros(F.col(ts).cast("timestamp"))
+    us = epoch_micros(F.col(ts))
     e = events.select(key, tie, ts, us.alias("_us")).withColumn(
         "_b", F.floor(F.col("_us") / F.lit(bucket_s * 1_000_000)))
     inner = F.lag("_us").over(Window.partitionBy(key, "_b").orderBy("_us", tie))

@@ -54,15 +54,16 @@ def q_request_spacing(spark, sf):
 
 
 def q_stream_ingest(spark, sf):
-    """``pages`` delivered as two files plus a second copy of the first;
-    the stream result equals the batch result on the distinct pages."""
+    """``pages`` delivered as two files (hash split on page_id) plus a
+    second delivery of the first file; the stream result equals the batch
+    result on the distinct pages."""
     root = scratch_path(spark, "stream-in")
     pages = T.read_table(spark, sf, "pages")
-    even = pages.filter(F.col("page_id") % 2 == 0)
-    odd = pages.filter(F.col("page_id") % 2 == 1)
-    even.coalesce(1).write.parquet(os.path.join(root, "d0"))
-    odd.coalesce(1).write.parquet(os.path.join(root, "d1"))
-    even.coalesce(1).write.parquet(os.path.join(root, "d2"))
+    first = os.path.join(root, "d0")
+    pages.repartition(2, "page_id").write.parquet(first)
+    written = spark.read.parquet(first)
+    name = written.select(F.min("_metadata.file_name")).first()[0]
+    written.filter(F.col("_metadata.file_name") == name).write.parquet(os.path.join(root, "d1"))
     out = run_ingest(spark, os.path.join(root, "*", "*.parquet"), pages.schema, POLICY,
                      scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt"))
     return out.select("fetch_url", "title", F.length("content").alias("content_length"))

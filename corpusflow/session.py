@@ -71,3 +71,22 @@ def spread(df, per_core: int = 2):
         return df
     target = df.sparkSession.sparkContext.defaultParallelism * per_core
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``corpusflow`` importable in Python workers (the Arrow batch
+    functions are pickled by reference): zip the package once per
+    SparkContext and add it with ``addPyFile``, which distributes it to
+    every executor."""
+    sc = spark.sparkContext
+    if getattr(sc, "_corpusflow_shipped", False):
+        return
+    import shutil
+
+    import corpusflow
+    pkg_dir = os.path.dirname(os.path.abspath(corpusflow.__file__))
+    out = tempfile.mkdtemp(prefix="corpusflow-pkg-")  # driver-side build artifact
+    zip_path = shutil.make_archive(os.path.join(out, "corpusflow"), "zip",
+                                   root_dir=os.path.dirname(pkg_dir), base_dir="corpusflow")
+    sc.addPyFile(zip_path)
+    sc._corpusflow_shipped = True
