@@ -60,20 +60,19 @@ def toc_expand(seeds: DataFrame, toc_pages: DataFrame, links: DataFrame, policy:
     is the union of those checkpointed levels.
     """
     ensure_checkpoint_dir(seeds.sparkSession)
-    # inputs are materialised once in the shared checkpoint folder, so no
-    # level recomputes the page classification or the link filter
-    toc = toc_pages.select(F.col("url").alias("_toc")).distinct().checkpoint()
-    # a page hands over links from its first 50 (the extraction cap), so the
-    # per-page window below holds a bounded number of rows
+    # Followable links of TOC pages, computed once and materialised in the
+    # shared checkpoint folder: only links among a page's first 50 (the
+    # extraction cap, so the per-page window below is bounded), allowed
+    # domain, no excluded extension, from pages that are thin.
+    toc = toc_pages.select(F.col("url").alias("_toc")).distinct()
     lk = links.filter((F.col("pos") < MAX_LINKS_PER_PAGE) & is_allowed_domain(F.col("link_url"), policy)
-                      & ~has_excluded_extension(F.col("link_url"), policy)).checkpoint()
+                      & ~has_excluded_extension(F.col("link_url"), policy))
+    lk_toc = lk.join(toc, https_upgrade(lk["page_url"]) == toc["_toc"], "left_semi").checkpoint()
     frontier = seeds.select("url").distinct().withColumn("depth", F.lit(0)).checkpoint()
     reached = frontier
     depth = 0
     while max_depth is None or depth < max_depth:
-        expand = (frontier.join(toc, https_upgrade(frontier["url"]) == toc["_toc"], "left_semi")
-                  .select(F.col("url").alias("page_url")))
-        cand = lk.join(expand, "page_url", "left_semi")
+        cand = lk_toc.join(frontier.select(F.col("url").alias("page_url")), "page_url", "left_semi")
         cand = cand.join(reached.select(F.col("url").alias("link_url")), "link_url", "left_anti")
         first20 = (cand.withColumn("_r", F.row_number().over(Window.partitionBy("page_url").orderBy("pos")))
                    .filter(F.col("_r") <= MAX_FOLLOW_LINKS))

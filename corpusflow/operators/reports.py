@@ -81,23 +81,30 @@ def epoch_micros(ts):
 
 
 def spacing_audit(events: DataFrame, delay_s: float, key: str = "user_id",
-                  ts: str = "ts", tie: str = "event_id", bucket_s: int = 3600) -> DataFrame:
+                  ts: str = "ts", tie: str = "event_id", n_ranges: int | None = None) -> DataFrame:
     """Gap to the previous request of the same key and whether it is below
-    the minimum delay.
-
-    A key may hold a third of all rows, so the ``lag`` window is split by
-    (key, time bucket); the first row of each bucket takes its predecessor
-    from the latest timestamp of the previous non-empty bucket of that key,
-    found on the small per-(key, bucket) aggregate.
+    the minimum delay (``gap_us`` null for the first request of a key).
+
+    The previous row is found without gathering a key into one task, even
+    if one key holds a third of all rows: rows are range-partitioned on
+    (key, time, tie) — Spark samples the boundaries, so a hot key spans
+    many partitions — and tagged with their partition id, checkpointed so
+    the tagging is fixed. ``lag`` then runs per (partition, key); the first
+    row of each piece takes its predecessor from the last time of the
+    previous piece of the same key, found on the small per-(partition, key)
+    table.
     """
-    us = epoch_micros(F.col(ts))
-    e = events.select(key, tie, ts, us.alias("_us")).withColumn(
-        "_b", F.floor(F.col("_us") / F.lit(bucket_s * 1_000_000)))
-    inner = F.lag("_us").over(Window.partitionBy(key, "_b").orderBy("_us", tie))
-    per_bucket = e.groupBy(key, "_b").agg(F.max("_us").alias("_last"))
-    prev_bucket = per_bucket.select(key, "_b", F.lag("_last").over(
-        Window.partitionBy(key).orderBy("_b")).alias("_carry"))
-    j = e.withColumn("_prev", inner).join(prev_bucket, [key, "_b"], "left")
-    prev = F.coalesce(F.col("_prev"), F.col("_carry"))
-    return j.select(tie, key, (F.col("_us") - prev).alias("gap_us"),
-                    ((F.col("_us") - prev) < F.lit(int(delay_s * 1_000_000))).alias("too_close"))
+    from ..session import ensure_checkpoint_dir
+    spark = events.sparkSession
+    ensure_checkpoint_dir(spark)
+    n = n_ranges or spark.sparkContext.defaultParallelism * 2
+    e = events.select(key, tie, epoch_micros(F.col(ts)).alias("_us"))
+    r = (e.repartitionByRange(n, key, "_us", tie)
+         .withColumn("_pid", F.spark_partition_id()).checkpoint())
+    inner = F.lag("_us").over(Window.partitionBy("_pid", key).orderBy("_us", tie))
+    pieces = r.groupBy("_pid", key).agg(F.max("_us").alias("_last"))
+    carry = pieces.select("_pid", key, F.lag("_last").over(
+        Window.partitionBy(key).orderBy("_pid")).alias("_carry"))
+    j = r.withColumn("_prev", inner).join(carry, ["_pid", key], "left")
+    gap = F.col("_us") - F.coalesce(F.col("_prev"), F.col("_carry"))
+    return j.select(tie, key, gap.alias("gap_us"), (gap < F.lit(int(delay_s * 1_000_000))).alias("too_close"))

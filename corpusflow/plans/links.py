@@ -11,7 +11,7 @@ from ..functions.urls import https_upgrade
 from ..operators.links import link_limits, toc_expand, unvisited_links
 from ..operators.reports import spacing_audit, visited_urls
 from ..operators.session import fetch_outcome
-from ..session import scratch_path
+from ..session import ensure_checkpoint_dir, scratch_path
 from ..sources import tables as T
 from ..streaming.ingest import run_ingest
 from . import crawl
@@ -41,7 +41,8 @@ def toc_pages(spark, sf):
 def q_toc_expand(spark, sf):
     """Seeds are the pages no link points to; expansion runs until no new
     page is reached (cycles end through the reached-set anti join)."""
-    links = T.toc_links(spark, sf)
+    ensure_checkpoint_dir(spark)
+    links = T.toc_links(spark, sf).checkpoint()   # read by the seed query and the expansion
     pages = T.read_table(spark, sf, "pages").select("url")
     seeds = pages.join(links.select(F.col("link_url").alias("url")), "url", "left_anti")
     return toc_expand(seeds, toc_pages(spark, sf), links, POLICY)
