@@ -45,9 +45,10 @@ def corpus_scan(spark: SparkSession, root: str, prefix: str = "") -> DataFrame:
 def read_text_corpus(spark: SparkSession, folder: str, glob: str = "*.md") -> DataFrame:
     """One row per file ``(path, body, source_url, title)`` from a folder of
     documents with optional ``<file>.metadata.json`` sidecars."""
-    docs = (spark.read.option("wholetext", True).option("pathGlobFilter", glob).text(folder)
+    # ``text()`` resets ``wholetext`` from its keyword, so pass it there
+    docs = (spark.read.option("pathGlobFilter", glob).text(folder, wholetext=True)
             .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("body")))
-    side = (spark.read.option("wholetext", True).option("pathGlobFilter", "*.metadata.json").text(folder)
+    side = (spark.read.option("pathGlobFilter", "*.metadata.json").text(folder, wholetext=True)
             .select(F.col("_metadata.file_path").alias("sidecar_path"), F.col("value").alias("sidecar")))
     j = docs.join(side, F.concat(docs["path"], F.lit(".metadata.json")) == side["sidecar_path"], "left")
     m = F.from_json("sidecar", SIDECAR_SCHEMA)["metadataAttributes"]
