@@ -10,7 +10,8 @@ from __future__ import annotations
 
 from ..config import MAX_LINK_TEXT, MAX_LINKS_PER_PAGE, TRUNCATION_MARKER
 from ..functions.html import TAG_RE, boilerplate_re, open_tag
-from ..functions.text import HTML_ENTITIES, PY_LINE_BREAK, STRIP_RE, entity_pattern
+from ..functions.text import (CP1252_HIGH, HTML_ENTITIES, NUMERIC_REF_RE, PY_LINE_BREAK, STRIP_RE,
+                              entity_pattern)
 from ..functions.urls import NETLOC_RE, PATH_RE, SCHEME_RE
 
 
@@ -38,7 +39,24 @@ def strip(x: str) -> str:
     return rx_replace(x, STRIP_RE, "")
 
 
+def charref(code: str) -> str:
+    digits = (f"CASE WHEN starts_with({code}, 'x') OR starts_with({code}, 'X') "
+              f"THEN CAST(TRY_CAST(('0x' || substr({code}, 2)) AS UBIGINT) AS VARCHAR) ELSE {code} END")
+    n = f"(CASE WHEN length({digits}) <= 18 THEN TRY_CAST({digits} AS BIGINT) END)"
+    high = "[" + ", ".join(lit(c) for c in CP1252_HIGH) + "]"
+    return (f"CASE WHEN {n} IS NULL OR {n} > 1114111 OR {n} BETWEEN 55296 AND 57343 THEN chr(65533) "
+            f"WHEN {n} BETWEEN 128 AND 159 THEN {high}[{n} - 127] ELSE chr(CAST({n} AS INTEGER)) END")
+
+
+def decode_numeric(x: str) -> str:
+    pieces = f"regexp_split_to_array({x}, {lit(NUMERIC_REF_RE)})"
+    codes = f"regexp_extract_all({x}, {lit(NUMERIC_REF_RE)}, 1)"
+    return (f"array_to_string(list_transform(list_zip({pieces}, {codes}), "
+            f"lambda z: coalesce(z[1], '') || CASE WHEN z[2] IS NULL THEN '' ELSE {charref('z[2]')} END), '')")
+
+
 def decode(x: str) -> str:
+    x = decode_numeric(x)
     for name, ch in HTML_ENTITIES + (("amp", "&"),):
         x = f"regexp_replace({x}, {lit(entity_pattern(name))}, {lit(ch.replace(chr(92), chr(92) * 2) + chr(92) + '1')}, 'g')"
     return x

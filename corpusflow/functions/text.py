@@ -34,6 +34,22 @@ HTML_ENTITIES = (
 # --- end of fixed values ---------------------------------------------------
 
 STRIP_RE = rf"^[{PY_SPACE}]+|[{PY_SPACE}]+\z"
+# Numeric character reference: decimal or hex digits, ';' optional.
+NUMERIC_REF_RE = r"&#([0-9]+|[xX][0-9a-fA-F]+);?"
+
+
+def _low_charref(n: int) -> str:
+    """Character for a reference below 256: windows-1252 where that code
+    page defines the byte, the code point itself otherwise (rule of the
+    HTML parser the crawler used)."""
+    try:
+        return bytes([n]).decode("cp1252")
+    except UnicodeDecodeError:
+        return chr(n)
+
+
+# References 128-159 differ from their code points; built from the codec.
+CP1252_HIGH = tuple(_low_charref(n) for n in range(128, 160))
 
 
 def entity_pattern(name: str) -> str:
@@ -52,14 +68,35 @@ def py_strip(c: Column) -> Column:
     return F.regexp_replace(c, STRIP_RE, "")
 
 
-def decode_entities(c: Column) -> Column:
-    """Decode the named references above, '&amp;' last.
+def charref(code: Column) -> Column:
+    """Character of a numeric reference body (``39`` or ``x27``)."""
+    hexa = code.startswith("x") | code.startswith("X")
+    digits = F.when(hexa, F.conv(F.substring(code, 2, 1 << 20), 16, 10)).otherwise(code)
+    n = F.when(F.length(digits) <= 18, digits.try_cast("long"))
+    high = F.array(*[F.lit(x) for x in CP1252_HIGH])
+    utf32 = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+    return (F.when(n.isNull() | (n > 0x10FFFF) | n.between(0xD800, 0xDFFF), F.lit("\ufffd"))
+            .when(n.between(128, 159), F.element_at(high, (n - 127).cast("int")))
+            .otherwise(utf32))
 
-    Strings without '&' skip the chain entirely.
-    """
+
+def decode_numeric(c: Column) -> Column:
+    """Replace every numeric reference: the text is split around the
+    references and re-joined with their characters (no per-row Python)."""
+    pieces = F.split(c, NUMERIC_REF_RE)
+    codes = F.regexp_extract_all(c, F.lit(NUMERIC_REF_RE), 1)
+    # the last piece has no reference after it (zip_with pads with null)
+    joined = F.array_join(F.zip_with(pieces, codes, lambda p, x: F.concat(
+        F.coalesce(p, F.lit("")), F.when(x.isNull(), F.lit("")).otherwise(charref(x)))), "")
+    return F.when(c.contains("&#"), joined).otherwise(c)
+
+
+def decode_entities(c: Column) -> Column:
+    """Decode numeric references, then the named references above, with
+    '&amp;' last. Strings without '&' skip the chain entirely."""
     chained = reduce(
         lambda acc, kv: F.regexp_replace(acc, entity_pattern(kv[0]), _java_repl(kv[1]) + "$1"),
-        HTML_ENTITIES + (("amp", "&"),), c)
+        HTML_ENTITIES + (("amp", "&"),), decode_numeric(c))
     return F.when(c.contains("&"), chained).otherwise(c)
 
 

@@ -138,3 +138,28 @@ def test_link_cap_and_kind(spark):
                                  "url string, html string")
     kinds = [r.kind for r in page_kind(extract_pages(edge, pol), pol).orderBy(F.length("content")).collect()]
     assert kinds == ["thin_empty", "ok"]
+
+
+def test_numeric_references_match_html_parser(spark):
+    from corpusflow.functions.text import decode_entities
+    cases = ["a &#39;b&#39; c", "&#x27;&#X41;&#65", "&#150;&#128;&#129;&#233;", "x&#128512;y",
+             "&#1114112; &#55296;", "no refs", "&amp;#39;", "&#99999999999999999999;z", "tail &#",
+             "&copy; &middot &quot;q&quot; and&amp"]
+    df = spark.createDataFrame([(c,) for c in cases], "s string")
+    got = [r[0] for r in df.select(decode_entities(F.col("s"))).collect()]
+
+    class Text(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.parts = []
+
+        def handle_data(self, d):
+            self.parts.append(d)
+
+    exp = []
+    for c in cases:
+        t = Text()
+        t.feed(c)
+        t.close()
+        exp.append("".join(t.parts))
+    assert got == exp
