@@ -306,7 +306,7 @@ def retrieve(questions: DataFrame, chunks: DataFrame, k: int = RETRIEVE_K) -> Da
                     F.substring(F.coalesce(F.col("text"), F.lit("")), 1, SNIPPET_CHARS).alias("snippet"),
                     F.coalesce(F.col("text"), F.lit("")).alias("text"),
                     F.coalesce(F.col("uri"), F.lit("")).alias("uri"),
-                    *[c for c in ("source_url", "title", "doc_id") if c in meta.columns]))
+                    *[c for c in ("source_url", "title", "doc_id", "metadata") if c in meta.columns]))
 
 
 def _meta_value(v: Column, key: str) -> Column:

@@ -58,9 +58,10 @@ def read_text_corpus(spark: SparkSession, folder: str, glob: str = "*.md") -> Da
 
 
 def write_chunk_table(chunks: DataFrame, root: str) -> str:
-    """Vector-store rows ``(chunk_id, doc_id, pos, text, metadata, vector)``;
-    metadata stays a plain, unindexed string column."""
+    """Vector-store rows ``(chunk_id, doc_id, pos, text, metadata, vector)``
+    plus the object location ``uri`` when present; metadata stays a plain,
+    unindexed string column."""
     path = os.path.join(root, "chunks")
-    chunks.select("chunk_id", "doc_id", "pos", "text", "metadata", "vector") \
-        .write.mode("overwrite").parquet(path)
+    cols = ["chunk_id", "doc_id", "pos", "text", "metadata", "vector"] + (["uri"] if "uri" in chunks.columns else [])
+    chunks.select(*cols).write.mode("overwrite").parquet(path)
     return path
