@@ -174,7 +174,8 @@ FROM chosen WHERE len(u) = 0"""
     q["url_admission"] = f"{sess} SELECT ordinal, url, verdict FROM sess"
     q["preflight_marker"] = ("SELECT page_id, url, CASE WHEN ends_with(lower(url), '.pdf') THEN 'PDF' "
                              "WHEN NOT (contains(url, '.example.com') OR contains(url, '.example.org')) "
-                             "THEN 'Non-GC domain' ELSE '' END AS marker FROM pages")
+                             "THEN 'Non-GC domain' ELSE '' END AS marker, "
+                             f"coalesce({_rule('url')}, 'admit') AS rule FROM pages")
     q["store_policy"] = (f"{sess} SELECT ordinal, fetch_url, title, CAST(length(content) AS INTEGER) AS content_length "
                          f"FROM sess WHERE verdict = 'ok' AND kind = 'ok'")
     q["page_preview"] = (f"{sess} SELECT ordinal, fetch_url AS url, title, meta_description, substring(content, 1, 2000) AS content, "

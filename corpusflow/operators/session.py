@@ -92,7 +92,8 @@ def kth_smallest(df: DataFrame, col: str, k: int, block_bits: int = BLOCK_BITS):
 
 
 def crawl_session(seeds: DataFrame, snapshot: DataFrame, policy: CrawlPolicy,
-                  robots: DataFrame | None = None, running_counts: bool = False) -> DataFrame:
+                  robots: DataFrame | None = None, running_counts: bool = False,
+                  strict: bool = False) -> DataFrame:
     """Verdict of every seed row ``(ordinal, url)``.
 
     ``snapshot`` is the captured fetch log ``(url, status, content_type,
@@ -126,7 +127,7 @@ def crawl_session(seeds: DataFrame, snapshot: DataFrame, policy: CrawlPolicy,
         s = running_count_before(s, "new_visit", out="visits_before")
         s = s.withColumn("pages_crawled_so_far", F.col("visits_before") + F.col("new_visit").cast("long"))
     verdict = (F.when(over, F.lit("budget"))
-               .when(F.col("prev_ok") & (F.col("url") == F.col("fetch_url")), F.lit("visited"))
+               .when(F.col("prev_ok") & (F.lit(strict) | (F.col("url") == F.col("fetch_url"))), F.lit("visited"))
                .when(F.col("rule").isNotNull(), F.col("rule"))
                .when(~F.col("robots_ok"), F.lit("robots"))
                .when(F.col("outcome") != "fetched", F.col("outcome"))

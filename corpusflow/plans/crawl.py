@@ -105,9 +105,12 @@ def q_url_admission(spark, sf):
 
 
 def q_preflight_marker(spark, sf):
+    """The demo's pre-check next to the rule actually enforced, so the
+    difference between prediction and admission is visible per URL."""
+    from ..operators.admission import policy_rule
     p = T.read_table(spark, sf, "pages")
     return p.select("page_id", "url", preflight_marker(F.col("url"), (".example.com", ".example.org"))
-                    .alias("marker"))
+                    .alias("marker"), F.coalesce(policy_rule(F.col("url"), POLICY), F.lit("admit")).alias("rule"))
 
 
 def q_store_policy(spark, sf):

@@ -116,3 +116,13 @@ def test_visited_raw_vs_upgraded(spark):
     assert [r.verdict for r in s] == ["ok", "ok", "ok", "visited", "ok"]
     assert [r.new_visit for r in s] == [True, False, True, False, True]
     assert s[4].fetch_url == "HTTP://a.gc.ca/z"
+
+
+def test_visited_strict_option(spark):
+    urls = ["http://a.gc.ca/x", "http://a.gc.ca/x"]
+    seeds = spark.createDataFrame(list(enumerate(urls)), "ordinal long, url string")
+    snap = spark.createDataFrame([("https://a.gc.ca/x", 200, "text/html", None)],
+                                 "url string, status int, content_type string, error string")
+    pol = DEFAULT.with_(respect_robots_txt=False)
+    s = crawl_session(seeds, snap, pol, strict=True).orderBy("ordinal").collect()
+    assert [r.verdict for r in s] == ["ok", "visited"]
