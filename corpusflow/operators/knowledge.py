@@ -30,6 +30,8 @@ from ..session import ship_package, spread
 
 # Question side broadcast per pass; larger question sets run in batches.
 MAX_BROADCAST_BYTES = 64 << 20
+# Distinct tokens whose bucket is remembered per task.
+MEMO_LIMIT = 1 << 20
 
 
 # ---- chunking ------------------------------------------------------------------
@@ -92,6 +94,8 @@ def _bag_to_vectors(dim: int, tok_col: str, out_col: str):
             flat = col.flatten()
             keep = np.asarray(pc.fill_null(pc.not_equal(flat, ""), False))
             uniq = pc.unique(flat)
+            if len(memo) > MEMO_LIMIT:   # bound per-task memory on large vocabularies
+                memo.clear()
             ub = np.asarray([memo.setdefault(u, token_bucket(u, dim)) if u is not None else 0
                              for u in uniq.to_pylist()], dtype=np.int64)
             idx = np.asarray(pc.fill_null(pc.index_in(flat, value_set=uniq), 0), dtype=np.int64)

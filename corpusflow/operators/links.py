@@ -67,7 +67,11 @@ def toc_expand(seeds: DataFrame, toc_pages: DataFrame, links: DataFrame, policy:
     toc = toc_pages.select(F.col("url").alias("_toc")).distinct()
     lk = links.filter((F.col("pos") < MAX_LINKS_PER_PAGE) & is_allowed_domain(F.col("link_url"), policy)
                       & ~has_excluded_extension(F.col("link_url"), policy))
-    lk_toc = lk.join(toc, https_upgrade(lk["page_url"]) == toc["_toc"], "left_semi").checkpoint()
+    # hash-partitioned by page before the checkpoint: the partitioning is
+    # kept, so each level's semi join only shuffles the (small) frontier
+    n = int(seeds.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    lk_toc = (lk.join(toc, https_upgrade(lk["page_url"]) == toc["_toc"], "left_semi")
+              .repartition(n, "page_url").checkpoint())
     frontier = seeds.select("url").distinct().withColumn("depth", F.lit(0)).checkpoint()
     reached = frontier
     depth = 0

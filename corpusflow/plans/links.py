@@ -13,7 +13,7 @@ from ..operators.reports import spacing_audit, visited_urls
 from ..operators.session import fetch_outcome
 from ..session import ensure_checkpoint_dir, scratch_path
 from ..sources import tables as T
-from ..streaming.ingest import run_ingest
+from ..streaming.ingest import run_ingest_batches
 from . import crawl
 
 POLICY = TEST_POLICY
@@ -65,6 +65,8 @@ def q_stream_ingest(spark, sf):
     written = spark.read.parquet(first)
     name = written.select(F.min("_metadata.file_name")).first()[0]
     written.filter(F.col("_metadata.file_name") == name).write.parquet(os.path.join(root, "d1"))
-    out = run_ingest(spark, os.path.join(root, "*", "*.parquet"), pages.schema, POLICY,
-                     scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt"))
+    # deployed budget (three pages per seed) never binds, as in crawl.session
+    out = run_ingest_batches(spark, os.path.join(root, "*", "*.parquet"), pages.schema,
+                             POLICY.with_(max_pages=1 << 62),
+                             scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt"))
     return out.select("fetch_url", "title", F.length("content").alias("content_length"))

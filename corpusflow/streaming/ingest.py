@@ -42,3 +42,59 @@ def run_ingest(spark: SparkSession, source_glob: str, schema, policy: CrawlPolic
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(sink)
+
+
+def _sink_keys(spark: SparkSession, sink: str, batch_id: int):
+    try:
+        return (spark.read.parquet(sink).filter(F.col("batch_id") < batch_id)
+                .select("fetch_url"))
+    except Exception:  # noqa: BLE001 - no batch written yet
+        return None
+
+
+def ingest_batch(batch: DataFrame, batch_id: int, policy: CrawlPolicy, sink: str,
+                 order_col: str = "page_id") -> None:
+    """One micro-batch of the sink-backed intake (``foreachBatch``).
+
+    * admission rules, then the first row per upgraded URL inside the batch
+      (``min_by`` is partially aggregated, so a URL delivered a third of the
+      time costs one row per task before the shuffle);
+    * URLs already in the sink (earlier batches) are dropped by an anti
+      join: the visited set is the sink itself, not in-memory state;
+    * the page budget: only ``max_pages`` minus the pages already stored
+      are kept, in ``order_col`` order;
+    * written as partition ``batch_id`` with dynamic overwrite, so a
+      retried batch replaces its own output (idempotent).
+    """
+    from ..operators.session import kth_smallest
+    spark = batch.sparkSession
+    admitted = with_policy(batch, policy).filter(F.col("rule").isNull()).drop("rule")
+    cols = [c for c in admitted.columns if c != "fetch_url"]
+    firsts = (admitted.groupBy("fetch_url").agg(F.min_by(F.struct(*cols), F.col(order_col)).alias("_r"))
+              .select("fetch_url", "_r.*"))
+    seen = _sink_keys(spark, sink, batch_id)
+    fresh = firsts if seen is None else firsts.join(seen, "fetch_url", "left_anti")
+    if policy.max_pages < (1 << 62):
+        room = policy.max_pages - (0 if seen is None else seen.count())
+        if room <= 0:
+            fresh = fresh.limit(0)
+        else:
+            cut = kth_smallest(fresh, order_col, room)
+            if cut is not None:
+                fresh = fresh.filter(F.col(order_col) <= cut)
+    out = (extract_pages(fresh, policy, url_col="fetch_url")
+           .withColumn("links", F.to_json("links")).withColumn("batch_id", F.lit(batch_id)))
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("batch_id").parquet(sink))
+
+
+def run_ingest_batches(spark: SparkSession, source_glob: str, schema, policy: CrawlPolicy, sink: str,
+                       checkpoint: str, files_per_batch: int = 1, order_col: str = "page_id") -> DataFrame:
+    """Sink-backed incremental intake: every file available now, one file
+    per micro-batch by default, processed by ``ingest_batch``."""
+    src = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+           .parquet(source_glob))
+    q = (src.writeStream.foreachBatch(lambda df, bid: ingest_batch(df, bid, policy, sink, order_col))
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(sink)

@@ -25,3 +25,23 @@ def test_stream_equals_batch(spark):
              .select(https_upgrade(F.col("url")).alias("u")).distinct())
     assert out.count() == batch.count()
     assert {r[0] for r in out.select("fetch_url").collect()} == {r[0] for r in batch.collect()}
+
+
+def test_sink_backed_stream_with_budget(spark):
+    from corpusflow.streaming.ingest import run_ingest_batches
+    pages = spark.read.parquet(f"{SF_SMALL}/pages.parquet")
+    root = scratch_path(spark, "t-stream2")
+    first = os.path.join(root, "d0")
+    pages.repartition(2, "page_id").write.parquet(first)
+    written = spark.read.parquet(first)
+    name = written.select(F.min("_metadata.file_name")).first()[0]
+    written.filter(F.col("_metadata.file_name") == name).write.parquet(os.path.join(root, "d1"))
+    glob = os.path.join(root, "*", "*.parquet")
+    out = run_ingest_batches(spark, glob, pages.schema, TEST_POLICY.with_(max_pages=1 << 62),
+                             scratch_path(spark, "t-sink2"), scratch_path(spark, "t-ckpt2"))
+    batch = (pages.filter(policy_rule(F.col("url"), TEST_POLICY).isNull())
+             .select(https_upgrade(F.col("url")).alias("u")).distinct())
+    assert out.count() == batch.count() == out.select("fetch_url").distinct().count()
+    capped = run_ingest_batches(spark, glob, pages.schema, TEST_POLICY.with_(max_pages=7),
+                                scratch_path(spark, "t-sink3"), scratch_path(spark, "t-ckpt3"))
+    assert capped.count() == 7
