@@ -42,7 +42,7 @@ class CrawlResult:
     receipts: DataFrame
     summary: DataFrame
     store_root: str
-    chunk_path: str
+    chunk_path: str | None   # None when nothing was stored
 
 
 def follow_up(session: DataFrame, policy: CrawlPolicy) -> DataFrame:
@@ -108,9 +108,10 @@ def crawl_job(spark: SparkSession, payloads: DataFrame, snapshot: DataFrame, pol
     kb = latest_docs.select(F.col("ordinal").alias("doc_id"), "source_url", "title", F.col("content").alias("text"),
                             F.concat(F.lit(policy.key_prefix), F.col("filename"),
                                      F.lit(".md" if policy.output_format == "markdown" else ".json")).alias("uri"))
-    chunks = K.chunk_documents(kb, chunk_cfg).withColumn("metadata", F.to_json(F.struct("source_url", "title")))
-    chunks = K.embed(chunks, "text", chunk_cfg.dim)
-    chunk_path = C.write_chunk_table(chunks, root)
+    chunk_path = None
+    if not kb.isEmpty():   # ingestion runs only when documents were stored
+        chunks = K.chunk_documents(kb, chunk_cfg).withColumn("metadata", F.to_json(F.struct("source_url", "title")))
+        chunk_path = C.write_chunk_table(K.embed(chunks, "text", chunk_cfg.dim), root)
     return CrawlResult(session, docs, receipts, run_summary(session), root, chunk_path)
 
 
