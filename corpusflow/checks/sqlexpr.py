@@ -9,7 +9,8 @@ registered query against.
 from __future__ import annotations
 
 from ..config import MAX_LINK_TEXT, MAX_LINKS_PER_PAGE, TRUNCATION_MARKER
-from ..functions.html import TAG_RE, boilerplate_re, open_tag
+from ..functions.html import (ANCHOR_RE, ANCHOR_TAGS_RE, HAS_HREF_RE, HREF_RE, META_TAG_RE, TAG_RE,
+                              boilerplate_re, open_tag)
 from ..functions.text import (CP1252_HIGH, HTML_ENTITIES, NUMERIC_REF_RE, PY_LINE_BREAK, STRIP_RE,
                               entity_pattern)
 from ..functions.urls import NETLOC_RE, PATH_RE, SCHEME_RE
@@ -118,7 +119,7 @@ def _attr(tag: str, name: str) -> str:
 
 def meta_description(doc: str) -> str:
     name_is_desc = r"""(?s)\s(?i:name)\s*=\s*(?:"description"|'description'|description[\s/>])"""
-    first = (f"list_filter(regexp_extract_all({doc}, {lit(r'(?is)<meta' + chr(92) + 's[^>]*>')}, 0), "
+    first = (f"list_filter(regexp_extract_all({doc}, {lit(META_TAG_RE)}, 0), "
              f"lambda m: regexp_matches(m, {lit(name_is_desc)}))[1]")
     return f"coalesce({strip(decode(_attr(first, 'content')))}, '')"
 
@@ -182,11 +183,10 @@ def anchor_text(inner: str) -> str:
 
 def page_links(doc: str, base: str, cap: int = MAX_LINKS_PER_PAGE) -> str:
     """List of {url, text} structs, same order and filters as the Spark side."""
-    anchors = f"regexp_extract_all({doc}, {lit('(?is)' + open_tag('a') + r'.*?(?:</a\s*>|\z)')}, 0)"
-    href_re = rf"(?is)^<a(?:\s[^>]*?)?\shref{_ATTR_VALUE}"
-    href = "(" + " || ".join(f"regexp_extract(a, {lit(href_re)}, {g})" for g in (1, 2, 3)) + ")"
-    has_href = f"regexp_matches(a, {lit(r'(?is)^<a' + chr(92) + r's(?:[^>]*' + chr(92) + r's)?href' + chr(92) + r's*=')})"
-    inner = rx_replace("a", r"(?is)^<a(?:\s[^>]*)?>|</a\s*>$", "")
+    anchors = f"regexp_extract_all({doc}, {lit(ANCHOR_RE)}, 0)"
+    href = "(" + " || ".join(f"regexp_extract(a, {lit(HREF_RE)}, {g})" for g in (1, 2, 3)) + ")"
+    has_href = f"regexp_matches(a, {lit(HAS_HREF_RE)})"
+    inner = rx_replace("a", ANCHOR_TAGS_RE, "")
     resolved = (f"list_transform(list_filter({anchors}, lambda a: {has_href}), "
                 f"lambda a: {{'url': {resolve_url(base, decode(href))}, 'text': {anchor_text(inner)}}})")
     http = f"list_filter({resolved}, lambda l: starts_with(l.url, 'http://') OR starts_with(l.url, 'https://'))"

@@ -21,13 +21,16 @@ from ..config import (MAX_LINK_TEXT, MAX_LINKS_PER_PAGE, DEFAULT_BOILERPLATE_TAG
 from .text import clean_lines, decode_entities, py_strip
 from .urls import resolve_url
 
+# Inside a tag: any run of characters where quoted attribute values may
+# contain '>'.
+_IN_TAG = r"""(?:[^>"']|"[^"]*"|'[^']*')*"""
 # A markup token: start/end tag, declaration/comment or processing instruction.
-TAG_RE = r"<(?:/?[a-zA-Z][^>]*|![^>]*|\?[^>]*)>"
+TAG_RE = rf"<(?:/?[a-zA-Z]{_IN_TAG}|![^>]*|\?[^>]*)>"
 TEXT_NODE_SEP = "\ue000"   # private-use code point: separates text nodes
 
 
 def open_tag(name: str) -> str:
-    return rf"<{name}(?:\s[^>]*)?>"
+    return rf"<{name}(?:\s{_IN_TAG})?>"
 
 
 def element_re(name: str) -> str:
@@ -52,6 +55,12 @@ def page_title(doc: Column) -> Column:
 
 
 _ATTR_VALUE = r"""\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+_IN_TAG_LAZY = r"""(?:[^>"']|"[^"]*"|'[^']*')*?"""
+META_TAG_RE = rf"(?is)<meta\s{_IN_TAG}>"
+ANCHOR_RE = rf"(?is){open_tag('a')}.*?(?:</a\s*>|\z)"
+HREF_RE = rf"(?is)^<a(?:\s{_IN_TAG_LAZY})?\shref{_ATTR_VALUE}"
+HAS_HREF_RE = rf"(?is)^<a\s(?:{_IN_TAG}\s)?href\s*="
+ANCHOR_TAGS_RE = rf"(?is)^{open_tag('a')}|</a\s*>$"
 
 
 def _attr(tag: Column, name: str) -> Column:
@@ -63,7 +72,7 @@ def _attr(tag: Column, name: str) -> Column:
 def meta_description(doc: Column) -> Column:
     """``content`` of the first ``<meta name="description">`` (value matched
     exactly), stripped; '' if absent."""
-    metas = F.regexp_extract_all(doc, F.lit(r"(?is)<meta\s[^>]*>"), 0)
+    metas = F.regexp_extract_all(doc, F.lit(META_TAG_RE), 0)
     name_is_desc = r"""(?s)\s(?i:name)\s*=\s*(?:"description"|'description'|description[\s/>])"""
     first = F.try_element_at(F.filter(metas, lambda m: m.rlike(name_is_desc)), F.lit(1))
     return F.coalesce(py_strip(decode_entities(_attr(first, "content"))), F.lit(""))
@@ -104,13 +113,12 @@ def anchor_text(inner: Column) -> Column:
 def page_links(doc: Column, base_url: Column, cap: int = MAX_LINKS_PER_PAGE) -> Column:
     """``ARRAY<STRUCT<url, text>>`` of anchors with an href, resolved against
     the page URL, http(s) only, in document order, first ``cap`` kept."""
-    anchors = F.regexp_extract_all(doc, F.lit(rf"(?is){open_tag('a')}.*?(?:</a\s*>|\z)"), 0)
-    href_re = rf"(?is)^<a(?:\s[^>]*?)?\shref{_ATTR_VALUE}"
+    anchors = F.regexp_extract_all(doc, F.lit(ANCHOR_RE), 0)
     parsed = F.transform(anchors, lambda a: F.struct(
-        a.rlike(r"(?is)^<a\s(?:[^>]*\s)?href\s*=").alias("has_href"),
-        decode_entities(F.concat(F.regexp_extract(a, href_re, 1), F.regexp_extract(a, href_re, 2),
-                                 F.regexp_extract(a, href_re, 3))).alias("href"),
-        F.regexp_replace(a, r"(?is)^<a(?:\s[^>]*)?>|</a\s*>$", "").alias("inner")))
+        a.rlike(HAS_HREF_RE).alias("has_href"),
+        decode_entities(F.concat(F.regexp_extract(a, HREF_RE, 1), F.regexp_extract(a, HREF_RE, 2),
+                                 F.regexp_extract(a, HREF_RE, 3))).alias("href"),
+        F.regexp_replace(a, ANCHOR_TAGS_RE, "").alias("inner")))
     resolved = F.transform(F.filter(parsed, lambda p: p["has_href"]), lambda p: F.struct(
         resolve_url(base_url, p["href"]).alias("url"), anchor_text(p["inner"]).alias("text")))
     http = F.filter(resolved, lambda l: l["url"].startswith("http://") | l["url"].startswith("https://"))

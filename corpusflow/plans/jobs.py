@@ -14,7 +14,6 @@ retrieved chunks, de-duplicated sources and the grounding context.
 
 from __future__ import annotations
 
-import os
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window

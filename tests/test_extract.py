@@ -163,3 +163,14 @@ def test_numeric_references_match_html_parser(spark):
         t.close()
         exp.append("".join(t.parts))
     assert got == exp
+
+
+def test_quoted_gt_in_attributes(spark):
+    html = ('<body><nav data-x="a>b">menu</nav><article onclick="if(a>b){}"><p title=\'x>y\'>Text</p>'
+            '<a data-t="1>0" href="/p">Link</a></article></body>')
+    r = _one(spark, html, policy=TEST_POLICY)
+    assert r.content == "Text\nLink"
+    assert [l.url for l in r.links] == ["https://a.example.com/p"]
+    assert walk(html)[1] == r.content
+    m = _one(spark, '<head><meta data-x="a>b" name="description" content="D"></head><p>x</p>')
+    assert m.meta_description == "D"
