@@ -11,8 +11,7 @@ from __future__ import annotations
 from ..config import MAX_LINK_TEXT, MAX_LINKS_PER_PAGE, TRUNCATION_MARKER
 from ..functions.html import (ANCHOR_RE, ANCHOR_TAGS_RE, HAS_HREF_RE, HREF_RE, META_TAG_RE, TAG_RE,
                               boilerplate_re, open_tag)
-from ..functions.text import (CP1252_HIGH, HTML_ENTITIES, NUMERIC_REF_RE, PY_LINE_BREAK, STRIP_RE,
-                              entity_pattern)
+from ..functions.text import CP1252_HIGH, ENTITY_TABLE, PY_LINE_BREAK, REF_RE, STRIP_RE
 from ..functions.urls import NETLOC_RE, PATH_RE, SCHEME_RE
 
 
@@ -49,18 +48,25 @@ def charref(code: str) -> str:
             f"WHEN {n} BETWEEN 128 AND 159 THEN {high}[{n} - 127] ELSE chr(CAST({n} AS INTEGER)) END")
 
 
-def decode_numeric(x: str) -> str:
-    pieces = f"regexp_split_to_array({x}, {lit(NUMERIC_REF_RE)})"
-    codes = f"regexp_extract_all({x}, {lit(NUMERIC_REF_RE)}, 1)"
-    return (f"array_to_string(list_transform(list_zip({pieces}, {codes}), "
-            f"lambda z: coalesce(z[1], '') || CASE WHEN z[2] IS NULL THEN '' ELSE {charref('z[2]')} END), '')")
+def entity_text(name: str) -> str:
+    at = f"strpos({lit(ENTITY_TABLE)}, chr(30) || {name} || chr(31))"
+    return (f"CASE WHEN {at} > 0 THEN split_part(substr({lit(ENTITY_TABLE)}, {at} + length({name}) + 2, 16), "
+            f"chr(30), 1) END")
 
 
 def decode(x: str) -> str:
-    x = decode_numeric(x)
-    for name, ch in HTML_ENTITIES + (("amp", "&"),):
-        x = f"regexp_replace({x}, {lit(entity_pattern(name))}, {lit(ch.replace(chr(92), chr(92) * 2) + chr(92) + '1')}, 'g')"
-    return x
+    """Single-pass reference decoding with the same rules as the Spark side.
+    The text and its reference lists are bound once through a one-element
+    list lambda (DuckDB has no subqueries inside lambdas)."""
+    groups = ", ".join(f"'g{g}': regexp_extract_all(v, {lit(REF_RE)}, {g})" for g in (1, 2))
+    numeric_ok = "(z.g2[i] = ';' OR NOT regexp_matches(coalesce(z.ps[i + 1], ''), '^[0-9a-fA-F]'))"
+    ref = (f"CASE WHEN i > len(z.g1) THEN '' "
+           f"WHEN starts_with(z.g1[i], '#') THEN CASE WHEN {numeric_ok} THEN {charref('substr(z.g1[i], 2)')} "
+           f"ELSE '&' || z.g1[i] || z.g2[i] END "
+           f"ELSE coalesce({entity_text('z.g1[i]')}, '&' || z.g1[i]) END")
+    inner = (f"list_transform([{{'ps': regexp_split_to_array(v, {lit(REF_RE)}), {groups}}}], "
+             f"lambda z: array_to_string(list_transform(z.ps, lambda p, i: p || {ref}), ''))[1]")
+    return f"CASE WHEN contains({x}, '&') THEN list_transform([{x}], lambda v: {inner})[1] ELSE {x} END"
 
 
 def clean_lines(x: str) -> str:

@@ -18,7 +18,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..config import (MAX_LINK_TEXT, MAX_LINKS_PER_PAGE, DEFAULT_BOILERPLATE_TAGS)
-from .text import clean_lines, decode_entities, py_strip
+from .text import bind, clean_lines, decode_entities, py_strip
 from .urls import resolve_url
 
 # Inside a tag: any run of characters where quoted attribute values may
@@ -51,7 +51,7 @@ def strip_boilerplate(html: Column, tags=DEFAULT_BOILERPLATE_TAGS) -> Column:
 def page_title(doc: Column) -> Column:
     """Text of the first ``<title>``; '' if absent, empty or holding markup."""
     raw = F.regexp_extract(doc, rf"(?is){open_tag('title')}(.*?)</title\s*>", 1)
-    return F.when(raw.rlike(r"<[a-zA-Z/!?]"), F.lit("")).otherwise(py_strip(decode_entities(raw)))
+    return bind(raw, lambda r: F.when(r.rlike(r"<[a-zA-Z/!?]"), F.lit("")).otherwise(py_strip(decode_entities(r))))
 
 
 _ATTR_VALUE = r"""\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
@@ -75,7 +75,7 @@ def meta_description(doc: Column) -> Column:
     metas = F.regexp_extract_all(doc, F.lit(META_TAG_RE), 0)
     name_is_desc = r"""(?s)\s(?i:name)\s*=\s*(?:"description"|'description'|description[\s/>])"""
     first = F.try_element_at(F.filter(metas, lambda m: m.rlike(name_is_desc)), F.lit(1))
-    return F.coalesce(py_strip(decode_entities(_attr(first, "content"))), F.lit(""))
+    return F.coalesce(bind(first, lambda t: py_strip(decode_entities(_attr(t, "content")))), F.lit(""))
 
 
 def _region(doc: Column, name: str) -> Column:
@@ -99,9 +99,9 @@ def clean_text(region: Column) -> Column:
 
 def truncate_content(text: Column, max_len: int) -> Column:
     """Cut at ``max_len`` code points and append the truncation marker."""
-    return F.when(F.length(text) > max_len,
-                  F.concat(F.substring(text, 1, max_len), F.lit("\n\n[Content truncated]"))
-                  ).otherwise(text)
+    return bind(text, lambda t: F.when(F.length(t) > max_len,
+                                       F.concat(F.substring(t, 1, max_len), F.lit("\n\n[Content truncated]"))
+                                       ).otherwise(t))
 
 
 def anchor_text(inner: Column) -> Column:

@@ -6,8 +6,6 @@ functions), so it stays inside whole-stage code generation.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,25 +15,9 @@ PY_SPACE = (r"\t\n\x{0b}\x{0c}\r\x{1c}-\x{1f} \x{85}\x{a0}\x{1680}"
             r"\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}")
 # Line boundaries of Python's str.splitlines().
 PY_LINE_BREAK = r"\r\n|[\n\r\x{0b}\x{0c}\x{1c}-\x{1e}\x{85}\x{2028}\x{2029}]"
-# Named character references decoded in page text; '&amp;' is applied last.
-# A reference also counts without its ';' when a non-name character follows.
-HTML_ENTITIES = (
-    ("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'"),
-    ("nbsp", "\u00a0"), ("copy", "©"), ("reg", "®"),
-    ("middot", "·"), ("laquo", "«"), ("raquo", "»"),
-    ("deg", "°"), ("sect", "§"), ("para", "¶"),
-    ("times", "×"), ("divide", "÷"), ("plusmn", "±"),
-    ("cent", "¢"), ("pound", "£"), ("yen", "¥"),
-    ("euro", "€"), ("hellip", "…"), ("mdash", "—"),
-    ("ndash", "–"), ("lsquo", "‘"), ("rsquo", "’"),
-    ("ldquo", "“"), ("rdquo", "”"), ("bull", "•"),
-    ("trade", "™"),
-)
 # --- end of fixed values ---------------------------------------------------
 
 STRIP_RE = rf"^[{PY_SPACE}]+|[{PY_SPACE}]+\z"
-# Numeric character reference: decimal or hex digits, ';' optional.
-NUMERIC_REF_RE = r"&#([0-9]+|[xX][0-9a-fA-F]+);?"
 
 
 def _low_charref(n: int) -> str:
@@ -52,15 +34,11 @@ def _low_charref(n: int) -> str:
 CP1252_HIGH = tuple(_low_charref(n) for n in range(128, 160))
 
 
-def entity_pattern(name: str) -> str:
-    """``&name;``, or ``&name`` ended by a character that cannot continue a
-    name (captured in group 1 and written back)."""
-    return rf"&{name};|&{name}([^a-zA-Z0-9;]|\z)"
-
-
-def _java_repl(s: str) -> str:
-    # '$' and '\' are special in Java replacement strings.
-    return s.replace("\\", "\\\\").replace("$", "\\$")
+def bind(value: Column, fn) -> Column:
+    """Evaluate ``value`` once and pass it to ``fn`` (which may use it many
+    times). Without this, an expensive input expression (a regex over a
+    whole page) would be re-evaluated at every use inside one projection."""
+    return F.element_at(F.transform(F.array(value), fn), 1)
 
 
 def py_strip(c: Column) -> Column:
@@ -80,24 +58,63 @@ def charref(code: Column) -> Column:
             .otherwise(utf32))
 
 
-def decode_numeric(c: Column) -> Column:
-    """Replace every numeric reference: the text is split around the
-    references and re-joined with their characters (no per-row Python)."""
-    pieces = F.split(c, NUMERIC_REF_RE)
-    codes = F.regexp_extract_all(c, F.lit(NUMERIC_REF_RE), 1)
-    # the last piece has no reference after it (zip_with pads with null)
-    joined = F.array_join(F.zip_with(pieces, codes, lambda p, x: F.concat(
-        F.coalesce(p, F.lit("")), F.when(x.isNull(), F.lit("")).otherwise(charref(x)))), "")
-    return F.when(c.contains("&#"), joined).otherwise(c)
+def _entity_names() -> dict[str, str]:
+    """Every HTML5 character reference name (without ';') -> its text, built
+    from the standard library's table; the first spelling in sorted order
+    wins, as in the parser the crawler used."""
+    from html.entities import html5
+    out: dict[str, str] = {}
+    for key, text in sorted(html5.items()):
+        out.setdefault(key[:-1] if key.endswith(";") else key, text)
+    return out
+
+
+ENTITY_NAMES = _entity_names()
+# The name table as one string literal: RS name US text RS name US text ...
+# One literal node keeps plans small (a map literal built from arrays would
+# add thousands of expression nodes per use).
+RS, US = "\x1e", "\x1f"
+ENTITY_TABLE = RS + RS.join(f"{k}{US}{v}" for k, v in ENTITY_NAMES.items()) + RS
+
+
+def entity_text(name: Column) -> Column:
+    """Text of a reference name from the table, null if the name is unknown."""
+    at = F.position(F.concat(F.lit(RS), name, F.lit(US)), F.lit(ENTITY_TABLE))
+    start = at + F.length(name) + 2
+    return F.when(at > 0, F.substring_index(F.substring(F.lit(ENTITY_TABLE), start, F.lit(16)), RS, 1))
+# One reference: '&' + '#digits', '#x' + hex digits, or a name (letters,
+# digits, '-', '.'); group 2 is an optional ';'.
+REF_RE = r"&(#[0-9]+|#[xX][0-9a-fA-F]+|[a-zA-Z][-.a-zA-Z0-9]*)(;?)"
 
 
 def decode_entities(c: Column) -> Column:
-    """Decode numeric references, then the named references above, with
-    '&amp;' last. Strings without '&' skip the chain entirely."""
-    chained = reduce(
-        lambda acc, kv: F.regexp_replace(acc, entity_pattern(kv[0]), _java_repl(kv[1]) + "$1"),
-        HTML_ENTITIES + (("amp", "&"),), decode_numeric(c))
-    return F.when(c.contains("&"), chained).otherwise(c)
+    return bind(c, _decode_entities)
+
+
+def _decode_entities(c: Column) -> Column:
+    """Resolve character references in one left-to-right pass with the HTML
+    parser's rules: a known name becomes its text and an unknown one stays
+    ``&name`` (a following ';' is consumed either way); a numeric reference
+    needs ';' or a non-hex character after it, else it stays literal. The
+    character after a reference is never consumed, so ``&lt&gt`` is ``<>``
+    and ``&#38;lt;`` stays ``&lt;``. Strings without '&' skip the work."""
+    # every array below is a zip_with argument, so it is computed once per
+    # row; only the per-reference mapping runs inside the lambdas
+    pieces = F.split(c, REF_RE)
+    bodies = F.regexp_extract_all(c, F.lit(REF_RE), 1)
+    semis = F.regexp_extract_all(c, F.lit(REF_RE), 2)
+    after = F.slice(pieces, 2, F.size(bodies))     # text following each reference
+
+    def ref_text(bs, nxt):
+        body, semi = bs["b"], bs["s"]
+        numeric_ok = (semi == ";") | ~F.coalesce(nxt, F.lit("")).rlike("^[0-9a-fA-F]")
+        return (F.when(body.startswith("#"), F.when(numeric_ok, charref(F.substring(body, 2, 1 << 20)))
+                       .otherwise(F.concat(F.lit("&"), body, semi)))
+                .otherwise(F.coalesce(entity_text(body), F.concat(F.lit("&"), body))))
+    refs = F.zip_with(F.zip_with(bodies, semis, lambda b, s_: F.struct(b.alias("b"), s_.alias("s"))),
+                      after, ref_text)
+    joined = F.array_join(F.zip_with(pieces, refs, lambda p, r: F.concat(p, F.coalesce(r, F.lit("")))), "")
+    return F.when(c.contains("&"), joined).otherwise(c)
 
 
 def clean_lines(c: Column) -> Column:
