@@ -9,8 +9,8 @@ registered query against.
 from __future__ import annotations
 
 from ..config import MAX_LINK_TEXT, MAX_LINKS_PER_PAGE, TRUNCATION_MARKER
-from ..functions.html import (ANCHOR_RE, ANCHOR_TAGS_RE, HAS_HREF_RE, HREF_RE, META_TAG_RE, TAG_RE,
-                              boilerplate_re, open_tag)
+from ..functions.html import (_ATTR_VALUE, ANCHOR_RE, ANCHOR_TAGS_RE, HAS_HREF_RE, HREF_RE, META_TAG_RE,
+                              TAG_RE, boilerplate_re, open_tag)
 from ..functions.text import CP1252_HIGH, ENTITY_TABLE, PY_LINE_BREAK, REF_RE, STRIP_RE
 from ..functions.urls import NETLOC_RE, PATH_RE, SCHEME_RE
 
@@ -115,7 +115,6 @@ def page_title(doc: str) -> str:
     return f"CASE WHEN regexp_matches({raw}, '<[a-zA-Z/!?]') THEN '' ELSE {strip(decode(raw))} END"
 
 
-_ATTR_VALUE = r"""\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 
 
 def _attr(tag: str, name: str) -> str:

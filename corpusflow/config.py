@@ -7,7 +7,7 @@ shipped with the plan rather than broadcast as tables.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 # --- Fixed values: defaults that must equal the crawler being re-built ------
 # Domains rejected by substring match on the lower-cased host.

@@ -13,9 +13,6 @@ from ..config import CrawlPolicy
 from ..functions.urls import (has_excluded_extension, https_upgrade, is_allowed_domain,
                               is_excluded_domain, netloc)
 
-RULE_ORDER = ("excluded", "domain", "extension")
-
-
 def policy_rule(url, policy: CrawlPolicy):
     """First failing policy rule of a raw URL, or null when admitted."""
     return (F.when(is_excluded_domain(url, policy), F.lit("excluded"))

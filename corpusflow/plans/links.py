@@ -7,7 +7,6 @@ import os
 from pyspark.sql import functions as F
 
 from ..config import TEST_POLICY, TEST_THIN_LENGTH
-from ..functions.urls import https_upgrade
 from ..operators.links import link_limits, toc_expand, unvisited_links
 from ..operators.reports import spacing_audit, visited_urls
 from ..operators.session import fetch_outcome
