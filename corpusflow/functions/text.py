@@ -51,7 +51,7 @@ def charref(code: Column) -> Column:
     hexa = code.startswith("x") | code.startswith("X")
     digits = F.when(hexa, F.conv(F.substring(code, 2, 1 << 20), 16, 10)).otherwise(code)
     n = F.when(F.length(digits) <= 18, digits.try_cast("long"))
-    high = F.array(*[F.lit(x) for x in CP1252_HIGH])
+    high = F.split(F.lit("\x1d".join(CP1252_HIGH)), "\x1d")   # one literal, split at planning time
     utf32 = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
     return (F.when(n.isNull() | (n > 0x10FFFF) | n.between(0xD800, 0xDFFF), F.lit("\ufffd"))
             .when(n.between(128, 159), F.element_at(high, (n - 127).cast("int")))
@@ -87,22 +87,20 @@ def _tables_by_initial() -> dict[str, str]:
 
 
 ENTITY_TABLES = _tables_by_initial()
-
-
-def _lookup(table: str, name: Column) -> Column:
-    at = F.position(F.concat(F.lit(RS), name, F.lit(US)), F.lit(table))
-    start = at + F.length(name) + 2
-    return F.when(at > 0, F.substring_index(F.substring(F.lit(table), start, F.lit(16)), RS, 1))
+INITIALS = "".join(ENTITY_TABLES)
+GS = "\x1d"   # separates the sub-tables inside one literal
 
 
 def entity_text(name: Column) -> Column:
-    """Text of a reference name, null if the name is unknown."""
-    initial = F.substring(name, 1, 1)
-    out = None
-    for ch, table in ENTITY_TABLES.items():
-        out = (F.when(initial == ch, _lookup(table, name)) if out is None
-               else out.when(initial == ch, _lookup(table, name)))
-    return out
+    """Text of a reference name, null if the name is unknown. The sub-table
+    of the name's initial is picked by index from one constant array (a
+    single literal split once at planning time), then searched."""
+    tables = F.split(F.lit(GS.join(ENTITY_TABLES.values())), GS)
+    idx = F.position(F.substring(name, 1, 1), F.lit(INITIALS))
+    table = F.element_at(tables, F.greatest(idx, F.lit(1)))
+    at = F.position(F.concat(F.lit(RS), name, F.lit(US)), table)
+    return F.when((idx > 0) & (at > 0),
+                  F.substring_index(F.substring(table, at + F.length(name) + 2, F.lit(16)), RS, 1))
 
 
 # One reference: '&' + '#digits', '#x' + hex digits, or a name (letters,
