@@ -130,8 +130,15 @@ def meta_description(doc: str) -> str:
 
 
 def _region(doc: str, name: str) -> str:
-    pat = rf"(?is){open_tag(name)}(.*?)(?:</{name}\s*>|\z)"
-    return f"regexp_extract({doc}, {lit(pat)}, 1)"
+    from ..functions.html import MARK, region_tags_re
+    rest = f"regexp_extract({doc}, {lit('(?is)' + open_tag(name) + '(.*)' + chr(92) + 'z')}, 1)"
+    parts = f"string_split(regexp_replace({rest}, {lit(region_tags_re(name))}, {lit(MARK + chr(92) + '1')}, 'g'), {lit(MARK)})"
+    is_open = f"regexp_matches(part, {lit('(?is)^' + open_tag(name))})"
+    is_close = f"regexp_matches(part, {lit('(?is)^</' + name + chr(92) + 's*>')})"
+    d = f"(st.d + CASE WHEN {is_open} THEN 1 WHEN {is_close} THEN -1 ELSE 0 END)"
+    step = (f"CASE WHEN st.done THEN st WHEN {d} = 0 THEN {{'d': 0, 'done': true, 'acc': st.acc}} "
+            f"ELSE {{'d': {d}, 'done': false, 'acc': st.acc || part}} END")
+    return f"list_reduce({parts}, lambda st, part: {step}, {{'d': 1, 'done': false, 'acc': ''}}).acc"
 
 
 def main_region(doc: str) -> str:

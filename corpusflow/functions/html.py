@@ -78,8 +78,33 @@ def meta_description(doc: Column) -> Column:
     return F.coalesce(bind(first, lambda t: py_strip(decode_entities(_attr(t, "content")))), F.lit(""))
 
 
+MARK = "\x02"   # marks open / close tags of the region element
+
+
+def region_tags_re(name: str) -> str:
+    return rf"(?is)({open_tag(name)}|</{name}\s*>)"
+
+
 def _region(doc: Column, name: str) -> Column:
-    return F.regexp_extract(doc, rf"(?is){open_tag(name)}(.*?)(?:</{name}\s*>|\z)", 1)
+    """Inner markup of the first ``name`` element, with nesting: every open
+    and close tag of that name after the first open tag is marked, the text
+    is split at the marks and a fold over the pieces tracks the depth until
+    the element's own closing tag (an unclosed element runs to the end)."""
+    rest = F.regexp_extract(doc, rf"(?is){open_tag(name)}(.*)\z", 1)
+    parts = F.split(F.regexp_replace(rest, region_tags_re(name), MARK + "$1"), MARK)
+    start = F.struct(F.lit(1).alias("d"), F.lit(False).alias("done"), F.lit("").alias("acc"))
+
+    def step(st, part):
+        d = st["d"] + (F.when(part.rlike(rf"(?is)^{open_tag(name)}"), 1)
+                       .when(part.rlike(rf"(?is)^</{name}\s*>"), -1).otherwise(0))
+        return (F.when(st["done"], st)
+                .when(d == 0, F.struct(F.lit(0).alias("d"), F.lit(True).alias("done"), st["acc"].alias("acc")))
+                .otherwise(F.struct(d.alias("d"), F.lit(False).alias("done"), F.concat(st["acc"], part).alias("acc"))))
+    nested = F.aggregate(parts, start, step)["acc"]
+    # fast path: without a nested open tag the first close tag ends the
+    # element, so the plain non-greedy match is already exact
+    simple = F.regexp_extract(doc, rf"(?is){open_tag(name)}(.*?)(?:</{name}\s*>|\z)", 1)
+    return bind(simple, lambda s_: F.when(s_.rlike(rf"(?i){open_tag(name)}"), nested).otherwise(s_))
 
 
 def main_region(doc: Column) -> Column:

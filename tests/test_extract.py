@@ -220,3 +220,14 @@ def test_references_match_parser_rules(spark):
         t.close()
         exp.append("".join(t.parts))
     assert got == exp
+
+
+def test_nested_regions(spark):
+    cases = [
+        "<body><article><p>a</p><article><p>inner</p></article><p>after inner</p></article><p>out</p></body>",
+        "<body><main><div><main>x</main>y</div>z</main>w</body>",
+        "<body><article>open only<p>p",
+        "<body>pre<article>one</article><article>two</article></body>",
+    ]
+    for h in cases:
+        assert _one(spark, h).content == walk(h)[1], h
