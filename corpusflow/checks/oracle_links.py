@@ -45,10 +45,10 @@ walk(url, depth) AS (
   JOIN links l ON l.page_url = w.url
   WHERE {follow.replace('link_url', 'l.link_url')} AND w.depth < (SELECT count(*) FROM pages))
 SELECT url, CAST(min(depth) AS INTEGER) AS depth FROM walk GROUP BY url"""
-    q["request_spacing"] = f"""SELECT event_id, user_id,
+    q["request_spacing"] = f"""SELECT event_id,
   coalesce(epoch_us(ts) - lag(epoch_us(ts)) OVER w, -1) AS gap_us,
   coalesce(epoch_us(ts) - lag(epoch_us(ts)) OVER w < {int(P.request_delay * 1_000_000)}, false) AS too_close
-FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)"""
+FROM events WINDOW w AS (ORDER BY ts, event_id)"""
     q["stream_ingest"] = (f"WITH {_base_ctes()} SELECT fetch_url, title, CAST(length(content) AS INTEGER) AS content_length "
                           f"FROM ({X.extract_cte('(SELECT DISTINCT ON (fetch_url) * FROM (SELECT *, ' + X.https_upgrade('url') + ' AS fetch_url FROM pages) ORDER BY fetch_url, page_id)', P, url='fetch_url')}) "
                           f"WHERE NOT ({X.is_excluded_domain('url', P)} OR NOT {X.is_allowed_domain('url', P)} "

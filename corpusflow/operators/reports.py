@@ -80,10 +80,12 @@ def epoch_micros(ts):
             + (sec * 1_000_000).cast("long"))
 
 
-def spacing_audit(events: DataFrame, delay_s: float, key: str = "user_id",
+def spacing_audit(events: DataFrame, delay_s: float, key: str | None = None,
                   ts: str = "ts", tie: str = "event_id", n_ranges: int | None = None) -> DataFrame:
-    """Gap to the previous request of the same key and whether it is below
-    the minimum delay (``gap_us`` null for the first request of a key).
+    """Gap to the previous request and whether it is below the minimum
+    delay (``gap_us`` null for the first request). ``key=None`` is the
+    crawler's rule, one gap over all requests; a key column (e.g. a host)
+    audits each key separately.
 
     The previous row is found without gathering a key into one task, even
     if one key holds a third of all rows: rows are range-partitioned on
@@ -98,6 +100,8 @@ def spacing_audit(events: DataFrame, delay_s: float, key: str = "user_id",
     spark = events.sparkSession
     ensure_checkpoint_dir(spark)
     n = n_ranges or spark.sparkContext.defaultParallelism * 2
+    if key is None:   # one global order: every row in the same (hot) group
+        events, key = events.withColumn("_all", F.lit(0)), "_all"
     e = events.select(key, tie, epoch_micros(F.col(ts)).alias("_us"))
     r = (e.repartitionByRange(n, key, "_us", tie)
          .withColumn("_pid", F.spark_partition_id()).checkpoint())
@@ -107,4 +111,5 @@ def spacing_audit(events: DataFrame, delay_s: float, key: str = "user_id",
         Window.partitionBy(key).orderBy("_pid")).alias("_carry"))
     j = r.withColumn("_prev", inner).join(carry, ["_pid", key], "left")
     gap = F.col("_us") - F.coalesce(F.col("_prev"), F.col("_carry"))
-    return j.select(tie, key, gap.alias("gap_us"), (gap < F.lit(int(delay_s * 1_000_000))).alias("too_close"))
+    out = j.select(tie, key, gap.alias("gap_us"), (gap < F.lit(int(delay_s * 1_000_000))).alias("too_close"))
+    return out.drop("_all")

@@ -48,8 +48,11 @@ def q_toc_expand(spark, sf):
 
 
 def q_request_spacing(spark, sf):
+    """Audit of the request log: gap to the previous request overall (the
+    crawler's delay is global, not per host) and whether it is too short;
+    -1 / false for the first request."""
     a = spacing_audit(T.read_table(spark, sf, "events"), POLICY.request_delay)
-    return a.select("event_id", "user_id", F.coalesce("gap_us", F.lit(-1)).alias("gap_us"),
+    return a.select("event_id", F.coalesce("gap_us", F.lit(-1)).alias("gap_us"),
                     F.coalesce("too_close", F.lit(False)).alias("too_close"))
 
 

@@ -95,7 +95,7 @@ def test_spacing_audit_hot_key(spark):
     base = dt.datetime(2024, 1, 1)
     rows = [(i, 0 if i % 3 else i % 7, base + dt.timedelta(milliseconds=137 * i + (i % 5) * 900)) for i in range(3000)]
     ev = spark.createDataFrame(rows, "event_id long, user_id long, ts timestamp_ntz")
-    got = {r.event_id: (r.gap_us, r.too_close) for r in spacing_audit(ev, 1.0, n_ranges=16).collect()}
+    got = {r.event_id: (r.gap_us, r.too_close) for r in spacing_audit(ev, 1.0, key="user_id", n_ranges=16).collect()}
     last, exp = {}, {}
     for eid, uid, t in sorted(rows, key=lambda x: (x[1], x[2], x[0])):
         us = int((t - dt.datetime(1970, 1, 1)).total_seconds() * 1_000_000)
@@ -103,3 +103,18 @@ def test_spacing_audit_hot_key(spark):
         exp[eid] = (gap, None if gap is None else gap < 1_000_000)
         last[uid] = us
     assert got == exp
+
+
+def test_spacing_audit_global(spark):
+    import datetime as dt
+    from corpusflow.operators.reports import spacing_audit
+    base = dt.datetime(2024, 1, 1)
+    rows = [(i, i % 9, base + dt.timedelta(milliseconds=(i * 7919) % 100000)) for i in range(500)]
+    ev = spark.createDataFrame(rows, "event_id long, user_id long, ts timestamp_ntz")
+    got = {r.event_id: r.gap_us for r in spacing_audit(ev, 1.0, n_ranges=8).collect()}
+    prev, exp = None, {}
+    for eid, _, t in sorted(rows, key=lambda x: (x[2], x[0])):
+        us = int((t - dt.datetime(1970, 1, 1)).total_seconds() * 1_000_000)
+        exp[eid] = None if prev is None else us - prev
+        prev = us
+    assert got == exp
