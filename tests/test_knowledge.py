@@ -89,3 +89,14 @@ def test_citation_value_forms(spark):
                                                  ("s3://b/4", ""), ("s3://b/5", "")]
     g = K.answer_grounding(resp, K.citation_flatten(resp)).first()
     assert (g.n_citations, g.n_refs, g.n_sources) == (3, 5, 4)
+
+
+def test_title_flag_changes_embedded_text(spark):
+    from corpusflow.config import ChunkConfig as CC
+    from corpusflow.plans.knowledge import kb_chunks
+    from conftest import SF_SMALL
+    plain = {r.chunk_id: r.vector for r in kb_chunks(spark, SF_SMALL, CC(size=50, overlap=10, dim=16)).collect()}
+    titled = {r.chunk_id: r.vector for r in
+              kb_chunks(spark, SF_SMALL, CC(size=50, overlap=10, dim=16, include_title=True)).collect()}
+    assert plain.keys() == titled.keys()
+    assert sum(plain[k] != titled[k] for k in plain) > 0   # attributes flagged for embedding enter the text

@@ -118,3 +118,30 @@ def test_spacing_audit_global(spark):
         exp[eid] = None if prev is None else us - prev
         prev = us
     assert got == exp
+
+
+def test_session_relations_and_counters(spark):
+    from corpusflow.operators.extract import page_kind
+    from corpusflow.operators.reports import crawl_status, outcome_counts, run_summary, stored_documents, visited_urls
+    urls = ["https://a.example.com/1", "http://a.example.com/2", "https://a.example.com/1",
+            "http://a.example.com/2", "https://b.example.net/x", "https://a.example.com/404"]
+    seeds = spark.createDataFrame(list(enumerate(urls)), "ordinal long, url string")
+    long_text, short = "y" * 300, "short"
+    snap = spark.createDataFrame([
+        ("https://a.example.com/1", 200, "text/html", None, "T1", long_text),
+        ("https://a.example.com/2", 200, "text/html", None, "T2", long_text),
+        ("https://a.example.com/404", 404, "text/html", None, "", short)],
+        "url string, status int, content_type string, error string, title string, content string")
+    snap = snap.withColumn("links", F.array().cast("array<struct<url:string,text:string>>"))
+    pol = CrawlPolicy(allowed_domains=(".example.com",), respect_robots_txt=False, max_pages=10)
+    s = page_kind(crawl_session(seeds, snap, pol), pol)
+    assert [r.verdict for r in s.orderBy("ordinal").collect()] == ["ok", "ok", "visited", "ok", "domain", "http_error"]
+    assert sorted(r.url for r in visited_urls(s).collect()) == ["https://a.example.com/1", "https://a.example.com/2"]
+    stored = [(r.store_order, r.url) for r in stored_documents(s).orderBy("store_order").collect()]
+    assert stored == [(1, "https://a.example.com/1"), (2, "https://a.example.com/2"), (3, "https://a.example.com/2")]
+    st = crawl_status(s, pol).first()
+    assert (st.pages_visited, st.remaining_capacity, st.documents_stored) == (2, 8, 3)
+    rs = run_summary(s).first()
+    assert (rs.urls_requested, rs.documents_stored, rs.distinct_documents, rs.ingestion_triggered) == (6, 3, 2, True)
+    oc = {r.verdict: (r.n, r.n_stored) for r in outcome_counts(s).collect()}
+    assert oc == {"ok": (3, 3), "visited": (1, 0), "domain": (1, 0), "http_error": (1, 0)}
