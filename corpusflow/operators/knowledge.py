@@ -32,6 +32,8 @@ from ..session import ship_package, spread
 MAX_BROADCAST_BYTES = 64 << 20
 # Distinct tokens whose bucket is remembered per task.
 MEMO_LIMIT = 1 << 20
+# Entries of a dense matrix built per slice inside a task (float64: 32 MiB).
+MATRIX_BUDGET = 4 << 20
 
 
 # ---- chunking ------------------------------------------------------------------
@@ -81,34 +83,41 @@ def token_bucket(token: str, dim: int) -> int:
 def _bag_to_vectors(dim: int, tok_col: str, out_col: str):
     """Arrow batch function: token lists -> L2-normalised bucket counts.
 
-    Only the distinct tokens of a batch are hashed (``pc.unique`` +
-    ``index_in``); counting is one ``bincount`` over row*dim + bucket.
+    Only the distinct tokens of a slice are hashed (``pc.unique`` +
+    ``index_in``); counting is one ``bincount`` over row*dim + bucket. Rows
+    are taken in slices so the dense count matrix stays within
+    MATRIX_BUDGET entries.
     """
+    def vectors(rb, memo):
+        col = rb.column(rb.schema.get_field_index(tok_col))
+        n = rb.num_rows
+        offsets = np.asarray(col.offsets, dtype=np.int64)
+        rows = np.repeat(np.arange(n, dtype=np.int64), np.diff(offsets - offsets[0]))
+        flat = col.flatten()
+        keep = np.asarray(pc.fill_null(pc.not_equal(flat, ""), False))
+        uniq = pc.unique(flat)
+        if len(memo) > MEMO_LIMIT:   # bound per-task memory on large vocabularies
+            memo.clear()
+        ub = np.asarray([memo.setdefault(u, token_bucket(u, dim)) if u is not None else 0
+                         for u in uniq.to_pylist()], dtype=np.int64)
+        idx = np.asarray(pc.fill_null(pc.index_in(flat, value_set=uniq), 0), dtype=np.int64)
+        cells = rows[keep] * dim + ub[idx[keep]] if len(ub) else np.zeros(0, np.int64)
+        mat = np.bincount(cells, minlength=n * dim).astype(np.float64).reshape(n, dim)
+        norm = np.sqrt((mat * mat).sum(axis=1))
+        norm[norm == 0] = 1.0
+        vec = (mat / norm[:, None]).astype(np.float32)
+        arr = pa.ListArray.from_arrays(pa.array(np.arange(0, (n + 1) * dim, dim, dtype=np.int32)),
+                                       pa.array(vec.reshape(-1)))
+        keep_cols = [rb.column(i) for i, f in enumerate(rb.schema) if f.name != tok_col]
+        names = [f.name for f in rb.schema if f.name != tok_col]
+        return pa.RecordBatch.from_arrays(keep_cols + [arr], names=names + [out_col])
+
     def run(batches):
         memo: dict[str, int] = {}
-        for rb in batches:
-            col = rb.column(rb.schema.get_field_index(tok_col))
-            n = rb.num_rows
-            offsets = np.asarray(col.offsets, dtype=np.int64)
-            rows = np.repeat(np.arange(n, dtype=np.int64), np.diff(offsets - offsets[0]))
-            flat = col.flatten()
-            keep = np.asarray(pc.fill_null(pc.not_equal(flat, ""), False))
-            uniq = pc.unique(flat)
-            if len(memo) > MEMO_LIMIT:   # bound per-task memory on large vocabularies
-                memo.clear()
-            ub = np.asarray([memo.setdefault(u, token_bucket(u, dim)) if u is not None else 0
-                             for u in uniq.to_pylist()], dtype=np.int64)
-            idx = np.asarray(pc.fill_null(pc.index_in(flat, value_set=uniq), 0), dtype=np.int64)
-            cells = rows[keep] * dim + ub[idx[keep]] if len(ub) else np.zeros(0, np.int64)
-            mat = np.bincount(cells, minlength=n * dim).astype(np.float64).reshape(n, dim)
-            norm = np.sqrt((mat * mat).sum(axis=1))
-            norm[norm == 0] = 1.0
-            vec = (mat / norm[:, None]).astype(np.float32)
-            arr = pa.ListArray.from_arrays(pa.array(np.arange(0, (n + 1) * dim, dim, dtype=np.int32)),
-                                           pa.array(vec.reshape(-1)))
-            keep_cols = [rb.column(i) for i, f in enumerate(rb.schema) if f.name != tok_col]
-            names = [f.name for f in rb.schema if f.name != tok_col]
-            yield pa.RecordBatch.from_arrays(keep_cols + [arr], names=names + [out_col])
+        step = max(64, MATRIX_BUDGET // dim)
+        for whole in batches:
+            for off in range(0, whole.num_rows, step):
+                yield vectors(whole.slice(off, step), memo)
     return run
 
 
@@ -135,46 +144,46 @@ def sparse_weights(df: DataFrame, id_col: str, vec_col: str = "vector") -> DataF
 
 def _topk_partition(q_ids, q_mat, k, c_id_col="c_id", c_vec_col="vector"):
     """Arrow batch function: running top-k per question over one corpus
-    partition. Candidates come from the expanded form of the squared
-    distance; the k-th boundary is widened by a tolerance and every
-    candidate is re-measured exactly, so ties are resolved by id."""
+    partition, vectorised across questions. Corpus rows are taken in slices
+    so the question x slice distance matrix stays within MATRIX_BUDGET.
+    Candidates come from the expanded form of the squared distance; the
+    k-th boundary is widened by a tolerance and every candidate is
+    re-measured exactly, so ties are resolved by id."""
     def run(batches):
         m, dim = q_mat.shape
         qn = (q_mat * q_mat).sum(axis=1)
-        best_d = [None] * m
-        best_i = [None] * m
+        step = max(64, MATRIX_BUDGET // max(m, 1))
+        best_q = best_d = best_i = None
         for rb in batches:
             if rb.num_rows == 0:
                 continue
-            ids = rb.column(rb.schema.get_field_index(c_id_col)).to_numpy(zero_copy_only=False)
-            if ids.dtype == object:
-                ids = ids.astype(str)
-            c = np.asarray(rb.column(rb.schema.get_field_index(c_vec_col)).flatten(),
-                           dtype=np.float64).reshape(-1, dim)
-            cn = (c * c).sum(axis=1)
-            approx = qn[:, None] + cn[None, :] - 2.0 * (q_mat @ c.T)
-            kk = min(k, c.shape[0])
-            kth = np.partition(approx, kk - 1, axis=1)[:, kk - 1]
-            for qi in range(m):
-                sel = np.nonzero(approx[qi] <= kth[qi] + 1e-7 * (1.0 + abs(kth[qi])))[0]
-                diff = c[sel] - q_mat[qi]
+            ids_all = rb.column(rb.schema.get_field_index(c_id_col)).to_numpy(zero_copy_only=False)
+            if ids_all.dtype == object:
+                ids_all = ids_all.astype(str)
+            c_all = np.asarray(rb.column(rb.schema.get_field_index(c_vec_col)).flatten(),
+                               dtype=np.float64).reshape(-1, dim)
+            for off in range(0, c_all.shape[0], step):
+                c, ids = c_all[off:off + step], ids_all[off:off + step]
+                approx = qn[:, None] + (c * c).sum(axis=1)[None, :] - 2.0 * (q_mat @ c.T)
+                kk = min(k, c.shape[0])
+                kth = np.partition(approx, kk - 1, axis=1)[:, kk - 1]
+                qi, ci = np.nonzero(approx <= (kth + 1e-7 * (1.0 + np.abs(kth)))[:, None])
+                diff = c[ci] - q_mat[qi]
                 d = np.sqrt(np.einsum("ij,ij->i", diff, diff))
-                cd, ci = d, ids[sel]
-                if best_d[qi] is not None:
-                    cd, ci = np.concatenate([best_d[qi], cd]), np.concatenate([best_i[qi], ci])
-                order = np.lexsort((ci, cd))[:k]
-                best_d[qi], best_i[qi] = cd[order], ci[order]
-        out_q, out_c, out_d = [], [], []
-        for qi in range(m):
-            if best_d[qi] is None:
-                continue
-            out_q.extend([q_ids[qi]] * len(best_d[qi]))
-            out_c.extend(best_i[qi].tolist())
-            out_d.extend(best_d[qi].tolist())
-        if out_q:
+                cand_i = ids[ci]
+                if best_q is not None:
+                    qi, d, cand_i = (np.concatenate([best_q, qi]), np.concatenate([best_d, d]),
+                                     np.concatenate([best_i, cand_i]))
+                order = np.lexsort((cand_i, d, qi))
+                qi, d, cand_i = qi[order], d[order], cand_i[order]
+                starts = np.flatnonzero(np.r_[True, qi[1:] != qi[:-1]])
+                rank = np.arange(len(qi)) - np.repeat(starts, np.diff(np.r_[starts, len(qi)]))
+                keep = rank < k
+                best_q, best_d, best_i = qi[keep], d[keep], cand_i[keep]
+        if best_q is not None and len(best_q):
             yield pa.RecordBatch.from_arrays(
-                [pa.array(out_q), pa.array(out_c), pa.array(out_d, pa.float64())],
-                names=["q_id", "c_id", "distance"])
+                [pa.array([q_ids[x] for x in best_q.tolist()]), pa.array(best_i.tolist()),
+                 pa.array(best_d, pa.float64())], names=["q_id", "c_id", "distance"])
     return run
 
 
