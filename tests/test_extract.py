@@ -231,3 +231,58 @@ def test_nested_regions(spark):
     ]
     for h in cases:
         assert _one(spark, h).content == walk(h)[1], h
+
+
+def _random_page(rng):
+    words = ["alpha", "beta", "Gamma", "d&eacute;j&agrave;", "x &amp; y", "&lt;tag&gt;", "&#39;q&#39;",
+             "caf&#233;", "a&ampb", "  spaced  ", "tab\there", "line\nbreak", "&nbsp;", "é", " nb "]
+
+    def text():
+        return " ".join(rng.choice(words) for _ in range(rng.randint(0, 4)))
+
+    def inline(d):
+        if d > 3 or rng.random() < 0.35:
+            return text()
+        t = rng.choice(["b", "i", "span", "a href='/x'", "em"])
+        return f"<{t}>{inline(d + 1)}{text()}</{t.split()[0]}>"
+
+    def block(d):
+        r = rng.random()
+        if d > 3 or r < 0.3:
+            return f"<p>{inline(d)}</p>"
+        if r < 0.45:
+            return f'<div class="c>d">{block(d + 1)}{block(d + 1)}</div>'
+        if r < 0.55:
+            return f"<nav><a href='/n'>{text()}</a></nav>"
+        if r < 0.62:
+            return "<script>var s='<p>no</p>';</script>"
+        if r < 0.7:
+            return f"<!-- {text()} -->{text()}"
+        if r < 0.78:
+            return "<br>" + text()
+        if r < 0.85:
+            return f"<ul><li>{inline(d)}</li><li>{inline(d)}</li></ul>"
+        return inline(d)
+
+    head = f"<head><title>{text() if rng.random() < 0.8 else ''}</title><style>p{{}}</style></head>"
+    body = "".join(block(0) for _ in range(rng.randint(1, 5)))
+    r = rng.random()
+    if r < 0.3:
+        body = f"{block(0)}<article>{body}</article>{block(0)}"
+    elif r < 0.5:
+        body = f"<main>{body}</main><article>{block(0)}</article>"
+    elif r < 0.6:
+        body = f"<article>{block(0)}<article>{body}</article>{block(0)}</article>"
+    return f"<html>{head}<body>{body}<footer>{text()}</footer></body></html>"
+
+
+def test_random_pages_match_dom_walk(spark):
+    import random
+    rng = random.Random(7)
+    pages = [_random_page(rng) for _ in range(200)]
+    df = spark.createDataFrame([(i, "https://a.example.com/p", h) for i, h in enumerate(pages)],
+                               "page_id long, url string, html string")
+    pol = TEST_POLICY.with_(max_content_length=10 ** 9)
+    got = {r.page_id: (r.title, r.content) for r in extract_pages(df, pol).select("page_id", "title", "content").collect()}
+    bad = [i for i, h in enumerate(pages) if walk(h) != got[i]]
+    assert not bad, pages[bad[0]]
