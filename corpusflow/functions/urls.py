@@ -81,22 +81,36 @@ def _remove_dot_segments(segments: Column) -> Column:
     last = F.try_element_at(segments, F.lit(-1))
     walked = F.when(last.isin(".", ".."), F.concat(walked, F.array(F.lit("")))).otherwise(walked)
     joined = F.array_join(walked, "/")
-    return F.when(joined == "", F.lit("/")).otherwise(joined)
+    # an empty path becomes '/', and a path under a host always starts with '/'
+    return (F.when(joined == "", F.lit("/"))
+            .when(~joined.startswith("/"), F.concat(F.lit("/"), joined)).otherwise(joined))
+
+
+def _tidy(url: Column) -> Column:
+    """Re-assembly rules of ``urlunparse``: an empty query drops its '?'
+    and an empty fragment drops its '#'."""
+    pre = F.regexp_extract(url, r"^([^#]*)", 1)
+    frag = F.regexp_extract(url, r"^[^#]*#(.*)$", 1)
+    pre = F.when(pre.rlike(r"^[^?]*\?$"), F.substring_index(pre, "?", 1)).otherwise(pre)
+    return F.concat(pre, F.when(frag != "", F.concat(F.lit("#"), frag)).otherwise(F.lit("")))
 
 
 def resolve_url(base: Column, href: Column) -> Column:
     """``urllib.parse.urljoin(base, href)`` for http(s) bases.
 
     Handles absolute, scheme-relative, root-relative, query-only,
-    fragment-only and path-relative references with dot-segment removal.
+    fragment-only and path-relative references with dot-segment removal,
+    and re-assembles like ``urlunparse`` (empty '?' / '#' dropped).
     """
     b_scheme = F.lower(F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.-]*):", 1))
     b_origin = F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)", 1)
     b_path = F.regexp_extract(base, PATH_RE, 1)
     b_nofrag = F.regexp_extract(base, r"^([^#]*)", 1)
     b_noquery = F.regexp_extract(base, r"^([^?#]*)", 1)
-    h_path = F.regexp_extract(href, r"^([^?#]*)", 1)
-    h_tail = F.regexp_extract(href, r"^[^?#]*(.*)$", 1)
+    # '//' followed by an empty host keeps the base host: resolve the rest
+    h = F.when(href.rlike(r"^//([/?#]|$)"), F.substring(href, 3, 1 << 30)).otherwise(href)
+    h_path = F.regexp_extract(h, r"^([^?#]*)", 1)
+    h_tail = F.regexp_extract(h, r"^[^?#]*(.*)$", 1)
     # relative path merge: base directory + href path, empty inner segments dropped
     base_dir = F.when(b_path == "", F.lit("/")).otherwise(F.regexp_replace(b_path, r"[^/]*$", ""))
     merged = F.split(F.concat(base_dir, h_path), "/")
@@ -105,11 +119,15 @@ def resolve_url(base: Column, href: Column) -> Column:
     merged_clean = F.when(n >= 2, F.concat(F.slice(merged, 1, 1), inner, F.slice(merged, -1, 1))).otherwise(merged)
     rel = F.concat(b_origin, _remove_dot_segments(merged_clean), h_tail)
     root = F.concat(b_origin, _remove_dot_segments(F.split(h_path, "/")), h_tail)
+    joined = (F.when(href.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*://"), href)
+              .when(href.rlike(r"^//[^/?#]"), F.concat(b_scheme, F.lit(":"), href))
+              .when(h == "", b_nofrag)
+              .when(h.startswith("/"), root)
+              # a bare '?' (empty query) keeps the base query, like a fragment-only href
+              .when(h.rlike(r"^\?(#|$)"), F.concat(b_nofrag, F.substring(h, 2, 1 << 30)))
+              .when(h.startswith("?"), F.concat(b_noquery, h))
+              .when(h.startswith("#"), F.concat(b_nofrag, h))
+              .otherwise(rel))
     return (F.when(href == "", base)
             .when(href.rlike(SCHEME_RE) & (F.lower(F.regexp_extract(href, r"^([^:]*):", 1)) != b_scheme), href)
-            .when(href.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*://"), href)
-            .when(href.startswith("//"), F.concat(b_scheme, F.lit(":"), href))
-            .when(href.startswith("/"), root)
-            .when(href.startswith("?"), F.concat(b_noquery, href))
-            .when(href.startswith("#"), F.concat(b_nofrag, href))
-            .otherwise(rel))
+            .otherwise(_tidy(joined)))
