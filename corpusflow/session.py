@@ -53,8 +53,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    On a cluster that setting points at shared storage and is only read.
-    Only when it is unset (local tests) a scratch folder is created.
+    The setting is only read. Where it is unset, a local master gets a scratch
+    folder of its own (tests, bench); any other master raises, because a
+    machine-local folder is not visible to the other machines.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -62,6 +63,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder all machines share")
         d = tempfile.mkdtemp(prefix="corpusflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     sc.setCheckpointDir(d)
@@ -69,11 +72,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+    """A fresh, unique folder (a URI) under the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def spread(df, per_core: int = 2):
