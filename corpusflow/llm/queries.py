@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat
+from . import bpe, chat, frames, packing, tokens
 from .common import table
 
 
@@ -71,6 +71,32 @@ FROM r GROUP BY conv_id
 """
 
 
+#: Id 2 ends every document of the packed corpus.
+PACK_END = bytes([2, 0, 0, 0])
+
+
+def packed_pieces(docs: DataFrame) -> DataFrame:
+    """Token ids with the end id, cut into pieces of at most 1024."""
+    ids = tokens.tokenize(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    ids = ids.withColumn("ids", F.concat("ids", F.lit(PACK_END)))
+    return packing.cut(ids.drop("text"))
+
+
+def op3_best_fit_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best-fit packing of all documents into sequences of 1024 tokens."""
+    pieces = packed_pieces(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    items = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return packing.pack(items).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op7_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token-id files of all documents, written and read back."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ids = tokens.tokenize(docs, public_tokenizers.path("word_bpe_49k.json"))
+    ids = ids.select("doc_id", F.concat("ids", F.lit(bytes([1, 0, 0, 0]))).alias("ids"))
+    return frames.read(frames.write(ids), digest=True)
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k.startswith("op") and k[2].isdigit() and callable(v)}
 
