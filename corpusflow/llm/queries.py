@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, frames, packing, tokens
+from . import bpe, chat, frames, packing, sharding, tokens
 from .common import table
 
 
@@ -89,6 +89,17 @@ def op3_best_fit_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(items).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op4_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents into 24 shards of near-equal bytes by histogram sort."""
+    text = F.coalesce("text", F.lit(""))
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.xxhash64("text").alias("text_key"))
+    out = sharding.shard(docs, 24, F.col("size"), F.col("text_key"), F.col("doc_id"), ["doc_id", "size", "text_crc32"])
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                      F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op7_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token-id files of all documents, written and read back."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
