@@ -23,6 +23,7 @@ import base64
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -61,14 +62,11 @@ def safe_pieces(text: str, size: int = PIECE_CHARS, boundary: str = SAFE_BOUNDAR
     yield text[start:] if start else text
 
 
-def encode_text(text: str, ranks: str, pattern: str, size: int = PIECE_CHARS) -> list[int]:
+def encode_text(text: str, ranks: str, pattern: str, size: int = PIECE_CHARS) -> np.ndarray:
+    """Ids of one text, 4 bytes an id (no list of Python numbers is held)."""
     enc = encoding(ranks, pattern)
-    if len(text) <= size:
-        return enc.encode_ordinary(text)
-    out: list[int] = []
-    for piece in safe_pieces(text, size):
-        out += enc.encode_ordinary(piece)
-    return out
+    got = [enc.encode_to_numpy(piece, disallowed_special=()) for piece in safe_pieces(text, size)]
+    return (got[0] if len(got) == 1 else np.concatenate(got)).astype(np.int32)
 
 
 def encode(df: DataFrame, ranks: str, pattern: str, text: str = "text", out: str = "ids",
@@ -79,8 +77,11 @@ def encode(df: DataFrame, ranks: str, pattern: str, text: str = "text", out: str
     @F.arrow_udf("array<int>")
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            yield pa.array([encode_text(t.as_py() or "", ranks, pattern, piece_chars) for t in batch],
-                           pa.list_(pa.int32()))
+            got = [encode_text(t.as_py() or "", ranks, pattern, piece_chars) for t in batch]
+            ends = np.cumsum([0, *map(len, got)], dtype=np.int64)
+            flat = np.concatenate(got) if got else np.empty(0, np.int32)
+            del got
+            yield pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat))
 
     return df.withColumn(out, ids(F.col(text)))
 
@@ -93,6 +94,7 @@ def decode(df: DataFrame, ranks: str, pattern: str, ids: str = "ids", out: str =
     def raw(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         enc = encoding(ranks, pattern)
         for batch in batches:
-            yield pa.array([enc.decode_bytes(x.as_py() or []) for x in batch], pa.binary())
+            yield pa.array([enc.decode_bytes(x.values.to_numpy().tolist() if x.is_valid else [])
+                            for x in batch], pa.binary())
 
     return df.withColumn(out, raw(F.col(ids)))
