@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, frames, packing, sharding, tokens
+from . import bpe, chat, frames, linecrf, packing, sharding, simhash, tokens
 from .common import table
 
 
@@ -100,6 +100,16 @@ def op4_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op6_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule counts and the line field's verdict for all documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = linecrf.fit(docs, table(spark, sf_dir, "labels"))
+    m = F.col("measures")
+    out = linecrf.measure(docs, model)
+    return out.select("doc_id", *[m[c] for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
+                      linecrf.base_failed(m).alias("base_failed"), linecrf.kept(m).alias("kept"), m["content_share"])
+
+
 def op7_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token-id files of all documents, written and read back."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -108,6 +118,12 @@ def op7_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frames.read(frames.write(ids), digest=True)
 
 
+def op10_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash near-duplicate components of all documents."""
+    out = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k.startswith("op") and k[2].isdigit() and callable(v)}
 
