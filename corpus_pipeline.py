@@ -13,7 +13,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusflow.llm import linecrf, packing, queries, simhash
+from corpusflow.llm import linecrf, packing, queries, simhash, suffix
 from corpusflow.llm.common import materialise, table, tmp
 
 
@@ -29,6 +29,16 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return simhash.drop_near_duplicates(docs)
 
 
+def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without their repeated 100-byte strings: a character that loses a
+    byte goes whole, and ``n_chars`` follows the text. Documents stay, also
+    with an empty text."""
+    kept, spans, raw = tmp("kept"), tmp("spans"), tmp("raw")
+    out = suffix.drop_repeats(docs, spans=spans, kept=raw, kept_text=kept)
+    new = {"text": F.when(F.col("text").isNotNull(), F.col(kept)), "n_chars": F.char_length(kept).cast("long")}
+    return out.select(*[new[c].alias(c) if c in new else c for c in docs.columns])
+
+
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces and their places in sequences of 1024 tokens."""
     pieces = queries.packed_pieces(docs.select("doc_id", "text"))
@@ -36,7 +46,7 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 STAGES = [("quality_rules", quality_rules), ("simhash_dedup", simhash_dedup),
-          ("best_fit_packing", best_fit_packing)]
+          ("suffix_dedup", suffix_dedup), ("best_fit_packing", best_fit_packing)]
 
 #: The line model, fingerprints by XXH64 and the tokenizer have no SQL form.
 ORACLE_SQL = None

@@ -178,13 +178,9 @@ def write(docs: DataFrame, doc_id: str = "doc_id", ids: str = "ids", folder: str
     n = partitions(spark)
     if bounds is None:
         bounds = buckets(docs.select(doc_id), doc_id, n)
-    edges = np.array(bounds, dtype=np.int64)
-
-    @F.arrow_udf("int")
-    def bucket_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            v = batch.fill_null(NULL_ID).to_numpy(zero_copy_only=False).astype(np.int64)
-            yield pa.array(np.searchsorted(edges, v, side="right").astype(np.int32))
+    # bounds at or below the id; null ids sort first
+    edges = F.from_json(F.lit(str(list(bounds))), "array<long>")
+    bucket = F.when(F.col(doc_id).isNull(), 0).otherwise(F.size(F.filter(edges, lambda e: e <= F.col(doc_id))))
 
     def write_files(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
@@ -218,7 +214,7 @@ def write(docs: DataFrame, doc_id: str = "doc_id", ids: str = "ids", folder: str
                 zip(*done, strict=True), (pa.string(), pa.int32(), pa.int64(), pa.int64()), strict=True)],
                 ["file", "bucket", "n_docs", "n_ids"])
 
-    ordered = (docs.select(bucket_of(F.col(doc_id)).alias("bucket"), F.col(doc_id).cast("long").alias("doc_id"),
+    ordered = (docs.select(bucket.alias("bucket"), F.col(doc_id).cast("long").alias("doc_id"),
                            F.col(ids).alias("ids"))
                .repartition(n, "bucket").sortWithinPartitions("bucket", F.col("doc_id").asc_nulls_first(),
                                                               F.crc32("ids"), "ids"))

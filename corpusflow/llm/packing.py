@@ -218,6 +218,7 @@ def cut(docs: DataFrame, ids: str = "ids", size: int = 1024) -> DataFrame:
         length = F.when(i == 0, first).otherwise(F.lit(size).cast("long"))
         return F.struct(i.cast("int").alias("piece"), start.alias("start"), length.alias("length"),
                         F.substring(F.col(ids), (start * 4 + 1).cast("int"), (length * 4).cast("int")).alias("ids"))
-    pieces = F.transform(F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / size)), piece)
-    return (docs.filter(n > 0).select(*keep, F.explode(pieces).alias("p"))
+    # null (no piece) for a document without ids; a filter would run the encoder twice
+    pieces = F.when(n > 0, F.transform(F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / size)), piece))
+    return (docs.select(*keep, F.explode(pieces).alias("p"))
             .select(*keep, "p.piece", "p.start", "p.length", F.col("p.ids").alias(ids)))

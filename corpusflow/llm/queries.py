@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, frames, linecrf, packing, sharding, simhash, tokens
+from . import bpe, chat, frames, linecrf, packing, sharding, simhash, suffix, tokens
 from .common import table
 
 
@@ -106,8 +106,10 @@ def op6_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = linecrf.fit(docs, table(spark, sf_dir, "labels"))
     m = F.col("measures")
     out = linecrf.measure(docs, model)
-    return out.select("doc_id", *[m[c] for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
-                      linecrf.base_failed(m).alias("base_failed"), linecrf.kept(m).alias("kept"), m["content_share"])
+    return out.select("doc_id", *[m[c].alias(c) for c in (
+        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
+        linecrf.base_failed(m).alias("base_failed"), linecrf.kept(m).alias("kept"),
+        m["content_share"].alias("content_share"))
 
 
 def op7_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,6 +120,15 @@ def op7_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frames.read(frames.write(ids), digest=True)
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated 100-byte strings removed from all documents."""
+    out = suffix.drop_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select(
+        "doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"),
+        F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["at"]).alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash near-duplicate components of all documents."""
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"))

@@ -2,8 +2,8 @@
 
 ``tokenize`` adds a binary column: the ids of each whole text as little-endian
 unsigned 32-bit integers. Texts are cut into units that the tokenizer treats
-independently, each distinct unit is encoded once by the library and kept in a
-bounded per-worker cache, and a text's ids are its units' ids in order.
+independently, each distinct unit is encoded by the library and kept in a bounded
+per-worker cache, and a text's ids are its units' ids in order.
 
 Which cuts are safe depends on the tokenizer (``unit_rule``):
 
@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import json
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -35,8 +36,13 @@ from pyspark.sql import functions as F
 
 from .common import ship_package
 
-#: The cache of a worker is emptied beyond this many characters of units.
-CACHE_CHARS = 1 << 23
+#: A worker's cache keeps two generations of units of this many characters.
+CACHE_CHARS = 3 << 20
+#: Characters of text whose units are looked up together.
+CHUNK_CHARS = 1 << 20
+#: White space that is not the first of two or more characters of a unit, in
+#: units joined by U+0000.
+_INNER = re.compile(r"[^\x00]\s|\s(?=\x00|\Z)")
 _RUNS = re.compile(r"\s*\S+|\s+\Z")
 _ODD = re.compile("[\x00\x1c-\x1f]")
 
@@ -62,51 +68,114 @@ class UnitEncoder:
     """Ids of texts as bytes; one per Python worker and tokenizer file."""
 
     def __init__(self, path: str, rule: str):
+        import os
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
+        vocab = self.tok.get_vocab()
+        #: Bytes of text each id stands for.
+        self.width = np.zeros(max(vocab.values()) + 1, dtype=np.int64)
+        for token, i in vocab.items():
+            self.width[i] = len(token.removesuffix("</w>"))
         self.rule = rule
-        self.fresh()
-
-    def fresh(self) -> None:
-        self.units: dict[str, bytes | None] = {"": b""}   # None: not safe on its own
-        self.runs: dict[str, bytes] = {}
+        self.units: dict[str, bytes] = {}      # current generation
+        self.older: dict[str, bytes] = {}      # the one before; units in use move up
         self.chars = 0
+        self.unsafe: set[str] = set()          # units that are not independent
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def whole(self, texts: list[str]) -> list[bytes]:
         got = self.tok.encode_batch_fast(texts, add_special_tokens=False)
         return [np.asarray(x.ids, dtype="<u4").tobytes() for x in got]
 
-    def lookup(self, name: str, words: list[str]) -> bytes:
-        cache = getattr(self, name)
-        try:
-            return b"".join(map(cache.__getitem__, words))
-        except KeyError:
-            pass
-        new = [w for w in set(words) if w not in cache]
-        size = sum(map(len, new))
+    def together(self, units: list[str]) -> list[bytes]:
+        """Ids of units that begin with a space or line feed and hold no other
+        white space, encoded as one text. Every id stands for a known number
+        of bytes, so the bytes of the units tell where their ids end."""
+        text = "".join(units)
+        if self.rule == "gpt2":
+            sizes = [len(u.encode()) for u in units]
+        else:
+            parts = text.replace("\n", " ") if text.isascii() else self.tok.normalizer.normalize_str(text)
+            sizes = [len(p.encode()) for p in parts.split(" ")[1:]]
+        ids = np.array(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+        ends = np.cumsum(self.width[ids])
+        want = np.cumsum(sizes)
+        cuts = np.searchsorted(ends, want, side="right")
+        if len(sizes) != len(units) or ends[-1] != want[-1] or (ends[cuts - 1] != want)[np.array(sizes) > 0].any():
+            return self.whole(units)
+        raw = ids.tobytes()
+        cuts = (4 * cuts).tolist()
+        return [raw[i:j] for i, j in zip([0, *cuts], cuts)]
+
+    def learn(self, missing: set[str]) -> None:
+        """Put units into the current generation."""
+        size = sum(map(len, missing))
         if self.chars and self.chars + size > CACHE_CHARS:
-            self.fresh()
-            cache = getattr(self, name)
-            new = [w for w in set(words) if w not in cache]
+            self.older, self.units, self.chars = self.units, {}, 0
         self.chars += size
-        good = new
-        if name == "units" and self.rule == "gpt2":
-            good = [w for w in new if w.strip() and not (len(w.split()) > 1 or w[-1:].isspace() or w[1:2].isspace())]
-            cache.update(dict.fromkeys(new))
-        cache.update(zip(good, self.encode(good), strict=True))
-        return b"".join(map(cache.__getitem__, words))
-
-    def one(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if self.rule == "whole" or _ODD.search(text):
-            return self.encode([text])[0]
-        words = text.replace("\n", "\x00\n").replace(" ", "\x00 ").split("\x00")
-        try:
-            return self.lookup("units", words)
-        except TypeError:      # an unsafe unit
-            return self.lookup("runs", _RUNS.findall(text))
+        new = list(missing)
+        if self.older:
+            known = {w: self.older[w] for w in new if w in self.older}
+            self.units.update(known)
+            new = [w for w in new if w not in known]
+        odd = {w for w in new if w[:1] not in " \n" or "<|" in w}
+        if _INNER.search("\x00".join(new)):
+            inner = {w for w in new if _INNER.search(w)}
+            if self.rule == "gpt2":
+                self.unsafe |= inner
+                new = [w for w in new if w not in inner]
+            odd |= inner
+        alone = [w for w in new if w in odd or not w]
+        self.units.update(zip(alone, self.whole(alone), strict=True))
+        many = [w for w in new if w and w not in odd]
+        plain = [w for w in many if w.isascii()]
+        for group in (plain, [w for w in many if not w.isascii()]):
+            for i in range(0, len(group), 4000):
+                part = group[i:i + 4000]
+                self.units.update(zip(part, self.together(part), strict=True))
+
+    def runs(self, text: str) -> bytes:
+        """A text with an unsafe unit: cut before whole white-space runs."""
+        return b"".join(self.whole(_RUNS.findall(text)))
+
+    def chunk(self, texts: list[str]) -> list[bytes]:
+        words: list[str] = []
+        ends = [0]
+        for t in texts:
+            if self.rule != "whole" and not _ODD.search(t):
+                words += t.replace("\n", "\x00\n").replace(" ", "\x00 ").split("\x00")
+            ends.append(len(words))
+        got = list(map(self.units.get, words))
+        redo: set[int] = set()
+        places = [i for i, x in enumerate(got) if x is None]
+        if places:
+            self.learn({words[i] for i in places} - self.unsafe)
+            for i in places:
+                if words[i] in self.unsafe:
+                    redo.add(bisect_right(ends, i) - 1)
+                else:
+                    got[i] = self.units[words[i]]
+        out = []
+        for k, t in enumerate(texts):
+            if k in redo:
+                out.append(self.runs(t))
+            elif ends[k] == ends[k + 1] and t:
+                out.append(self.whole([t])[0])
+            else:
+                out.append(b"".join(got[ends[k]:ends[k + 1]]))
+        return out
+
+    def encode(self, texts: Iterator[str | None]) -> list[bytes]:
+        out, held, size = [], [], 0
+        for t in texts:
+            t = t or ""
+            if held and size + len(t) > CHUNK_CHARS:
+                out += self.chunk(held)
+                held, size = [], 0
+            held.append(t)
+            size += len(t)
+        return out + self.chunk(held)
 
 
 @lru_cache(maxsize=4)
@@ -114,11 +183,6 @@ def encoder(path: str, rule: str) -> UnitEncoder:
     return UnitEncoder(path, rule)
 
 
-def encode_all(path: str, rule: str, texts: Iterator[str | None]) -> list[bytes]:
-    enc = encoder(path, rule)
-    return [enc.one(t or "") for t in texts]
-
-
 def tokenize(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> DataFrame:
     """``df`` with ``out`` (binary): each text's ids, 4 bytes an id."""
     ship_package(df.sparkSession)
@@ -128,6 +192,6 @@ def tokenize(df: DataFrame, path: str, text: str = "text", out: str = "ids") ->
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         enc = encoder(path, rule)
         for batch in batches:
-            yield pa.array([enc.one(t.as_py() or "") for t in batch], pa.binary())
+            yield pa.array(enc.encode(t.as_py() for t in batch), pa.binary())
 
     return df.withColumn(out, ids(F.col(text)))
