@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, frames, linecrf, packing, sharding, simhash, suffix, tokens
+from . import bpe, chat, ctw, frames, linecrf, packing, sharding, simhash, suffix, tokens
 from .common import table
 
 
@@ -100,6 +100,13 @@ def op4_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op5_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Context-tree weighting scores of all documents."""
+    out = ctw.score(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score",
+                      (-F.col("score") * F.log2(F.lit(10.0)) / F.col("n_bytes")).alias("bits_per_byte"))
+
+
 def op6_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule counts and the line field's verdict for all documents."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
