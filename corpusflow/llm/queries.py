@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, ctw, frames, linecrf, packing, sharding, simhash, suffix, tokens
+from . import bpe, chat, ctw, frames, linecrf, nndescent, packing, sharding, simhash, suffix, tokens
 from .common import table
 
 
@@ -136,6 +136,13 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op9_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five nearest vectors of every row whose id is divisible by 50."""
+    rows = table(spark, sf_dir, "embeddings")
+    index = nndescent.build(rows)
+    return nndescent.search(index, rows.filter(F.col("vec_id") % 50 == 0).select("vec_id"))
+
+
 def op10_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash near-duplicate components of all documents."""
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"))
