@@ -53,7 +53,7 @@ def checksum(data: bytes) -> int:
 class FrameWriter:
     """Writes one file; ``add`` takes documents in order."""
 
-    def __init__(self, out, frame_ids: int = FRAME_IDS, level: int = 3):
+    def __init__(self, out, frame_ids: int = FRAME_IDS, level: int = 1):
         import zstandard
         self.zstd = zstandard.ZstdCompressor(level=level, write_checksum=True)
         self.out, self.frame_bytes = out, 4 * frame_ids
@@ -196,8 +196,7 @@ def write(docs: DataFrame, doc_id: str = "doc_id", ids: str = "ids", folder: str
             done.append((name, held, len(writer.docs), writer.n_ids))
 
         for batch in rows:
-            for b, i, x in zip(*(batch.column(k) for k in range(3)), strict=True):
-                b = b.as_py()
+            for b, i, x in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
                 if b != held:
                     if writer:
                         close()
@@ -206,7 +205,7 @@ def write(docs: DataFrame, doc_id: str = "doc_id", ids: str = "ids", folder: str
                     files.create_dir(path, recursive=True)
                     stream = files.open_output_stream(part)
                     writer = FrameWriter(stream, frame_ids)
-                writer.add(i.as_py(), x.as_py() or b"")
+                writer.add(i, x or b"")
         if writer:
             close()
         if done:

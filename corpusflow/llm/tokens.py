@@ -12,8 +12,8 @@ Which cuts are safe depends on the tokenizer (``unit_rule``):
   space or line feed that follows a non-space. A unit is safe if white space
   occurs in it at most as its first character; a text with any other unit is
   cut before whole white-space runs instead.
-* ``space`` (white space only separates): a text may be cut before every space
-  and line feed.
+* ``space`` (white space only separates, case is dropped): a text may be cut
+  before every space and line feed, and A-Z lower-cased beforehand.
 * ``whole``: no cuts.
 
 Cases: null text is the empty text (no ids); special-token strings inside a
@@ -25,26 +25,35 @@ from __future__ import annotations
 
 import json
 import re
-from bisect import bisect_right
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import ship_package
 
 #: A worker's cache keeps two generations of units of this many characters.
-CACHE_CHARS = 3 << 20
-#: Characters of text whose units are looked up together.
-CHUNK_CHARS = 1 << 20
+CACHE_CHARS = 7 << 19
+#: Bytes of text whose units are looked up together.
+CHUNK_BYTES = 1 << 22
 #: White space that is not the first of two or more characters of a unit, in
 #: units joined by U+0000.
 _INNER = re.compile(r"[^\x00]\s|\s(?=\x00|\Z)")
+#: Characters that stand for the bytes that are not printable Latin-1 in the
+#: byte-level alphabet: U+0100 upwards in byte order (rule of the format).
+BYTE_CHARS = {b: 256 + i for i, b in enumerate(
+    b for b in range(256) if not (0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or 0xAE <= b))}
+#: Lower-case Latin-1 letters, which normalisation leaves as they are: one
+#: piece for a tokenizer of the rule ``space``.
+_LETTERS = re.compile(r"[a-z\u00df-\u00f6\u00f8-\u00ff]+")
 _RUNS = re.compile(r"\s*\S+|\s+\Z")
-_ODD = re.compile("[\x00\x1c-\x1f]")
+_ODD = r"[\x00\x1c-\x1f]"
+_ODD_CHARS = re.compile(_ODD)
 
 
 def unit_rule(path: str) -> str:
@@ -59,7 +68,8 @@ def unit_rule(path: str) -> str:
     # pieces are the pattern's matches without white space; NFC, white-space
     # replacement and lower-casing act within a unit
     if (first.get("type") == "Split" and first.get("behavior") == "Removed" and first.get("invert")
-            and "[^\\s" in first.get("pattern", {}).get("Regex", "") and steps <= {"NFC", "Replace", "Lowercase"}):
+            and "[^\\s" in first.get("pattern", {}).get("Regex", "") and "Lowercase" in steps
+            and steps <= {"NFC", "Replace", "Lowercase"}):
         return "space"
     return "whole"
 
@@ -78,8 +88,10 @@ class UnitEncoder:
         self.width = np.zeros(max(vocab.values()) + 1, dtype=np.int64)
         for token, i in vocab.items():
             self.width[i] = len(token.removesuffix("</w>"))
+        self.model = self.tok.model
+        self.marks = {c: self.whole([c])[0] for c in ".,"}
         self.rule = rule
-        self.units: dict[str, bytes] = {}      # current generation
+        self.units: dict[str, bytes] = {"": b""}   # current generation
         self.older: dict[str, bytes] = {}      # the one before; units in use move up
         self.chars = 0
         self.unsafe: set[str] = set()          # units that are not independent
@@ -89,37 +101,56 @@ class UnitEncoder:
         return [np.asarray(x.ids, dtype="<u4").tobytes() for x in got]
 
     def together(self, units: list[str]) -> list[bytes]:
-        """Ids of units that begin with a space or line feed and hold no other
-        white space, encoded as one text. Every id stands for a known number
-        of bytes, so the bytes of the units tell where their ids end."""
-        text = "".join(units)
-        if self.rule == "gpt2":
-            sizes = [len(u.encode()) for u in units]
+        """Ids of units without inner white space, encoded as one text (with
+        ``gpt2`` each begins with a space or line feed, with ``space`` none
+        does). Every id stands for a known number of bytes, so the bytes of the
+        units tell where their ids end."""
+        text = "".join(units) if self.rule == "gpt2" else " ".join(units)
+        if text.isascii():
+            sizes = np.fromiter(map(len, units), np.int64, len(units))
         else:
-            parts = text.replace("\n", " ") if text.isascii() else self.tok.normalizer.normalize_str(text)
-            sizes = [len(p.encode()) for p in parts.split(" ")[1:]]
+            parts = units if self.rule == "gpt2" else self.tok.normalizer.normalize_str(text).split(" ")
+            sizes = np.array([len(p.encode()) for p in parts])
         ids = np.array(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
         ends = np.cumsum(self.width[ids])
         want = np.cumsum(sizes)
         cuts = np.searchsorted(ends, want, side="right")
-        if len(sizes) != len(units) or ends[-1] != want[-1] or (ends[cuts - 1] != want)[np.array(sizes) > 0].any():
+        if len(sizes) != len(units) or ends[-1] != want[-1] or (ends[cuts - 1] != want).any():
             return self.whole(units)
         raw = ids.tobytes()
         cuts = (4 * cuts).tolist()
         return [raw[i:j] for i, j in zip([0, *cuts], cuts)]
 
+    def words(self, units: set[str]) -> set[str]:
+        """With the rule ``space``: put units of letters, and perhaps one full
+        stop or comma, straight through the tokenizer's model, and return the
+        rest."""
+        rest, letters, tokenize = set(), _LETTERS.fullmatch, self.model.tokenize
+        for u in units:
+            mark = self.marks.get(u[-1:])
+            word = u[:-1] if mark else u
+            if not letters(word):
+                rest.add(u)
+                continue
+            form = word if word.isascii() else word.encode().decode("latin-1").translate(BYTE_CHARS)
+            ids = array("I", [t.id for t in tokenize(form)]).tobytes()
+            self.units[u] = ids + mark if mark else ids
+        return rest
+
     def learn(self, missing: set[str]) -> None:
         """Put units into the current generation."""
         size = sum(map(len, missing))
         if self.chars and self.chars + size > CACHE_CHARS:
-            self.older, self.units, self.chars = self.units, {}, 0
+            self.older, self.units, self.chars = self.units, {"": b""}, 0
         self.chars += size
-        new = list(missing)
         if self.older:
-            known = {w: self.older[w] for w in new if w in self.older}
+            known = {w: self.older[w] for w in missing if w in self.older}
             self.units.update(known)
-            new = [w for w in new if w not in known]
-        odd = {w for w in new if w[:1] not in " \n" or "<|" in w}
+            missing = missing - known.keys()
+        new = list(self.words(missing) if self.rule == "space" else missing)
+        if not new:
+            return
+        odd = {w for w in new if "<|" in w or self.rule == "gpt2" and w[:1] not in " \n"}
         if _INNER.search("\x00".join(new)):
             inner = {w for w in new if _INNER.search(w)}
             if self.rule == "gpt2":
@@ -139,43 +170,58 @@ class UnitEncoder:
         """A text with an unsafe unit: cut before whole white-space runs."""
         return b"".join(self.whole(_RUNS.findall(text)))
 
-    def chunk(self, texts: list[str]) -> list[bytes]:
-        words: list[str] = []
-        ends = [0]
-        for t in texts:
-            if self.rule != "whole" and not _ODD.search(t):
-                words += t.replace("\n", "\x00\n").replace(" ", "\x00 ").split("\x00")
-            ends.append(len(words))
-        got = list(map(self.units.get, words))
-        redo: set[int] = set()
+    def lookup(self, units: list[str]) -> list[bytes | None]:
+        """Ids of distinct units; None for an unsafe one."""
+        got = list(map(self.units.get, units))
         places = [i for i, x in enumerate(got) if x is None]
         if places:
-            self.learn({words[i] for i in places} - self.unsafe)
+            self.learn({units[i] for i in places} - self.unsafe)
             for i in places:
-                if words[i] in self.unsafe:
-                    redo.add(bisect_right(ends, i) - 1)
-                else:
-                    got[i] = self.units[words[i]]
-        out = []
-        for k, t in enumerate(texts):
-            if k in redo:
-                out.append(self.runs(t))
-            elif ends[k] == ends[k + 1] and t:
-                out.append(self.whole([t])[0])
-            else:
-                out.append(b"".join(got[ends[k]:ends[k + 1]]))
+                got[i] = self.units.get(units[i])
+        return got
+
+    def chunk(self, texts: pa.Array) -> pa.Array:
+        """Ids of some texts: split into units and numbered by Arrow, the ids
+        of the distinct units are looked up and put in the units' places."""
+        n = len(texts)
+        odd = np.ones(n, dtype=bool) if self.rule == "whole" else \
+            pc.match_substring_regex(texts, _ODD).to_numpy(zero_copy_only=False).astype(bool)
+        usual = pc.if_else(pa.array(odd), "", texts) if odd.any() else texts
+        if self.rule == "space":
+            usual = pc.replace_substring(pc.ascii_lower(usual), "\n", " ")
+            parts = pc.split_pattern(usual, " ")
+        else:
+            usual = pc.replace_substring(usual, " ", "\x00 ")
+            parts = pc.split_pattern(pc.replace_substring(usual, "\n", "\x00\n"), "\x00")
+        numbered = parts.flatten().dictionary_encode()
+        ids = self.lookup(numbered.dictionary.to_pylist())
+        ends = parts.offsets.to_numpy()
+        unsafe = np.array([x is None for x in ids], dtype=bool)
+        if unsafe.any():
+            at = np.nonzero(unsafe[numbered.indices.to_numpy()])[0]
+            odd[np.searchsorted(ends, at + ends[0], side="right") - 1] = True
+        flat = pa.array([x or b"" for x in ids], pa.binary()).take(numbered.indices)
+        places = np.frombuffer(flat.buffers()[1], dtype=np.int32, count=len(flat) + 1)
+        out = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(places[ends - ends[0]].tobytes()),
+                                                     flat.buffers()[2]])
+        if odd.any():
+            got = out.to_pylist()
+            for i in np.nonzero(odd)[0]:
+                text = texts[int(i)].as_py()
+                whole = self.rule != "gpt2" or _ODD_CHARS.search(text)
+                got[i] = self.whole([text])[0] if whole else self.runs(text)
+            out = pa.array(got, pa.binary())
         return out
 
-    def encode(self, texts: Iterator[str | None]) -> list[bytes]:
-        out, held, size = [], [], 0
-        for t in texts:
-            t = t or ""
-            if held and size + len(t) > CHUNK_CHARS:
-                out += self.chunk(held)
-                held, size = [], 0
-            held.append(t)
-            size += len(t)
-        return out + self.chunk(held)
+    def encode(self, texts: pa.Array) -> pa.Array:
+        """Ids (binary) of an array of texts, in pieces of bounded size."""
+        if not len(texts):
+            return pa.array([], pa.binary())
+        texts = texts.fill_null("")
+        size = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+        piece = size // CHUNK_BYTES
+        cuts = [0, *(np.nonzero(np.diff(piece))[0] + 1).tolist(), len(texts)]
+        return pa.concat_arrays([self.chunk(texts.slice(i, j - i)) for i, j in zip(cuts, cuts[1:])])
 
 
 @lru_cache(maxsize=4)
@@ -192,6 +238,6 @@ def tokenize(df: DataFrame, path: str, text: str = "text", out: str = "ids") ->
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         enc = encoder(path, rule)
         for batch in batches:
-            yield pa.array(enc.encode(t.as_py() for t in batch), pa.binary())
+            yield enc.encode(batch)
 
     return df.withColumn(out, ids(F.col(text)))
