@@ -12,12 +12,11 @@ from . import sqlexpr as X
 
 P = TEST_POLICY
 STRIDE = 1 << 40
-NO_BUDGET = 1 << 62
-
 
 def _base_ctes(policy=P) -> str:
     tok = X.lit(policy.agent_token)
     return f"""
+{X.extraction(policy)},
 pages_u AS (SELECT page_id, url, html, {X.https_upgrade('url')} AS fetch_url FROM pages),
 fetch_log AS (
   SELECT fetch_url AS url, page_id,
@@ -26,7 +25,7 @@ fetch_log AS (
          CASE WHEN page_id % 10 = 4 THEN 'timeout' END AS error,
          html
   FROM pages_u QUALIFY row_number() OVER (PARTITION BY fetch_url ORDER BY page_id) = 1),
-snap AS ({X.extract_cte('fetch_log', policy)}),
+snap AS (SELECT f.*, px.title, px.meta_description, px.content, px.links FROM fetch_log f JOIN px USING (page_id)),
 hosts AS (SELECT DISTINCT {X.netloc(X.https_upgrade('url'))} AS host FROM pages),
 hs AS (SELECT host, md5(host) AS h,
               CASE substr(md5(host), 1, 1) WHEN '0' THEN 401 WHEN '1' THEN 404 WHEN '2' THEN 503 ELSE 200 END AS status
@@ -82,8 +81,9 @@ def _kind(policy=P, n=None) -> str:
             f"WHEN length(content) < {n} THEN 'thin_empty' ELSE 'ok' END")
 
 
-def session_sql(max_pages: int = NO_BUDGET, policy=P) -> str:
+def session_sql(max_pages: int | None = None, policy=P) -> str:
     """WITH ... ending in relation ``sess`` (one row per seed row)."""
+    over = "false" if max_pages is None else f"visits_before >= {max_pages}"
     return f"""WITH {_base_ctes(policy)},
 seeds AS (SELECT page_id AS ordinal, url FROM pages
           UNION ALL SELECT page_id + {STRIDE}, url FROM pages),
@@ -105,7 +105,7 @@ s5 AS (SELECT *, _prev > 0 AS prev_ok, (ok AND _prev = 0) AS new_visit FROM s4),
 s6 AS (SELECT *, CAST(coalesce(sum(new_visit::INTEGER) OVER (ORDER BY ordinal
                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS visits_before FROM s5),
 sess AS (SELECT *,
-   CASE WHEN visits_before >= {max_pages} THEN 'budget'
+   CASE WHEN {over} THEN 'budget'
         WHEN prev_ok AND url = fetch_url THEN 'visited'
         WHEN rule IS NOT NULL THEN rule
         WHEN NOT robots_ok THEN 'robots'
@@ -116,12 +116,6 @@ sess AS (SELECT *,
    FROM s6)"""
 
 
-def _pages_doc(tags=None) -> str:
-    tags = P.boilerplate_tags if tags is None else tags
-    return (f"(SELECT page_id, url, {X.https_upgrade('url')} AS fetch_url, "
-            f"{X.strip_boilerplate('html', tags)} AS doc FROM pages)")
-
-
 def _detail() -> str:
     host = "regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)', 1)"
     return f"""CASE verdict
@@ -194,22 +188,24 @@ FROM chosen WHERE len(u) = 0"""
                         f"count(*) FILTER (WHERE verdict = 'ok' AND kind = 'ok') > 0 AS ingestion_triggered FROM sess")
     q["outcome_counts"] = (f"{sess} SELECT verdict, count(*) AS n, count(DISTINCT fetch_url) AS n_urls, "
                            f"count(*) FILTER (WHERE verdict = 'ok' AND kind = 'ok') AS n_stored FROM sess GROUP BY verdict")
-    doc = _pages_doc()
-    q["strip_boilerplate"] = f"SELECT page_id, CAST(length(doc) AS INTEGER) AS doc_length, md5(doc) AS doc_md5 FROM {doc}"
-    q["page_title"] = f"SELECT page_id, {X.page_title('doc')} AS title FROM {doc}"
-    q["meta_description"] = f"SELECT page_id, {X.meta_description('doc')} AS meta_description FROM {doc}"
-    q["main_content"] = (f"SELECT page_id, CAST(length(region) AS INTEGER) AS region_length, md5(region) AS region_md5 "
-                         f"FROM (SELECT page_id, {X.main_region('doc')} AS region FROM {doc})")
-    q["clean_text"] = f"SELECT page_id, {X.clean_text(X.main_region('doc'))} AS text FROM {doc}"
-    q["truncate_content"] = (f"SELECT page_id, content, CAST(length(content) AS INTEGER) AS content_length FROM "
-                             f"(SELECT page_id, {X.truncate('t', P.max_content_length)} AS content FROM "
-                             f"(SELECT page_id, {X.clean_text(X.main_region('doc'))} AS t FROM {doc}))")
-    q["page_links"] = (f"SELECT page_id, CAST(i - 1 AS INTEGER) AS pos, links[i].url AS link_url, links[i].text AS link_text "
-                       f"FROM (SELECT page_id, {X.page_links('doc', 'fetch_url')} AS links FROM {_pages_doc(nav_kept)}), "
-                       f"range(1, len(links) + 1) t(i)")
-    ext = X.extract_cte(f"(SELECT page_id, {X.https_upgrade('url')} AS fetch_url, html FROM pages)", P, url="fetch_url")
-    q["page_kind"] = (f"SELECT page_id, {_kind(P, TEST_THIN_LENGTH)} AS kind, "
-                      f"CAST(length(content) AS INTEGER) AS content_length FROM ({ext})")
-    q["extract_pages"] = (f"SELECT page_id, fetch_url, title, meta_description, content, "
-                          f"CAST(len(links) AS INTEGER) AS n_links FROM ({ext})")
+    q["visited_urls"] = f"{sess_b} SELECT fetch_url AS url, ordinal FROM sess WHERE new_visit"
+    q["stored_documents"] = (f"{sess} SELECT row_number() OVER (ORDER BY ordinal) AS store_order, ordinal, title, fetch_url AS url "
+                             f"FROM sess WHERE verdict = 'ok' AND kind = 'ok'")
+    q["outcome_urls"] = f"{sess} SELECT DISTINCT verdict, fetch_url AS url FROM sess"
+    q["request_schedule"] = (f"{sess} SELECT ordinal, fetch_url, slot, slot * {int(P.request_delay * 1_000_000)} AS start_offset_us FROM ("
+                             f"SELECT ordinal, fetch_url, row_number() OVER (ORDER BY ordinal) - 1 AS slot FROM sess WHERE verdict "
+                             f"NOT IN ('budget', 'visited', 'excluded', 'domain', 'extension', 'robots'))")
+    px = f"WITH {X.extraction(P)}"
+    q["strip_boilerplate"] = f"{px} SELECT page_id, CAST(length(doc) AS INTEGER) AS doc_length, md5(doc) AS doc_md5 FROM px"
+    q["page_title"] = f"{px} SELECT page_id, title FROM px"
+    q["meta_description"] = f"{px} SELECT page_id, meta_description FROM px"
+    q["main_content"] = f"{px} SELECT page_id, CAST(length(region) AS INTEGER) AS region_length, md5(region) AS region_md5 FROM px"
+    q["clean_text"] = f"{px} SELECT page_id, text FROM px"
+    q["truncate_content"] = f"{px} SELECT page_id, content, CAST(length(content) AS INTEGER) AS content_length FROM px"
+    q["page_links"] = (f"WITH {X.extraction(P, nav_kept)} SELECT page_id, CAST(r - 1 AS INTEGER) AS pos, url AS link_url, "
+                       f"txt AS link_text FROM x_link WHERE r <= {X.MAX_LINKS_PER_PAGE}")
+    q["page_kind"] = (f"{px} SELECT page_id, {_kind(P, TEST_THIN_LENGTH)} AS kind, "
+                      f"CAST(length(content) AS INTEGER) AS content_length FROM px")
+    q["extract_pages"] = (f"{px} SELECT page_id, fetch_url, title, meta_description, content, "
+                          f"CAST(len(links) AS INTEGER) AS n_links FROM px")
     return q

@@ -5,7 +5,6 @@ by GROUP BY, and exact search over the full question x corpus product."""
 from __future__ import annotations
 
 from ..config import TEST_CHUNKS
-from ..functions.text import PY_SPACE
 from . import sqlexpr as X
 from .oracle_docs import _ctes as doc_ctes
 
@@ -16,7 +15,7 @@ BUCKET_URI = "s3://corpus-bucket/crawled-docs/"
 
 
 def _words(x: str) -> str:
-    return f"list_filter(regexp_split_to_array({x}, {X.lit('[' + PY_SPACE + ']+')}), lambda w: w <> '')"
+    return f"list_filter(regexp_split_to_array({x}, {X.lit('[' + X.PY_SPACE + ']+')}), lambda w: w <> '')"
 
 
 def _weights(src: str, id_col: str) -> str:
@@ -125,6 +124,7 @@ def queries() -> dict[str, str]:
                         f"arg_max(source_url, ordinal) AS source_url, arg_max(title, ordinal) AS title, "
                         f"arg_max('# ' || title || chr(10) || chr(10) || '**Source:** ' || source_url || chr(10) || "
                         f"'**Crawled:** ' || crawled_at || chr(10) || chr(10) || '---' || chr(10) || chr(10) || content "
-                        f"|| chr(10), ordinal) AS body FROM docs GROUP BY 1) "
-                        f"SELECT key, source_url, title, md5(body) AS body_md5 FROM last"),
+                        f"|| chr(10), ordinal) AS body, max(ordinal) AS o FROM docs GROUP BY 1) "
+                        f"SELECT key, CASE WHEN o % 7 = 0 THEN 'store://' || key ELSE source_url END AS source_url, "
+                        f"CASE WHEN o % 7 = 0 THEN '' ELSE title END AS title, md5(body) AS body_md5 FROM last"),
     }

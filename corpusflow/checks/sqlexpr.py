@@ -1,34 +1,43 @@
 """DuckDB SQL text for the correctness oracle.
 
-Each helper returns a DuckDB expression that computes the same value as the
-Spark column expression of the same name in ``corpusflow.functions``.
-They are used only to build the independent SQL the driver compares every
-registered query against.
+Scalar helpers return DuckDB expressions; ``extraction`` returns a list of
+CTEs that parse pages in stages, one column or one row per step, so that no
+expression is spelled out inside another. The SQL is written from the parsing
+rules, with patterns and reference tables of its own; it imports nothing from
+the Spark column functions it checks.
 """
 
 from __future__ import annotations
 
 from ..config import MAX_LINK_TEXT, MAX_LINKS_PER_PAGE, TRUNCATION_MARKER
-from ..functions.html import (_ATTR_VALUE, ANCHOR_RE, ANCHOR_TAGS_RE, HAS_HREF_RE, HREF_RE, META_TAG_RE,
-                              TAG_RE, boilerplate_re, open_tag)
-from ..functions.text import CP1252_HIGH, ENTITY_TABLE, PY_LINE_BREAK, REF_RE, STRIP_RE
-from ..functions.urls import NETLOC_RE, PATH_RE, SCHEME_RE
+
+# Characters Python's str.strip() removes, as code points.
+SPACE_CODES = (*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+               0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
+# Code points at which str.splitlines() breaks.
+LINE_CODES = (*range(10, 14), *range(28, 31), 0x85, 0x2028, 0x2029)
+PY_SPACE = "".join(f"\\x{{{c:x}}}" for c in SPACE_CODES)
+PY_LINE_BREAK = "\\r\\n|[" + "".join(f"\\x{{{c:x}}}" for c in LINE_CODES) + "]"
+# What may stand between a tag's name and its closing bracket.
+INSIDE = """([^>"']|"[^"]*"|'[^']*')*"""
+# One character reference: number or name, then perhaps a semicolon.
+REFERENCE = r"&(#[xX][0-9a-fA-F]+|#[0-9]+|[a-zA-Z][a-zA-Z0-9.-]*)(;?)"
+VALUE = r"""\s*=\s*("([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 
 
 def lit(s: str) -> str:
-    """SQL string literal; non-printable characters spelled with chr()."""
-    out, buf = [], []
+    """SQL string literal; line feeds and private-use code points as chr()."""
+    parts, plain = [], ""
     for ch in s:
-        if ch == "\n" or ch == "\ue000":
-            if buf:
-                out.append("'" + "".join(buf).replace("'", "''") + "'")
-                buf = []
-            out.append(f"chr({ord(ch)})")
+        if ch in "\n":
+            parts += ["'" + plain.replace("'", "''") + "'"] if plain else []
+            parts.append(f"chr({ord(ch)})")
+            plain = ""
         else:
-            buf.append(ch)
-    if buf or not out:
-        out.append("'" + "".join(buf).replace("'", "''") + "'")
-    return out[0] if len(out) == 1 else "(" + " || ".join(out) + ")"
+            plain += ch
+    if plain or not parts:
+        parts.append("'" + plain.replace("'", "''") + "'")
+    return parts[0] if len(parts) == 1 else "(" + " || ".join(parts) + ")"
 
 
 def rx_replace(x: str, pat: str, rep: str) -> str:
@@ -36,121 +45,90 @@ def rx_replace(x: str, pat: str, rep: str) -> str:
 
 
 def strip(x: str) -> str:
-    return rx_replace(x, STRIP_RE, "")
-
-
-def charref(code: str) -> str:
-    digits = (f"CASE WHEN starts_with({code}, 'x') OR starts_with({code}, 'X') "
-              f"THEN CAST(TRY_CAST(('0x' || substr({code}, 2)) AS UBIGINT) AS VARCHAR) ELSE {code} END")
-    n = f"(CASE WHEN length({digits}) <= 18 THEN TRY_CAST({digits} AS BIGINT) END)"
-    high = "[" + ", ".join(lit(c) for c in CP1252_HIGH) + "]"
-    return (f"CASE WHEN {n} IS NULL OR {n} > 1114111 OR {n} BETWEEN 55296 AND 57343 THEN chr(65533) "
-            f"WHEN {n} BETWEEN 128 AND 159 THEN {high}[{n} - 127] ELSE chr(CAST({n} AS INTEGER)) END")
-
+    return f"trim({x}, {SPACES})"
 
-def entity_text(name: str) -> str:
-    at = f"strpos({lit(ENTITY_TABLE)}, chr(30) || {name} || chr(31))"
-    return (f"CASE WHEN {at} > 0 THEN split_part(substr({lit(ENTITY_TABLE)}, {at} + length({name}) + 2, 16), "
-            f"chr(30), 1) END")
 
+SPACES = "(" + " || ".join(f"chr({c})" for c in SPACE_CODES) + ")"
 
-def decode(x: str) -> str:
-    """Single-pass reference decoding with the same rules as the Spark side.
-    The text and its reference lists are bound once through a one-element
-    list lambda (DuckDB has no subqueries inside lambdas)."""
-    groups = ", ".join(f"'g{g}': regexp_extract_all(v, {lit(REF_RE)}, {g})" for g in (1, 2))
-    numeric_ok = "(z.g2[i] = ';' OR NOT regexp_matches(coalesce(z.ps[i + 1], ''), '^[0-9a-fA-F]'))"
-    ref = (f"CASE WHEN i > len(z.g1) THEN '' "
-           f"WHEN starts_with(z.g1[i], '#') THEN CASE WHEN {numeric_ok} THEN {charref('substr(z.g1[i], 2)')} "
-           f"ELSE '&' || z.g1[i] || z.g2[i] END "
-           f"ELSE coalesce({entity_text('z.g1[i]')}, '&' || z.g1[i]) END")
-    inner = (f"list_transform([{{'ps': regexp_split_to_array(v, {lit(REF_RE)}), {groups}}}], "
-             f"lambda z: array_to_string(list_transform(z.ps, lambda p, i: p || {ref}), ''))[1]")
-    return f"CASE WHEN contains({x}, '&') THEN list_transform([{x}], lambda v: {inner})[1] ELSE {x} END"
 
-
-def clean_lines(x: str) -> str:
-    parts = f"list_transform(regexp_split_to_array({x}, {lit(PY_LINE_BREAK)}), lambda l: {strip('l')})"
-    return f"array_to_string(list_filter({parts}, lambda l: l <> ''), chr(10))"
+def netloc(u: str) -> str:
+    return f"lower(regexp_extract({u}, '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)', 1))"
 
 
-def netloc(u: str) -> str:
-    return f"lower(regexp_extract({u}, {lit(NETLOC_RE)}, 1))"
+def raw_path(u: str) -> str:
+    return f"regexp_extract({u}, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)', 1)"
 
 
 def url_path(u: str) -> str:
-    return f"lower(regexp_replace(regexp_extract({u}, {lit(PATH_RE)}, 1), ';[^/]*$', ''))"
+    return f"lower(regexp_replace({raw_path(u)}, ';[^/]*$', ''))"
 
 
 def any_of(exprs: list[str]) -> str:
     return "(" + " OR ".join(exprs) + ")" if exprs else "false"
 
 
+def _any_suffix(x: str, suffixes) -> str:
+    return f"list_bool_or(list_transform([{', '.join(map(lit, suffixes))}], lambda e: ends_with({x}, e)))"
+
+
 def is_excluded_domain(u: str, policy) -> str:
-    return any_of([f"contains({netloc(u)}, {lit(d)})" for d in policy.excluded_domains])
+    if not policy.excluded_domains:
+        return "false"
+    return (f"list_bool_or(list_transform([{', '.join(map(lit, policy.excluded_domains))}], "
+            f"lambda d: contains({netloc(u)}, d)))")
 
 
 def is_allowed_domain(u: str, policy) -> str:
-    if not policy.allowed_domains:
-        return "true"
-    return any_of([f"ends_with({netloc(u)}, {lit(d)})" for d in policy.allowed_domains])
+    return _any_suffix(netloc(u), policy.allowed_domains) if policy.allowed_domains else "true"
 
 
 def has_excluded_extension(u: str, policy) -> str:
-    if not policy.excluded_extensions:
-        return "false"
-    return any_of([f"ends_with({url_path(u)}, {lit(e)})" for e in policy.excluded_extensions])
+    return _any_suffix(url_path(u), policy.excluded_extensions) if policy.excluded_extensions else "false"
 
 
 def https_upgrade(u: str) -> str:
     return f"CASE WHEN starts_with({u}, 'http://') THEN 'https://' || substr({u}, 8) ELSE {u} END"
 
 
-def strip_boilerplate(h: str, tags) -> str:
-    return rx_replace(h, boilerplate_re(tags), "\n")
-
-
-def page_title(doc: str) -> str:
-    raw = f"regexp_extract({doc}, {lit('(?is)' + open_tag('title') + '(.*?)</title' + chr(92) + 's*>')}, 1)"
-    return f"CASE WHEN regexp_matches({raw}, '<[a-zA-Z/!?]') THEN '' ELSE {strip(decode(raw))} END"
+def element(name: str) -> str:
+    return rf"<{name}(\s{INSIDE})?>"
 
 
-
-
-def _attr(tag: str, name: str) -> str:
-    pat = rf"(?s)\s(?i:{name}){_ATTR_VALUE}"
-    return " || ".join(f"regexp_extract({tag}, {lit(pat)}, {g})" for g in (1, 2, 3))
-
-
-def meta_description(doc: str) -> str:
-    name_is_desc = r"""(?s)\s(?i:name)\s*=\s*(?:"description"|'description'|description[\s/>])"""
-    first = (f"list_filter(regexp_extract_all({doc}, {lit(META_TAG_RE)}, 0), "
-             f"lambda m: regexp_matches(m, {lit(name_is_desc)}))[1]")
-    return f"coalesce({strip(decode(_attr(first, 'content')))}, '')"
-
-
-def _region(doc: str, name: str) -> str:
-    from ..functions.html import MARK, region_tags_re
-    rest = f"regexp_extract({doc}, {lit('(?is)' + open_tag(name) + '(.*)' + chr(92) + 'z')}, 1)"
-    parts = f"string_split(regexp_replace({rest}, {lit(region_tags_re(name))}, {lit(MARK + chr(92) + '1')}, 'g'), {lit(MARK)})"
-    is_open = f"regexp_matches(part, {lit('(?is)^' + open_tag(name))})"
-    is_close = f"regexp_matches(part, {lit('(?is)^</' + name + chr(92) + 's*>')})"
-    d = f"(st.d + CASE WHEN {is_open} THEN 1 WHEN {is_close} THEN -1 ELSE 0 END)"
-    step = (f"CASE WHEN st.done THEN st WHEN {d} = 0 THEN {{'d': 0, 'done': true, 'acc': st.acc}} "
-            f"ELSE {{'d': {d}, 'done': false, 'acc': st.acc || part}} END")
-    return f"list_reduce({parts}, lambda st, part: {step}, {{'d': 1, 'done': false, 'acc': ''}}).acc"
-
-
-def main_region(doc: str) -> str:
-    def has(n):
-        return f"regexp_matches({doc}, {lit('(?i)' + open_tag(n))})"
-    return (f"CASE WHEN {has('main')} THEN {_region(doc, 'main')} "
-            f"WHEN {has('article')} THEN {_region(doc, 'article')} "
-            f"WHEN {has('body')} THEN {_region(doc, 'body')} ELSE {doc} END")
-
-
-def clean_text(region: str) -> str:
-    return clean_lines(decode(rx_replace(region, TAG_RE, "\n")))
+def strip_boilerplate(h: str, tags) -> str:
+    whole = "|".join(["<!--.*?-->"] + [rf"{element(t)}.*?</{t}\s*>" for t in tags])
+    return rx_replace(h, f"(?is){whole}", "\n")
+
+
+def references() -> str:
+    """CTE ``refs(name, txt)``: every HTML5 reference name, from the standard
+    library's table; of two spellings the one without a semicolon counts."""
+    from html.entities import html5
+    names: dict[str, str] = {}
+    for name in sorted(html5):
+        names.setdefault(name.rstrip(";"), html5[name])
+    rows = chr(30).join(f"{k}{chr(31)}{v}" for k, v in names.items())
+    return (f"refs AS MATERIALIZED (SELECT split_part(e, chr(31), 1) AS name, split_part(e, chr(31), 2) AS txt "
+            f"FROM (SELECT unnest(string_split({lit(rows)}, chr(30))) AS e))")
+
+
+def number_reference() -> str:
+    """Text of a numeric reference whose value is ``code`` (null: too large)."""
+    low = [chr(n) if n in (129, 141, 143, 144, 157) else bytes([n]).decode("cp1252") for n in range(128, 160)]
+    return (f"CASE WHEN code IS NULL OR code > 1114111 OR code BETWEEN 55296 AND 57343 THEN chr(65533) "
+            f"WHEN code BETWEEN 128 AND 159 THEN [{', '.join(map(lit, low))}][CAST(code - 127 AS INTEGER)] "
+            f"ELSE chr(CAST(code AS INTEGER)) END")
+
+
+def _region(name: str) -> str:
+    """Inner markup of the first element ``name`` of ``doc``: the pieces
+    between its tags up to the one that brings the depth back to zero."""
+    tag = rf"(?is)({element(name)}|</{name}\s*>)"
+    rest = f"regexp_extract(doc, {lit(rf'(?is){element(name)}(.*)' + chr(92) + 'z')}, 3)"
+    parts = f"string_split(regexp_replace({rest}, {lit(tag)}, {lit(chr(2) + chr(92) + '1')}, 'g'), chr(2))"
+    turn = (f"CASE WHEN regexp_matches(p, {lit(rf'(?is)^{element(name)}')}) THEN 1 "
+            f"WHEN regexp_matches(p, {lit(rf'(?is)^</{name}' + chr(92) + 's*>')}) THEN -1 ELSE 0 END")
+    return (f"list_reduce({parts}, lambda s, p: CASE WHEN s.d = 0 THEN s WHEN s.d + {turn} = 0 THEN {{'d': 0, 'acc': s.acc}} "
+            f"ELSE {{'d': s.d + {turn}, 'acc': s.acc || p}} END, {{'d': 1, 'acc': ''}}).acc")
 
 
 def truncate(text: str, n: int) -> str:
@@ -158,68 +136,99 @@ def truncate(text: str, n: int) -> str:
             f"{lit(TRUNCATION_MARKER)} ELSE {text} END")
 
 
-def remove_dot_segments(segs: str) -> str:
-    walked = (f"list_reduce({segs}, lambda acc, s: CASE WHEN s = '..' THEN acc[1:len(acc)-1] "
-              f"WHEN s = '.' THEN acc ELSE list_append(acc, s) END, []::VARCHAR[])")
-    walked = f"CASE WHEN {segs}[-1] IN ('.', '..') THEN list_append({walked}, '') ELSE {walked} END"
-    return f"coalesce(nullif(array_to_string({walked}, '/'), ''), '/')"
-
-
-def resolve_url(base: str, href: str) -> str:
-    b_scheme = f"lower(regexp_extract({base}, '^([a-zA-Z][a-zA-Z0-9+.-]*):', 1))"
-    b_origin = f"regexp_extract({base}, '^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)', 1)"
-    b_path = f"regexp_extract({base}, {lit(PATH_RE)}, 1)"
-    h_path = f"regexp_extract({href}, '^([^?#]*)', 1)"
-    h_tail = f"regexp_extract({href}, '^[^?#]*(.*)$', 1)"
-    base_dir = f"CASE WHEN {b_path} = '' THEN '/' ELSE regexp_replace({b_path}, '[^/]*$', '') END"
-    merged = f"string_split({base_dir} || {h_path}, '/')"
-    merged_clean = (f"(CASE WHEN len({merged}) >= 2 THEN list_concat(list_concat({merged}[1:1], "
-                    f"list_filter({merged}[2:len({merged})-1], lambda s: s <> '')), {merged}[-1:]) "
-                    f"ELSE {merged} END)")
-    rel = f"{b_origin} || {remove_dot_segments(merged_clean)} || {h_tail}"
-    root = f"{b_origin} || {remove_dot_segments(f'string_split({h_path}, {lit(chr(47))})')} || {h_tail}"
-    return (f"CASE WHEN {href} = '' THEN {base} "
-            f"WHEN regexp_matches({href}, {lit(SCHEME_RE)}) AND lower(regexp_extract({href}, '^([^:]*):', 1)) <> {b_scheme} THEN {href} "
-            f"WHEN regexp_matches({href}, '^[a-zA-Z][a-zA-Z0-9+.-]*://') THEN {href} "
-            f"WHEN starts_with({href}, '//') THEN {b_scheme} || ':' || {href} "
-            f"WHEN starts_with({href}, '/') THEN {root} "
-            f"WHEN starts_with({href}, '?') THEN regexp_extract({base}, '^([^?#]*)', 1) || {href} "
-            f"WHEN starts_with({href}, '#') THEN regexp_extract({base}, '^([^#]*)', 1) || {href} "
-            f"ELSE {rel} END")
-
-
-def anchor_text(inner: str) -> str:
-    nodes = f"string_split({decode(rx_replace(inner, TAG_RE, chr(0xE000)))}, chr(57344))"
-    return f"substring(array_to_string(list_transform({nodes}, lambda t: {strip('t')}), ''), 1, {MAX_LINK_TEXT})"
-
-
-def page_links(doc: str, base: str, cap: int = MAX_LINKS_PER_PAGE) -> str:
-    """List of {url, text} structs, same order and filters as the Spark side."""
-    anchors = f"regexp_extract_all({doc}, {lit(ANCHOR_RE)}, 0)"
-    href = "(" + " || ".join(f"regexp_extract(a, {lit(HREF_RE)}, {g})" for g in (1, 2, 3)) + ")"
-    has_href = f"regexp_matches(a, {lit(HAS_HREF_RE)})"
-    inner = rx_replace("a", ANCHOR_TAGS_RE, "")
-    resolved = (f"list_transform(list_filter({anchors}, lambda a: {has_href}), "
-                f"lambda a: {{'url': {resolve_url(base, decode(href))}, 'text': {anchor_text(inner)}}})")
-    http = f"list_filter({resolved}, lambda l: starts_with(l.url, 'http://') OR starts_with(l.url, 'https://'))"
-    return f"{http}[1:{cap}]"
-
-
-def extract_cte(src: str, policy, url: str = "url", html: str = "html", tags=None,
-                links: bool = True) -> str:
-    """SELECT adding title, meta_description, content (and links) to ``src``
-    (a relation name or parenthesised subquery) with the policy's tags."""
+def _walk(segs: str) -> str:
+    """Path from segments: '..' drops the one before, '.' is skipped, a path
+    under a host begins with a slash."""
+    kept = (f"list_reduce({segs}, lambda acc, s: CASE WHEN s = '..' THEN acc[1:len(acc)-1] "
+            f"WHEN s = '.' THEN acc ELSE list_append(acc, s) END, []::VARCHAR[])")
+    joined = (f"array_to_string(CASE WHEN {segs}[-1] IN ('.', '..') THEN list_append({kept}, '') ELSE {kept} END, '/')")
+    return f"regexp_replace({joined}, '^/?', '/')"
+
+
+def extraction(policy, tags=None, cap: int = MAX_LINKS_PER_PAGE) -> str:
+    """CTEs ending in ``px(page_id, url, fetch_url, doc, region, text, title,
+    meta_description, content, links)``, one row per page."""
     tags = policy.boilerplate_tags if tags is None else tags
-    doc_sql = strip_boilerplate(html, tags)
-    link_sql = f", {page_links('_doc', url)} AS links" if links else ""
-    return (f"SELECT * EXCLUDE (_doc), {page_title('_doc')} AS title, "
-            f"{meta_description('_doc')} AS meta_description, "
-            f"{truncate(clean_text(main_region('_doc')), policy.max_content_length)} AS content"
-            f"{link_sql} FROM (SELECT *, {doc_sql} AS _doc FROM {src})")
+    tag = rf"<(/?[a-zA-Z]{INSIDE}|![^>]*|\?[^>]*)>"
+    described = r"""(?s)\s(?i:name)\s*=\s*("description"|'description'|description[\s/>])"""
+    anchor = rf"(?is){element('a')}.*?(</a\s*>|\z)"
+    href = rf"""(?is)^<a(\s([^>"']|"[^"]*"|'[^']*')*?)?\shref{VALUE}"""
+
+    def value(tag_col: str, pat: str, first: int) -> str:
+        return " || ".join(f"regexp_extract({tag_col}, {lit(pat)}, {first + i})" for i in range(3))
+
+    return f"""{references()},
+x_doc AS (SELECT page_id, url, {https_upgrade('url')} AS fetch_url, {strip_boilerplate('html', tags)} AS doc FROM pages),
+x_reg AS (SELECT *, CASE WHEN regexp_matches(doc, {lit('(?i)' + element('main'))}) THEN {_region('main')}
+                         WHEN regexp_matches(doc, {lit('(?i)' + element('article'))}) THEN {_region('article')}
+                         WHEN regexp_matches(doc, {lit('(?i)' + element('body'))}) THEN {_region('body')}
+                         ELSE doc END AS region FROM x_doc),
+x_head AS (SELECT page_id, regexp_extract(doc, {lit(rf'(?is){element("title")}(.*?)</title' + chr(92) + 's*>')}, 3) AS title,
+             list_filter(regexp_extract_all(doc, {lit(rf'(?is)<meta' + chr(92) + rf's{INSIDE}>')}, 0),
+                         lambda m: regexp_matches(m, {lit(described)}))[1] AS meta FROM x_doc),
+x_a AS (SELECT page_id, unnest(l) AS a, generate_subscripts(l, 1) AS pos FROM (
+          SELECT page_id, list_filter(regexp_extract_all(doc, {lit(anchor)}, 0),
+                                      lambda a: regexp_matches(a, {lit(rf'(?is)^<a' + chr(92) + rf's({INSIDE}' + chr(92) + 's)?href' + chr(92) + 's*=')})) AS l
+          FROM x_doc)),
+x_raw AS (
+  SELECT page_id, 'text' AS kind, 0 AS pos, {rx_replace('region', tag, chr(10))} AS s FROM x_reg
+  UNION ALL SELECT page_id, 'title', 0, CASE WHEN regexp_matches(title, '<[a-zA-Z/!?]') THEN '' ELSE title END FROM x_head
+  UNION ALL SELECT page_id, 'meta', 0, {value('meta', r'(?s)\s(?i:content)' + VALUE, 2)} FROM x_head
+  UNION ALL SELECT page_id, 'href', pos, {value('a', href, 4)} FROM x_a
+  UNION ALL SELECT page_id, 'anchor', pos, {rx_replace(rx_replace('a', rf'(?is)^{element("a")}|</a' + chr(92) + 's*>$', ''), tag, chr(0xE000))} FROM x_a),
+x_split AS (SELECT page_id, kind, pos, regexp_split_to_array(s, {lit(REFERENCE)}) AS ps,
+                   regexp_extract_all(s, {lit(REFERENCE)}, 1) AS r1, regexp_extract_all(s, {lit(REFERENCE)}, 2) AS r2
+            FROM x_raw WHERE s IS NOT NULL),
+x_piece AS (SELECT page_id, kind, pos, i, ps[i] AS piece, r1[i] AS body, r2[i] AS sc, ps[i + 1] AS nxt
+            FROM (SELECT *, unnest(range(1, len(ps) + 1)) AS i FROM x_split)),
+x_num AS (SELECT *, CASE WHEN starts_with(lower(body), '#x') THEN CAST(TRY_CAST('0x' || substr(body, 3) AS UBIGINT) AS HUGEINT)
+                         WHEN starts_with(body, '#') AND length(body) <= 19 THEN TRY_CAST(substr(body, 2) AS HUGEINT) END AS code
+          FROM x_piece),
+x_ref AS (SELECT n.page_id, n.kind, n.pos, n.i, n.piece ||
+            CASE WHEN body IS NULL THEN ''
+                 WHEN NOT starts_with(body, '#') THEN coalesce(refs.txt, '&' || body)
+                 WHEN sc = '' AND regexp_matches(coalesce(nxt, ''), '^[0-9a-fA-F]') THEN '&' || body
+                 ELSE {number_reference()} END AS t
+          FROM x_num n LEFT JOIN refs ON refs.name = n.body),
+x_dec AS (SELECT page_id, kind, pos, string_agg(t, '' ORDER BY i) AS s FROM x_ref GROUP BY ALL),
+x_one AS (SELECT page_id, max(s) FILTER (kind = 'title') AS title, max(s) FILTER (kind = 'meta') AS meta,
+                 max(s) FILTER (kind = 'text') AS body FROM x_dec GROUP BY page_id),
+x_l1 AS (SELECT d.page_id, d.pos, p.fetch_url AS b, d.s AS h0,
+                CASE WHEN regexp_matches(d.s, '^//([/?#]|$)') THEN substr(d.s, 3) ELSE d.s END AS h,
+                lower(regexp_extract(p.fetch_url, '^([a-zA-Z][a-zA-Z0-9+.-]*):', 1)) AS scheme,
+                regexp_extract(p.fetch_url, '^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)', 1) AS origin,
+                {raw_path('p.fetch_url')} AS path
+         FROM x_dec d JOIN x_doc p USING (page_id) WHERE d.kind = 'href'),
+x_l2 AS (SELECT *, regexp_extract(h, '^([^?#]*)', 1) AS hp, regexp_extract(h, '^[^?#]*(.*)$', 1) AS tail,
+                string_split(CASE WHEN path = '' THEN '/' ELSE regexp_replace(path, '[^/]*$', '') END
+                             || regexp_extract(h, '^([^?#]*)', 1), '/') AS m FROM x_l1),
+x_l3 AS (SELECT *, CASE WHEN starts_with(h, '/') THEN string_split(hp, '/') WHEN len(m) < 2 THEN m
+                        ELSE list_concat(list_concat(m[1:1], list_filter(m[2:len(m)-1], lambda s: s <> '')), m[-1:]) END AS segs
+         FROM x_l2),
+x_l4 AS (SELECT *, CASE WHEN regexp_matches(h0, '^[a-zA-Z][a-zA-Z0-9+.-]*://') THEN h0
+                        WHEN regexp_matches(h0, '^//[^/?#]') THEN scheme || ':' || h0
+                        WHEN h = '' OR starts_with(h, '#') THEN regexp_extract(b, '^([^#]*)', 1) || h
+                        WHEN regexp_matches(h, '^[?](#|$)') THEN regexp_extract(b, '^([^#]*)', 1) || substr(h, 2)
+                        WHEN starts_with(h, '?') THEN regexp_extract(b, '^([^?#]*)', 1) || h
+                        ELSE origin || {_walk('segs')} || tail END AS j FROM x_l3),
+x_l5 AS (SELECT page_id, pos, CASE WHEN h0 = '' THEN b
+                  WHEN regexp_matches(h0, '^[a-zA-Z][a-zA-Z0-9+.-]*:') AND lower(regexp_extract(h0, '^([^:]*):', 1)) <> scheme THEN h0
+                  ELSE regexp_replace(regexp_replace(j, '^([^#]*)#$', '\\1'), '^([^?#]*)[?](#|$)', '\\1\\2') END AS url FROM x_l4),
+x_link AS (SELECT l.page_id, l.url, row_number() OVER (PARTITION BY l.page_id ORDER BY l.pos) AS r,
+                  substring(array_to_string(list_transform(string_split(t.s, chr(57344)), lambda x: {strip('x')}), ''), 1, {MAX_LINK_TEXT}) AS txt
+           FROM x_l5 l JOIN x_dec t ON t.page_id = l.page_id AND t.pos = l.pos AND t.kind = 'anchor'
+           WHERE starts_with(l.url, 'http://') OR starts_with(l.url, 'https://')),
+x_links AS (SELECT page_id, list({{'url': url, 'text': txt}} ORDER BY r) AS links FROM x_link WHERE r <= {cap} GROUP BY page_id),
+x_text AS (SELECT page_id, {strip('title')} AS title, coalesce({strip('meta')}, '') AS meta_description,
+                  array_to_string(list_filter(list_transform(regexp_split_to_array(body, {lit(PY_LINE_BREAK)}),
+                                                             lambda l: {strip('l')}), lambda l: l <> ''), chr(10)) AS text
+           FROM x_one),
+px AS (SELECT x_reg.*, t.title, t.meta_description, t.text, {truncate('t.text', policy.max_content_length)} AS content,
+              coalesce(k.links, []) AS links
+       FROM x_reg JOIN x_text t USING (page_id) LEFT JOIN x_links k USING (page_id))"""
 
 
 def safe_title(t: str) -> str:
-    from ..functions.text import PY_SPACE
     kept = rx_replace(t, rf"[^\p{{L}}\p{{N}}_{PY_SPACE}-]", "")
     return f"replace({strip(f'substring({kept}, 1, 50)')}, ' ', '_')"
 
