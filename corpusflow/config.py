@@ -57,7 +57,7 @@ EMBED_DIM = 1024
 class CrawlPolicy:
     """Admission, extraction and storage parameters of one crawl session."""
 
-    max_pages: int = 20
+    max_pages: int | None = 20       # None: no budget
     max_link_depth: int = 2
     request_delay: float = 1.0
     min_content_length: int = 200

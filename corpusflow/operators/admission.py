@@ -27,6 +27,20 @@ def with_policy(df: DataFrame, policy: CrawlPolicy, url_col: str = "url") -> Dat
     return df.withColumn("rule", policy_rule(u, policy)).withColumn("fetch_url", https_upgrade(u))
 
 
+def unquoted(x):
+    """Percent sequences decoded as UTF-8 (``+`` stays); a text with an
+    invalid sequence stays as it is."""
+    return F.coalesce(F.try_url_decode(F.replace(x, F.lit("+"), F.lit("%2B"))), x)
+
+
+def quoted(x):
+    """Percent-encoded but for letters, digits, ``_.-~`` and ``/``."""
+    out = F.url_encode(x)      # form encoding: space is '+', '*' is kept, '~' and '/' are not
+    for a, b in (("+", "%20"), ("*", "%2A"), ("%7E", "~"), ("%2F", "/")):
+        out = F.replace(out, F.lit(a), F.lit(b))
+    return out
+
+
 def robots_table(rules: DataFrame, policy: CrawlPolicy) -> DataFrame:
     """One row per host: robots fetch status and the ordered rule lines of
     the entry that applies to our agent.
@@ -50,7 +64,7 @@ def robots_table(rules: DataFrame, policy: CrawlPolicy) -> DataFrame:
                  "rule_no",
                  # an empty Disallow line allows everything
                  (F.col("allow") | (F.col("path_prefix") == "")).alias("allow"),
-                 "path_prefix")))
+                 quoted(unquoted(F.col("path_prefix"))).alias("path_prefix"))))
                   .alias("robots_rules")))
     return entry.join(lines, ["host", "entry_no"], "left")
 
@@ -62,19 +76,21 @@ def robots_allowed(df: DataFrame, rules: DataFrame | None, policy: CrawlPolicy,
     Disabled or no robots row for the host -> allow; status 401/403 -> block;
     other 4xx -> allow; 5xx -> block; no applicable entry -> allow; else the
     first rule (in file order) whose path starts the URL's path+query
-    decides, and no matching rule -> allow. Each row is joined once against
+    decides, and no matching rule -> allow. Both are compared decoded and
+    encoded again, so ``/a%7Eb`` and ``/a~b`` are one path. Each row is joined once against
     the per-host table (many-to-one equi join on host; a hot host is split
     by adaptive skew-join handling).
     """
     if not policy.respect_robots_txt or rules is None:
         return df.withColumn("robots_ok", F.lit(True))
     u = F.col(url_col)
-    pq = F.regexp_extract(u, r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*(.*)$", 1)
+    pq = F.regexp_extract(unquoted(u), r"(?s)^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*(.*)$", 1)
+    # re-assembly drops an empty query and an empty fragment
+    pq = F.regexp_replace(F.regexp_replace(pq, r"^([^#]*)#$", "$1"), r"^([^?#]*)[?](#|$)", "$1$2")
     keyed = (df.withColumn("_host", netloc(u))
-             .withColumn("_pq", F.when(pq == "", F.lit("/")).otherwise(pq)))
+             .withColumn("_pq", F.when(pq == "", F.lit("/")).otherwise(quoted(pq))))
     table = robots_table(rules, policy).withColumnRenamed("host", "_host")
-    first = F.try_element_at(F.filter("robots_rules", lambda x: F.col("_pq").startswith(x["path_prefix"])
-                                      | (x["path_prefix"] == "*")), F.lit(1))
+    first = F.try_element_at(F.filter("robots_rules", lambda x: F.col("_pq").startswith(x["path_prefix"])), F.lit(1))
     st = F.col("robots_status")
     return (keyed.join(table, "_host", "left").withColumn("robots_ok", (
         F.when(st.isNull(), F.lit(True))

@@ -2,7 +2,7 @@
 sidecars, store receipts and last-write-wins per file key.
 
 All are projections except ``document_content`` (one equi join with the
-page cache) and ``latest_document`` (one partial-aggregated max_by).
+page cache) and ``latest_document`` (last order per key, joined back).
 """
 
 from __future__ import annotations
@@ -43,9 +43,10 @@ def document_metadata(meta: Column) -> Column:
     """Metadata JSON text: '' -> ``{}``; valid JSON (any value) as is;
     otherwise ``{"raw_metadata": text}``."""
     m = F.coalesce(meta, F.lit(""))
-    parsed = F.try_parse_json(m)
+    # keys and numbers stay as written; only white space between tokens goes
+    compact = F.regexp_replace(m, r'("(?:[^"\\\\]|\\\\.)*")|[ \t\r\n]+', "$1")
     return (F.when(m == "", F.lit("{}"))
-            .when(parsed.isNotNull(), F.to_json(parsed))
+            .when(F.try_parse_json(m).isNotNull(), compact)
             .otherwise(F.to_json(F.struct(m.alias("raw_metadata")))))
 
 
@@ -79,8 +80,8 @@ def markdown_body(df: DataFrame) -> Column:
 
 def json_body(df: DataFrame) -> Column:
     """JSON object in the document's key order, metadata embedded as JSON."""
-    return F.to_json(F.struct("source_url", "title", "content", "crawled_at",
-                              F.parse_json("metadata").alias("metadata")))
+    head = F.to_json(F.struct("source_url", "title", "content", "crawled_at"))
+    return F.concat(F.substring(head, 1, F.length(head) - 1), F.lit(',"metadata":'), F.col("metadata"), F.lit("}"))
 
 
 def rendered(docs: DataFrame, policy: CrawlPolicy) -> DataFrame:
@@ -109,7 +110,8 @@ def sidecar(docs_rendered: DataFrame) -> DataFrame:
 
 def store_receipt(docs_rendered: DataFrame, policy: CrawlPolicy, output_dir: str = "./kb_output") -> DataFrame:
     """Confirmation per store call, with the running total in store order."""
-    r = running_count_before(docs_rendered.withColumn("_one", F.lit(True)), "_one", out="_before")
+    r = running_count_before(docs_rendered.select("ordinal", "filename", F.lit(True).alias("_one")), "_one",
+                             out="_before")
     ext = ".md" if policy.output_format == "markdown" else ".json"
     out = r.select("ordinal", "filename", F.lit(True).alias("stored"),
                    F.concat(F.lit(output_dir.rstrip("/") + "/"), F.col("filename"), F.lit(ext)).alias("local_path"),
@@ -117,13 +119,12 @@ def store_receipt(docs_rendered: DataFrame, policy: CrawlPolicy, output_dir: str
     if policy.bucket:
         out = out.withColumn("s3_path", F.concat(F.lit(f"s3://{policy.bucket}/{policy.key_prefix}"),
                                                  F.col("filename"), F.lit(ext)))
-    return out.drop("filename") if not policy.bucket else out.drop("filename")
+    return out.drop("filename")
 
 
 def latest_document(docs: DataFrame, key: str = "filename", order: str = "ordinal") -> DataFrame:
-    """Last write wins per file key: the row with the largest store order.
-    ``max_by`` is partially aggregated map-side, so a hot key is cheap."""
-    cols = [c for c in docs.columns if c != key]
-    packed = F.max_by(F.struct(*cols), F.col(order))
-    return docs.groupBy(key).agg(packed.alias("_last"), F.count(F.lit(1)).alias("writes")).select(
-        key, "_last.*", "writes")
+    """Last write wins per file key: the row with the largest store order
+    (unique) and the number of writes. Only (key, order) is aggregated, so no
+    body sits in an aggregation buffer and a hot key is cheap."""
+    last = docs.groupBy(key).agg(F.max(order).alias(order), F.count(F.lit(1)).alias("writes"))
+    return docs.join(last, [key, order]).select(key, *[c for c in docs.columns if c != key], "writes")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..config import (MAX_FOLLOW_LINKS, PREVIEW_CHARS, SAMPLE_LINKS, CrawlPolicy)
 from ..functions import html as H
-from ..functions.urls import has_excluded_extension, is_allowed_domain
+from ..functions.urls import is_followable
 
 
 def extract_pages(df: DataFrame, policy: CrawlPolicy, url_col: str = "url",
@@ -38,8 +38,7 @@ def extract_pages(df: DataFrame, policy: CrawlPolicy, url_col: str = "url",
 def follow_links(links_col: str, policy: CrawlPolicy):
     """Links a thin page hands back: allowed domain and no excluded
     extension (visited URLs are removed by the caller's anti join)."""
-    return F.filter(F.col(links_col), lambda l: is_allowed_domain(l["url"], policy)
-                    & ~has_excluded_extension(l["url"], policy))
+    return F.filter(F.col(links_col), lambda l: is_followable(l["url"], policy))
 
 
 def page_kind(df: DataFrame, policy: CrawlPolicy, min_length: int | None = None) -> DataFrame:

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ from pyspark.sql import types as T
 
 from ..config import RETRIEVE_K, SNIPPET_CHARS, ChunkConfig
 from ..functions.text import PY_SPACE
-from ..session import ship_package, spread
+from ..session import scratch_path, ship_package, spread
 
 # Question side broadcast per pass; larger question sets run in batches.
 MAX_BROADCAST_BYTES = 64 << 20
@@ -98,8 +99,11 @@ def _bag_to_vectors(dim: int, tok_col: str, out_col: str):
         uniq = pc.unique(flat)
         if len(memo) > MEMO_LIMIT:   # bound per-task memory on large vocabularies
             memo.clear()
-        ub = np.asarray([memo.setdefault(u, token_bucket(u, dim)) if u is not None else 0
-                         for u in uniq.to_pylist()], dtype=np.int64)
+        names = uniq.to_pylist()
+        for u in names:
+            if u is not None and u not in memo:
+                memo[u] = token_bucket(u, dim)
+        ub = np.asarray([memo.get(u, 0) for u in names], dtype=np.int64)
         idx = np.asarray(pc.fill_null(pc.index_in(flat, value_set=uniq), 0), dtype=np.int64)
         cells = rows[keep] * dim + ub[idx[keep]] if len(ub) else np.zeros(0, np.int64)
         mat = np.bincount(cells, minlength=n * dim).astype(np.float64).reshape(n, dim)
@@ -121,18 +125,36 @@ def _bag_to_vectors(dim: int, tok_col: str, out_col: str):
     return run
 
 
-def embed(df: DataFrame, text_col: str, dim: int, out_col: str = "vector") -> DataFrame:
-    """Hashed bag-of-words embedding, L2-normalised, ``ARRAY<FLOAT>`` of
-    width ``dim``. Tokenising runs in the JVM; hashing of distinct tokens
-    and counting run per Arrow batch. This is the pluggable embedder: any
-    Arrow batch function with the same signature can replace it."""
+def embed(df: DataFrame, text_col: str, dim: int, out_col: str = "vector", embedder=None) -> DataFrame:
+    """Embedding of a text column, ``ARRAY<FLOAT>`` of width ``dim``.
+
+    ``embedder(texts: list[str], dim: int) -> array (rows x dim)`` is called
+    per bounded slice of an Arrow batch. Without one: hashed bag of words,
+    L2-normalised; tokenising runs in the JVM, hashing of distinct tokens and
+    counting per Arrow batch."""
     ship_package(df.sparkSession)
+    if embedder is not None:
+        return df.withColumn(out_col, _embed_with(embedder, dim)(F.col(text_col)))
     with_t = df.withColumn("_t", raw_tokens(F.col(text_col)))
     schema = T.StructType([f for f in with_t.schema.fields if f.name != "_t"]
                           + [T.StructField(out_col, T.ArrayType(T.FloatType()))])
     return with_t.mapInArrow(_bag_to_vectors(dim, "_t", out_col), schema)
 
 
+def _embed_with(embedder, dim: int):
+    step = max(1, MATRIX_BUDGET // dim)
+
+    @F.arrow_udf("array<float>")
+    def vectors(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            texts = [t or "" for t in batch.to_pylist()]
+            parts = [np.asarray(embedder(texts[i:i + step], dim), dtype=np.float32).reshape(-1, dim)
+                     for i in range(0, len(texts), step)]
+            flat = np.concatenate(parts).ravel() if parts else np.zeros(0, np.float32)
+            yield pa.ListArray.from_arrays(pa.array(np.arange(0, flat.size + 1, dim, dtype=np.int32)), pa.array(flat))
+    return vectors
+
+
 def sparse_weights(df: DataFrame, id_col: str, vec_col: str = "vector") -> DataFrame:
     """Non-zero entries ``(id, bucket, weight)`` of dense vectors."""
     return (df.select(id_col, F.posexplode(vec_col).alias("bucket", "w"))
@@ -142,6 +164,19 @@ def sparse_weights(df: DataFrame, id_col: str, vec_col: str = "vector") -> DataF
 
 # ---- exact top-k -----------------------------------------------------------------
 
+def _keep_best(best_q, best_d, best_i, qi, d, ids, k):
+    """Running best k per question (index) after adding candidates; ties go
+    to the smaller id."""
+    if best_q is not None:
+        qi, d, ids = np.concatenate([best_q, qi]), np.concatenate([best_d, d]), np.concatenate([best_i, ids])
+    order = np.lexsort((ids, d, qi))
+    qi, d, ids = qi[order], d[order], ids[order]
+    starts = np.flatnonzero(np.r_[True, qi[1:] != qi[:-1]])
+    rank = np.arange(len(qi)) - np.repeat(starts, np.diff(np.r_[starts, len(qi)]))
+    keep = rank < k
+    return qi[keep], d[keep], ids[keep]
+
+
 def _topk_partition(q_ids, q_mat, k, c_id_col="c_id", c_vec_col="vector"):
     """Arrow batch function: running top-k per question over one corpus
     partition, vectorised across questions. Corpus rows are taken in slices
@@ -171,15 +206,7 @@ def _topk_partition(q_ids, q_mat, k, c_id_col="c_id", c_vec_col="vector"):
                 diff = c[ci] - q_mat[qi]
                 d = np.sqrt(np.einsum("ij,ij->i", diff, diff))
                 cand_i = ids[ci]
-                if best_q is not None:
-                    qi, d, cand_i = (np.concatenate([best_q, qi]), np.concatenate([best_d, d]),
-                                     np.concatenate([best_i, cand_i]))
-                order = np.lexsort((cand_i, d, qi))
-                qi, d, cand_i = qi[order], d[order], cand_i[order]
-                starts = np.flatnonzero(np.r_[True, qi[1:] != qi[:-1]])
-                rank = np.arange(len(qi)) - np.repeat(starts, np.diff(np.r_[starts, len(qi)]))
-                keep = rank < k
-                best_q, best_d, best_i = qi[keep], d[keep], cand_i[keep]
+                best_q, best_d, best_i = _keep_best(best_q, best_d, best_i, qi, d, cand_i, k)
         if best_q is not None and len(best_q):
             yield pa.RecordBatch.from_arrays(
                 [pa.array([q_ids[x] for x in best_q.tolist()]), pa.array(best_i.tolist()),
@@ -213,32 +240,42 @@ def vector_topk(questions: DataFrame, corpus: DataFrame, k: int = RETRIEVE_K,
     distance)``; ties broken by corpus id.
 
     The question side is broadcast only after a size check (rows x width x
-    8 bytes); above the limit it is split into hash batches, each broadcast
-    in its own pass over the corpus. No question x corpus pair becomes a row.
+    8 bytes); above the limit it is split into hash blocks, each broadcast
+    in its own pass over the corpus, written and released before the next.
+    No question x corpus pair becomes a row.
     """
+    q_type, c_type = questions.schema[q_id].dataType, corpus.schema[c_id].dataType
+    cor = corpus.select(F.col(c_id).alias("c_id"), F.col(c_vec).alias("vector"))
+    return _by_blocks(questions, cor, k, q_id, q_vec, q_type, c_type, max_broadcast_bytes,
+                      lambda ids, mat: (ids, mat), lambda v: _topk_partition(v[0], v[1], k))
+
+
+def _by_blocks(questions, corpus, k, q_id, q_vec, q_type, c_type, max_broadcast_bytes, payload, function):
+    """Top-k of the questions, one bounded block after another: the question
+    vectors are stored once, and a block's result is written and its
+    broadcast released before the next block is read."""
     spark = questions.sparkSession
     ship_package(spark)
-    q_type = questions.schema[q_id].dataType
-    c_type = corpus.schema[c_id].dataType
-    cor = corpus.select(F.col(c_id).alias("c_id"), F.col(c_vec).alias("vector"))
-    out_schema = T.StructType([T.StructField("q_id", q_type), T.StructField("c_id", c_type),
-                               T.StructField("distance", T.DoubleType())])
-    parts = []
-    for ids, mat in question_batches(questions, q_id, q_vec, max_broadcast_bytes):
-        bc = spark.sparkContext.broadcast((ids, mat))
+    schema = T.StructType([T.StructField("q_id", q_type), T.StructField("c_id", c_type),
+                           T.StructField("distance", T.DoubleType())])
+    out_schema = T.StructType([T.StructField("q_id", q_type), T.StructField("rank", T.IntegerType()),
+                               T.StructField("c_id", c_type), T.StructField("distance", T.DoubleType())])
+    asked, found = scratch_path(spark, "questions"), scratch_path(spark, "top-k")
+    questions.select(F.col(q_id).alias("q_id"), F.col(q_vec).alias("vector")).write.parquet(asked)
+    stored = spark.read.parquet(asked)
+    w = Window.partitionBy("q_id").orderBy("distance", "c_id")
+    some = False
+    for ids, mat in question_batches(stored, "q_id", "vector", max_broadcast_bytes):
+        bc = spark.sparkContext.broadcast(payload(ids, mat))
 
         def fn(batches, bc=bc):
-            i, m = bc.value
-            yield from _topk_partition(i, m, k)(batches)
-        parts.append(cor.mapInArrow(fn, out_schema))
-    if not parts:
-        return spark.createDataFrame([], out_schema).select("q_id", F.lit(0).alias("rank"), "c_id", "distance")
-    cand = parts[0]
-    for p in parts[1:]:
-        cand = cand.unionByName(p)
-    w = Window.partitionBy("q_id").orderBy("distance", "c_id")
-    return (cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-            .select("q_id", "rank", "c_id", "distance"))
+            yield from function(bc.value)(batches)
+        cand = corpus.mapInArrow(fn, schema)
+        best = cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+        best.select("q_id", "rank", "c_id", "distance").write.mode("append").parquet(found)
+        bc.destroy()
+        some = True
+    return spark.read.schema(out_schema).parquet(found) if some else spark.createDataFrame([], out_schema)
 
 
 def l2_score(distance: Column) -> Column:
@@ -248,56 +285,93 @@ def l2_score(distance: Column) -> Column:
 
 # ---- approximate top-k (inverted file) ----------------------------------------
 
-def ivf_index(corpus: DataFrame, n_lists: int, seed: int = 7, c_vec: str = "vector"):
-    """Train ``n_lists`` k-means centroids (distributed, iterative) and
-    assign each corpus row to its nearest list. Returns (centroids ndarray,
-    corpus with ``list_id``)."""
+#: Vectors the centroids are fitted on, at most.
+CENTROID_SAMPLE = 20_000
+MAX_LISTS = 4096
+
+
+def ivf_index(corpus: DataFrame, n_lists: int | None = None, seed: int = 7, c_id: str = "c_id",
+              c_vec: str = "vector"):
+    """Centroids (ndarray) and the corpus with each row's nearest ``list_id``.
+
+    Centroids are fitted by k-means on at most CENTROID_SAMPLE rows, taken in
+    the order of a hash of their id; every row is assigned. By default there
+    are about as many lists as the square root of the corpus, so a list grows
+    with the square root too."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
-    feats = corpus.withColumn("_f", array_to_vector(F.col(c_vec)))
-    model = KMeans(k=n_lists, seed=seed, featuresCol="_f", predictionCol="list_id", maxIter=20).fit(feats)
+    n = n_lists or min(MAX_LISTS, max(8, math.isqrt(corpus.count())))
+    sample = corpus.orderBy(F.xxhash64(c_id)).limit(CENTROID_SAMPLE).select(array_to_vector(F.col(c_vec)).alias("f"))
+    model = KMeans(k=n, seed=seed, featuresCol="f", maxIter=10).fit(sample.checkpoint())
     cents = np.asarray(model.clusterCenters(), dtype=np.float64)
-    return cents, model.transform(feats).drop("_f")
 
+    @F.arrow_udf("int")
+    def nearest(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        norms = (cents * cents).sum(axis=1)
+        for batch in batches:
+            x = np.asarray(batch.flatten(), dtype=np.float64).reshape(-1, cents.shape[1])
+            out = [np.argmin(norms - 2.0 * (x[i:i + 4096] @ cents.T), axis=1) for i in range(0, len(x), 4096)]
+            yield pa.array(np.concatenate(out).astype(np.int32) if out else np.zeros(0, np.int32))
 
-def vector_topk_ann(questions: DataFrame, corpus: DataFrame, k: int = RETRIEVE_K, n_lists: int = 16,
+    return cents, corpus.withColumn("list_id", nearest(F.col(c_vec)))
+
+
+def _topk_lists(q_ids, q_mat, probes, k):
+    """Arrow batch function over (c_id, vector, list_id): for the rows of each
+    list, only the questions that probe it; a running top-k per question."""
+    asking: dict[int, list[int]] = {}
+    for i, row in enumerate(probes.tolist()):
+        for lst in row:
+            asking.setdefault(lst, []).append(i)
+
+    def run(batches):
+        best = (None, None, None)
+        for rb in batches:
+            if not rb.num_rows:
+                continue
+            ids = rb.column(0).to_numpy(zero_copy_only=False)
+            ids = ids.astype(str) if ids.dtype == object else ids
+            x = np.asarray(rb.column(1).flatten(), dtype=np.float64).reshape(rb.num_rows, -1)
+            lists = rb.column(2).to_numpy(zero_copy_only=False)
+            order = np.argsort(lists, kind="stable")
+            cuts = np.flatnonzero(np.diff(lists[order])) + 1
+            for rows in np.split(order, cuts):
+                qs = np.asarray(asking.get(int(lists[rows[0]]), []), dtype=np.int64)
+                for i in range(0, len(qs), max(1, MATRIX_BUDGET // len(rows))):
+                    q = qs[i:i + max(1, MATRIX_BUDGET // len(rows))]
+                    d2 = ((q_mat[q] ** 2).sum(axis=1)[:, None] + (x[rows] ** 2).sum(axis=1)[None, :]
+                          - 2.0 * (q_mat[q] @ x[rows].T))
+                    kth = np.partition(d2, min(k, len(rows)) - 1, axis=1)[:, min(k, len(rows)) - 1]
+                    a, b = np.nonzero(d2 <= (kth + 1e-7 * (1.0 + np.abs(kth)))[:, None])
+                    diff = x[rows[b]] - q_mat[q[a]]
+                    best = _keep_best(*best, q[a], np.sqrt(np.einsum("ij,ij->i", diff, diff)), ids[rows[b]], k)
+        if best[0] is not None and len(best[0]):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([q_ids[i] for i in best[0].tolist()]), pa.array(best[2].tolist()),
+                 pa.array(best[1], pa.float64())], names=["q_id", "c_id", "distance"])
+    return run
+
+
+def vector_topk_ann(questions: DataFrame, corpus: DataFrame, k: int = RETRIEVE_K, n_lists: int | None = None,
                     n_probe: int = 4, q_id: str = "q_id", q_vec: str = "vector", c_id: str = "c_id",
                     c_vec: str = "vector", seed: int = 7,
                     max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
-    """Inverted-file approximate search: each question scans only the
-    corpus rows of its ``n_probe`` nearest lists. Lists are a column, not a
-    partitioning, so a list holding a third of the corpus is still spread
-    over all tasks. Output as ``vector_topk``."""
-    spark = questions.sparkSession
-    ship_package(spark)
+    """Inverted-file approximate search: each question is compared with the
+    rows of its ``n_probe`` nearest lists. Lists are a column, not a
+    partitioning, so a list holding a third of the corpus is still spread over
+    all tasks. Output and block-wise question side as ``vector_topk``."""
     cents, assigned = ivf_index(corpus.select(F.col(c_id).alias("c_id"), F.col(c_vec).alias("vector")),
                                 n_lists, seed)
-    c_type = corpus.schema[c_id].dataType
-    q_type = questions.schema[q_id].dataType
-    schema = T.StructType([T.StructField("q_id", q_type), T.StructField("c_id", c_type),
-                           T.StructField("distance", T.DoubleType())])
-    src = assigned.select("c_id", "vector", F.col("list_id").cast("int"))
-    parts = []
-    for ids, mat in question_batches(questions, q_id, q_vec, max_broadcast_bytes):
-        d2c = ((mat[:, None, :] - cents[None, :, :]) ** 2).sum(axis=2)
-        probes = np.argsort(d2c, axis=1)[:, :n_probe]
-        bc = spark.sparkContext.broadcast((ids, mat, probes))
 
-        def fn(batches, bc=bc):
-            qi_ids, qm, pr = bc.value
-            for rb in batches:
-                lists = rb.column(rb.schema.get_field_index("list_id")).to_numpy(zero_copy_only=False)
-                for qi in range(len(qi_ids)):
-                    mask = np.isin(lists, pr[qi])
-                    if mask.any():
-                        yield from _topk_partition([qi_ids[qi]], qm[qi: qi + 1], k)([rb.filter(pa.array(mask))])
-        parts.append(src.mapInArrow(fn, schema))
-    cand = parts[0]
-    for p in parts[1:]:
-        cand = cand.unionByName(p)
-    w = Window.partitionBy("q_id").orderBy("distance", "c_id")
-    return (cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-            .select("q_id", "rank", "c_id", "distance"))
+    def payload(ids, mat):
+        step = max(1, MATRIX_BUDGET // len(cents))
+        near = [np.argsort((cents * cents).sum(axis=1) - 2.0 * (mat[i:i + step] @ cents.T), axis=1)[:, :n_probe]
+                for i in range(0, len(mat), step)]
+        return ids, mat, np.concatenate(near)
+
+    return _by_blocks(questions, assigned.select("c_id", "vector", "list_id"), k, q_id, q_vec,
+                      questions.schema[q_id].dataType, corpus.schema[c_id].dataType, max_broadcast_bytes,
+                      payload, lambda v: _topk_lists(*v, k))
 
 
 # ---- retrieval, citations, context ----------------------------------------------

@@ -27,10 +27,15 @@ def visited_urls(session: DataFrame) -> DataFrame:
 
 def stored_documents(session: DataFrame) -> DataFrame:
     """Store log in store order: ``(store_order, ordinal, title, url)``."""
-    s = running_count_before(session.withColumn("_stored", stored_flag(session)), "_stored",
-                             out="_before")
-    return (s.filter("_stored").select((F.col("_before") + 1).alias("store_order"), "ordinal",
-                                       "title", F.col("fetch_url").alias("url")))
+    stored = session.filter(stored_flag(session)).select("ordinal", "title", F.col("fetch_url").alias("url"),
+                                                         F.lit(True).alias("_stored"))
+    s = running_count_before(stored, "_stored", out="_before")
+    return s.select((F.col("_before") + 1).alias("store_order"), "ordinal", "title", "url")
+
+
+def outcome_urls(session: DataFrame) -> DataFrame:
+    """The URLs behind each outcome: ``(verdict, url)``, each pair once."""
+    return session.select("verdict", F.col("fetch_url").alias("url")).distinct()
 
 
 def crawl_status(session: DataFrame, policy: CrawlPolicy) -> DataFrame:
@@ -65,8 +70,9 @@ def request_schedule(session: DataFrame, policy: CrawlPolicy) -> DataFrame:
     """Planned request times: rows that reach the fetch step get consecutive
     slots in seed order, ``request_delay`` apart (a plan instead of sleep)."""
     reach = ~F.col("verdict").isin("budget", "visited", "excluded", "domain", "extension", "robots")
-    s = running_count_before(session.withColumn("_req", reach), "_req", out="slot")
-    return (s.filter("_req").select("ordinal", "fetch_url", "slot",
+    req = session.filter(reach).select("ordinal", "fetch_url", F.lit(True).alias("_req"))
+    s = running_count_before(req, "_req", out="slot")
+    return (s.select("ordinal", "fetch_url", "slot",
                                     (F.col("slot") * F.lit(int(policy.request_delay * 1_000_000)))
                                     .cast("long").alias("start_offset_us")))
 
@@ -96,10 +102,10 @@ def spacing_audit(events: DataFrame, delay_s: float, key: str | None = None,
     previous piece of the same key, found on the small per-(partition, key)
     table.
     """
-    from ..session import ensure_checkpoint_dir
+    from ..session import ensure_checkpoint_dir, shuffle_partitions
     spark = events.sparkSession
     ensure_checkpoint_dir(spark)
-    n = n_ranges or spark.sparkContext.defaultParallelism * 2
+    n = n_ranges or shuffle_partitions(spark)
     if key is None:   # one global order: every row in the same (hot) group
         events, key = events.withColumn("_all", F.lit(0)), "_all"
     e = events.select(key, tie, epoch_micros(F.col(ts)).alias("_us"))

@@ -9,8 +9,8 @@ global sort:
   ``first_ok`` is a partial-aggregated ``min`` per URL joined back, so a
   URL holding a third of all rows is never gathered into one task.
 * budget: the number of new successes before each row, from a two-level
-  prefix count (per-block counts, prefix over the small block table, then
-  a running count inside each bounded block).
+  prefix count (counts per even range of the order, a prefix over the ranges,
+  then a running count inside each range).
 """
 
 from __future__ import annotations
@@ -19,34 +19,47 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import CrawlPolicy
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, shuffle_partitions
 from .admission import robots_allowed, with_policy
 
-BLOCK_BITS = 16  # 65,536 ordinals per prefix block
+
+def in_pieces(df: DataFrame, order_col: str) -> DataFrame:
+    """``df`` dealt into ranges of ``order_col`` (Spark samples the bounds, so
+    the ranges are even whatever the values' spacing), each row tagged with its
+    range ``_piece``; checkpointed, so the tags are fixed."""
+    ensure_checkpoint_dir(df.sparkSession)
+    n = shuffle_partitions(df.sparkSession)
+    return df.repartitionByRange(n, order_col).withColumn("_piece", F.spark_partition_id()).checkpoint()
 
 
 def running_count_before(df: DataFrame, flag: str, order_col: str = "ordinal",
-                         out: str = "count_before", block_bits: int = BLOCK_BITS) -> DataFrame:
+                         out: str = "count_before") -> DataFrame:
     """Add ``out`` = number of rows with ``flag`` true and a smaller
-    ``order_col`` (a unique non-negative long).
+    ``order_col`` (a unique long, dense or not).
 
-    Pass 1 counts flagged rows per block of 2**block_bits ordinals (partial
-    aggregation, tiny result); pass 2 is a prefix sum over the block table;
-    pass 3 is a window over each block, which holds at most 2**block_bits
-    rows. No step sorts the whole table in one task.
+    Rows are dealt into even ranges of ``order_col``; counts per range, a
+    prefix over the ranges (as many as shuffle partitions) and a running count
+    inside each range. No step sorts the whole table in one task. Pass narrow
+    rows: every column travels through one shuffle and a checkpoint.
     """
-    blk = F.shiftright(F.col(order_col), block_bits)
-    keyed = df.withColumn("_blk", blk)
-    # every block that holds rows gets a prefix, also blocks without flags
-    counts = keyed.groupBy("_blk").agg(F.count_if(F.col(flag)).alias("_n"))
-    prefix = counts.select("_blk", F.coalesce(F.sum("_n").over(
-        Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_base"))
+    pieces = in_pieces(df, order_col)
+    counts = pieces.groupBy("_piece").agg(F.count_if(F.col(flag)).alias("_n"))
+    prefix = counts.select("_piece", F.coalesce(F.sum("_n").over(
+        Window.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_base"))
     within = F.coalesce(F.sum(F.col(flag).cast("long")).over(
-        Window.partitionBy("_blk").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)),
+        Window.partitionBy("_piece").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)),
         F.lit(0))
-    return (keyed.join(prefix, "_blk", "left")
-            .withColumn(out, F.coalesce(F.col("_base"), F.lit(0)) + within)
-            .drop("_blk", "_base"))
+    return (pieces.join(F.broadcast(prefix), "_piece")
+            .withColumn(out, F.col("_base") + within).drop("_piece", "_base"))
+
+
+def ordinals(df: DataFrame, *order: str, out: str = "ordinal") -> DataFrame:
+    """Add a unique long that follows the order of the given columns: the
+    position inside an even, sorted range after the range's number."""
+    ensure_checkpoint_dir(df.sparkSession)
+    n = shuffle_partitions(df.sparkSession)
+    return (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+            .withColumn(out, F.monotonically_increasing_id()).checkpoint())
 
 
 def fetch_outcome(status, content_type, error, captured):
@@ -70,25 +83,12 @@ def page_fetch(frontier: DataFrame, snapshot: DataFrame) -> DataFrame:
         F.coalesce(F.col("_captured"), F.lit(False)))).drop("_captured"))
 
 
-def kth_smallest(df: DataFrame, col: str, k: int, block_bits: int = BLOCK_BITS):
-    """The k-th smallest value of a unique non-negative long column, or None
-    when there are fewer than k rows.
-
-    Per-block counts (partial aggregation), a prefix over the small block
-    table to find the block holding the k-th value, then a bounded sort of
-    that one block (at most 2**block_bits rows). Only one scalar reaches
-    the driver.
-    """
-    blk = F.shiftright(F.col(col), block_bits)
-    counts = df.groupBy(blk.alias("_blk")).agg(F.count(F.lit(1)).alias("_n"))
-    incl = F.sum("_n").over(Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, 0))
-    hit = (counts.withColumn("_incl", incl).filter(F.col("_incl") >= k)
-           .orderBy("_blk").select("_blk", (F.col("_incl") - F.col("_n")).alias("_base")).first())
-    if hit is None:
-        return None
-    rank = k - int(hit["_base"])
-    return (df.filter(blk == F.lit(hit["_blk"])).select(col).orderBy(col).limit(rank)
-            .agg(F.max(col)).first()[0])
+def kth_smallest(df: DataFrame, col: str, k: int):
+    """The k-th smallest value of a unique long column, or None when there
+    are fewer than k rows. Only one scalar reaches the driver."""
+    counted = running_count_before(df.select(col, F.lit(True).alias("_one")), "_one", col, "_before")
+    hit = counted.filter(F.col("_before") == k - 1).select(col).first()
+    return None if hit is None else hit[0]
 
 
 def crawl_session(seeds: DataFrame, snapshot: DataFrame, policy: CrawlPolicy,
@@ -121,7 +121,7 @@ def crawl_session(seeds: DataFrame, snapshot: DataFrame, policy: CrawlPolicy,
          .withColumn("prev_ok", F.coalesce(F.col("ordinal") > F.col("_first_ok"), F.lit(False)))
          .withColumn("new_visit", F.coalesce(F.col("ordinal") == F.col("_first_ok"), F.lit(False)))
          .drop("_first_ok"))
-    cutoff = kth_smallest(first_ok, "_first_ok", policy.max_pages) if policy.max_pages < (1 << 62) else None
+    cutoff = kth_smallest(first_ok, "_first_ok", policy.max_pages) if policy.max_pages is not None else None
     over = F.lit(False) if cutoff is None else F.col("ordinal") > F.lit(cutoff)
     if running_counts:
         s = running_count_before(s, "new_visit", out="visits_before")

@@ -32,17 +32,34 @@ def snapshot(spark: SparkSession, sf: str, policy: CrawlPolicy = POLICY) -> Data
 
 def session(spark: SparkSession, sf: str, policy: CrawlPolicy | None = None,
             running_counts: bool = False) -> DataFrame:
-    """Crawl session over every seed row.
+    """Crawl session over every seed row: verdict columns only, no page text
+    (``with_pages`` joins the extracted pages of the rows that need them).
 
     Without a policy the deployed budget applies (three pages per seed
     row); since a seed row adds at most one visited page it never binds, so
-    it is written as an unbounded budget. Pass a policy to apply its
-    ``max_pages``.
+    there is no budget. Pass a policy to apply its ``max_pages``.
     """
-    policy = POLICY.with_(max_pages=1 << 62) if policy is None else policy
+    policy = POLICY.with_(max_pages=None) if policy is None else policy
     seeds = T.session_seeds(spark, sf, SESSION_PASSES)
     robots = T.robots_rules(spark, sf, policy.agent_token)
-    return crawl_session(seeds, snapshot(spark, sf, policy), policy, robots, running_counts)
+    return crawl_session(seeds, T.fetch_log(spark, sf).drop("html"), policy, robots, running_counts)
+
+
+def extracted(spark: SparkSession, sf: str, policy: CrawlPolicy = POLICY) -> DataFrame:
+    """Extracted text and links of every page, by ``page_id``."""
+    return extract_pages(pages_upgraded(spark, sf), policy, url_col="fetch_url").drop("url", "fetch_url")
+
+
+def with_pages(rows: DataFrame, spark: SparkSession, sf: str) -> DataFrame:
+    """Session rows (of fetched pages) with the extracted page."""
+    return rows.join(extracted(spark, sf), "page_id")
+
+
+def with_kind(rows: DataFrame, spark: SparkSession, sf: str) -> DataFrame:
+    """Session rows with the class of their page (null where none was
+    fetched); only the class travels through the join."""
+    kinds = page_kind(extracted(spark, sf), POLICY).select("page_id", "title", "kind")
+    return rows.join(kinds, "page_id", "left")
 
 
 def pages_upgraded(spark, sf):
@@ -114,12 +131,13 @@ def q_preflight_marker(spark, sf):
 
 
 def q_store_policy(spark, sf):
-    s = page_kind(session(spark, sf).filter("verdict = 'ok'"), POLICY)
+    s = page_kind(with_pages(session(spark, sf).filter("verdict = 'ok'"), spark, sf), POLICY)
     return s.filter("kind = 'ok'").select("ordinal", "fetch_url", "title", "content_length")
 
 
 def q_page_preview(spark, sf):
-    s = page_kind(session(spark, sf, running_counts=True).filter("verdict = 'ok'"), POLICY).filter("kind = 'ok'")
+    ok = session(spark, sf, running_counts=True).filter("verdict = 'ok'")
+    s = page_kind(with_pages(ok, spark, sf), POLICY).filter("kind = 'ok'")
     p = page_preview(s.withColumn("url", F.col("fetch_url")))
     return p.select("ordinal", "url", "title", "meta_description", "content", "full_content_length",
                     "links_found", F.to_json("sample_links").alias("sample_links"),
@@ -139,20 +157,41 @@ def q_page_budget(spark, sf):
 
 def q_crawl_status(spark, sf):
     from ..operators.reports import crawl_status
-    s = page_kind(session(spark, sf, POLICY), POLICY)
-    return crawl_status(s, POLICY)
+    return crawl_status(with_kind(session(spark, sf, POLICY), spark, sf), POLICY)
 
 
 def q_run_summary(spark, sf):
     from ..operators.reports import run_summary
-    s = page_kind(session(spark, sf, POLICY), POLICY)
-    return run_summary(s)
+    return run_summary(with_kind(session(spark, sf, POLICY), spark, sf))
 
 
 def q_outcome_counts(spark, sf):
     from ..operators.reports import outcome_counts
-    s = page_kind(session(spark, sf), POLICY)
-    return outcome_counts(s)
+    return outcome_counts(with_kind(session(spark, sf), spark, sf))
+
+
+def q_visited_urls(spark, sf):
+    """The visited set of the budgeted session."""
+    from ..operators.reports import visited_urls
+    return visited_urls(session(spark, sf, POLICY))
+
+
+def q_stored_documents(spark, sf):
+    """The store log of the session, in store order."""
+    from ..operators.reports import stored_documents
+    return stored_documents(with_kind(session(spark, sf), spark, sf))
+
+
+def q_outcome_urls(spark, sf):
+    """The URLs behind every outcome."""
+    from ..operators.reports import outcome_urls
+    return outcome_urls(session(spark, sf))
+
+
+def q_request_schedule(spark, sf):
+    """Start times of the rows that reach the fetch step."""
+    from ..operators.reports import request_schedule
+    return request_schedule(session(spark, sf), POLICY)
 
 
 # ---- 2.6 page extraction on the whole pages table -----------------------------

@@ -26,13 +26,10 @@ from ..operators import knowledge as K
 from ..operators.extract import page_kind
 from ..operators.reports import run_summary
 from ..operators.seeds import seed_urls
-from ..operators.session import crawl_session
+from ..operators.session import crawl_session, ordinals
 from ..session import ensure_checkpoint_dir, scratch_path
 from ..sources import corpus as C
 
-LINK_SLOTS = 32          # ordinal slots per parent row (>= 20 followed links)
-PAYLOAD_STRIDE = 1 << 20  # ordinal slots per payload
-
 
 @dataclass
 class CrawlResult:
@@ -76,8 +73,9 @@ def crawl_levels(seeds: DataFrame, snapshot: DataFrame, policy: CrawlPolicy,
         sess = crawl_session(rows, snapshot, policy, robots)
         nxt = follow_up(sess.filter(F.col("depth") == depth - 1), policy)
         base = rows.agg(F.max("ordinal")).first()[0] + 1
-        new_rows = nxt.select((F.lit(base) + F.col("parent_ordinal") * LINK_SLOTS + F.col("rank")).alias("ordinal"),
-                              "url", F.lit(depth).alias("depth")).checkpoint()
+        # numbered after all rows so far, in (parent, link) order
+        new_rows = ordinals(nxt, "parent_ordinal", "rank").select(
+            (F.lit(base) + F.col("ordinal")).alias("ordinal"), "url", F.lit(depth).alias("depth"))
         if new_rows.isEmpty():
             break
         rows = rows.unionByName(new_rows)
@@ -90,8 +88,7 @@ def crawl_job(spark: SparkSession, payloads: DataFrame, snapshot: DataFrame, pol
     """Crawl request -> knowledge base. ``payloads(payload_id, payload)``
     are request JSON texts; ``snapshot`` is the captured fetch log with the
     extracted page (see ``plans.crawl.snapshot``)."""
-    seeds = (seed_urls(payloads).filter(F.col("url").isNotNull())
-             .select((F.col("payload_id") * PAYLOAD_STRIDE + F.col("pos")).alias("ordinal"), "url"))
+    seeds = ordinals(seed_urls(payloads).filter(F.col("url").isNotNull()), "payload_id", "pos").select("ordinal", "url")
     session = crawl_levels(seeds, snapshot, policy, robots)
     stored = session.filter((F.col("verdict") == "ok") & (F.col("kind") == "ok"))
     requests = stored.select("ordinal", F.col("fetch_url").alias("url"), "title",

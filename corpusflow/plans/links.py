@@ -57,18 +57,17 @@ def q_request_spacing(spark, sf):
 
 
 def q_stream_ingest(spark, sf):
-    """``pages`` delivered as two files (hash split on page_id) plus a
-    second delivery of the first file; the stream result equals the batch
-    result on the distinct pages."""
+    """``pages`` in two deliveries that overlap (page ids with remainders 0-4
+    and 3-6 modulo 7), each written with the scan's own partitioning and taken
+    in by a run of the stream with the same checkpoint; the result equals the
+    batch result on the distinct pages."""
     root = scratch_path(spark, "stream-in")
     pages = T.read_table(spark, sf, "pages")
-    first = os.path.join(root, "d0")
-    pages.repartition(2, "page_id").write.parquet(first)
-    written = spark.read.parquet(first)
-    name = written.select(F.min("_metadata.file_name")).first()[0]
-    written.filter(F.col("_metadata.file_name") == name).write.parquet(os.path.join(root, "d1"))
-    # deployed budget (three pages per seed) never binds, as in crawl.session
-    out = run_ingest_batches(spark, os.path.join(root, "*", "*.parquet"), pages.schema,
-                             POLICY.with_(max_pages=1 << 62),
-                             scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt"))
+    sink, ckpt = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
+    part = F.pmod("page_id", F.lit(7))
+    for name, some in (("d0", part <= 4), ("d1", part >= 3)):
+        pages.filter(some).write.parquet(os.path.join(root, name))
+        # the deployed budget (three pages per seed) never binds, as in crawl.session
+        out = run_ingest_batches(spark, os.path.join(root, "*", "*.parquet"), pages.schema,
+                                 POLICY.with_(max_pages=None), sink, ckpt)
     return out.select("fetch_url", "title", F.length("content").alias("content_length"))

@@ -39,8 +39,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "corpusflow") -> SparkSession:
     b = (SparkSession.builder.master(f"local[{cores}]").appName(app)
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-         .config("spark.driver.memory", "16g")
+         .config("spark.driver.memory", "6g")
          .config("spark.ui.enabled", "false")
+         .config("spark.corpusflow.partitions", str(2 * shuffle_partitions))
          .config("spark.ui.showConsoleProgress", "false"))
     for k, v in SCALE_CONF.items():
         b = b.config(k, v)
@@ -76,18 +77,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def spread(df, per_core: int = 2):
-    """Give CPU-heavy row work at least ``per_core`` partitions per core.
+def spread(df, partitions: int | None = None):
+    """Deal CPU-heavy row work over ``partitions`` tasks: the argument, else
+    the setting ``spark.corpusflow.partitions``. Without either the scan's own
+    splits are kept, as on a cluster reading many files; the setting is for a
+    few coarse files on many cores (tests, bench)."""
+    n = partitions or df.sparkSession.conf.get("spark.corpusflow.partitions", None)
+    return df.repartition(int(n)) if n and not df.isStreaming else df
 
-    A coarse scan (e.g. one big row group) would run such work in a single
-    task; it is then repartitioned round-robin. On a cluster reading many
-    files the scan already has more partitions than cores and nothing
-    changes, so no shuffle is added at scale.
-    """
-    if df.isStreaming:
-        return df
-    target = df.sparkSession.sparkContext.defaultParallelism * per_core
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+def path_exists(spark: SparkSession, uri: str) -> bool:
+    """Whether a path exists in the file system its URI names."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(uri)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
+def shuffle_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def ship_package(spark: SparkSession) -> None:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..config import CrawlPolicy
 from ..operators.admission import with_policy
 from ..operators.extract import extract_pages
+from ..session import path_exists
 
 
 def ingest_stream(source: DataFrame, policy: CrawlPolicy, event_time: str | None = None,
@@ -45,11 +46,10 @@ def run_ingest(spark: SparkSession, source_glob: str, schema, policy: CrawlPolic
 
 
 def _sink_keys(spark: SparkSession, sink: str, batch_id: int):
-    try:
-        return (spark.read.parquet(sink).filter(F.col("batch_id") < batch_id)
-                .select("fetch_url"))
-    except Exception:  # noqa: BLE001 - no batch written yet
+    """URLs of earlier batches; None before the first one was written."""
+    if not path_exists(spark, sink):
         return None
+    return spark.read.parquet(sink).filter(F.col("batch_id") < batch_id).select("fetch_url")
 
 
 def ingest_batch(batch: DataFrame, batch_id: int, policy: CrawlPolicy, sink: str,
@@ -57,8 +57,8 @@ def ingest_batch(batch: DataFrame, batch_id: int, policy: CrawlPolicy, sink: str
     """One micro-batch of the sink-backed intake (``foreachBatch``).
 
     * admission rules, then the first row per upgraded URL inside the batch
-      (``min_by`` is partially aggregated, so a URL delivered a third of the
-      time costs one row per task before the shuffle);
+      (its least ``order_col``, unique, is aggregated alone and joined back, so
+      no HTML sits in an aggregation buffer);
     * URLs already in the sink (earlier batches) are dropped by an anti
       join: the visited set is the sink itself, not in-memory state;
     * the page budget: only ``max_pages`` minus the pages already stored
@@ -69,12 +69,11 @@ def ingest_batch(batch: DataFrame, batch_id: int, policy: CrawlPolicy, sink: str
     from ..operators.session import kth_smallest
     spark = batch.sparkSession
     admitted = with_policy(batch, policy).filter(F.col("rule").isNull()).drop("rule")
-    cols = [c for c in admitted.columns if c != "fetch_url"]
-    firsts = (admitted.groupBy("fetch_url").agg(F.min_by(F.struct(*cols), F.col(order_col)).alias("_r"))
-              .select("fetch_url", "_r.*"))
+    first = admitted.groupBy("fetch_url").agg(F.min(order_col).alias(order_col))
+    firsts = admitted.join(first, ["fetch_url", order_col], "left_semi")
     seen = _sink_keys(spark, sink, batch_id)
     fresh = firsts if seen is None else firsts.join(seen, "fetch_url", "left_anti")
-    if policy.max_pages < (1 << 62):
+    if policy.max_pages is not None:
         room = policy.max_pages - (0 if seen is None else seen.count())
         if room <= 0:
             fresh = fresh.limit(0)
@@ -82,16 +81,17 @@ def ingest_batch(batch: DataFrame, batch_id: int, policy: CrawlPolicy, sink: str
             cut = kth_smallest(fresh, order_col, room)
             if cut is not None:
                 fresh = fresh.filter(F.col(order_col) <= cut)
-    out = (extract_pages(fresh, policy, url_col="fetch_url")
+    # a page delivered twice in one batch is one document
+    out = (extract_pages(fresh, policy, url_col="fetch_url").dropDuplicates(["fetch_url"])
            .withColumn("links", F.to_json("links")).withColumn("batch_id", F.lit(batch_id)))
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("batch_id").parquet(sink))
 
 
 def run_ingest_batches(spark: SparkSession, source_glob: str, schema, policy: CrawlPolicy, sink: str,
-                       checkpoint: str, files_per_batch: int = 1, order_col: str = "page_id") -> DataFrame:
-    """Sink-backed incremental intake: every file available now, one file
-    per micro-batch by default, processed by ``ingest_batch``."""
+                       checkpoint: str, files_per_batch: int = 1000, order_col: str = "page_id") -> DataFrame:
+    """Sink-backed incremental intake: every file available now, at most
+    ``files_per_batch`` in a micro-batch, processed by ``ingest_batch``."""
     src = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
            .parquet(source_glob))
     q = (src.writeStream.foreachBatch(lambda df, bid: ingest_batch(df, bid, policy, sink, order_col))

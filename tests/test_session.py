@@ -50,7 +50,7 @@ def test_window_form_equals_sequential_model(spark):
 def test_running_count_crosses_blocks(spark):
     rows = [(i * 7919 % 100000, i % 3 == 0) for i in range(3000)]
     df = spark.createDataFrame(rows, "ordinal long, f boolean")
-    got = {r.ordinal: r.c for r in running_count_before(df, "f", out="c", block_bits=6).collect()}
+    got = {r.ordinal: r.c for r in running_count_before(df, "f", out="c").collect()}
     run, exp = 0, {}
     for o, f in sorted(rows):
         exp[o] = run

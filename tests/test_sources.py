@@ -54,5 +54,5 @@ def test_kth_smallest(spark):
     df = spark.createDataFrame([(v,) for v in vals], "v long")
     s = sorted(vals)
     for k in (1, 7, 1000, 2000):
-        assert kth_smallest(df, "v", k, block_bits=8) == s[k - 1]
+        assert kth_smallest(df, "v", k) == s[k - 1]
     assert kth_smallest(df, "v", 2001) is None
