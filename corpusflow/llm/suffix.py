@@ -22,9 +22,13 @@ from the 50-byte ones at offsets 0 and 50 (``refine``). Only equality at depth
    once. Members whose run equals an earlier member's are settled too: all
    their windows occurred earlier. Only first members of different runs in a
    shared bucket go on.
-3. Refinement. The windows of these runs get their 100-byte identifiers,
-   refined as above, and are sent to those buckets; all but the first of a
-   bucket are repeats.
+3. First refinement, by the identifiers at the offsets around the q-gram: the
+   windows of a run that reach far to the right of their anchor all hold the 62
+   bytes from the anchor on, the others the 62 bytes that end with it. Each
+   half of a run goes to the bucket of those 62 bytes and is settled as in 2.
+4. Second refinement. The windows of the halves that are left get their
+   100-byte identifiers, refined as above, and are sent to those buckets; all
+   but the first of a bucket are repeats.
 
 Equal runs and windows inside one chunk of a task are settled before anything
 is sent, so copies of one text do not pile up in a bucket. A q-gram that a
@@ -58,7 +62,10 @@ CHUNK = 1 << 21
 #: Sample that finds very common q-grams: documents, and the share of them
 #: that holds a common one.
 SAMPLE_DOCS, COMMON_SHARE = 2000, 0.01
-_INTERVAL = 255                # marks a row that is an interval, not an anchor
+HALF = (SPAN - 1) // 2         # windows up to here before the anchor are the right half
+#: A row's place is first window << 16 | anchor - first window << 8 | windows
+#: after the first; the last byte 255 marks an interval instead of a run.
+_INTERVAL = 255
 _K = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 ROWS = "g long, h long, doc long, tag long, at long"
 
@@ -217,8 +224,33 @@ def interval_rows(c: Chunk, lo: np.ndarray, hi: np.ndarray) -> pa.RecordBatch:
     lo, hi = merged(lo + s, hi + s)
     s = np.searchsorted(c.first + np.arange(len(c.first)), lo, side="right") - 1
     a, b = lo - s + c.shift[s], hi - s + c.shift[s]
-    spread = _mix((c.tag[s] * 31 + a).astype(np.uint64) + _K[0])
-    return _batch(spread, b, c.doc[s], c.tag[s], a * 256 + _INTERVAL)
+    own = _mix((c.tag[s] * 31 + a).astype(np.uint64) + _K[0])
+    return _batch(own, b, c.doc[s], c.tag[s], (a << 16) | _INTERVAL)
+
+
+def run_rows(c: Chunk, g: np.ndarray, anchor: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Runs in their buckets ``g``; equal runs inside the chunk are settled."""
+    if not len(lo):
+        return
+    h = c.run_ids(anchor, lo, hi)
+    first = first_places(g, h)
+    again = first != np.arange(len(g))
+    if again.any():
+        yield interval_rows(c, lo[again], hi[again] + LENGTH)
+    g, h, anchor, lo, hi = (x[~again] for x in (g, h, anchor, lo, hi))
+    s = c.slice_of(lo)
+    yield _batch(g, h, c.doc[s], c.tag[s], (lo + c.shift[s]) << 16 | (anchor - lo) << 8 | (hi - lo))
+
+
+def runs_of(c: Chunk, rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(anchor, first, last window)`` in the chunk of the runs of its slices.
+    Runs were made of the same slices, so each lies in one."""
+    out = []
+    for s, at in enumerate(rows):
+        lo = (at >> 16) - c.shift[s]
+        ok = (lo >= c.first[s]) & (lo + LENGTH <= c.first[s] + c.sizes[s])
+        out.append(np.stack([lo + (at >> 8 & 255), lo, lo + (at & 255)], 1)[ok])
+    return tuple(np.concatenate(out).T) if out else (np.empty(0, np.int64),) * 3
 
 
 def window_rows(c: Chunk, at: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -233,7 +265,7 @@ def window_rows(c: Chunk, at: np.ndarray) -> Iterator[pa.RecordBatch]:
         yield interval_rows(c, at[again], at[again] + LENGTH)
     at, g, h = at[~again], g[~again], h[~again]
     s = c.slice_of(at)
-    yield _batch(g, h, c.doc[s], c.tag[s], (at + c.shift[s]) * 256)
+    yield _batch(g, h, c.doc[s], c.tag[s], (at + c.shift[s]) << 16)
 
 
 def settle(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,7 +280,7 @@ def settle(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         g, h, tag, at = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1, 2, 3))
         gap = (at & 255) == _INTERVAL
-        out_tag, out_at, out_end = [tag[gap]], [at[gap] >> 8], [h[gap]]
+        out_tag, out_at, out_end = [tag[gap]], [at[gap] >> 16], [h[gap]]
         keep = ~gap
         g, h, tag, at = g[keep], h[keep], tag[keep], at[keep]
         if len(g):
@@ -259,7 +291,7 @@ def settle(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             new_h[1:] |= h[1:] != h[:-1]
             new_h[0] |= h[0] != last_h
             old = ~new_h
-            start = at[old] >> 8
+            start = at[old] >> 16
             out_tag.append(tag[old])
             out_at.append(start)
             out_end.append(start + (at[old] & 255) + LENGTH)
@@ -286,6 +318,13 @@ def settle(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [pa.array(np.concatenate(x).astype(np.int64)) for x in (out_tag, out_at, out_end)], ["tag", "at", "end"])
 
 
+def spread(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """All places of the ranges lo..hi."""
+    size = hi - lo + 1
+    begin = np.cumsum(size) - size
+    return np.repeat(lo - begin, size) + np.arange(int(size.sum()))
+
+
 def common_grams(docs: DataFrame, tag: str, text: str) -> np.ndarray:
     """Anchor q-grams that at least COMMON_SHARE of a sample of documents hold.
     The sample is bounded by SAMPLE_DOCS; it decides only which way a q-gram's
@@ -321,41 +360,45 @@ def repeats(docs: DataFrame, tag: str, doc: str, text: str) -> DataFrame:
             anchor, lo, hi = c.anchors()
             if not len(anchor):
                 continue
-            g, h = c.ids[anchor], c.run_ids(anchor, lo, hi)
-            first = first_places(g, h)
-            again = first != np.arange(len(g))
-            if again.any():
-                yield interval_rows(c, lo[again], hi[again] + LENGTH)
-            often = ~again & np.isin(g, common.value)
+            often = np.isin(c.ids[anchor], common.value)
             if often.any():
-                width = (hi - lo)[often] + 1
-                begin = np.cumsum(width) - width
-                yield from window_rows(c, np.repeat(lo[often] - begin, width) + np.arange(int(width.sum())))
-            rest = ~again & ~often
-            s = c.slice_of(lo[rest])
-            yield _batch(g[rest], h[rest], c.doc[s], c.tag[s], (lo[rest] + c.shift[s]) * 256 + (hi - lo)[rest])
+                yield from window_rows(c, spread(lo[often], hi[often]))
+            yield from run_rows(c, c.ids[anchor[~often]], anchor[~often], lo[~often], hi[~often])
+
+    def halves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for c, rows in chunks(batches, CHUNK):
+            anchor, lo, hi = runs_of(c, rows)
+            cut = anchor - HALF                       # first window of the right half
+            for side, lo_, hi_ in ((0, np.maximum(lo, cut), hi), (1, lo, np.minimum(hi, cut - 1))):
+                ok = lo_ <= hi_
+                p = anchor[ok]
+                at = p if side == 0 else p - HALF
+                # the q-grams at 0, 19 and 37 cover the 62 bytes
+                g = _mix(_mix(c.ids[at] * _K[side] + c.ids[at + HALF // 2 + 1]) * _K[2] + c.ids[at + HALF])
+                yield from run_rows(c, g, p, lo_[ok], hi_[ok])
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for c, runs in chunks(batches, CHUNK):
-            at = []
-            for s, r in enumerate(runs):
-                start, more = r >> 8, r & 255
-                begin = np.cumsum(more + 1) - (more + 1)
-                w = np.repeat(start - begin, more + 1) + np.arange(int((more + 1).sum())) - c.shift[s]
-                at.append(w[(w >= c.first[s]) & (w + LENGTH <= c.first[s] + c.sizes[s])])
-            yield from window_rows(c, np.concatenate(at))
+            _, lo, hi = runs_of(c, runs)
+            yield from window_rows(c, spread(lo, hi))
 
     def settled(sent: DataFrame) -> DataFrame:
         return (sent.repartition(n, "g").sortWithinPartitions("g", "h", "doc", "tag", "at")
                 .select("g", "h", "tag", "at").mapInArrow(settle, "tag long, at long, end long"))
 
-    folder = scratch_path(spark, "suffix-buckets")
-    settled(rows.mapInArrow(sample, ROWS)).write.option("compression", "zstd").parquet(folder)
-    first = spark.read.schema("tag long, at long, end long").parquet(folder)
-    runs = first.filter("end = 0").groupBy("tag").agg(F.collect_list("at").alias("runs"))
-    again = rows.join(runs, "tag").select("doc", "tag", "text", "runs")
-    second = settled(again.mapInArrow(windows, ROWS)).filter("end > 0")
-    return (first.filter("end > 0").unionByName(second).groupBy("tag")
+    def stored(df: DataFrame) -> DataFrame:
+        folder = scratch_path(spark, "suffix-buckets")
+        df.write.option("compression", "zstd").parquet(folder)
+        return spark.read.schema("tag long, at long, end long").parquet(folder)
+
+    def again(left: DataFrame, step) -> DataFrame:
+        runs = left.filter("end = 0").groupBy("tag").agg(F.collect_list("at").alias("runs"))
+        return settled(rows.join(runs, "tag").select("doc", "tag", "text", "runs").mapInArrow(step, ROWS))
+
+    first = stored(settled(rows.mapInArrow(sample, ROWS)))
+    second = stored(again(first, halves))
+    third = again(second, windows)
+    return (first.unionByName(second).unionByName(third).filter("end > 0").groupBy("tag")
             .agg(F.collect_list(F.struct("at", "end")).alias("spans")))
 
 
@@ -376,7 +419,8 @@ def drop_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sp
      .write.bucketBy(n, tag).option("path", scratch_path(spark, name)).option("compression", "zstd")
      .saveAsTable(name))
     stored = spark.table(name)
-    found = repeats(stored, tag, doc_id, text).withColumnRenamed("tag", tag)
+    hits = tmp("hits")
+    found = repeats(stored, tag, doc_id, text).select(F.col("tag").alias(tag), F.col("spans").alias(hits))
 
     @F.arrow_udf("struct<spans: array<struct<at: long, end: long>>, kept: binary, text: string>")
     def cut(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
@@ -398,6 +442,6 @@ def drop_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sp
             yield pa.array(out, kind)
 
     made = tmp("made")
-    joined = stored.join(found, tag, "left").withColumn(made, cut(F.col(text), F.col("spans")))
+    joined = stored.join(found, tag, "left").withColumn(made, cut(F.col(text), F.col(hits)))
     return joined.select(*docs.columns, F.col(made)["spans"].alias(spans), F.col(made)["kept"].alias(kept),
                          F.col(made)["text"].alias(kept_text))
