@@ -49,7 +49,7 @@ SELECT url, CAST(min(depth) AS INTEGER) AS depth FROM walk GROUP BY url"""
   coalesce(epoch_us(ts) - lag(epoch_us(ts)) OVER w, -1) AS gap_us,
   coalesce(epoch_us(ts) - lag(epoch_us(ts)) OVER w < {int(P.request_delay * 1_000_000)}, false) AS too_close
 FROM events WINDOW w AS (ORDER BY ts, event_id)"""
-    q["stream_ingest"] = (f"WITH {X.extraction(P)} SELECT fetch_url, title, CAST(length(content) AS INTEGER) AS content_length "
+    q["stream_ingest"] = (f"WITH {X.extraction(P, html='html')} SELECT fetch_url, title, CAST(length(content) AS INTEGER) AS content_length "
                           f"FROM (SELECT * FROM px QUALIFY row_number() OVER (PARTITION BY fetch_url ORDER BY page_id) = 1) "
                           f"WHERE NOT ({X.is_excluded_domain('url', P)} OR NOT {X.is_allowed_domain('url', P)} "
                           f"OR {X.has_excluded_extension('url', P)})")

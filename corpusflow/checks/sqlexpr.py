@@ -145,7 +145,16 @@ def _walk(segs: str) -> str:
     return f"regexp_replace({joined}, '^/?', '/')"
 
 
-def extraction(policy, tags=None, cap: int = MAX_LINKS_PER_PAGE) -> str:
+VARIED = """CASE page_id % 5
+  WHEN 1 THEN replace(html, '<head>', '<head><meta content=" Notes &amp; pages &#233; ' || page_id || ' " name="description">')
+  WHEN 2 THEN replace(replace(html, '<article>', '<main><article>'), '</article>', '</article></main>')
+  WHEN 3 THEN replace(replace(html, '<article>', '<div>'), '</article>', '</div>')
+  WHEN 4 THEN replace(html, '</article>', array_to_string(list_transform(range(1, 61), lambda k: '<a href="../x' || k
+              || '/./y?q=' || page_id || '&amp;r#"><b>Link</b> ' || k || '</a>'), '') || '</article>')
+  ELSE html END"""
+
+
+def extraction(policy, tags=None, cap: int = MAX_LINKS_PER_PAGE, html: str = VARIED) -> str:
     """CTEs ending in ``px(page_id, url, fetch_url, doc, region, text, title,
     meta_description, content, links)``, one row per page."""
     tags = policy.boilerplate_tags if tags is None else tags
@@ -158,7 +167,7 @@ def extraction(policy, tags=None, cap: int = MAX_LINKS_PER_PAGE) -> str:
         return " || ".join(f"regexp_extract({tag_col}, {lit(pat)}, {first + i})" for i in range(3))
 
     return f"""{references()},
-x_doc AS (SELECT page_id, url, {https_upgrade('url')} AS fetch_url, {strip_boilerplate('html', tags)} AS doc FROM pages),
+x_doc AS (SELECT page_id, url, {https_upgrade('url')} AS fetch_url, {strip_boilerplate(html, tags)} AS doc FROM pages),
 x_reg AS (SELECT *, CASE WHEN regexp_matches(doc, {lit('(?i)' + element('main'))}) THEN {_region('main')}
                          WHEN regexp_matches(doc, {lit('(?i)' + element('article'))}) THEN {_region('article')}
                          WHEN regexp_matches(doc, {lit('(?i)' + element('body'))}) THEN {_region('body')}

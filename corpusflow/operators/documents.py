@@ -44,7 +44,7 @@ def document_metadata(meta: Column) -> Column:
     otherwise ``{"raw_metadata": text}``."""
     m = F.coalesce(meta, F.lit(""))
     # keys and numbers stay as written; only white space between tokens goes
-    compact = F.regexp_replace(m, r'("(?:[^"\\\\]|\\\\.)*")|[ \t\r\n]+', "$1")
+    compact = F.regexp_replace(m, r'("(?:[^"\\]|\\.)*")|[ \t\r\n]+', "$1")
     return (F.when(m == "", F.lit("{}"))
             .when(F.try_parse_json(m).isNotNull(), compact)
             .otherwise(F.to_json(F.struct(m.alias("raw_metadata")))))

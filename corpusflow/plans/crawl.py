@@ -63,7 +63,8 @@ def with_kind(rows: DataFrame, spark: SparkSession, sf: str) -> DataFrame:
 
 
 def pages_upgraded(spark, sf):
-    return T.read_table(spark, sf, "pages").withColumn("fetch_url", https_upgrade(F.col("url")))
+    return (T.read_table(spark, sf, "pages").withColumn("fetch_url", https_upgrade(F.col("url")))
+            .withColumn("html", T.varied_html()))
 
 
 # ---- 2.1 scans, sources ------------------------------------------------------

@@ -24,6 +24,27 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def varied_html(html: str = "html", page_id: str = "page_id"):
+    """Page markup with every case of extraction among the rows, by
+    ``page_id`` modulo 5: 1 gets a description with character references, 2 a
+    ``main`` around the article, 3 loses its article element, 4 gets 60 relative
+    links (more than any cap keeps); 0 stays as it is."""
+    h, i = F.col(html), F.col(page_id)
+
+    def put(x, old, new):
+        return F.replace(x, F.lit(old), new if not isinstance(new, str) else F.lit(new))
+    meta = F.concat(F.lit('<head><meta content=" Notes &amp; pages &#233; '), i.cast("string"),
+                    F.lit(' " name="description">'))
+    links = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(60)), lambda k: F.concat(
+        F.lit('<a href="../x'), k.cast("string"), F.lit("/./y?q="), i.cast("string"), F.lit('&amp;r#"><b>Link</b> '),
+        k.cast("string"), F.lit("</a>"))), "")
+    r = F.pmod(i, F.lit(5))
+    return (F.when(r == 1, put(h, "<head>", meta))
+            .when(r == 2, put(put(h, "<article>", "<main><article>"), "</article>", "</article></main>"))
+            .when(r == 3, put(put(h, "<article>", "<div>"), "</article>", "</div>"))
+            .when(r == 4, put(h, "</article>", F.concat(links, F.lit("</article>")))).otherwise(h))
+
+
 def fetch_log(spark: SparkSession, sf_dir: str, transform=None) -> DataFrame:
     """Captured fetch snapshot ``(url, page_id, status, content_type, error,
     html)`` keyed by the upgraded URL, one row per URL (lowest page_id).
@@ -47,7 +68,7 @@ def fetch_log(spark: SparkSession, sf_dir: str, transform=None) -> DataFrame:
         F.when(F.col("page_id") % 7 == 5, F.lit("application/pdf"))
         .otherwise(F.lit("text/html; charset=utf-8")).alias("content_type"),
         F.when(d10 == 4, F.lit("timeout")).alias("error"),
-        "html")
+        varied_html().alias("html"))
     if transform is not None:
         p = transform(p)
     first = (pages.select(https_upgrade(F.col("url")).alias("url"), "page_id")

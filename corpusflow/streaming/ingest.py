@@ -69,18 +69,19 @@ def ingest_batch(batch: DataFrame, batch_id: int, policy: CrawlPolicy, sink: str
     from ..operators.session import kth_smallest
     spark = batch.sparkSession
     admitted = with_policy(batch, policy).filter(F.col("rule").isNull()).drop("rule")
-    first = admitted.groupBy("fetch_url").agg(F.min(order_col).alias(order_col))
-    firsts = admitted.join(first, ["fetch_url", order_col], "left_semi")
+    keys = admitted.groupBy("fetch_url").agg(F.min(order_col).alias(order_col))
     seen = _sink_keys(spark, sink, batch_id)
-    fresh = firsts if seen is None else firsts.join(seen, "fetch_url", "left_anti")
+    if seen is not None:
+        keys = keys.join(seen, "fetch_url", "left_anti")
     if policy.max_pages is not None:
         room = policy.max_pages - (0 if seen is None else seen.count())
         if room <= 0:
-            fresh = fresh.limit(0)
+            keys = keys.limit(0)
         else:
-            cut = kth_smallest(fresh, order_col, room)
+            cut = kth_smallest(keys, order_col, room)
             if cut is not None:
-                fresh = fresh.filter(F.col(order_col) <= cut)
+                keys = keys.filter(F.col(order_col) <= cut)
+    fresh = admitted.join(keys, ["fetch_url", order_col], "left_semi")
     # a page delivered twice in one batch is one document
     out = (extract_pages(fresh, policy, url_col="fetch_url").dropDuplicates(["fetch_url"])
            .withColumn("links", F.to_json("links")).withColumn("batch_id", F.lit(batch_id)))

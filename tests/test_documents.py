@@ -21,7 +21,7 @@ def test_content_resolution(spark):
 
 def test_metadata_and_keys(spark):
     rows = [("", "{}"), ('{"a": 1}', '{"a":1}'), ("[1, 2]", "[1,2]"), ("not json", '{"raw_metadata":"not json"}'),
-            ('"s"', '"s"')]
+            ('"s"', '"s"'), ('{"b": 1.50, "a" : " x  \\" , y "}', '{"b":1.50,"a":" x  \\" , y "}')]
     df = spark.createDataFrame([(m,) for m, _ in rows], "m string")
     got = [r[0] for r in df.select(D.document_metadata(F.col("m"))).collect()]
     assert got == [e for _, e in rows]

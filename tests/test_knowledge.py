@@ -100,3 +100,19 @@ def test_title_flag_changes_embedded_text(spark):
               kb_chunks(spark, SF_SMALL, CC(size=50, overlap=10, dim=16, include_title=True)).collect()}
     assert plain.keys() == titled.keys()
     assert sum(plain[k] != titled[k] for k in plain) > 0   # attributes flagged for embedding enter the text
+
+
+def test_embedder_argument_and_blocks(spark):
+    """An embedder of the caller's, and question blocks of a few rows."""
+    def lengths(texts, dim):
+        return [[float(len(t))] + [1.0] * (dim - 1) for t in texts]
+    df = spark.createDataFrame([(i, "x" * i) for i in range(40)] + [(99, None)], "id long, text string")
+    v = K.embed(df, "text", 3, embedder=lengths)
+    assert {r.id: list(r.vector) for r in v.collect()}[7] == [7.0, 1.0, 1.0]
+    q = v.select(F.col("id").alias("q_id"), "vector")
+    c = v.select(F.col("id").alias("c_id"), "vector")
+    whole = K.vector_topk(q, c, 3).orderBy("q_id", "rank").collect()
+    assert K.vector_topk(q, c, 3, max_broadcast_bytes=200).orderBy("q_id", "rank").collect() == whole
+    assert K.vector_topk(q.limit(0), c, 3).count() == K.vector_topk_ann(q.limit(0), c, 3, n_lists=2).count() == 0
+    near = K.vector_topk_ann(q, c, 3, n_lists=4, n_probe=4, max_broadcast_bytes=200)
+    assert near.orderBy("q_id", "rank").collect() == whole

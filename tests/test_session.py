@@ -145,3 +145,44 @@ def test_session_relations_and_counters(spark):
     assert (rs.urls_requested, rs.documents_stored, rs.distinct_documents, rs.ingestion_triggered) == (6, 3, 2, True)
     oc = {r.verdict: (r.n, r.n_stored) for r in outcome_counts(s).collect()}
     assert oc == {"ok": (3, 3), "visited": (1, 0), "domain": (1, 0), "http_error": (1, 0)}
+
+
+def test_running_count_does_not_need_dense_ordinals(spark):
+    """Ordinals far apart and negative ones count like dense ones."""
+    from corpusflow.operators.session import kth_smallest
+    rows = [((-1) ** i * i ** 3 * (1 << 33) + i, i % 2 == 0) for i in range(400)]
+    df = spark.createDataFrame(rows, "ordinal long, f boolean")
+    got = {r.ordinal: r.c for r in running_count_before(df, "f", out="c").collect()}
+    order = sorted(rows)
+    assert [got[o] for o, _ in order] == [sum(f for _, f in order[:i]) for i in range(len(order))]
+    assert kth_smallest(df, "ordinal", 123) == order[122][0]
+
+
+def test_ordinals_follow_the_order_of_any_payload(spark):
+    """One payload of more rows than any fixed stride would hold apart."""
+    from corpusflow.operators.session import ordinals
+    df = spark.range(1_200_000).select(F.lit(0).cast("long").alias("payload_id"), F.col("id").alias("pos"))
+    df = df.unionByName(spark.range(50).select(F.lit(1).cast("long").alias("payload_id"), F.col("id").alias("pos")))
+    out = ordinals(df, "payload_id", "pos")
+    assert out.select("ordinal").distinct().count() == 1_200_050
+    last = out.filter("payload_id = 0").agg(F.max("ordinal")).first()[0]
+    assert out.filter("payload_id = 1").agg(F.min("ordinal")).first()[0] > last
+    from pyspark.sql import Window
+    w = Window.partitionBy(F.spark_partition_id()).orderBy("ordinal")
+    assert out.withColumn("d", F.struct("payload_id", "pos") > F.lag(F.struct("payload_id", "pos")).over(w)).filter(~F.col("d")).count() == 0
+
+
+def test_robots_paths_are_compared_like_the_standard_library(spark):
+    from urllib.robotparser import RobotFileParser
+    rules = [(True, "/a~b/c"), (False, "/a~b"), (False, "/caf%C3%A9"), (False, "/x y"), (False, "/q?id=1"),
+             (False, "/*"), (False, "/100%25"), (True, "/")]
+    paths = ["/a%7Eb", "/a~b/c", "/caf%c3%a9/1", "/café", "/cafe", "/x%20y", "/x+y", "/q?id=1&b=2", "/q", "/star",
+             "/*star", "/%2Astar", "/100%25", "/100%", "", "?", "/a%2Fb", "/q?id%3D1", "/a%7eb#f"]
+    parser = RobotFileParser()
+    parser.parse(["User-agent: *"] + [f"{'Allow' if a else 'Disallow'}: {p}" for a, p in rules])
+    table = spark.createDataFrame([("h.example.com", 200, 0, "*", i, a, p) for i, (a, p) in enumerate(rules)],
+                                  "host string, status int, entry_no int, agent string, rule_no int, allow boolean, path_prefix string")
+    urls = [f"https://h.example.com{p}" for p in paths]
+    df = with_policy(spark.createDataFrame([(u,) for u in urls], "url string"), CrawlPolicy(allowed_domains=()))
+    got = {r.url: r.robots_ok for r in robots_allowed(df, table, CrawlPolicy()).collect()}
+    assert got == {u: parser.can_fetch("corpusflowcrawler", u) for u in urls}

@@ -25,7 +25,7 @@ def test_store_scan_roundtrip_with_missing_sidecar(spark):
 
 
 def test_read_text_corpus(spark):
-    folder = scratch_path(spark, "t-files")
+    folder = scratch_path(spark, "t-files").removeprefix("file:")
     os.makedirs(folder)
     with open(os.path.join(folder, "x.md"), "w", encoding="utf-8") as f:
         f.write("# X\n\nbody line\n")
