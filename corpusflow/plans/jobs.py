@@ -82,14 +82,23 @@ def crawl_levels(seeds: DataFrame, snapshot: DataFrame, policy: CrawlPolicy,
     return page_kind(crawl_session(rows, snapshot, policy, robots), policy)
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def crawl_job(spark: SparkSession, payloads: DataFrame, snapshot: DataFrame, policy: CrawlPolicy,
               crawled_at: str, robots: DataFrame | None = None, chunk_cfg: ChunkConfig = ChunkConfig(),
               store_root: str | None = None) -> CrawlResult:
     """Crawl request -> knowledge base. ``payloads(payload_id, payload)``
     are request JSON texts; ``snapshot`` is the captured fetch log with the
     extracted page (see ``plans.crawl.snapshot``)."""
+    # pages are extracted once, the session is worked out once; both are read
+    # again with column pruning by what follows
+    snapshot = _stored(snapshot, "kb-snapshot")
     seeds = ordinals(seed_urls(payloads).filter(F.col("url").isNotNull()), "payload_id", "pos").select("ordinal", "url")
-    session = crawl_levels(seeds, snapshot, policy, robots)
+    session = _stored(crawl_levels(seeds, snapshot, policy, robots), "kb-session")
     stored = session.filter((F.col("verdict") == "ok") & (F.col("kind") == "ok"))
     requests = stored.select("ordinal", F.col("fetch_url").alias("url"), "title",
                              F.lit("").alias("content"), F.lit("").alias("metadata"))
