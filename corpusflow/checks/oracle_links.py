@@ -26,7 +26,10 @@ def queries() -> dict[str, str]:
     q["unvisited_links"] = (f"{sess}, {LINKS} SELECT page_url, pos, link_url FROM links "
                             f"WHERE link_url NOT IN (SELECT fetch_url FROM sess WHERE new_visit)")
     q["link_limits"] = f"""{sess}, {LINKS},
-kept AS (SELECT * FROM links WHERE pos < 50),
+dense AS (SELECT * FROM links UNION ALL
+          SELECT s.url, CAST(t.page_id - s.page_id + 2 AS INTEGER), t.url FROM pages s
+          JOIN pages t ON t.page_id BETWEEN s.page_id + 1 AND s.page_id + 60 WHERE s.page_id % 11 = 0),
+kept AS (SELECT * FROM dense WHERE pos < 50),
 cand AS (SELECT *, row_number() OVER (PARTITION BY page_url ORDER BY pos) AS r FROM kept
          WHERE link_url NOT IN (SELECT fetch_url FROM sess WHERE new_visit) AND {follow}),
 k AS (SELECT page_url, count(*) AS links_found, count(*) FILTER (WHERE pos < 5) AS n_sample FROM kept GROUP BY page_url),

@@ -27,7 +27,7 @@ def q_unvisited_links(spark, sf):
 
 
 def q_link_limits(spark, sf):
-    return link_limits(T.toc_links(spark, sf), _visited(spark, sf), POLICY)
+    return link_limits(T.dense_links(spark, sf), _visited(spark, sf), POLICY)
 
 
 def toc_pages(spark, sf):

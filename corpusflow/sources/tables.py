@@ -165,6 +165,19 @@ def toc_links(spark: SparkSession, sf_dir: str) -> DataFrame:
             .join(tgt, "dst_id").select("page_url", "pos", "link_url"))
 
 
+def dense_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``toc_links`` and, for every eleventh page, links to the 60 pages after
+    it (positions 3 to 62), more than any cap per page keeps."""
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    src = pages.filter(F.pmod("page_id", F.lit(11)) == 0).select(
+        F.col("url").alias("page_url"), F.explode(F.transform(
+            F.sequence(F.lit(1), F.lit(60)), lambda k: F.struct(
+                (F.col("page_id") + k).alias("dst_id"), (k + 2).alias("pos")))).alias("e"))
+    more = src.select("page_url", "e.pos", F.col("e.dst_id").alias("page_id")).join(
+        pages.withColumnRenamed("url", "link_url"), "page_id").select("page_url", "pos", "link_url")
+    return toc_links(spark, sf_dir).unionByName(more)
+
+
 def doc_url(source: str = "source", doc_id: str = "doc_id"):
     return F.concat(F.lit("https://"), F.col(source), F.lit(".example.org/doc/"), F.col(doc_id).cast("string"))
 
