@@ -38,6 +38,18 @@ def tmp(name: str) -> str:
     return f"__{name}_{uuid.uuid4().hex[:8]}"
 
 
+def release() -> None:
+    """Give memory that is free inside this Python worker back to the system;
+    workers live on between stages and share their executor's memory."""
+    import ctypes
+
+    import pyarrow
+    pyarrow.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def lower_ascii(col):
     """Lower-case A-Z only."""
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

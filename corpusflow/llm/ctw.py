@@ -38,14 +38,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, partitions, ship_package
+from .common import materialise, partitions, release, ship_package
 
 DEPTH = 5
 #: Rows of the frequent grams and of the frequent words that are broadcast.
-FREQUENT = 1 << 21
-FREQUENT_WORDS = 1 << 19
-#: Bytes of text a task works on at once.
-CHUNK = 1 << 21
+FREQUENT = 1 << 20
+FREQUENT_WORDS = 1 << 18
+#: Bytes of text a task counts, and scores, at once.
+CHUNK, SCORE_CHUNK = 1 << 21, 1 << 19
 END = 10                    # byte that ends a document and pads its start
 WORD, GRAM = 0, 1
 
@@ -205,6 +205,7 @@ def text_chunks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[
             if n > size:
                 yield ids, held, docs
                 ids, held, docs, n = [], [], [], 0
+        release()
     if docs:
         yield ids, held, docs
 
@@ -323,7 +324,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     whole = train_tokens + (known + (1 if ends else 0) + 1)      # N + 1 * (V + 1)
     grams = materialise(model(counts), "ctw-model")
     words = counts.filter(F.col("kind") == WORD).select("key", F.col("n").alias("value"), "n")
-    tables = spark.sparkContext.broadcast((*frequent(words, FREQUENT_WORDS), *frequent(grams, FREQUENT)))
+    tables = spark.sparkContext.broadcast((Lookup(*frequent(words, FREQUENT_WORDS)), Lookup(*frequent(grams, FREQUENT))))
 
     def base(c):
         return np.log10((c + 1) / whole)
@@ -331,9 +332,8 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         tag = TaskContext.get().partitionId() << 33
-        wk, wv, gk, gv = tables.value
-        word_table, gram_table = Lookup(wk, wv), Lookup(gk, gv)
-        for ids, held_out, chunk in text_chunks(batches, CHUNK):
+        word_table, gram_table = tables.value
+        for ids, held_out, chunk in text_chunks(batches, SCORE_CHUNK):
             n = len(chunk)
             tags = tag + np.arange(n)
             tag += n
@@ -384,6 +384,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     names = [c.split()[0] for c in schema.split(", ")]
     # one written result: a document's row and its tail rows share a tag
     out = materialise(rows.mapInArrow(scan, schema), "ctw-scan")
+    tables.destroy()
     tail = out.filter("kind is not null").select("tag", "kind", "key", "times")
     values = words.select(F.lit(WORD).alias("kind"), "key", F.col("n").cast("double").alias("value")).unionByName(
         grams.select(F.lit(GRAM).alias("kind"), "key", "value"))

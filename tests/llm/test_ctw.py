@@ -68,6 +68,7 @@ def test_scores_equal_brute_force(spark, monkeypatch, frequent):
     monkeypatch.setattr(ctw, "FREQUENT", frequent[0])
     monkeypatch.setattr(ctw, "FREQUENT_WORDS", frequent[1])
     monkeypatch.setattr(ctw, "CHUNK", 200)
+    monkeypatch.setattr(ctw, "SCORE_CHUNK", 150)
     got = ctw.score(documents(spark, ROWS, ("key", "n", "held", "tag"))).collect()
     have = sorted(((r["doc_id"], r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"],
                     round(r["base_score"], 6), round(r["score"], 6)) for r in got), key=repr)
