@@ -35,12 +35,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship_package
+from .common import release, ship_package
 
 #: A worker's cache keeps two generations of units of this many characters.
-CACHE_CHARS = 7 << 19
+CACHE_CHARS = 1 << 21
 #: Bytes of text whose units are looked up together.
-CHUNK_BYTES = 1 << 22
+CHUNK_BYTES = 1 << 21
 #: White space that is not the first of two or more characters of a unit, in
 #: units joined by U+0000.
 _INNER = re.compile(r"[^\x00]\s|\s(?=\x00|\Z)")
@@ -48,9 +48,13 @@ _INNER = re.compile(r"[^\x00]\s|\s(?=\x00|\Z)")
 #: byte-level alphabet: U+0100 upwards in byte order (rule of the format).
 BYTE_CHARS = {b: 256 + i for i, b in enumerate(
     b for b in range(256) if not (0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or 0xAE <= b))}
-#: Lower-case Latin-1 letters, which normalisation leaves as they are: one
-#: piece for a tokenizer of the rule ``space``.
-_LETTERS = re.compile(r"[a-z\u00df-\u00f6\u00f8-\u00ff]+")
+#: Units that are one piece: Latin-1 letters, after a space with the rule
+#: ``gpt2``, and with ``space`` only those that normalisation leaves as they are.
+_WORD = {"gpt2": re.compile(r" [A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+"),
+         "space": re.compile(r"[a-z\u00df-\u00f6\u00f8-\u00ff]+")}
+#: A Latin-1 letter, a single full stop or comma, then a space or line feed: both
+#: rules part the mark from the letters, so it becomes a unit of its own.
+_STOP = "([A-Za-z\u00df-\u00f6\u00f8-\u00ff])([.,])([ \n])"
 _RUNS = re.compile(r"\s*\S+|\s+\Z")
 _ODD = r"[\x00\x1c-\x1f]"
 _ODD_CHARS = re.compile(_ODD)
@@ -89,7 +93,6 @@ class UnitEncoder:
         for token, i in vocab.items():
             self.width[i] = len(token.removesuffix("</w>"))
         self.model = self.tok.model
-        self.marks = {c: self.whole([c])[0] for c in ".,"}
         self.rule = rule
         self.units: dict[str, bytes] = {"": b""}   # current generation
         self.older: dict[str, bytes] = {}      # the one before; units in use move up
@@ -122,19 +125,18 @@ class UnitEncoder:
         return [raw[i:j] for i, j in zip([0, *cuts], cuts)]
 
     def words(self, units: set[str]) -> set[str]:
-        """With the rule ``space``: put units of letters, and perhaps one full
-        stop or comma, straight through the tokenizer's model, and return the
-        rest."""
-        rest, letters, tokenize = set(), _LETTERS.fullmatch, self.model.tokenize
+        """Put units that are one piece straight through the tokenizer's model,
+        in the byte-level alphabet, and return the rest."""
+        rest, word, tokenize = set(), _WORD[self.rule].fullmatch, self.model.tokenize
+        lead = "\u0120" if self.rule == "gpt2" else ""
         for u in units:
-            mark = self.marks.get(u[-1:])
-            word = u[:-1] if mark else u
-            if not letters(word):
+            if not word(u):
                 rest.add(u)
                 continue
-            form = word if word.isascii() else word.encode().decode("latin-1").translate(BYTE_CHARS)
-            ids = array("I", [t.id for t in tokenize(form)]).tobytes()
-            self.units[u] = ids + mark if mark else ids
+            form = u if u.isascii() else u.encode().decode("latin-1").translate(BYTE_CHARS)
+            if lead:
+                form = lead + (form[1:])
+            self.units[u] = array("I", [t.id for t in tokenize(form)]).tobytes()
         return rest
 
     def learn(self, missing: set[str]) -> None:
@@ -147,7 +149,7 @@ class UnitEncoder:
             known = {w: self.older[w] for w in missing if w in self.older}
             self.units.update(known)
             missing = missing - known.keys()
-        new = list(self.words(missing) if self.rule == "space" else missing)
+        new = list(self.words(missing))
         if not new:
             return
         odd = {w for w in new if "<|" in w or self.rule == "gpt2" and w[:1] not in " \n"}
@@ -189,12 +191,13 @@ class UnitEncoder:
         usual = pc.if_else(pa.array(odd), "", texts) if odd.any() else texts
         if self.rule == "space":
             usual = pc.replace_substring(pc.ascii_lower(usual), "\n", " ")
-            parts = pc.split_pattern(usual, " ")
+            parts = pc.split_pattern(pc.replace_substring_regex(usual, _STOP, r"\1 \2\3"), " ")
         else:
+            usual = pc.replace_substring_regex(usual, _STOP, "\\1\x00\\2\\3")
             usual = pc.replace_substring(usual, " ", "\x00 ")
             parts = pc.split_pattern(pc.replace_substring(usual, "\n", "\x00\n"), "\x00")
         numbered = parts.flatten().dictionary_encode()
-        ids = self.lookup(numbered.dictionary.to_pylist())
+        ids = self.lookup(numbered.dictionary.to_numpy(zero_copy_only=False).tolist())
         ends = parts.offsets.to_numpy()
         unsafe = np.array([x is None for x in ids], dtype=bool)
         if unsafe.any():
@@ -239,5 +242,6 @@ def tokenize(df: DataFrame, path: str, text: str = "text", out: str = "ids") ->
         enc = encoder(path, rule)
         for batch in batches:
             yield enc.encode(batch)
+            release()
 
     return df.withColumn(out, ids(F.col(text)))
