@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship_package
+from .common import release, ship_package
 
 #: Texts over this many characters are cut into pieces of about this length.
 PIECE_CHARS = 1 << 16
@@ -82,6 +82,7 @@ def encode(df: DataFrame, ranks: str, pattern: str, text: str = "text", out: str
             flat = np.concatenate(got) if got else np.empty(0, np.int32)
             del got
             yield pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat))
+            release()
 
     return df.withColumn(out, ids(F.col(text)))
 

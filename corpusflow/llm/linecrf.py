@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship_package
+from .common import release, ship_package
 
 #: Bound of the training sample: documents, and lines of one of them.
 SAMPLE_DOCS, SAMPLE_LINES = 1000, 400
@@ -223,6 +223,7 @@ def measure(docs: DataFrame, model: LineModel, text: str = "text", out: str = "m
             got = [measure_text(t.as_py() or "", own) for t in batch]
             cols = zip(*got, strict=True) if got else [[]] * 6
             yield pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names)
+            release()
 
     return docs.withColumn(out, measured(F.col(text)))
 

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, partitions, ship_package, tmp
+from .common import materialise, partitions, release, ship_package, tmp
 
 TOP_BITS = 12
 SEED = 42
@@ -74,6 +74,7 @@ def fingerprints(df: DataFrame, text: str = "text", out: str = "fp", words: int
         for batch in batches:
             got = np.array([fingerprint(t.as_py(), words) for t in batch], dtype=np.uint64)
             yield pa.array(got.view(np.int64))
+            release()
 
     return df.withColumn(out, fp(F.col(text)))
 
@@ -199,6 +200,7 @@ def links(fps: DataFrame, fp: str = "fp", budget: int = 2, top_bits: int = TOP_B
                 parts.append(bits[lo:hi].astype(np.int64))
         if parts:
             yield from done()
+        release()
 
     grouped = (sent.repartition(partitions(spark), "trie", "p", "q").sortWithinPartitions("trie", "p", "q")
                .select("trie", "p", "q", "bits"))

@@ -53,7 +53,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import partitions, ship_package, tmp
+from .common import partitions, release, ship_package, tmp
 
 LENGTH, Q = 100, 25
 SPAN = LENGTH - Q + 1          # q-grams of a window
@@ -168,6 +168,7 @@ def slices(rows: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple]:
             extra = cols[3][i].values.to_numpy() if len(cols) > 3 else None
             for start in range(0, max(len(raw) - LENGTH + 1, 1), size):
                 yield cols[0][i].as_py(), cols[1][i].as_py(), start, raw[start:start + size + LENGTH - 1], extra
+        release()
 
 
 def chunks(rows: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[Chunk, list]]:
