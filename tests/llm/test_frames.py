@@ -9,7 +9,7 @@ from corpusflow.llm import frames
 
 
 def data(n, seed):
-    return np.random.default_rng(seed).integers(0, 50_000, n).astype("<u4").tobytes()
+    return np.random.default_rng(abs(seed)).integers(0, 50_000, n).astype("<u4").tobytes()
 
 
 def test_file_format_and_random_access():
