@@ -18,8 +18,9 @@ opens each file, reads the seek table from its end, and decompresses only the
 frames of the documents asked for, checking their checksums.
 
 Cases: a null id column is a document without ids; null doc_id sorts first;
-rows of equal doc_id are all kept, ordered by their content; an empty table
-gives no files and no rows; extra columns are ignored.
+rows of equal doc_id are all kept, in any order, over as many files as their
+share needs; an empty table gives no files and no rows; extra columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -152,12 +153,13 @@ def filesystem(uri: str):
 
 
 def buckets(df: DataFrame, key: str, n: int, accuracy: int = 10_000) -> list[int]:
-    """Ascending inner bounds of about equal ranges of a long column."""
+    """Ascending inner bounds of about equal ranges of a long column; a value
+    that holds several ranges' share is listed as often."""
     q = [i / n for i in range(1, n)]
     if not q:
         return []
     got = df.agg(F.percentile_approx(key, q, accuracy)).first()[0]
-    return sorted(set(got or []))
+    return sorted(got or [])
 
 
 @dataclass
@@ -177,10 +179,14 @@ def write(docs: DataFrame, doc_id: str = "doc_id", ids: str = "ids", folder: str
     folder = folder or scratch_path(spark, "id-files")
     n = partitions(spark)
     if bounds is None:
-        bounds = buckets(docs.select(doc_id), doc_id, n)
-    # bounds at or below the id; null ids sort first
+        bounds = buckets(docs.select(F.coalesce(doc_id, F.lit(NULL_ID)).alias("id")), "id", n)
+    # bounds at or below the id; the rows of an id that is a bound several times
+    # are dealt over as many ranges
     edges = F.from_json(F.lit(str(list(bounds))), "array<long>")
-    bucket = F.when(F.col(doc_id).isNull(), 0).otherwise(F.size(F.filter(edges, lambda e: e <= F.col(doc_id))))
+    key = F.coalesce(F.col(doc_id), F.lit(NULL_ID))
+    share = F.greatest(F.size(F.filter(edges, lambda e: e == key)), F.lit(1))
+    dealt = F.pmod(F.xxhash64(F.monotonically_increasing_id()), share)
+    bucket = (F.size(F.filter(edges, lambda e: e <= key)) - share + 1 + dealt).cast("int")
 
     def write_files(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os

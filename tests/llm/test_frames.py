@@ -59,3 +59,14 @@ def test_write_read_lookup(spark):
 def test_empty(spark):
     files = frames.write(spark.createDataFrame([], "doc_id long, ids binary"))
     assert frames.read(files).count() == 0
+
+
+def test_hot_id_is_dealt_over_files(spark):
+    rows = [(5, data(3, i)) for i in range(900)] + [(None, data(2, i)) for i in range(900)]
+    rows += [(i, data(1, i)) for i in range(100, 1000)]
+    files = frames.write(spark.createDataFrame(rows, "doc_id long, ids binary").repartition(5))
+    sizes = [r["n_docs"] for r in files.listing.collect()]
+    assert sum(sizes) == 2700 and max(sizes) < 2700 / 4
+    got = sorted(frames.read(files).collect(), key=lambda r: r["start"])
+    assert [r["doc_id"] for r in got] == [i for i, _ in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))]
+    assert [r["start"] for r in got] == [sum(x["n_tokens"] for x in got[:k]) for k in range(len(got))]
