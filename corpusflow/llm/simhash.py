@@ -243,8 +243,10 @@ def representatives(base: DataFrame) -> DataFrame:
     nodes = materialise(base.groupBy(F.col("fp").alias("node")).agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tag")).alias("label")), "simhash-nodes")
     comp = components(nodes, links(nodes.select(F.col("node").alias("fp"))))
-    return nodes.join(comp.withColumnRenamed("label", "best"), "node", "left").select(
-        F.col("node").alias("fp"), F.coalesce("best", "label").alias("best"))
+    # written, so that a join with it shuffles both sides and a fingerprint of
+    # very many rows can be split by the adaptive skew join
+    return materialise(nodes.join(comp.withColumnRenamed("label", "best"), "node", "left").select(
+        F.col("node").alias("fp"), F.coalesce("best", "label").alias("best")), "simhash-best")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 3) -> DataFrame:
