@@ -13,7 +13,12 @@ shuffle on node ids; a task holds one block or one node's few candidates.
 of the best nodes seen, each round its best nodes not yet expanded are joined
 with their adjacency (neighbour ids and vectors, stored once, bucketed by
 node), and the beam takes the nearest. It ends when no beam has anything left
-to expand or after ``ROUNDS`` rounds.
+to expand.
+
+The effort follows the data: NN-descent goes on until a round renews at most
+``DELTA`` of all list entries, and the beam is doubled until ``TRIED`` of the
+queries find ``RECALL`` of their exact neighbours (one scan of all vectors for
+those queries); all queries then walk with that beam.
 
 Vectors are normalised; the graph compares them in half precision, and the
 final scores are cosines of the original vectors in double precision. Equal
@@ -31,6 +36,7 @@ tuning, not caps on the data: every valid row is in the graph.
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -46,10 +52,11 @@ from .common import materialise, partitions, ship_package, tmp
 K = 32                # neighbours in a node's list
 ORDERS, BLOCK = 16, 512
 FROM_ORDER = 12       # best of a block that are sent to a node's list
-DESCENTS = 3
-SAMPLE = 5            # new and old neighbours a node sends in a round, each
-JOINED = 24           # candidates a node compares in a round
-BEAM, WIDTH, ROUNDS = 256, 64, 8
+DELTA = 0.01          # NN-descent ends when a round renews a smaller share of all entries
+SAMPLE = 8            # new and old neighbours a node sends in a round, each
+JOINED = 32           # candidates a node compares in a round
+BEAM = 256            # first beam; doubled until RECALL is met
+RECALL, TRIED = 0.95, 128     # wanted on so many queries, against the exact neighbours
 SEED = 11
 
 
@@ -183,15 +190,16 @@ def first_lists(nodes: DataFrame, n: int) -> DataFrame:
 def merge(lists: DataFrame | None, found: DataFrame, width: int) -> DataFrame:
     """Lists with the found pairs (node, ids, sims) merged in; ``fresh`` marks
     entries that were not in the list before, ``worst`` is the similarity a
-    new entry must beat."""
+    new entry must beat, ``added`` the number of entries that are new."""
     def join_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
 
         def flush():
-            node, ids, sims, fresh, worst = zip(*out, strict=True)
+            node, ids, sims, fresh, worst, added = zip(*out, strict=True)
             return pa.RecordBatch.from_arrays(
                 [_long(np.array(node)), _packed(list(ids)), _packed(list(sims)), _packed(list(fresh)),
-                 pa.array(np.array(worst, dtype=np.float32))], ["node", "ids", "sims", "fresh", "worst"])
+                 pa.array(np.array(worst, dtype=np.float32)), pa.array(np.array(added, dtype=np.int32))],
+                ["node", "ids", "sims", "fresh", "worst", "added"])
 
         for rows in groups(batches):
             # the old list first: of equal ids it keeps its flag
@@ -201,8 +209,8 @@ def merge(lists: DataFrame | None, found: DataFrame, width: int) -> DataFrame:
             old = rows[0]["fresh"] or b""
             fresh = np.ones(len(ids), dtype=np.uint8)
             fresh[:len(old)] = np.frombuffer(old, dtype=np.uint8)
-            ids, sims, fresh = best(ids, sims, K, fresh)
-            out.append((rows[0]["node"], ids, sims, fresh, sims[-1] if len(ids) == K else -9.0))
+            ids, sims, fresh, new = best(ids, sims, K, fresh, np.arange(len(ids)) >= len(old))
+            out.append((rows[0]["node"], ids, sims, fresh, sims[-1] if len(ids) == K else -9.0, int(new.sum())))
             if len(out) == 2000:
                 yield flush()
                 out.clear()
@@ -213,7 +221,7 @@ def merge(lists: DataFrame | None, found: DataFrame, width: int) -> DataFrame:
     if lists is not None:
         rows = rows.unionByName(lists.select("node", "ids", "sims", "fresh"))
     return (rows.repartition(width, "node").sortWithinPartitions("node")
-            .mapInArrow(join_lists, "node long, ids binary, sims binary, fresh binary, worst float"))
+            .mapInArrow(join_lists, "node long, ids binary, sims binary, fresh binary, worst float, added int"))
 
 
 def descend(nodes: DataFrame, lists: DataFrame, turn: int) -> DataFrame:
@@ -298,10 +306,14 @@ def build(df: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", top:
     spark = df.sparkSession
     ship_package(spark)
     rows, nodes = nodes_of(df, vec_id, vector, top)
-    lists = materialise(first_lists(nodes, nodes.count()), "nn-lists")
-    for turn in range(DESCENTS):
+    n = nodes.count()
+    lists = materialise(first_lists(nodes, n), "nn-lists")
+    # every round that renews an entry raises a list's similarities, so this ends
+    for turn in itertools.count():
         lists = materialise(descend(nodes, lists, turn), "nn-lists")
-    return Index(rows, nodes, lists)
+        added = lists.agg(F.sum("added")).first()[0] or 0
+        if added <= DELTA * n * min(K, n - 1):
+            return Index(rows, nodes, lists)
 
 
 def adjacency(index: Index) -> DataFrame:
@@ -336,18 +348,39 @@ def adjacency(index: Index) -> DataFrame:
 STATE = "node long, vec binary, ids binary, sims binary, done binary"
 
 
-def search(index: Index, queries: DataFrame, top: int = 5) -> DataFrame:
-    """``(query_id, rank, vec_id, score)`` for the indexed ids in the one
-    column of ``queries``: the ``top`` nearest found, the query left out."""
-    spark = queries.sparkSession
-    width = partitions(spark)
-    near = adjacency(index)
-    asked = queries.select(F.col(queries.columns[0]).cast("long").alias("query_id")).distinct()
-    # queries of one vector walk once; a node lists only its least ids, so a
-    # query's node is found by its vector
-    known = materialise(asked.join(index.rows.withColumnRenamed("id", "query_id"), "query_id")
-                        .join(index.nodes.select("v", "node"), "v").select("query_id", "node"), "nn-queries")
-    start = known.select("node").distinct().join(index.nodes.select("node", "vec"), "node")
+def nearest(nodes: DataFrame, some: DataFrame, k: int) -> dict[int, set[int]]:
+    """The exact ``k`` nearest nodes of each of a few nodes (node, vec)."""
+    asked = some.select("node", "vec").collect()
+    if not asked:
+        return {}
+    own = np.array([r["node"] for r in asked], dtype=np.int64)
+    q = np.stack([np.frombuffer(r["vec"], "<f4") for r in asked])
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids = batch.column(0).to_numpy()
+            s = _vectors(batch.column(1), "<f4") @ q.T
+            s[ids[:, None] == own[None, :]] = -9
+            at = np.argpartition(-s, min(k, len(ids)) - 1, axis=0)[:k]
+            yield pa.RecordBatch.from_arrays(
+                [_long(np.broadcast_to(own, at.shape).ravel()), _long(ids[at].ravel()),
+                 pa.array(np.take_along_axis(s, at, 0).ravel())], ["node", "other", "sim"])
+
+    order = Window.partitionBy("node").orderBy(F.desc("sim"), "other")
+    got = (nodes.select("node", "vec").mapInArrow(scan, "node long, other long, sim float").filter("sim > -9")
+           .withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).collect())
+    out: dict[int, set[int]] = {}
+    for r in got:
+        out.setdefault(r["node"], set()).add(r["other"])
+    return out
+
+
+def walk(index: Index, near: DataFrame, start: DataFrame, beam: int) -> DataFrame:
+    """The final beams (STATE) of the nodes in ``start`` (node, vec)."""
+    width = partitions(near.sparkSession)
+    expanded = max(1, beam // 4)      # of each beam in a round
 
     def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -362,7 +395,7 @@ def search(index: Index, queries: DataFrame, top: int = 5) -> DataFrame:
         for batch in batches:
             at, who, vecs = [], [], []
             for r in batch.to_pylist():
-                open_ = np.frombuffer(r["ids"], "<i8")[np.frombuffer(r["done"], np.uint8) == 0][:WIDTH]
+                open_ = np.frombuffer(r["ids"], "<i8")[np.frombuffer(r["done"], np.uint8) == 0][:expanded]
                 at += open_.tolist()
                 who += [r["node"]] * len(open_)
                 vecs += [r["vec"]] * len(open_)
@@ -386,23 +419,24 @@ def search(index: Index, queries: DataFrame, top: int = 5) -> DataFrame:
                 continue
             rest = [r for r in rows if r["vec"] is None]
             own, done = np.frombuffer(state["ids"], "<i8"), np.frombuffer(state["done"], np.uint8).copy()
-            done[np.nonzero(done == 0)[0][:WIDTH]] = 1          # the frontier just expanded
+            done[np.nonzero(done == 0)[0][:expanded]] = 1          # the frontier just expanded
             ids = np.concatenate([own, *(np.frombuffer(r["ids"], "<i8") for r in rest)])
             sims = np.concatenate([np.frombuffer(state["sims"], "<f4"),
                                    *(np.frombuffer(r["sims"], "<f4") for r in rest)])
             flags = np.concatenate([done, np.zeros(len(ids) - len(own), np.uint8)])
             other = ids != state["node"]
-            ids, sims, flags = best(ids[other], sims[other], BEAM, flags[other])
+            ids, sims, flags = best(ids[other], sims[other], beam, flags[other])
             yield pa.RecordBatch.from_arrays(
                 [_long(np.array([state["node"]])), pa.array([state["vec"]], pa.binary()), _packed([ids]),
                  _packed([sims]), _packed([flags])], ["node", "vec", "ids", "sims", "done"])
 
     state = start.join(index.lists.select("node", "ids", "sims"), "node", "left").select("node", "vec", "ids", "sims")
     state = materialise(state.mapInArrow(begin, STATE), "nn-beams")
-    for _ in range(ROUNDS):
+    # a node that has left a beam cannot come back, so this ends
+    while True:
         ahead = materialise(state.mapInArrow(frontier, "node long, query long, qvec binary"), "nn-frontier")
         if ahead.isEmpty():
-            break
+            return state
         found = (ahead.join(near, "node").select(F.col("query").alias("node"), "ids", "vecs", "qvec")
                  .mapInArrow(expand, "node long, ids binary, sims binary"))
         none = F.lit(None).cast("binary")
@@ -410,6 +444,31 @@ def search(index: Index, queries: DataFrame, top: int = 5) -> DataFrame:
         state = materialise(rows.repartition(width, "node").sortWithinPartitions("node").mapInArrow(absorb, STATE),
                             "nn-beams")
 
+
+def search(index: Index, queries: DataFrame, top: int = 5) -> DataFrame:
+    """``(query_id, rank, vec_id, score)`` for the indexed ids in the one
+    column of ``queries``: the ``top`` nearest found, the query left out."""
+    spark = queries.sparkSession
+    near = adjacency(index)
+    asked = queries.select(F.col(queries.columns[0]).cast("long").alias("query_id")).distinct()
+    # queries of one vector walk once; a node lists only its least ids, so a
+    # query's node is found by its vector
+    known = materialise(asked.join(index.rows.withColumnRenamed("id", "query_id"), "query_id")
+                        .join(index.nodes.select("v", "node"), "v").select("query_id", "node"), "nn-queries")
+    start = materialise(known.select("node").distinct().join(index.nodes.select("node", "vec"), "node"), "nn-start")
+    # the beam that a sample of the queries needs, by their exact neighbours
+    tried = materialise(start.orderBy(F.xxhash64("node")).limit(TRIED), "nn-tried")
+    want, n, beam = nearest(index.nodes, tried, top), index.nodes.count(), BEAM
+    while True:
+        state = walk(index, near, tried, beam)
+        hits = sum(len(want.get(r["node"], set()) & set(np.frombuffer(r["ids"], "<i8")[:4 * top].tolist()))
+                   for r in state.select("node", "ids").collect())
+        if hits >= RECALL * sum(map(len, want.values())) or beam >= n:
+            break
+        beam *= 2
+    if start.count() > TRIED:
+        state = walk(index, near, start, beam)
+
     def shortlist(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The best of the beam by half-precision similarity, and the node itself."""
         for batch in batches:

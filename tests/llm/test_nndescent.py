@@ -63,3 +63,14 @@ def test_few_and_none(spark):
     assert [i for _, i, _ in got[1]] == [3, 2] and [i for _, i, _ in got[2]] == [3, 1]
     assert search(spark, spark.createDataFrame([(1, [1.0])], SCHEMA), [1]) == {}
     assert search(spark, spark.createDataFrame([], SCHEMA), [1]) == {}
+
+
+def test_effort_follows_the_data(spark, monkeypatch):
+    # poor first lists and a narrow first beam: rounds and beam have to grow
+    for name, value in (("ORDERS", 2), ("BLOCK", 16), ("FROM_ORDER", 4), ("BEAM", 8)):
+        monkeypatch.setattr(nndescent, name, value)
+    rng = np.random.default_rng(6)
+    rows = [(i, [float(c) for c in v]) for i, v in enumerate(rng.normal(size=(3000, 32)))]
+    got = search(spark, spark.createDataFrame(rows, SCHEMA), range(0, 3000, 50))
+    hits = sum(len({i for i, _ in exact(rows, q)} & {i for _, i, _ in found}) for q, found in got.items())
+    assert len(got) == 60 and hits >= 0.9 * 300, hits
