@@ -20,11 +20,12 @@ The effort follows the data: NN-descent goes on until a round renews at most
 queries find ``RECALL`` of their exact neighbours (one scan of all vectors for
 those queries); all queries then walk with that beam.
 
-Vectors are normalised; the graph compares them in half precision, and the
-final scores are cosines of the original vectors in double precision. Equal
-vectors are one node: a node keeps its ``top + 1`` least ids, which is all a
-result can need, so a vector that a third of all rows share costs no more than
-another and ties resolve to the smaller id exactly.
+Vectors travel as given (float32 or double), and everywhere - lists, beams,
+final scores - they are normalised and compared in double precision, so near
+copies keep their order. Vectors of exactly one direction (equal or scaled) are
+one node, scored by the vector of its least id: a node keeps its ``top + 1``
+least ids, which is all a result can need, so a vector that a third of all rows
+share costs no more than another and ties resolve to the smaller id exactly.
 
 Cases: null ids, null or empty vectors, zero vectors and vectors with a null or
 non-finite component take no part, nor do vectors that have not the most
@@ -57,6 +58,7 @@ SAMPLE = 8            # new and old neighbours a node sends in a round, each
 JOINED = 32           # candidates a node compares in a round
 BEAM = 256            # first beam; doubled until RECALL is met
 RECALL, TRIED = 0.95, 128     # wanted on so many queries, against the exact neighbours
+ERROR = 1e-13         # more than a double cosine's rounding
 SEED = 11
 
 
@@ -68,10 +70,15 @@ def _packed(rows: list[np.ndarray]) -> pa.Array:
     return pa.array([r.tobytes() for r in rows], pa.binary())
 
 
+def unit(raw: bytes, kind: str, n: int) -> np.ndarray:
+    """``n`` binary vectors of one length as unit rows of a double matrix."""
+    x = np.frombuffer(raw, dtype=kind).reshape(n, -1).astype(np.float64)
+    x /= np.abs(x).max(axis=1, keepdims=True)
+    return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+
+
 def _vectors(column: pa.Array, kind: str) -> np.ndarray:
-    """Binary vectors of one length as rows of a float32 matrix."""
-    raw = b"".join(column.to_pylist())
-    return np.frombuffer(raw, dtype=kind).reshape(len(column), -1).astype(np.float32)
+    return unit(b"".join(column.to_pylist()), kind, len(column))
 
 
 def best(ids: np.ndarray, sims: np.ndarray, k: int, *more: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -99,43 +106,43 @@ def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
 @dataclass
 class Index:
     rows: DataFrame       # id long, v array<double>: every valid row
-    nodes: DataFrame      # node long, vec binary (float32, unit length), members array<long>, raw binary (float64), v
-    lists: DataFrame      # node long, ids binary (int64), sims binary (float32)
+    nodes: DataFrame      # node long, vec binary (kind), members array<long>, direction array<double>
+    lists: DataFrame      # node long, ids binary (int64), sims binary (float64)
+    kind: str             # "<f4" or "<f8": what holds the given vectors exactly
 
 
-def nodes_of(df: DataFrame, vec_id: str, vector: str, top: int) -> tuple[DataFrame, DataFrame]:
-    """All valid rows, and one node per distinct vector."""
+def nodes_of(df: DataFrame, vec_id: str, vector: str, top: int, kind: str) -> tuple[DataFrame, DataFrame]:
+    """All valid rows, and one node per distinct direction."""
     rows = df.select(F.col(vec_id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"))
     ok = (F.col("id").isNotNull() & (F.size("v") > 0)
           & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))))
     rows = rows.filter(ok).withColumn("norm", F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)))
     rows = rows.filter((F.col("norm") > 0) & (F.col("norm") < float("inf")))
-    rows = materialise(rows.groupBy("id").agg(F.min("v").alias("v")), "nn-rows")
+    rows = rows.groupBy("id").agg(F.min("v").alias("v"))
+    # divided by the largest component, exactly proportional vectors are equal
+    largest = F.array_max(F.transform("v", F.abs))
+    rows = rows.withColumn("direction", F.transform("v", lambda x: x / largest + F.lit(0.0)))
+    rows = materialise(rows, "nn-rows")
     size = rows.groupBy(F.size("v").alias("size")).count().orderBy(F.desc("count"), "size").first()
     if size is None:
         size = (1,)
     rows = rows.filter(F.size("v") == size[0])
-    # the least ids of each distinct vector; a partial limit runs before the shuffle
-    rank = F.row_number().over(Window.partitionBy("v").orderBy("id"))
+    # the least ids of each direction; a partial limit runs before the shuffle
+    rank = F.row_number().over(Window.partitionBy("direction").orderBy("id"))
     few = rows.withColumn("rank", rank).filter(F.col("rank") <= top + 1)
 
-    @F.arrow_udf("struct<vec: binary, raw: binary>")
+    @F.arrow_udf("binary")
     def pack(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            raw = [v.values.to_numpy() for v in batch]
-            unit = [(v / np.linalg.norm(v)).astype("<f4") for v in raw]
-            yield pa.StructArray.from_arrays([_packed(unit), _packed(raw)], ["vec", "raw"])
+            yield _packed([v.values.to_numpy().astype(kind) for v in batch])
 
-    packed = tmp("p")
     nodes = materialise(
-        few.groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("members"))
-        .withColumn(packed, pack(F.col("v")))
-        .select(F.col("members")[0].alias("node"), F.col(packed)["vec"].alias("vec"), "members",
-                F.col(packed)["raw"].alias("raw"), "v"), "nn-nodes")
+        few.groupBy("direction").agg(F.sort_array(F.collect_list("id")).alias("members"), F.min_by("v", "id").alias("v"))
+        .select(F.col("members")[0].alias("node"), pack(F.col("v")).alias("vec"), "members", "direction"), "nn-nodes")
     return rows, nodes
 
 
-def first_lists(nodes: DataFrame, n: int) -> DataFrame:
+def first_lists(nodes: DataFrame, n: int, kind: str) -> DataFrame:
     """Lists from random projection orders."""
     bits = max(1, math.ceil(math.log2(max(2, n / BLOCK))))
 
@@ -143,20 +150,19 @@ def first_lists(nodes: DataFrame, n: int) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x = _vectors(batch.column(1), "<f4")
-            half = _packed(list(x.astype("<f2")))
+            x = _vectors(batch.column(1), kind)
             for order in range(ORDERS):
-                p = x @ np.random.default_rng((SEED, order)).normal(size=(x.shape[1], bits + 1)).astype(np.float32)
+                p = x @ np.random.default_rng((SEED, order)).normal(size=(x.shape[1], bits + 1))
                 code = (p[:, :bits] > 0) @ (1 << np.arange(bits))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(x), order, dtype=np.int32)), _long(code), pa.array(p[:, bits]),
-                     batch.column(0), half], ["order", "code", "place", "node", "vec"])
+                     batch.column(0), batch.column(1)], ["order", "code", "place", "node", "vec"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order, ids, vecs = None, [], []
 
         def block():
-            x = np.frombuffer(b"".join(vecs), dtype="<f2").reshape(len(ids), -1).astype(np.float32)
+            x = unit(b"".join(vecs), kind, len(ids))
             own = np.array(ids, dtype=np.int64)
             s = x @ x.T
             np.fill_diagonal(s, -9)
@@ -180,7 +186,7 @@ def first_lists(nodes: DataFrame, n: int) -> DataFrame:
 
     width = partitions(nodes.sparkSession)
     placed = nodes.select("node", "vec").mapInArrow(
-        orders, "order int, code long, place float, node long, vec binary")
+        orders, "order int, code long, place double, node long, vec binary")
     found = (placed.repartitionByRange(width, "order", "code", "place", "node")
              .sortWithinPartitions("order", "code", "place", "node").select("order", "node", "vec")
              .mapInArrow(compare, "node long, ids binary, sims binary"))
@@ -198,14 +204,14 @@ def merge(lists: DataFrame | None, found: DataFrame, width: int) -> DataFrame:
             node, ids, sims, fresh, worst, added = zip(*out, strict=True)
             return pa.RecordBatch.from_arrays(
                 [_long(np.array(node)), _packed(list(ids)), _packed(list(sims)), _packed(list(fresh)),
-                 pa.array(np.array(worst, dtype=np.float32)), pa.array(np.array(added, dtype=np.int32))],
+                 pa.array(np.array(worst, dtype=np.float64)), pa.array(np.array(added, dtype=np.int32))],
                 ["node", "ids", "sims", "fresh", "worst", "added"])
 
         for rows in groups(batches):
             # the old list first: of equal ids it keeps its flag
             rows.sort(key=lambda r: r["fresh"] is None)
             ids = np.frombuffer(b"".join(r["ids"] for r in rows), dtype="<i8")
-            sims = np.frombuffer(b"".join(r["sims"] for r in rows), dtype="<f4")
+            sims = np.frombuffer(b"".join(r["sims"] for r in rows), dtype="<f8")
             old = rows[0]["fresh"] or b""
             fresh = np.ones(len(ids), dtype=np.uint8)
             fresh[:len(old)] = np.frombuffer(old, dtype=np.uint8)
@@ -221,10 +227,10 @@ def merge(lists: DataFrame | None, found: DataFrame, width: int) -> DataFrame:
     if lists is not None:
         rows = rows.unionByName(lists.select("node", "ids", "sims", "fresh"))
     return (rows.repartition(width, "node").sortWithinPartitions("node")
-            .mapInArrow(join_lists, "node long, ids binary, sims binary, fresh binary, worst float, added int"))
+            .mapInArrow(join_lists, "node long, ids binary, sims binary, fresh binary, worst double, added int"))
 
 
-def descend(nodes: DataFrame, lists: DataFrame, turn: int) -> DataFrame:
+def descend(nodes: DataFrame, lists: DataFrame, turn: int, kind: str) -> DataFrame:
     """One round of NN-descent over the lists (node, ids, sims, fresh, worst)."""
     width = partitions(nodes.sparkSession)
 
@@ -263,8 +269,8 @@ def descend(nodes: DataFrame, lists: DataFrame, turn: int) -> DataFrame:
             if not new or len(some) < 2:
                 continue
             ids = np.array([r["member"] for r in some], dtype=np.int64)
-            worst = np.array([r["worst"] for r in some], dtype=np.float32)
-            x = np.frombuffer(b"".join(r["vec"] for r in some), dtype="<f2").reshape(len(some), -1).astype(np.float32)
+            worst = np.array([r["worst"] for r in some])
+            x = unit(b"".join(r["vec"] for r in some), kind, len(some))
             s = x[:new] @ x.T
             a, b = np.nonzero(np.triu(np.ones_like(s, dtype=bool), 1))
             v = s[a, b]
@@ -274,14 +280,9 @@ def descend(nodes: DataFrame, lists: DataFrame, turn: int) -> DataFrame:
                 p, q, v = zip(*pairs, strict=True)
                 yield pa.RecordBatch.from_arrays(
                     [_long(np.array(p)), _packed(list(np.array(q, dtype="<i8"))),
-                     _packed(list(np.array(v, dtype="<f4")))], ["node", "ids", "sims"])
-
-    @F.arrow_udf("binary")
-    def half(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            yield _packed([np.frombuffer(v, "<f4").astype("<f2") for v in batch.to_pylist()])
+                     _packed(list(np.array(v, dtype="<f8")))], ["node", "ids", "sims"])
 
-    vecs = nodes.select(F.col("node").alias("member"), half(F.col("vec")).alias("vec")).join(
+    vecs = nodes.select(F.col("node").alias("member"), "vec").join(
         lists.select(F.col("node").alias("member"), "worst"), "member")
     offers = lists.select("node", "ids", "fresh").mapInArrow(offer, "node long, member long, fresh int")
     found = (offers.join(vecs, "member").repartition(width, "node").sortWithinPartitions("node")
@@ -305,20 +306,23 @@ def chosen(ids: np.ndarray, fresh: np.ndarray, flag: int, node: int, turn: int)
 def build(df: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", top: int = 5) -> Index:
     spark = df.sparkSession
     ship_package(spark)
-    rows, nodes = nodes_of(df, vec_id, vector, top)
+    # vectors travel in the given precision and are compared in double
+    exact = df.schema[vector].dataType.elementType.typeName() in ("float", "byte", "short")
+    kind = "<f4" if exact else "<f8"
+    rows, nodes = nodes_of(df, vec_id, vector, top, kind)
     n = nodes.count()
-    lists = materialise(first_lists(nodes, n), "nn-lists")
+    lists = materialise(first_lists(nodes, n, kind), "nn-lists")
     # every round that renews an entry raises a list's similarities, so this ends
     for turn in itertools.count():
-        lists = materialise(descend(nodes, lists, turn), "nn-lists")
+        lists = materialise(descend(nodes, lists, turn, kind), "nn-lists")
         added = lists.agg(F.sum("added")).first()[0] or 0
         if added <= DELTA * n * min(K, n - 1):
-            return Index(rows, nodes, lists)
+            return Index(rows, nodes, lists, kind)
 
 
 def adjacency(index: Index) -> DataFrame:
-    """``(node, ids, vecs)``: every list with the neighbours' vectors in half
-    precision, stored bucketed by node."""
+    """``(node, ids, vecs)``: every list with the neighbours' vectors, stored
+    bucketed by node."""
     spark = index.nodes.sparkSession
     width = partitions(spark)
 
@@ -331,7 +335,7 @@ def adjacency(index: Index) -> DataFrame:
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in groups(batches):
-            vecs = [np.frombuffer(r["vec"], "<f4").astype("<f2").tobytes() for r in rows]
+            vecs = [r["vec"] for r in rows]
             yield pa.RecordBatch.from_arrays(
                 [_long(np.array([rows[0]["node"]])), _packed([np.array([r["other"] for r in rows], dtype="<i8")]),
                  pa.array([b"".join(vecs)], pa.binary())], ["node", "ids", "vecs"])
@@ -348,20 +352,20 @@ def adjacency(index: Index) -> DataFrame:
 STATE = "node long, vec binary, ids binary, sims binary, done binary"
 
 
-def nearest(nodes: DataFrame, some: DataFrame, k: int) -> dict[int, set[int]]:
+def nearest(nodes: DataFrame, some: DataFrame, k: int, kind: str) -> dict[int, set[int]]:
     """The exact ``k`` nearest nodes of each of a few nodes (node, vec)."""
     asked = some.select("node", "vec").collect()
     if not asked:
         return {}
     own = np.array([r["node"] for r in asked], dtype=np.int64)
-    q = np.stack([np.frombuffer(r["vec"], "<f4") for r in asked])
+    q = unit(b"".join(r["vec"] for r in asked), kind, len(asked))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             ids = batch.column(0).to_numpy()
-            s = _vectors(batch.column(1), "<f4") @ q.T
+            s = _vectors(batch.column(1), kind) @ q.T
             s[ids[:, None] == own[None, :]] = -9
             at = np.argpartition(-s, min(k, len(ids)) - 1, axis=0)[:k]
             yield pa.RecordBatch.from_arrays(
@@ -369,7 +373,7 @@ def nearest(nodes: DataFrame, some: DataFrame, k: int) -> dict[int, set[int]]:
                  pa.array(np.take_along_axis(s, at, 0).ravel())], ["node", "other", "sim"])
 
     order = Window.partitionBy("node").orderBy(F.desc("sim"), "other")
-    got = (nodes.select("node", "vec").mapInArrow(scan, "node long, other long, sim float").filter("sim > -9")
+    got = (nodes.select("node", "vec").mapInArrow(scan, "node long, other long, sim double").filter("sim > -9")
            .withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).collect())
     out: dict[int, set[int]] = {}
     for r in got:
@@ -380,13 +384,14 @@ def nearest(nodes: DataFrame, some: DataFrame, k: int) -> dict[int, set[int]]:
 def walk(index: Index, near: DataFrame, start: DataFrame, beam: int) -> DataFrame:
     """The final beams (STATE) of the nodes in ``start`` (node, vec)."""
     width = partitions(near.sparkSession)
+    kind = index.kind
     expanded = max(1, beam // 4)      # of each beam in a round
 
     def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = batch.to_pylist()
             ids = [np.frombuffer(r["ids"] or b"", "<i8") for r in rows]
-            sims = [np.frombuffer(r["sims"] or b"", "<f4") for r in rows]
+            sims = [np.frombuffer(r["sims"] or b"", "<f8") for r in rows]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), _packed(ids), _packed(sims),
                  _packed([np.zeros(len(i), np.uint8) for i in ids])], ["node", "vec", "ids", "sims", "done"])
@@ -406,9 +411,8 @@ def walk(index: Index, near: DataFrame, start: DataFrame, beam: int) -> DataFram
         for batch in batches:
             out_ids, out_sims = [], []
             for ids, vecs, q in zip(*(batch.column(c).to_pylist() for c in (1, 2, 3)), strict=True):
-                x = np.frombuffer(vecs, "<f2").astype(np.float32).reshape(len(ids) // 8, -1)
                 out_ids.append(ids)
-                out_sims.append((x @ np.frombuffer(q, "<f4")).tobytes())
+                out_sims.append((unit(vecs, kind, len(ids) // 8) @ unit(q, kind, 1)[0]).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out_ids, pa.binary()),
                                               pa.array(out_sims, pa.binary())], ["node", "ids", "sims"])
 
@@ -421,8 +425,8 @@ def walk(index: Index, near: DataFrame, start: DataFrame, beam: int) -> DataFram
             own, done = np.frombuffer(state["ids"], "<i8"), np.frombuffer(state["done"], np.uint8).copy()
             done[np.nonzero(done == 0)[0][:expanded]] = 1          # the frontier just expanded
             ids = np.concatenate([own, *(np.frombuffer(r["ids"], "<i8") for r in rest)])
-            sims = np.concatenate([np.frombuffer(state["sims"], "<f4"),
-                                   *(np.frombuffer(r["sims"], "<f4") for r in rest)])
+            sims = np.concatenate([np.frombuffer(state["sims"], "<f8"),
+                                   *(np.frombuffer(r["sims"], "<f8") for r in rest)])
             flags = np.concatenate([done, np.zeros(len(ids) - len(own), np.uint8)])
             other = ids != state["node"]
             ids, sims, flags = best(ids[other], sims[other], beam, flags[other])
@@ -451,14 +455,15 @@ def search(index: Index, queries: DataFrame, top: int = 5) -> DataFrame:
     spark = queries.sparkSession
     near = adjacency(index)
     asked = queries.select(F.col(queries.columns[0]).cast("long").alias("query_id")).distinct()
-    # queries of one vector walk once; a node lists only its least ids, so a
-    # query's node is found by its vector
+    # queries of one direction walk once; a node lists only its least ids, so a
+    # query's node is found by its direction
     known = materialise(asked.join(index.rows.withColumnRenamed("id", "query_id"), "query_id")
-                        .join(index.nodes.select("v", "node"), "v").select("query_id", "node"), "nn-queries")
+                        .join(index.nodes.select("direction", "node"), "direction").select("query_id", "node"),
+                        "nn-queries")
     start = materialise(known.select("node").distinct().join(index.nodes.select("node", "vec"), "node"), "nn-start")
     # the beam that a sample of the queries needs, by their exact neighbours
     tried = materialise(start.orderBy(F.xxhash64("node")).limit(TRIED), "nn-tried")
-    want, n, beam = nearest(index.nodes, tried, top), index.nodes.count(), BEAM
+    want, n, beam = nearest(index.nodes, tried, top, index.kind), index.nodes.count(), BEAM
     while True:
         state = walk(index, near, tried, beam)
         hits = sum(len(want.get(r["node"], set()) & set(np.frombuffer(r["ids"], "<i8")[:4 * top].tolist()))
@@ -470,31 +475,33 @@ def search(index: Index, queries: DataFrame, top: int = 5) -> DataFrame:
         state = walk(index, near, start, beam)
 
     def shortlist(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The best of the beam by half-precision similarity, and the node itself."""
+        """The beam down to the error of a cosine below the top-th, and the node itself."""
         for batch in batches:
             at, who = [], []
             for r in batch.to_pylist():
-                few = [r["node"], *np.frombuffer(r["ids"], "<i8")[:4 * top].tolist()]
+                ids, sims = np.frombuffer(r["ids"], "<i8"), np.frombuffer(r["sims"], "<f8")
+                few = [r["node"], *ids[sims >= (sims[top - 1] if len(sims) >= top else -9) - ERROR].tolist()]
                 at += few
                 who += [r["node"]] * len(few)
             yield pa.RecordBatch.from_arrays([_long(np.array(at)), _long(np.array(who))], ["other", "node"])
 
     short = state.mapInArrow(shortlist, "other long, node long")
-    full = (short.join(index.nodes.select(F.col("node").alias("other"), "members", F.col("raw").alias("other_raw")),
+    full = (short.join(index.nodes.select(F.col("node").alias("other"), "members", F.col("vec").alias("other_vec")),
                        "other")
-            .join(index.nodes.select("node", "raw"), "node").join(known, "node"))
+            .join(index.nodes.select("node", "vec"), "node").join(known, "node"))
+    kind = index.kind
 
     @F.arrow_udf("double")
     def cosine(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for a, b in batches:
             out = []
             for x, y in zip(a.to_pylist(), b.to_pylist(), strict=True):
-                x, y = np.frombuffer(x, "<f8"), np.frombuffer(y, "<f8")
+                x, y = np.frombuffer(x, kind).astype(float), np.frombuffer(y, kind).astype(float)
                 out.append(float(x @ y / (np.sqrt(x @ x) * np.sqrt(y @ y))))
             yield pa.array(out, pa.float64())
 
     scored = full.select("query_id", F.explode("members").alias("vec_id"),
-                         cosine(F.col("raw"), F.col("other_raw")).alias("score"))
+                         cosine(F.col("vec"), F.col("other_vec")).alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (scored.filter(F.col("vec_id") != F.col("query_id")).withColumn("rank", F.row_number().over(order))
             .filter(F.col("rank") <= top).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))

@@ -74,3 +74,16 @@ def test_effort_follows_the_data(spark, monkeypatch):
     got = search(spark, spark.createDataFrame(rows, SCHEMA), range(0, 3000, 50))
     hits = sum(len({i for i, _ in exact(rows, q)} & {i for _, i, _ in found}) for q, found in got.items())
     assert len(got) == 60 and hits >= 0.9 * 300, hits
+
+
+def test_near_copies_and_scaled_copies(spark):
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=32) + 0.001 * rng.normal(size=(1500, 32))
+    rows = [(i, [float(c) for c in v]) for i, v in enumerate(x)]
+    y = [float(c) for c in rng.normal(size=32).astype(np.float32)]
+    scaled = [(2000 + k, [c * 2.0 ** (k % 40 - 20) for c in y]) for k in range(200)]
+    got = search(spark, spark.createDataFrame(rows + scaled, SCHEMA), [*range(0, 1500, 50), 2100])
+    hits = sum(len({i for i, _ in exact(rows, q)} & {i for _, i, _ in found})
+               for q, found in got.items() if q < 2000)
+    assert len(got) == 31 and hits >= 0.95 * 150, hits
+    assert [i for _, i, _ in got[2100]] == [2000, 2001, 2002, 2003, 2004]
