@@ -288,6 +288,8 @@ def l2_score(distance: Column) -> Column:
 #: Vectors the centroids are fitted on, at most.
 CENTROID_SAMPLE = 20_000
 MAX_LISTS = 4096
+#: Recall the default number of probes reaches on so many questions.
+ANN_RECALL, ANN_TRIED = 0.95, 256
 
 
 def ivf_index(corpus: DataFrame, n_lists: int | None = None, seed: int = 7, c_id: str = "c_id",
@@ -352,16 +354,44 @@ def _topk_lists(q_ids, q_mat, probes, k):
     return run
 
 
+def probes_needed(questions: DataFrame, assigned: DataFrame, cents: np.ndarray, k: int, q_id: str, q_vec: str,
+                  max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> int:
+    """Least number of nearest lists that hold ANN_RECALL of the exact top-k of
+    at most ANN_TRIED questions, taken in the order of a hash of their id."""
+    spark = questions.sparkSession
+    path = scratch_path(spark, "ann-tried")
+    (questions.select(F.col(q_id).alias("q_id"), F.col(q_vec).alias("vector"))
+     .orderBy(F.xxhash64("q_id")).limit(ANN_TRIED).write.parquet(path))
+    tried = spark.read.parquet(path)
+    exact = vector_topk(tried, assigned.select("c_id", "vector"), k, max_broadcast_bytes=max_broadcast_bytes)
+    # at most ANN_TRIED x k rows
+    hits = (assigned.select("c_id", "list_id").join(F.broadcast(exact.select("q_id", "c_id")), "c_id")
+            .join(F.broadcast(tried), "q_id").select("vector", "list_id").collect())
+    if not hits:
+        return 1
+    to = (cents * cents).sum(axis=1) - 2.0 * (np.asarray([h["vector"] for h in hits], dtype=np.float64) @ cents.T)
+    own = to[np.arange(len(hits)), [h["list_id"] for h in hits]]
+    ranks = np.sort((to <= own[:, None]).sum(axis=1))
+    return int(ranks[math.ceil(ANN_RECALL * len(ranks)) - 1])
+
+
 def vector_topk_ann(questions: DataFrame, corpus: DataFrame, k: int = RETRIEVE_K, n_lists: int | None = None,
-                    n_probe: int = 4, q_id: str = "q_id", q_vec: str = "vector", c_id: str = "c_id",
+                    n_probe: int | None = None, q_id: str = "q_id", q_vec: str = "vector", c_id: str = "c_id",
                     c_vec: str = "vector", seed: int = 7,
                     max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Inverted-file approximate search: each question is compared with the
-    rows of its ``n_probe`` nearest lists. Lists are a column, not a
+rows of its ``n_probe`` nearest lists; by default as many as ANN_TRIED of the
+    questions need to find ANN_RECALL of their exact top-k (one scan of the
+    corpus for those questions). Lists are a column, not a are a column, not a
     partitioning, so a list holding a third of the corpus is still spread over
     all tasks. Output and block-wise question side as ``vector_topk``."""
     cents, assigned = ivf_index(corpus.select(F.col(c_id).alias("c_id"), F.col(c_vec).alias("vector")),
                                 n_lists, seed)
+    if n_probe is None:
+        path = scratch_path(corpus.sparkSession, "ivf-lists")
+        assigned.write.parquet(path)
+        assigned = corpus.sparkSession.read.parquet(path)
+        n_probe = probes_needed(questions, assigned, cents, k, q_id, q_vec, max_broadcast_bytes)
 
     def payload(ids, mat):
         step = max(1, MATRIX_BUDGET // len(cents))

@@ -103,7 +103,7 @@ def q_vector_topk(spark, sf):
 def q_vector_topk_ann(spark, sf):
     e = T.read_table(spark, sf, "embeddings").select(F.col("vec_id").alias("c_id"), F.col("embedding").alias("vector"))
     q = questions(spark, sf, 64)
-    hits = K.vector_topk_ann(q, e, 5, n_probe=8)
+    hits = K.vector_topk_ann(q, e, 5)
     # recall is the mean of ``in_exact`` over 5 x questions
     exact = K.vector_topk(q, e, 5).select("q_id", "c_id", F.lit(True).alias("in_exact"))
     return hits.join(exact, ["q_id", "c_id"], "left").select(

@@ -70,6 +70,19 @@ def test_ann_recall(spark):
     assert recall >= 0.9, recall
 
 
+def test_ann_recall_of_defaults_on_unclustered_vectors(spark):
+    rng = np.random.default_rng(8)
+    c = {i: v.tolist() for i, v in enumerate(rng.normal(size=(2000, 32)).astype(np.float32))}
+    q = {i: v.tolist() for i, v in enumerate(rng.normal(size=(300, 32)).astype(np.float32))}
+    hits = K.vector_topk_ann(spark.createDataFrame(list(q.items()), "q_id long, vector array<float>"),
+                             spark.createDataFrame(list(c.items()), "c_id long, vector array<float>"), 5).collect()
+    exp, got = _brute(q, c, 5), {}
+    for h in hits:
+        got.setdefault(h.q_id, set()).add(h.c_id)
+    recall = np.mean([len(got.get(i, set()) & set(exp[i])) / 5 for i in q])
+    assert recall >= 0.9, recall
+
+
 def test_citation_value_forms(spark):
     refs = [("s3://b/1", json.dumps({"source_url": "https://w/1", "title": "T1"})),
             ("s3://b/2", json.dumps({"source_url": {"stringValue": "https://w/2", "type": "STRING"},
