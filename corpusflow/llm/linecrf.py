@@ -182,7 +182,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     """Train on at most ``sample`` labelled documents, taken in the order of a
     hash of their id so that the same rows are taken every time."""
     ship_package(docs.sparkSession)
-    chosen = (labels.filter("doc_id is not null and quality in (0, 1)").select("doc_id", "quality")
+    chosen = (labels.filter("doc_id is not null and quality in (0, 1)").select("doc_id", "quality").distinct()
               .orderBy(F.xxhash64("doc_id"), "quality").limit(sample))
 
     @F.arrow_udf("array<double>")
@@ -191,11 +191,14 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
             got = [line_features(t.as_py() or "")[0] for t in batch]
             yield pa.array([x.ravel() if len(x) <= max_lines else None for x in got], pa.list_(pa.float64()))
 
-    # at most ``sample`` rows: a bounded broadcast and a bounded collect
+    # one text, of least hash, for each chosen label: at most ``sample`` rows,
+    # a bounded broadcast and a bounded collect
     picked = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(
-        F.broadcast(chosen), "doc_id").limit(2 * sample)
-    rows = picked.select("quality", features(F.col("text")).alias("x")).filter("x is not null").collect()
-    return train([(np.array(r["x"]).reshape(-1, len(FEATURES)), int(r["quality"])) for r in rows])
+        F.broadcast(chosen), "doc_id")
+    picked = picked.groupBy("doc_id", "quality").agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("least"))
+    rows = picked.select("doc_id", "quality", features(F.col("least")["text"]).alias("x")).filter("x is not null").collect()
+    return train([(np.array(r["x"]).reshape(-1, len(FEATURES)), int(r["quality"]))
+                  for r in sorted(rows, key=lambda r: (r["doc_id"], r["quality"]))])
 
 
 MEASURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, content_share double"

@@ -77,3 +77,14 @@ def test_fit_keeps_prose_and_rejects_junk(spark):
     none = L.fit(docs, labels.limit(0))
     assert none.weights.sum() == 0
     assert L.fit(docs.limit(0), labels).weights.sum() == 0
+
+
+def test_fit_takes_a_repeated_document_once(spark):
+    good, bad = prose(3, 30), [(1000 + i, junk(i)) for i in range(30)]
+    rows = good + bad
+    label = [(i, 1) for i, _ in good] + [(i, 0) for i, _ in bad]
+    labels = spark.createDataFrame(label, "doc_id long, quality int")
+    once = L.fit(spark.createDataFrame(rows, "doc_id long, text string"), labels)
+    hot = spark.createDataFrame([good[0]] * 400 + rows, "doc_id long, text string").coalesce(1)
+    many = L.fit(hot, labels.union(labels), sample=60)
+    assert np.array_equal(once.weights, many.weights) and np.array_equal(once.change, many.change)
