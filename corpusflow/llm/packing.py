@@ -117,6 +117,15 @@ class Plan:
         self.compact()
         fits = np.nonzero((self.residual >= need).all(axis=1))[0]
         residuals = self.residual[fits].copy()
+        if self.by == "dot":
+            # an item makes its sequence less wanted: one item each, best residuals first
+            while len(fits) and rank < items:
+                i = fits[int(np.argmin(self.score(self.residual[fits], need)))]
+                n = min(int(self.count[i]), items - rank)
+                fill(self.residual[i].copy(), self.take(i, n), 1)
+                fits = np.nonzero((self.residual >= need).all(axis=1) & (self.count > 0))[0]
+            residuals = residuals[:0]
+            fits = fits[:0]
         order = np.argsort(self.score(residuals, need), kind="stable")
         for i, residual in zip(fits[order], residuals[order], strict=True):
             if rank == items:

@@ -44,6 +44,18 @@ def test_plan_equals_placing_one_by_one():
             assert +have == Counter(tuple(r.tolist()) for r in want)
 
 
+def test_dot_plan_equals_placing_one_by_one():
+    rng = random.Random(9)
+    cap = Capacity(64, 1000, 64 * 64)
+    for _ in range(30):
+        lengths = [rng.choice([rng.randint(1, 64), rng.randint(1, 9), 17]) for _ in range(rng.randint(1, 120))]
+        plan = packing.plan(Counter(lengths), cap, by="dot")
+        have = Counter()
+        for r, n in zip(plan.residual.tolist(), plan.count.tolist(), strict=True):
+            have[tuple(r)] += n
+        assert +have == Counter(tuple(r.tolist()) for r in one_by_one(lengths, cap, (1.0, 0.01, 0.01), "dot"))
+
+
 def check(rows, cap):
     seqs = {}
     for r in rows:
