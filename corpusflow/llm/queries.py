@@ -85,18 +85,17 @@ def packed_pieces(docs: DataFrame) -> DataFrame:
 def op3_best_fit_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Best-fit packing of all documents into sequences of 1024 tokens."""
     pieces = packed_pieces(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    items = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
-    return packing.pack(items).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    placed = packing.pack(pieces.select("doc_id", "piece", "start", "length", "ids"))
+    return placed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
 
 
 def op4_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents into 24 shards of near-equal bytes by histogram sort."""
     text = F.coalesce("text", F.lit(""))
-    docs = table(spark, sf_dir, "documents").select(
-        "doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
-        F.xxhash64("text").alias("text_key"))
-    out = sharding.shard(docs, 24, F.col("size"), F.col("text_key"), F.col("doc_id"), ["doc_id", "size", "text_crc32"])
-    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+    size = (F.octet_length(text) + 8).cast("long")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = sharding.shard(docs, 24, size, F.xxhash64("text"), F.col("doc_id"), ["doc_id", "text"])
+    return out.select("doc_id", size.alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot",
                       F.lit(None).cast("int").alias("grown_shard"))
 
 

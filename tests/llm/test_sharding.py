@@ -62,3 +62,26 @@ def test_native_and_one_exchange(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
     assert plan.split("== Initial Plan ==")[-1].count("Exchange") == 1
+
+
+def test_queries_move_texts_and_ids_through_the_operators(spark, monkeypatch):
+    from conftest import SF_SMALL
+
+    from corpusflow.llm import packing, queries, sharding
+    shard, pack, moved = sharding.shard, packing.pack, []
+
+    def shard_seen(*args, **kw):
+        out = shard(*args, **kw)
+        moved.append("text" in out.columns)
+        return out
+
+    def pack_seen(items, *args, **kw):
+        moved.append("ids" in items.columns)
+        return pack(items, *args, **kw)
+
+    monkeypatch.setattr(sharding, "shard", shard_seen)
+    monkeypatch.setattr(packing, "pack", pack_seen)
+    n = spark.read.parquet(f"{SF_SMALL}/documents.parquet").count()
+    assert queries.op4_histogram_shards(spark, SF_SMALL).filter("text_crc32 is not null and size >= 8").count() == n
+    assert queries.op3_best_fit_pack(spark, SF_SMALL).filter("ids_crc32 is null or sequence_id is null").count() == 0
+    assert moved == [True, True]
