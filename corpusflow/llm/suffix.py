@@ -244,10 +244,12 @@ def run_rows(c: Chunk, g: np.ndarray, anchor: np.ndarray, lo: np.ndarray, hi: np
 
 
 def runs_of(c: Chunk, rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(anchor, first, last window)`` in the chunk of the runs of its slices.
-    Runs were made of the same slices, so each lies in one."""
+    """``(anchor, first, last window)`` in the chunk of the runs of its slices,
+    in text order: of equal runs the earliest must come first. Runs were made
+    of the same slices, so each lies in one."""
     out = []
     for s, at in enumerate(rows):
+        at = np.sort(at)
         lo = (at >> 16) - c.shift[s]
         ok = (lo >= c.first[s]) & (lo + LENGTH <= c.first[s] + c.sizes[s])
         out.append(np.stack([lo + (at >> 8 & 255), lo, lo + (at & 255)], 1)[ok])

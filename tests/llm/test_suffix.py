@@ -99,3 +99,52 @@ def test_settle_over_batch_borders():
     whole = run([])
     for _ in range(50):
         assert run(sorted(rng.sample(range(1, 80), rng.randint(1, 40)))) == whole
+
+
+def test_one_document_repeats_itself_over_many_runs(spark):
+    """Runs of one row come back from a shuffle in any order; the first
+    occurrence stays."""
+    rng = random.Random(11)
+    part = ["".join(rng.choice("abcdefgh ") for _ in range(130)) for _ in range(6)]
+    rows = []
+    for d in range(8):
+        text = ""
+        for _ in range(60):
+            p = rng.choice(part)
+            i = rng.randint(0, 20)
+            text += p[i:i + rng.randint(62, 110)] + rng.choice(["", "#", "@@", p[:40]])
+        rows.append((d, text))
+    assert found(documents(spark, rows)) == brute(rows)
+
+
+def test_query_equals_brute_force_on_the_whole_table(spark):
+    import hashlib
+
+    from corpusflow.llm import queries
+
+    from conftest import SF_CHECK
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF_CHECK}/documents.parquet").collect()]
+    want = {}
+    seen = set()
+    for doc, text in sorted(rows):
+        raw = (text or "").encode()
+        gone = np.zeros(len(raw), dtype=bool)
+        for i in range(len(raw) - 99):
+            if raw[i:i + 100] in seen:
+                gone[i:i + 100] = True
+            seen.add(raw[i:i + 100])
+        spans = int((np.diff(np.concatenate([[0], gone.astype(int)])) == 1).sum())
+        kept = np.frombuffer(raw, np.uint8)[~gone].tobytes()
+        want[doc] = (len(raw), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest())
+    got = {r["doc_id"]: tuple(r)[1:] for r in queries.op8_suffix_dedup(spark, SF_CHECK).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()}
+    assert got == want
+
+
+def test_runs_of_a_slice_are_in_text_order():
+    text = bytes(random.Random(5).randrange(97, 123) for _ in range(3000))
+    c = suffix.Chunk([1], [1], [0], [text])
+    anchor, lo, hi = c.anchors()
+    rows = lo << 16 | (anchor - lo) << 8 | (hi - lo)
+    got = suffix.runs_of(c, [np.random.default_rng(3).permutation(rows)])
+    assert all((g == w).all() for g, w in zip(got, (anchor, lo, hi)))
