@@ -33,10 +33,9 @@ def oracle_sql() -> dict[str, str]:
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """Crawl session -> extraction -> store policy -> document keys ->
     per-verdict counts with the number of distinct document keys."""
-    from ..operators.extract import page_kind
     from ..operators.reports import stored_flag
     from ..functions.text import safe_title
-    s = page_kind(crawl.session(spark, sf), crawl.POLICY)
+    s = crawl.with_kind(crawl.session(spark, sf), spark, sf)
     key = F.concat_ws("_", safe_title(F.col("title")), F.substring(F.md5("fetch_url"), 1, 12))
     return (s.withColumn("_stored", stored_flag(s))
             .groupBy("verdict").agg(F.count(F.lit(1)).alias("n"),
