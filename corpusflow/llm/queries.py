@@ -10,8 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, ctw, frames, linecrf, nndescent, packing, sharding, simhash, suffix, tokens
-from .common import table
+from . import bpe, chat, ctw, frames, linecrf, merkle, nndescent, packing, sharding, simhash, suffix, tokens
+from .common import lower_ascii, table
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,9 +148,71 @@ def op10_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op12_merkle_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaves, roots and proofs of all documents; a third of them tampered."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+
+    def values(text):
+        return [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")] + [text]
+    drawn = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    bad = F.when(drawn, merkle.leaf(*values(lower_ascii(F.col("text")))))
+    out = merkle.manifest(docs, F.col("doc_id"), F.col("lang"), values(F.col("text")), bad)
+    back = merkle.folded(F.coalesce("load", "leaf"), F.col("path"))
+    return (out.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root",
+                       merkle.proof(F.col("path")).alias("proof_sha256"), back.alias("folded_root"))
+            .withColumn("verified", F.col("folded_root") == F.col("root")))
+
+
+def _sql_tree(leaves: str, name: str, levels: int) -> str:
+    """CTEs of a tree over ``leaves(g, i, d)``: per level ``k`` the nodes
+    ``{name}{k}(g, i, d, n)`` and what stands beside each, ``{name}s{k}``."""
+    out = [f"{name}0 AS (SELECT g, i, d, count(*) OVER (PARTITION BY g) AS n FROM {leaves})"]
+    for k in range(levels):
+        out.append(f"""{name}p{k} AS (SELECT g, i // 8 AS j, any_value(n) AS n, list(d ORDER BY i) AS ds FROM {name}{k} GROUP BY ALL)""")
+        out.append(f"""{name}s{k} AS (SELECT c.g, c.i,
+  CASE WHEN c.n = 1 THEN '' ELSE array_to_string(ds[:(c.i % 8)], '') END AS l,
+  CASE WHEN c.n = 1 THEN '' ELSE array_to_string(ds[(c.i % 8 + 2):], '') END AS r, c.n
+  FROM {name}{k} c JOIN {name}p{k} p ON c.g = p.g AND c.i // 8 = p.j)""")
+        out.append(f"""{name}{k + 1} AS (SELECT g, j AS i, CASE WHEN n = 1 THEN ds[1] ELSE sha256(array_to_string(ds, '')) END AS d,
+  count(*) OVER (PARTITION BY g) AS n FROM {name}p{k})""")
+    return ",\n".join(out)
+
+
+def _sql_merkle(levels: int = 7, top: int = 3) -> str:
+    def part(c):
+        return f"coalesce(octet_length(encode({c}::VARCHAR)) || ':' || {c}::VARCHAR, '-')"
+    head = " || ".join(part(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    crc = """xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(doc_id::VARCHAR, ''),
+      lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+      lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END), 4294967295::BIGINT)"""
+    inner = " ".join(f"JOIN bs{k} x{k} ON x{k}.g = v.g AND x{k}.i = v.i // {8 ** k}" for k in range(levels))
+    outer = " ".join(f"JOIN cs{k} y{k} ON y{k}.i = q.i // {8 ** k}" for k in range(top))
+    steps = [f"x{k}" for k in range(levels)] + [f"y{k}" for k in range(top)]
+    beside = " || ".join(f"{s}.l || {s}.r" for s in steps)
+    sides = ", ".join(f"{{'l': {s}.l, 'r': {s}.r, 'n': {s}.n}}" for s in steps)
+    return f"""
+WITH a AS (SELECT doc_id, coalesce('=' || lang, '') AS g, sha256({head} || {part('text')}) AS d,
+    CASE WHEN {crc} % 3 = 0 THEN sha256({head} || {part(low)}) END AS t FROM documents),
+v AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, d) - 1 AS i FROM a),
+{_sql_tree('v', 'b', levels)},
+q AS (SELECT '' AS g, g AS lang, d, row_number() OVER (ORDER BY g) - 1 AS i FROM b{levels}),
+{_sql_tree('q', 'c', top)},
+w AS (SELECT v.doc_id, v.d AS leaf, coalesce(v.t, v.d) AS bad, q.d AS subroot, (SELECT d FROM c{top}) AS root,
+    sha256({beside}) AS proof_sha256, [{sides}] AS path
+  FROM v {inner} JOIN q ON q.lang = v.g {outer}),
+z AS (SELECT *, list_reduce(list_concat([{{'l': '', 'r': bad, 'n': 0::BIGINT}}], path), lambda f, s:
+    {{'l': '', 'r': CASE WHEN s.n = 1 THEN f.r ELSE sha256(s.l || f.r || s.r) END, 'n': 0::BIGINT}}).r AS folded_root FROM w)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM z
+"""
+
+
+OP12_SQL = _sql_merkle()
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k.startswith("op") and k[2].isdigit() and callable(v)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_chat_format": OP2_SQL}
+    return {"op2_chat_format": OP2_SQL, "op12_merkle_intervals": OP12_SQL}
