@@ -178,10 +178,10 @@ def manifest(rows: DataFrame, row_id: Column, group: Column, values: list[Column
     outer = build(roots.select(F.lit("").alias("g"), F.col("g").alias("id"), F.col("root").alias("digest"),
                                F.lit(None).cast("int").alias("load")), "merkle-top")
     none = F.from_json(F.lit("[]"), PATH)
-    root = outer.roots.select(F.col("g"), F.col("root"))
-    above = materialise(paths(outer, root.select("g", none.alias("path"))).select(
-        F.lit("").alias("t"), F.col("id").alias("g"), F.col("digest").alias("subroot"), "path")
-        .join(root.select(F.col("g").alias("t"), "root"), "t").drop("t"), "merkle-roots")
+    root = outer.roots.first()                    # the one root of all, or nothing
+    above = materialise(paths(outer, outer.roots.select("g", none.alias("path"))).select(
+        F.col("id").alias("g"), F.col("digest").alias("subroot"), F.lit(root["root"] if root else None).alias("root"),
+        "path"), "merkle-roots")
     found = paths(inner, above.select("g", "path"))
     return found.join(above.select("g", "subroot", "root"), "g").select(
         "id", F.col("g").alias("group_key"), F.col("digest").alias("leaf"), "load", "subroot", "root", "path")

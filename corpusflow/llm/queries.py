@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, ctw, frames, linecrf, merkle, nndescent, packing, sharding, simhash, suffix, tokens
+from . import bpe, chat, collocations, ctw, frames, licences, linecrf, merkle, nndescent, packing, sharding, simhash, suffix, tokens
 from .common import lower_ascii, table
 
 
@@ -148,6 +148,20 @@ def op10_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op11_rare_token_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and templates in all documents."""
+    out = licences.scan(table(spark, sf_dir, "documents").select("doc_id", "text"), out="licence")
+    base, found = F.col("licence.base"), F.col("licence.found")
+    at = F.flatten(base["places"])
+    fixed = F.transform(F.filter(base, lambda b: F.size(b["places"]) > 0), lambda b: b["label"])
+    return out.select(
+        "doc_id", "licence.n_words", F.size(at).cast("long").alias("n_base"),
+        F.array_min(at).cast("long").alias("first_word"), F.array_max(at).cast("long").alias("last_word"),
+        licences.labels(fixed).alias("base_labels"), licences.labels(F.concat(fixed, found["label"])).alias("labels"),
+        F.coalesce(F.array_max(found["score"]), F.lit(0.0)).alias("score"),
+        F.array_join(found["name"], ",").alias("templates"))
+
+
 def op12_merkle_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaves, roots and proofs of all documents; a third of them tampered."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
@@ -210,9 +224,40 @@ SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = roo
 OP12_SQL = _sql_merkle()
 
 
+def op13_top_order_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's first 2000 phrases of two to four words."""
+    return collocations.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
+OP13_SQL = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM p),
+g AS (SELECT lang, k, unnest(list_transform(generate_series(1, len(ws) - k + 1), lambda i: array_to_string(ws[i:(i + k - 1)], ' '))) AS phrase
+  FROM w, generate_series(1, 4) AS s(k) WHERE len(ws) >= k),
+c AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL),
+t AS (SELECT lang, sum(f)::BIGINT AS n FROM c WHERE k = 1 GROUP BY ALL),
+a AS (SELECT *, string_split(phrase, ' ') AS ws FROM c WHERE k > 1 AND f >= 30),
+u AS (SELECT lang, phrase, k, f, j, array_to_string(ws[1:j], ' ') AS lp, array_to_string(ws[(j + 1):], ' ') AS rp
+  FROM a, generate_series(1, 3) AS s(j) WHERE j < k),
+v AS (SELECT u.*, l.f AS l, r.f AS r, (2000000::HUGEINT * u.f // (l.f + r.f))::BIGINT AS score
+  FROM u JOIN c l ON l.lang = u.lang AND l.phrase = lp JOIN c r ON r.lang = u.lang AND r.phrase = rp),
+b AS (SELECT * FROM v QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+i AS (SELECT lang, f, array_to_string(ws[s:(s + m - 1)], ' ') AS phrase
+  FROM a, generate_series(2, 3) AS x(m), generate_series(1, 3) AS y(s) WHERE m < k AND s + m - 1 <= k),
+h AS (SELECT lang, phrase, max(f) AS longer FROM i GROUP BY ALL),
+z AS (SELECT b.* FROM b LEFT JOIN h ON h.lang = b.lang AND h.phrase = b.phrase
+  WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * b.f)
+SELECT z.lang, row_number() OVER (PARTITION BY z.lang ORDER BY score DESC, f DESC, phrase) AS rank, phrase,
+       f AS a, l, r, n, score
+FROM z JOIN t ON t.lang = z.lang QUALIFY rank <= 2000
+"""
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k.startswith("op") and k[2].isdigit() and callable(v)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_chat_format": OP2_SQL, "op12_merkle_intervals": OP12_SQL}
+    return {"op2_chat_format": OP2_SQL, "op12_merkle_intervals": OP12_SQL,
+            "op13_top_order_phrases": OP13_SQL}
