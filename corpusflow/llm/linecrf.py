@@ -5,11 +5,16 @@ content or boilerplate; Viterbi decoding gives the best label sequence, and
 the share of words in content lines decides retention, after two plain rules
 (too few words, too many repeated word windows).
 
-``fit`` trains the field on a bounded sample of labelled documents: the lines
-of a document of quality 1 count as content, those of quality 0 as
-boilerplate. The bound (``SAMPLE_DOCS`` documents of at most ``SAMPLE_LINES``
-lines) is a parameter; the model is some dozen numbers whatever the corpus
-size. ``measure`` computes the rule counts and the decoded share for every
+``fit`` trains the field on a bounded sample of labelled documents. The lines of
+a document of quality 0 are boilerplate. In one of quality 1 a line of fewer than
+``NOTICE_WORDS`` words that stands in ``RECURS`` or more documents of the sample
+is boilerplate (a notice, a heading) and the others are content; if most of a document's lines recur, it is
+a copy of another document and all its lines are content. So the sequences to
+learn from change label inside a document, and the field learns changes as well
+as labels. Documents of quality 0 and those with lines of both kinds weigh the
+same, those of content alone twice as much. The bound (``SAMPLE_DOCS`` documents
+of at most ``SAMPLE_LINES`` lines) is a parameter; the model is some dozen
+numbers whatever the corpus size. ``measure`` computes the rule counts and the decoded share for every
 whole text inside Arrow batches, without a shuffle.
 
 Words are runs without space, tab, LF, VT, FF and CR; lines are split at LF
@@ -25,11 +30,13 @@ are passed through, one named like the output is replaced.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,16 +44,22 @@ from .common import release, ship_package
 
 #: Bound of the training sample: documents, and lines of one of them.
 SAMPLE_DOCS, SAMPLE_LINES = 1000, 400
+#: A notice: lines of fewer words that so many documents of the sample share.
+NOTICE_WORDS, RECURS = 16, 3
 #: Rule limits.
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 20, 30, 8
 #: Least share of words in content lines.
 MIN_SHARE = 0.5
 
+#: Weights of all documents of boilerplate, of both kinds of lines, of content.
+KIND_WEIGHTS = np.array([1 / 3, 1 / 3, 2 / 3])
+
 #: Fixed character classes.
 SYMBOLS = b"#*$%&|<>"
 UPPER, LOWER, DIGITS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz", b"0123456789"
 STOPS = (b".", b"!", b"?", b":", b";")
-FEATURES = ("bias", "symbols", "upper", "digits", "shouts", "repeated line", "short", "length", "variety", "stop")
+FEATURES = ("bias", "symbols", "upper", "digits", "shouts", "repeated line", "short", "length", "variety", "stop",
+            "last of few words", "capitals")
 
 
 def line_features(text: str) -> tuple[np.ndarray, np.ndarray, int]:
@@ -65,8 +78,10 @@ def line_features(text: str) -> tuple[np.ndarray, np.ndarray, int]:
         rows.append((1.0, min(1.0, 5 * (size - len(line.translate(None, SYMBOLS))) / size), up / (up + low + 1),
                      (size - len(line.translate(None, DIGITS))) / size, min(1.0, line.count(b"!") / n),
                      float(again), float(n < 4), min(1.0, math.log1p(n) / 5), len(set(w)) / n,
-                     float(w[-1].endswith(STOPS))))
+                     float(w[-1].endswith(STOPS)), 0.0, sum(x[:1].isupper() for x in w) / n))
         words.append(n)
+    if rows and words[-1] < NOTICE_WORDS:
+        rows[-1] = (*rows[-1][:-2], 1.0, rows[-1][-1])
     return np.array(rows).reshape(-1, len(FEATURES)), np.array(words, dtype=np.int64), dups
 
 
@@ -126,26 +141,24 @@ class LineModel:
         return float(words[self.decode(x) == 1].sum() / total) if total else 0.0
 
 
-def train(docs: list[tuple[np.ndarray, int]], steps: int = 150, rate: float = 0.3, l2: float = 1e-3) -> LineModel:
-    """Maximum conditional likelihood by Adam over exact forward-backward
-    gradients; ``docs`` are (features, label of all lines)."""
-    k = len(FEATURES)
-    model = LineModel(np.zeros(k), np.zeros((2, 2)))
-    docs = [(x, y) for x, y in docs if len(x)]
-    if len({y for _, y in docs}) < 2:
-        return model
-    docs.sort(key=lambda d: len(d[0]))
-    longest = len(docs[-1][0])
-    n = len(docs)
-    lengths = np.array([len(x) for x, _ in docs])
-    labels = np.array([y for _, y in docs])
-    x = np.zeros((longest, n, k))
-    for i, (f, _) in enumerate(docs):
-        x[:len(f), i] = f
-    share = 1 / np.bincount(labels, minlength=2)[labels] / lengths     # both kinds weigh the same
-    first = np.searchsorted(lengths, np.arange(longest), side="right")  # docs from here on have a line t
-    theta, m, v = np.zeros(k + 4), np.zeros(k + 4), np.zeros(k + 4)
-    for step in range(1, steps + 1):
+class Sequences:
+    """Training documents, (features, label of each line), laid side by side."""
+
+    def __init__(self, docs: list[tuple[np.ndarray, np.ndarray]]):
+        docs = sorted(docs, key=lambda d: len(d[0]))
+        self.k, self.n, self.longest = len(FEATURES), len(docs), len(docs[-1][0])
+        self.lengths = np.array([len(x) for x, _ in docs])
+        self.x = np.zeros((self.longest, self.n, self.k))
+        self.y = np.zeros((self.longest, self.n), dtype=np.int64)
+        for i, (x, y) in enumerate(docs):
+            self.x[:len(x), i], self.y[:len(x), i] = x, y
+        kind = np.array([y.min() + y.max() for _, y in docs])            # 0, 1 (both labels) or 2
+        self.share = KIND_WEIGHTS[kind] / np.bincount(kind, minlength=3)[kind] / self.lengths
+        self.first = np.searchsorted(self.lengths, np.arange(self.longest), side="right")  # from here on: have a line t
+
+    def value_and_gradient(self, theta: np.ndarray) -> tuple[float, np.ndarray]:
+        """Weighted log-likelihood of the labels and its exact gradient."""
+        k, n, longest, x, share, lengths, first = (self.k, self.n, self.longest, self.x, self.share, self.lengths, self.first)
         w, change = theta[:k], theta[k:].reshape(2, 2)
         own = np.zeros((longest, n, 2))
         own[..., 1] = x @ w
@@ -160,23 +173,63 @@ def train(docs: list[tuple[np.ndarray, int]], steps: int = 150, rate: float = 0.
             bwd[t, s] = np.logaddexp(nxt[:, :1] + change[:, 0], nxt[:, 1:] + change[:, 1])
         end = fwd[lengths - 1, np.arange(n)]
         z = np.logaddexp(end[:, 0], end[:, 1])
-        grad = np.zeros(k + 4)
+        value, grad = -(z * share).sum(), np.zeros(k + 4)
         for t in range(longest):
             s = slice(first[t], n)
+            label, weight = self.y[t, s], share[s]
             p = np.exp(fwd[t, s, 1] + bwd[t, s, 1] - z[s])
-            grad[:k] += ((labels[s] - p) * share[s]) @ x[t, s]
+            value += (label * own[t, s, 1] * weight).sum()
+            grad[:k] += ((label - p) * weight) @ x[t, s]
             if t:
+                before = self.y[t - 1, s]
+                value += (change[before, label] * weight).sum()
                 both = np.exp(fwd[t - 1, s][:, :, None] + change + (own[t, s] + bwd[t, s])[:, None, :]
                               - z[s][:, None, None])
                 seen = np.zeros_like(both)
-                seen[np.arange(len(both)), labels[s], labels[s]] = 1
-                grad[k:] += ((seen - both) * share[s][:, None, None]).sum(axis=0).ravel()
-        grad -= l2 * theta
+                seen[np.arange(len(both)), before, label] = 1
+                grad[k:] += ((seen - both) * weight[:, None, None]).sum(axis=0).ravel()
+        return float(value), grad
+
+
+def train(docs: list[tuple[np.ndarray, np.ndarray | int]], steps: int = 200, rate: float = 0.3,
+          l2: float = 1e-3) -> LineModel:
+    """Maximum conditional likelihood by Adam over exact forward-backward
+    gradients; ``docs`` are (features, labels of the lines or one for all)."""
+    k = len(FEATURES)
+    docs = [(x, np.zeros(len(x), dtype=np.int64) + y) for x, y in docs if len(x)]
+    if len({int(label) for _, y in docs for label in np.unique(y)}) < 2:
+        return LineModel(np.zeros(k), np.zeros((2, 2)))
+    seen = Sequences(docs)
+    theta, m, v = np.zeros(k + 4), np.zeros(k + 4), np.zeros(k + 4)
+    for step in range(1, steps + 1):
+        grad = seen.value_and_gradient(theta)[1] - l2 * theta
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad ** 2
         theta = theta + rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
     return LineModel(theta[:k].copy(), theta[k:].reshape(2, 2).copy())
 
 
+def line_hashes(text: str) -> list[int | None]:
+    """A hash of each line that has a word; none for lines too long for a
+    notice."""
+    lines = [line.split() for line in text.encode().split(b"\n")]
+    return [xxhash.xxh64_intdigest(b" ".join(w)) - (1 << 63) if len(w) < NOTICE_WORDS else None for w in lines if w]
+
+
+def line_labels(docs: list[tuple[list[int | None], int]]) -> list[np.ndarray]:
+    """Label of every line of the sample's documents (line hashes, quality)."""
+    in_docs = Counter(h for lines, _ in docs for h in set(lines))
+    out = []
+    for lines, quality in docs:
+        recurs = np.array([h is not None and in_docs[h] >= RECURS for h in lines], dtype=bool)
+        if quality == 0:
+            out.append(np.zeros(len(lines), dtype=np.int64))
+        elif 2 * recurs.sum() > len(lines):
+            out.append(np.ones(len(lines), dtype=np.int64))
+        else:
+            out.append((~recurs).astype(np.int64))
+    return out
+
+
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
         sample: int = SAMPLE_DOCS, max_lines: int = SAMPLE_LINES) -> LineModel:
     """Train on at most ``sample`` labelled documents, taken in the order of a
@@ -185,20 +238,27 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     chosen = (labels.filter("doc_id is not null and quality in (0, 1)").select("doc_id", "quality").distinct()
               .orderBy(F.xxhash64("doc_id"), "quality").limit(sample))
 
-    @F.arrow_udf("array<double>")
+    @F.arrow_udf("struct<x: array<double>, lines: array<long>>")
     def features(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            got = [line_features(t.as_py() or "")[0] for t in batch]
-            yield pa.array([x.ravel() if len(x) <= max_lines else None for x in got], pa.list_(pa.float64()))
+            texts = [t.as_py() or "" for t in batch]
+            got = [line_features(t)[0] for t in texts]
+            fits = [len(x) <= max_lines for x in got]
+            yield pa.StructArray.from_arrays(
+                [pa.array([x.ravel() if ok else None for x, ok in zip(got, fits, strict=True)], pa.list_(pa.float64())),
+                 pa.array([line_hashes(t) if ok else None for t, ok in zip(texts, fits, strict=True)], pa.list_(pa.int64()))],
+                ["x", "lines"])
 
     # one text, of least hash, for each chosen label: at most ``sample`` rows,
     # a bounded broadcast and a bounded collect
     picked = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(
         F.broadcast(chosen), "doc_id")
     picked = picked.groupBy("doc_id", "quality").agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("least"))
-    rows = picked.select("doc_id", "quality", features(F.col("least")["text"]).alias("x")).filter("x is not null").collect()
-    return train([(np.array(r["x"]).reshape(-1, len(FEATURES)), int(r["quality"]))
-                  for r in sorted(rows, key=lambda r: (r["doc_id"], r["quality"]))])
+    rows = (picked.select("doc_id", "quality", features(F.col("least")["text"]).alias("f"))
+            .select("doc_id", "quality", "f.x", "f.lines").filter("x is not null").collect())
+    rows.sort(key=lambda r: (r["doc_id"], r["quality"]))
+    y = line_labels([(r["lines"], int(r["quality"])) for r in rows])
+    return train([(np.array(r["x"]).reshape(-1, len(FEATURES)), of) for r, of in zip(rows, y, strict=True)])
 
 
 MEASURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, content_share double"

@@ -35,6 +35,56 @@ def test_training_gradient_finds_separating_model():
     assert L.train(docs[:0]).weights.sum() == 0 and L.train(docs[::2]).weights.sum() == 0
 
 
+def test_gradient_equals_finite_differences():
+    rng = np.random.default_rng(5)
+    docs = [(rng.normal(size=(n, len(L.FEATURES))), rng.integers(0, 2, size=n)) for n in (1, 2, 3, 5, 5, 9)]
+    seen = L.Sequences(docs)
+    theta = rng.normal(size=len(L.FEATURES) + 4)
+    grad = seen.value_and_gradient(theta)[1]
+    for i in range(len(theta)):
+        step = np.zeros(len(theta))
+        step[i] = 1e-5
+        slope = (seen.value_and_gradient(theta + step)[0] - seen.value_and_gradient(theta - step)[0]) / 2e-5
+        assert abs(slope - grad[i]) < 1e-7
+
+
+def test_value_equals_enumeration():
+    """The likelihood of the labels, from all label sequences."""
+    rng = np.random.default_rng(6)
+    x, y = rng.normal(size=(4, len(L.FEATURES))), np.array([1, 0, 0, 1])
+    theta = rng.normal(size=len(L.FEATURES) + 4)
+    change = theta[-4:].reshape(2, 2)
+
+    def score(labels):
+        return sum(x[i] @ theta[:-4] * labels[i] for i in range(4)) + sum(change[a, b] for a, b in itertools.pairwise(labels))
+    z = np.logaddexp.reduce([score(s) for s in itertools.product((0, 1), repeat=4)])
+    weight = L.KIND_WEIGHTS[1] / 4
+    assert abs(L.Sequences([(x, y)]).value_and_gradient(theta)[0] - weight * (score(y) - z)) < 1e-9
+
+
+def test_line_labels():
+    notice, rest = [7], [[10 + i, 20 + i] for i in range(4)]
+    docs = [(rest[0] + notice, 1), (rest[1] + notice, 1), (rest[2] + notice, 1), (rest[3], 1), ([7, 30], 0),
+            ([1, 2], 1), ([1, 2], 1), ([1, 2], 1), ([None, None, None, None], 1), ([], 1)]
+    got = [y.tolist() for y in L.line_labels(docs)]
+    assert got == [[1, 1, 0]] * 3 + [[1, 1], [0, 0]] + [[1, 1]] * 3 + [[1, 1, 1, 1], []]
+
+
+def test_labels_change_inside_documents(spark):
+    """Notices at the end of prose are boilerplate, the prose is content."""
+    good, bad = prose(8, 120), [(1000 + i, junk(i)) for i in range(40)]
+    notices = ["Released under some terms here.", "All rights are reserved.", "Contact the editors for reuse."]
+    marked = [(i, t.replace(",\n", ", ") + "\n" + notices[i % 3]) for i, t in good[:60]]
+    docs = full_documents(spark, marked + good[60:] + bad)
+    labels = spark.createDataFrame([(i, 1) for i, _ in good] + [(i, 0) for i, _ in bad], "doc_id long, quality int")
+    model = L.fit(docs, labels)
+    out = {r["doc_id"]: r["measures"] for r in L.measure(docs, model).collect()}
+    inside = [i for i, _ in marked if 0 < out[i]["content_share"] < 1]
+    assert len(inside) > 40
+    assert all(out[i]["content_share"] >= 0.5 for i, t in good if len(t.split()) >= 20)
+    assert all(out[i]["content_share"] < 0.5 for i, _ in bad)
+
+
 def test_repeated_words_equals_counting():
     rng = random.Random(2)
     for _ in range(300):
