@@ -7,19 +7,25 @@ columns sums them to all shorter prefixes: the sum at prefix (w1, w2) is the
 count of the phrase "w1 w2", the sum over everything the number of words. No
 n-gram of a lower order is ever listed.
 
-Most longest windows occur once, and only phrases of ``least`` occurrences
-matter. A first scan therefore hashes words and neighbouring pairs into
-2^``BUCKET_BITS`` buckets and sums them in Spark; a bucket below ``least`` proves that
-every word and pair in it is rarer, and a window is padded from its first such
-word or pair on, since no phrase that holds it can be wanted. What is counted
-stays exact for every phrase that occurs ``least`` times: buckets only err by
-being too full. The map of buckets is one bit each (8 MB, whatever the data);
-the larger the corpus, the fuller it is and the fewer windows it shortens.
-
-Windows are summed inside a chunk of text before Spark sees them, so copies and
-common words do not travel one by one. Cuts join the table of counted phrases
-twice; containment in a longer phrase is a maximum per contained phrase with
-partial sums; ranks are taken inside ``SALTS`` parts of a language first.
+1. A chunk of text sums its equal windows and sends them, column by column and
+   compressed, to the part of their first word. Common words are numbered by a
+   dictionary of at most ``CODES`` words, the others are spelled out.
+2. A part adds up its windows. Only phrases of ``least`` occurrences matter, and
+   every window of a prefix is in the same part, so a window that occurs less
+   often is padded from the end until its prefix occurs ``least`` times, and
+   equal ones are added again. The sums of all wanted prefixes stay as they are,
+   and few windows are left.
+3. ``ROLLUP`` sums those.
+
+A first word that a bounded sample of documents shows to be common is dealt out
+by its second word as well, a common pair by its third; such windows are padded
+down to the word or pair only, and the sums of the parts meet in the ROLLUP. The
+dictionary comes from the same sample. Both decide how windows travel, not the
+result.
+
+Cuts join the table of counted phrases twice; containment in a longer phrase is
+a maximum per contained phrase with partial sums; ranks are taken inside
+``SALTS`` parts of a language first.
 
 Cases: null text is empty, null language is ``missing``; an empty table or one
 without frequent phrases gives no rows; repeated rows count each time; a piece
@@ -31,17 +37,22 @@ read, so other columns may have any name.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, release, ship_package, tmp
+from .common import materialise, partitions, release, ship_package, tmp
 
 ORDER = 4
-BUCKET_BITS = 26              # of the number of buckets
+#: Documents of the sample that names common words, words of the dictionary.
+SAMPLE_DOCS, CODES = 2000, 60_000
+#: A word or pair is common if its share would fill this part of a task.
+COMMON_PART = 0.125
 #: Bytes of text a task works on at once.
 CHUNK = 4 << 20
 #: Parts of a language that are ranked on their own first.
@@ -96,95 +107,219 @@ class Words:
         self.hash = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in self.words), dtype=np.uint64,
                                 count=len(self.words))
 
-    def buckets(self, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Bucket of every distinct word, bucket of the pair that starts at
-        every place, and whether there is such a pair."""
-        a, b = self.ids, np.append(self.ids[1:], -1)
-        pair = (a >= 0) & (b >= 0)
-        mixed = (self.hash[a] * _K[0] ^ (self.hash[b] * _K[1] >> np.uint64(7))) * _K[2]
-        shift = np.uint64(64 - bits)
-        return (self.hash * _K[2] >> shift).astype(np.int64), (mixed >> shift).astype(np.int64), pair
-
-
-def full_buckets(rows: DataFrame, least: int, bits: int = BUCKET_BITS, chunk: int = CHUNK) -> np.ndarray:
-    """One bit a bucket: whether ``least`` words and pairs fell into it."""
+    def windows(self, order: int) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct windows, ``order`` columns of word numbers from 1 (0:
+        padding), and how often each occurs."""
+        starts = np.nonzero(self.ids >= 0)[0]
+        ids = np.append(self.ids, np.full(order, -1)) + 1
+        columns, alive = [], np.ones(len(starts), dtype=bool)
+        for k in range(order):
+            column = ids[starts + k]
+            alive = alive & (column > 0)
+            columns.append(np.where(alive, column, 0))
+        return summed(np.stack(columns), np.ones(len(starts), dtype=np.int64))
+
+
+def summed(columns: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct columns in order, with the sums of ``n``."""
+    if not len(n):
+        return columns, n
+    base = int(columns.max()) + 1
+    code, key = np.unique(columns[0], return_inverse=True)
+    out = code[None, :]
+    for column in columns[1:]:
+        code, key = np.unique(key * base + column, return_inverse=True)
+        out = np.concatenate([out[:, code // base], (code % base)[None, :]])
+    return out, np.bincount(key, n, minlength=len(code)).astype(np.int64)
+
+
+def mixed(*hashes: np.ndarray) -> np.ndarray:
+    """One hash of several, by place."""
+    x = hashes[0]
+    for k, h in enumerate(hashes[1:]):
+        x = (x ^ (x >> np.uint64(29))) * _K[0] + h * _K[1 + k % 2]
+    x = (x ^ (x >> np.uint64(32))) * _K[2]
+    return x ^ (x >> np.uint64(29))
+
+
+@dataclass
+class Routes:
+    """What all tasks know: codes of common words and hashes of the first
+    words and pairs that are dealt out further."""
+    codes: dict[bytes, int] = field(default_factory=dict)
+    size: int = 0                  # codes run from 1 to size
+    words: np.ndarray = field(default_factory=lambda: np.empty(0, np.uint64))
+    pairs: np.ndarray = field(default_factory=lambda: np.empty(0, np.uint64))
+
+    def depth(self, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
+        """How many words decide a window's part."""
+        common = np.isin(h1, self.words)
+        return 1 + common + (common & np.isin(mixed(h1, h2), self.pairs))
+
+    def part(self, h: list[np.ndarray], parts: int) -> np.ndarray:
+        depth = self.depth(h[0], h[1])
+        at = np.where(depth == 1, mixed(h[0]), np.where(depth == 2, mixed(h[0], h[1]), mixed(*h[:3])))
+        return (at % np.uint64(parts)).astype(np.int32)
+
+
+def packed(columns: np.ndarray, n: np.ndarray, size: int, spelled: list[bytes], press: zstandard.ZstdCompressor) -> bytes:
+    """Windows as one compressed block; numbers beyond the ``size`` codes are
+    places in ``spelled``."""
+    used = np.unique(columns[columns > size])
+    columns = np.where(columns > size, size + 1 + np.searchsorted(used, columns), columns).astype("<u4")
+    words = b" ".join(spelled[i - size - 1] for i in used.tolist())
+    head = np.array([len(n), len(words)], dtype="<u8").tobytes()
+    return press.compress(head + words + columns.tobytes() + n.astype("<u8").tobytes())
+
+
+def unpacked(block: bytes, order: int, press: zstandard.ZstdDecompressor) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    raw = press.decompress(block)
+    size, wide = np.frombuffer(raw, dtype="<u8", count=2).tolist()
+    columns = np.frombuffer(raw, dtype="<u4", count=order * size, offset=16 + wide).reshape(order, size)
+    n = np.frombuffer(raw, dtype="<u8", count=size, offset=16 + wide + columns.nbytes)
+    return columns.astype(np.int64), n.astype(np.int64), raw[16:16 + wide].split()
+
+
+def sent(routes, parts: int, order: int, chunk: int):
+    """Arrow batch function over (lang, text): blocks of windows, one for each
+    part that a chunk has windows for."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, press = routes.value, zstandard.ZstdCompressor(level=3)
         for lang, texts in chunks(batches, chunk):
             w = Words(lang, texts)
-            if not len(w.ids):
+            columns, n = w.windows(order)
+            if not len(n):
                 continue
-            one, two, pair = w.buckets(bits)
-            bucket, n = np.unique(np.concatenate([one[w.ids[w.ids >= 0]], two[pair]]), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(n)], ["bucket", "n"])
+            hashes = np.append(np.uint64(0), w.hash)
+            part = known.part([hashes[c] for c in columns[:3]], parts)
+            code = np.fromiter((known.codes.get(x, 0) for x in w.words), dtype=np.int64, count=len(w.words))
+            spelled = np.flatnonzero(code == 0)
+            code[spelled] = known.size + 1 + np.arange(len(spelled))
+            columns = np.append(0, code)[columns]
+            words = [w.words[i] for i in spelled.tolist()]
+            by = np.argsort(part, kind="stable")
+            columns, n, part = columns[:, by], n[by], part[by]
+            cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([int(part[a])], pa.int32()), pa.array([lang], pa.string()),
+                     pa.array([packed(columns[:, a:b], n[a:b], known.size, words, press)], pa.binary())],
+                    ["part", "lang", "block"])
             release()
-    sums = rows.mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    place = F.col("bucket") + 1
-    got = (sums.filter(F.col("n") >= least)
-           .groupBy(F.bitmap_bucket_number(place).alias("slot"))
-           .agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect())
-    out = np.zeros((max(1, 1 << bits >> 15), 1 << 12), dtype=np.uint8)       # a slot has 2^15 bits
-    for r in got:
-        out[r["slot"] - 1] = np.frombuffer(r["bits"], dtype=np.uint8)
-    return out.ravel()
-
-
-def window_columns(w: Words, full: np.ndarray, order: int, bits: int = BUCKET_BITS) -> tuple[list[np.ndarray], np.ndarray]:
-    """Distinct windows of a chunk as ``order`` arrays of word numbers from 1
-    (0: padding), and how often each occurs."""
-    def often(bucket):
-        return (full[bucket >> 3] >> (bucket & 7).astype(np.uint8) & 1).astype(bool)
-    one, two, pair = w.buckets(bits)
-    starts = np.nonzero(w.ids >= 0)[0]
-    pair[pair] = often(two[pair])
-    pair = np.append(pair, np.zeros(order, dtype=bool))
-    ids = np.append(w.ids, np.full(order, -1)) + 1
-    alive = often(one)[w.ids[starts]]
-    base = len(w.words) + 1
-    # number the distinct prefixes word by word; most windows end early
-    column = np.where(alive, ids[starts], 0)
-    code, key = np.unique(column, return_inverse=True)
-    columns = [code]
-    for k in range(1, order):
-        alive = alive & pair[starts + k - 1]
-        column = np.where(alive, ids[starts + k], 0)
-        code, key = np.unique(key * base + column, return_inverse=True)
-        columns = [c[code // base] for c in columns] + [code % base]
-    return columns, np.bincount(key, minlength=len(code))
+    return run
+
+
+def shortened(columns: np.ndarray, n: np.ndarray, depth: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct windows in order, padded from the end while their prefix occurs
+    less than ``least`` times, and equal ones added. A prefix is judged only if
+    all its windows are here: if it has the ``depth`` words that decide the
+    part."""
+    if not len(n):
+        return columns, n
+    size = (columns > 0).sum(axis=0)
+    new, group, groups = np.zeros(len(n), dtype=bool), [], 0
+    new[0] = True
+    for column in columns:
+        new[1:] |= column[1:] != column[:-1]
+        group.append(np.cumsum(new) - 1)
+    for k in range(len(columns), 0, -1):
+        rare = np.bincount(group[k - 1], n)[group[k - 1]] < least
+        size = np.where((size >= k) & (k >= depth) & rare, k - 1, size)
+    # windows cut to the same size inside one group of that size are equal
+    key = np.zeros(len(n), dtype=np.int64)
+    for k, at in enumerate(group, 1):
+        key = np.where(size == k, k * len(n) + at, key)
+    _, first, at = np.unique(key, return_index=True, return_inverse=True)
+    out = np.where(np.arange(len(columns))[:, None] < size[first], columns[:, first], 0)
+    return out, np.bincount(at, n).astype(np.int64)
+
+
+def added(routes, order: int, least: int, fold: int = 1 << 21):
+    """Arrow batch function over (part, lang, block): the windows of a part,
+    summed and shortened, as ``(lang, w1 .., n)``. Blocks are added up whenever
+    ``fold`` windows, and as many as there are, have come together."""
+    def total(mine):
+        return summed(np.concatenate([x[0] for x in mine], axis=1), np.concatenate([x[1] for x in mine]))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, press = routes.value, zstandard.ZstdDecompressor()
+        held, spelled = {}, {}
+        for batch in batches:
+            for lang, block in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
+                columns, n, words = unpacked(block.as_py(), order, press)
+                number = spelled.setdefault(lang, {})
+                own = np.fromiter((number.setdefault(x, len(number)) for x in words), dtype=np.int64, count=len(words))
+                beyond = columns > known.size
+                columns[beyond] = known.size + 1 + own[columns[beyond] - known.size - 1]
+                mine = held.setdefault(lang, [])
+                mine.append((columns, n))
+                if sum(len(x[1]) for x in mine[1:]) > max(fold, len(mine[0][1])):
+                    mine[:] = [total(mine)]
+        for lang in list(held):
+            columns, n = total(held.pop(lang))
+            words = [b"", *known.codes, *spelled.pop(lang)]
+            used = np.unique(columns[:2])
+            seed = xxhash.xxh32_intdigest(lang.encode())
+            hashes = np.zeros(len(words), dtype=np.uint64)
+            hashes[used] = [xxhash.xxh64_intdigest(words[i], seed) if i else 0 for i in used.tolist()]
+            columns, n = shortened(columns, n, known.depth(hashes[columns[0]], hashes[columns[1]]), least)
+            left, columns = np.unique(columns, return_inverse=True)
+            text = pa.array([words[i] for i in left.tolist()], pa.binary()).cast(pa.string())
+            columns = columns.reshape(order, len(n))
+            for at in range(0, len(n), 1 << 16):
+                some = [text.take(pa.array(c[at:at + (1 << 16)])) for c in columns]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(some[0]), pa.string()), *some, pa.array(n[at:at + (1 << 16)])],
+                    ["lang", *[f"w{k + 1}" for k in range(order)], "n"])
+        release()
+    return run
 
-def windows(rows: DataFrame, full: np.ndarray, order: int, bits: int = BUCKET_BITS, chunk: int = CHUNK) -> DataFrame:
-    """Longest windows ``(lang, w1 .. w<order>, n)``, summed inside chunks;
-    padding is the empty word."""
-    shared = rows.sparkSession.sparkContext.broadcast(full.tobytes())
-    names = [f"w{k + 1}" for k in range(order)]
 
+def known_routes(rows: DataFrame, parts: int, chunk: int) -> Routes:
+    """Dictionary and common words and pairs from a bounded sample: the texts
+    of least hash, equal ones once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.frombuffer(shared.value, dtype=np.uint8)
         for lang, texts in chunks(batches, chunk):
             w = Words(lang, texts)
-            if not (w.ids >= 0).any():
+            columns, n = w.windows(2)
+            if not len(n):
                 continue
-            columns, n = window_columns(w, held, order, bits)
-            known = pa.array([b"", *(x if x != _BREAK else b"" for x in w.words)], pa.binary()).cast(pa.string())
-            for at in range(0, len(n), 1 << 16):
-                some = [known.take(pa.array(c[at:at + (1 << 16)])) for c in columns]
-                size = len(some[0])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * size, pa.string()), *some, pa.array(n[at:at + (1 << 16)])],
-                    ["lang", *names, "n"])
-            release()
-    return rows.mapInArrow(run, "lang string, " + ", ".join(f"{c} string" for c in names) + ", n long")
+            hashes = np.append(np.uint64(0), w.hash)
+            words = pa.array([b"", *(x if x != _BREAK else b"" for x in w.words)], pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [words.take(pa.array(columns[0])), pa.array(hashes[columns[0]].view(np.int64)),
+                 pa.array(mixed(hashes[columns[0]], hashes[columns[1]]).view(np.int64)), pa.array(n)],
+                ["word", "first", "pair", "n"])
+    hashed = rows.withColumn("h", F.xxhash64("text"))
+    least_hashes = hashed.select("h").distinct().orderBy("h").limit(SAMPLE_DOCS)
+    few = hashed.join(F.broadcast(least_hashes), "h", "left_semi").dropDuplicates(["lang", "h"])
+    pairs = materialise(few.select("lang", "text").mapInArrow(run, "word binary, first long, pair long, n long"), "phrase-sample")
+    total = pairs.agg(F.sum("n")).first()[0]
+    if not total:
+        return Routes()
+    least = max(2, int(total * COMMON_PART / parts))      # so at most 8 x parts of each are common
+    codes = (pairs.filter(F.length("word") > 0).groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word")
+             .limit(CODES).select("word").collect())
+
+    def common(column: str) -> np.ndarray:
+        got = pairs.groupBy(column).agg(F.sum("n").alias("n")).filter(F.col("n") >= least).select(column).collect()
+        return np.sort(np.array([r[0] for r in got], dtype=np.int64).view(np.uint64))
+    return Routes({bytes(r[0]): i + 1 for i, r in enumerate(codes)}, len(codes), common("first"), common("pair"))
 
 
 def phrase_counts(docs: DataFrame, text: str, lang: str, missing: str, least: int, order: int,
-                  bits: int = BUCKET_BITS, chunk: int = CHUNK) -> DataFrame:
+                  chunk: int = CHUNK) -> DataFrame:
     """``(lang, phrase, words, f)`` of every phrase of up to ``order`` words
     that occurs ``least`` times, and a row of no words with the number of all."""
     spark = docs.sparkSession
     ship_package(spark)
     rows = docs.select(F.coalesce(F.col(lang), F.lit(missing)).alias("lang"), F.col(text).alias("text"))
     leads = [f"w{k + 1}" for k in range(order)]
-    top = windows(rows, full_buckets(rows, least, bits, chunk), order, bits, chunk)
+    parts = partitions(spark)
+    routes = spark.sparkContext.broadcast(known_routes(rows, parts, chunk))
+    blocks = rows.mapInArrow(sent(routes, parts, order, chunk), "part int, lang string, block binary")
+    top = blocks.repartitionById(parts, "part").mapInArrow(
+        added(routes, order, least), "lang string, " + ", ".join(f"{c} string" for c in leads) + ", n long")
     listed = ", ".join(leads)
     sums = spark.sql(f"SELECT lang, {listed}, sum(n) AS f FROM {{top}} GROUP BY lang, ROLLUP({listed})", top=top)
     last = F.coalesce(*reversed(leads))               # null: the sum over all windows
@@ -231,12 +366,11 @@ def contained(phrases: DataFrame, order: int, share: int) -> DataFrame:
 
 
 def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", missing: str = "und", least: int = 30,
-                 top: int = 2000, order: int = ORDER, share: int = 80, bits: int = BUCKET_BITS,
-                 chunk: int = CHUNK) -> DataFrame:
+                 top: int = 2000, order: int = ORDER, share: int = 80, chunk: int = CHUNK) -> DataFrame:
     """``(lang, rank, phrase, a, l, r, n, score)``: each language's first
-    ``top`` phrases of 2 to ``order`` words with ``least`` occurrences. The
-    number of buckets and the chunk size change the work, not the result."""
-    phrases = phrase_counts(docs, text, lang, missing, least, order, bits, chunk)
+    ``top`` phrases of 2 to ``order`` (3 at least) words with ``least``
+    occurrences."""
+    phrases = phrase_counts(docs, text, lang, missing, least, order, chunk)
     left = scored(phrases).join(contained(phrases, order, share), ["lang", "phrase"], "left_anti")
     salt, part = tmp("salt"), tmp("part")
     by = [F.col("score").desc(), F.col("a").desc(), F.col("phrase").asc()]

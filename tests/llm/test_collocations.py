@@ -64,13 +64,17 @@ def noisy(seed, n, langs=("en", "de", None, "und", "")):
             for _ in range(n)]
 
 
-@pytest.mark.parametrize("chunk,bits", [(4 << 20, 26), (500, 26), (4 << 20, 3)])
-def test_equals_brute_force(spark, chunk, bits):
-    """Also with tiny chunks, and with so few buckets that all are full."""
+@pytest.mark.parametrize("chunk,codes,part", [(4 << 20, 60_000, 0.125), (500, 5, 0.125), (4 << 20, 7, 1e-9),
+                                              (900, 0, 0.02)])
+def test_equals_brute_force(spark, monkeypatch, chunk, codes, part):
+    """Also with tiny chunks, a tiny dictionary, and with all words and pairs
+    taken for common ones."""
+    monkeypatch.setattr(collocations, "CODES", codes)
+    monkeypatch.setattr(collocations, "COMMON_PART", part)
     rows = noisy(5, 150)
     want = brute(rows)
     assert len({r[0] for r in want}) == 4 and any(" " in r[2].partition(" ")[2] for r in want)
-    assert found(table(spark, rows), chunk=chunk, bits=bits) == want
+    assert found(table(spark, rows), chunk=chunk) == want
 
 
 def test_ranks_end_at_the_limit_and_ties_follow_the_phrase(spark):
@@ -101,14 +105,33 @@ def test_units_cut_only_where_pieces_end():
         assert b"".join(parts) == raw and all(p.endswith(b"\n") for p in parts[:-1])
 
 
-def test_window_columns_count_every_place_once():
+def test_windows_count_every_place_once():
     w = collocations.Words("en", [b"a b a b a\nb a", b"c"])
-    columns, n = collocations.window_columns(w, np.full(1 << collocations.BUCKET_BITS >> 3, 255, np.uint8), 4)
+    columns, n = w.windows(4)
     got = {tuple(w.words[i - 1].decode() if i else "" for i in c): k for *c, k in zip(*columns, n)}
     assert got == {("a", "b", "a", "b"): 1, ("b", "a", "b", "a"): 1, ("a", "b", "a", ""): 1, ("b", "a", "", ""): 2,
                    ("a", "", "", ""): 2, ("c", "", "", ""): 1}
 
 
+def test_shortening_keeps_the_sums_of_wanted_prefixes():
+    rng = np.random.default_rng(2)
+    columns = rng.integers(1, 5, size=(4, 300))
+    for k in range(1, 4):
+        columns[k:, rng.random(300) < .1] = 0
+    columns, n = collocations.summed(columns, rng.integers(1, 9, size=300))
+
+    def sums(columns, n):
+        out = collections.Counter()
+        for *c, k in zip(*columns.tolist(), n.tolist()):
+            for size in range(1, 5):
+                if c[size - 1]:
+                    out[tuple(c[:size])] += k
+        return {p: k for p, k in out.items() if k >= 30}
+    for depth in (1, 2, 3):
+        short, m = collocations.shortened(columns, n, np.full(len(n), depth), 30)
+        assert sums(short, m) == sums(columns, n) and m.sum() == n.sum() and len(m) < len(n)
+
+
 def test_query_on_the_smallest_tables(spark):
     from conftest import SF_SMALL
     docs = [tuple(r) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("lang", "text").collect()]
