@@ -13,10 +13,10 @@ from . import sqlexpr as X
 P = TEST_POLICY
 STRIDE = 1 << 40
 
-def _base_ctes(policy=P) -> str:
+def _base_ctes(policy=P, html: str = X.VARIED) -> str:
     tok = X.lit(policy.agent_token)
     return f"""
-{X.extraction(policy)},
+{X.extraction(policy, html=html)},
 pages_u AS (SELECT page_id, url, html, {X.https_upgrade('url')} AS fetch_url FROM pages),
 fetch_log AS (
   SELECT fetch_url AS url, page_id,
@@ -83,11 +83,16 @@ def _kind(policy=P, n=None) -> str:
 
 def session_sql(max_pages: int | None = None, policy=P) -> str:
     """WITH ... ending in relation ``sess`` (one row per seed row)."""
-    over = "false" if max_pages is None else f"visits_before >= {max_pages}"
     return f"""WITH {_base_ctes(policy)},
 seeds AS (SELECT page_id AS ordinal, url FROM pages
           UNION ALL SELECT page_id + {STRIDE}, url FROM pages),
-s0 AS (SELECT ordinal, url, {_rule('url', policy)} AS rule, {X.https_upgrade('url')} AS fetch_url FROM seeds),
+{_session_ctes(max_pages, policy)}"""
+
+
+def _session_ctes(max_pages: int | str | None, policy=P) -> str:
+    """CTEs from ``seeds`` to ``sess``; further columns of the seeds stay."""
+    over = "false" if max_pages is None else f"visits_before >= {max_pages}"
+    return f"""s0 AS (SELECT *, {_rule('url', policy)} AS rule, {X.https_upgrade('url')} AS fetch_url FROM seeds),
 s1 AS {_robots('s0', 'ordinal')},
 s2 AS (SELECT s1.*, snap.page_id, snap.status, snap.content_type, snap.error, snap.title,
               snap.meta_description, snap.content, snap.links,
@@ -116,6 +121,42 @@ sess AS (SELECT *,
    FROM s6)"""
 
 
+#: Pages that lead to others, as short tables of contents.
+LINKED = """coalesce(CASE WHEN page_id % 3 <> 2 THEN (
+  SELECT '<html><head><title>Contents</title></head><body><h1>Contents</h1><ul>' || string_agg('<li><a href="' ||
+         replace(t.url, '&', '&amp;') || '">part ' || t.page_id || '</a></li>', '' ORDER BY
+         CASE t.page_id WHEN o.page_id * 2 + 1 THEN 0 WHEN o.page_id * 2 + 2 THEN 1 ELSE 2 END) || '</ul></body></html>'
+  FROM pages t WHERE (t.page_id IN (o.page_id * 2 + 1, o.page_id * 2 + 2) AND t.page_id % 7 <> 0)
+    OR (o.page_id % 5 = 0 AND o.page_id > 0 AND t.page_id = (o.page_id - 1) // 2)) END, html)"""
+
+
+def follow_sql(depth: int, policy=P) -> str:
+    """The crawl replayed level by level: the session over all rows so far,
+    then the links of its last level's thin pages."""
+    out = [f"""WITH {_base_ctes(policy, LINKED)},
+led AS (SELECT DISTINCT t.page_id FROM pages o JOIN pages t ON o.page_id % 3 <> 2 AND (
+    (t.page_id IN (o.page_id * 2 + 1, o.page_id * 2 + 2) AND t.page_id % 7 <> 0)
+    OR (o.page_id % 5 = 0 AND o.page_id > 0 AND t.page_id = (o.page_id - 1) // 2))),
+r0 AS (SELECT page_id AS ordinal, url, 0 AS depth FROM pages WHERE page_id NOT IN (SELECT page_id FROM led))"""]
+    thin = f"{X.is_allowed_domain('l.url', policy)} AND NOT {X.has_excluded_extension('l.url', policy)}"
+    for k in range(depth + 1):
+        rows = " UNION ALL ".join(f"SELECT * FROM r{i}" for i in range(k + 1))
+        out.append(f"""z{k} AS (WITH seeds AS ({rows}), {_session_ctes('(SELECT count(*) // 2 FROM pages)', policy)}
+  SELECT * FROM sess)""")
+        if k < depth:
+            out.append(f"""l{k} AS (SELECT s.ordinal, i AS pos, s.links[i] AS l FROM z{k} s, generate_series(1, 50) AS g(i)
+  WHERE s.depth = {k} AND s.verdict = 'ok' AND s.kind = 'thin_toc' AND i <= len(s.links)),
+f{k} AS (SELECT l{k}.*, row_number() OVER (PARTITION BY ordinal ORDER BY pos) AS rank FROM l{k} WHERE {thin}
+  AND NOT EXISTS (SELECT 1 FROM z{k} v WHERE v.new_visit AND v.verdict = 'ok' AND v.fetch_url = l{k}.l.url AND v.ordinal <= l{k}.ordinal)),
+r{k + 1} AS (SELECT (SELECT max(ordinal) FROM r{k}) + row_number() OVER (ORDER BY ordinal, rank) AS ordinal, l.url AS url,
+  {k + 1} AS depth FROM f{k} WHERE rank <= 20)""")
+    follow = (f"list_filter(links, lambda l: {X.is_allowed_domain('l.url', policy)} "
+              f"AND NOT {X.has_excluded_extension('l.url', policy)})")
+    return (",\n".join(out) + f""" SELECT CAST(depth AS INTEGER) AS depth, url, fetch_url, verdict, new_visit AND verdict = 'ok' AS visited,
+  CASE WHEN verdict = 'ok' THEN kind END AS kind,
+  CASE WHEN verdict = 'ok' AND kind = 'thin_toc' THEN CAST(len({follow}) AS INTEGER) END AS link_count FROM z{depth}""")
+
+
 def _detail() -> str:
     host = "regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)', 1)"
     return f"""CASE verdict

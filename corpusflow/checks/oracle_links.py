@@ -5,7 +5,8 @@ from __future__ import annotations
 
 from ..config import TEST_POLICY, TEST_THIN_LENGTH
 from . import sqlexpr as X
-from .oracle_crawl import _base_ctes, session_sql
+from ..plans.links import FOLLOW_DEPTH
+from .oracle_crawl import _base_ctes, follow_sql, session_sql
 
 P = TEST_POLICY
 
@@ -48,6 +49,7 @@ walk(url, depth) AS (
   JOIN links l ON l.page_url = w.url
   WHERE {follow.replace('link_url', 'l.link_url')} AND w.depth < (SELECT count(*) FROM pages))
 SELECT url, CAST(min(depth) AS INTEGER) AS depth FROM walk GROUP BY url"""
+    q["crawl_follow"] = follow_sql(FOLLOW_DEPTH)
     q["request_spacing"] = f"""SELECT event_id,
   coalesce(epoch_us(ts) - lag(epoch_us(ts)) OVER w, -1) AS gap_us,
   coalesce(epoch_us(ts) - lag(epoch_us(ts)) OVER w < {int(P.request_delay * 1_000_000)}, false) AS too_close

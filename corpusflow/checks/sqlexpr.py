@@ -94,9 +94,49 @@ def element(name: str) -> str:
     return rf"<{name}(\s{INSIDE})?>"
 
 
-def strip_boilerplate(h: str, tags) -> str:
-    whole = "|".join(["<!--.*?-->"] + [rf"{element(t)}.*?</{t}\s*>" for t in tags])
-    return rx_replace(h, f"(?is){whole}", "\n")
+#: Element types of the parser (fixed values): without content; content is text.
+EMPTY = ("area base basefont bgsound br col command embed frame hr image img input isindex keygen link menuitem meta "
+         "nextid param source spacer track wbr").split()
+TEXT_ONLY = ("script", "style")
+
+
+def without_boilerplate(h: str, tags) -> str:
+    """CTEs ending in ``x_doc(page_id, url, fetch_url, doc)``: the page's tokens
+    are reduced one after another with the list ``st`` of open elements; ``d``
+    is the place of a dropped element in it (0: none), ``o`` the text so far."""
+    last = """([^>"'/]|"[^"]*"|'[^']*')"""
+    raw = "|".join(rf"<{t}(\s*|\s{INSIDE}{last})>(?:.*?)(</{t}\s*>|\z)" for t in TEXT_ONLY)
+    token = rf"(?is)(<!--.*?-->|{raw}|<(/?[a-zA-Z]{INSIDE}|![^>]*|\?[^>]*)>)"
+    gone = f"[{', '.join(map(lit, tags))}]"
+    shut = r"""(regexp_matches(tok, '/>$') AND NOT regexp_matches(tok, '=[^\s"''>]*/>$'))"""
+    at = "(len(s.st) - list_position(list_reverse(s.st), e.name) + 1)"
+    implied = (f"array_to_string(list_transform(list_filter(list_reverse(s.st[({at} + 1):(CASE WHEN s.d = 0 THEN len(s.st) ELSE s.d - 1 END)]), "
+               f"lambda n: n IN ('main', 'article', 'body')), lambda n: '</' || n || '>'), '')")
+    return rf"""x_cut AS (SELECT page_id, url, {https_upgrade('url')} AS fetch_url, regexp_extract_all(h, {lit(token)}, 1) AS toks,
+    regexp_split_to_array(h, {lit(token)}) AS txts FROM (SELECT *, {h} AS h FROM pages o)),
+x_tok AS (SELECT page_id, i, toks[i] AS tok, txts[i + 1] AS nxt, lower(regexp_extract(toks[i], '^</?([a-zA-Z][^\s/>]*)', 1)) AS name
+          FROM (SELECT *, unnest(range(1, len(toks) + 1)) AS i FROM x_cut)),
+x_kind AS (SELECT *, CASE WHEN starts_with(tok, '<!--') THEN 'alone' WHEN name = '' THEN 'none' WHEN starts_with(tok, '</') THEN 'end'
+             WHEN {shut} OR name IN ({', '.join(map(lit, TEXT_ONLY))}) THEN CASE WHEN list_contains({gone}, name) THEN 'alone'
+               WHEN name IN ('main', 'article', 'body') THEN 'empty' ELSE 'none' END
+             WHEN name IN ({', '.join(map(lit, EMPTY))}) THEN 'none' ELSE 'begin' END AS kind FROM x_tok),
+x_list AS (SELECT page_id, list({{'tok': tok, 'nxt': nxt, 'name': name, 'kind': kind}} ORDER BY i) AS es FROM x_kind GROUP BY page_id),
+x_doc AS (SELECT page_id, url, fetch_url, coalesce(list_reduce(list_transform(es, lambda e: {{'st': []::VARCHAR[], 'd': 0::BIGINT, 'o': '', 'e': e}}),
+   lambda s, x: CASE
+     WHEN x.e.kind = 'begin' THEN {{'st': list_append(s.st, x.e.name),
+       'd': CASE WHEN s.d = 0 AND list_contains({gone}, x.e.name) THEN len(s.st) + 1 ELSE s.d END,
+       'o': CASE WHEN s.d > 0 THEN s.o WHEN list_contains({gone}, x.e.name) THEN s.o || chr(10) ELSE s.o || x.e.tok || x.e.nxt END, 'e': x.e}}
+     WHEN x.e.kind = 'end' AND list_contains(s.st, x.e.name) THEN {{'st': s.st[1:({at.replace('e.name', 'x.e.name')} - 1)],
+       'd': CASE WHEN s.d > 0 AND {at.replace('e.name', 'x.e.name')} > s.d THEN s.d ELSE 0 END,
+       'o': CASE WHEN s.d > 0 AND {at.replace('e.name', 'x.e.name')} > s.d THEN s.o
+                 WHEN s.d > 0 AND {at.replace('e.name', 'x.e.name')} = s.d THEN s.o || x.e.nxt
+                 ELSE s.o || {implied.replace('e.name', 'x.e.name')} || x.e.tok || x.e.nxt END, 'e': x.e}}
+     WHEN x.e.kind = 'alone' THEN {{'st': s.st, 'd': s.d, 'o': CASE WHEN s.d = 0 THEN s.o || chr(10) || x.e.nxt ELSE s.o END, 'e': x.e}}
+     WHEN x.e.kind = 'empty' THEN {{'st': s.st, 'd': s.d,
+       'o': CASE WHEN s.d = 0 THEN s.o || '<' || x.e.name || '></' || x.e.name || '>' || x.e.nxt ELSE s.o END, 'e': x.e}}
+     ELSE {{'st': s.st, 'd': s.d, 'o': CASE WHEN s.d = 0 THEN s.o || x.e.tok || x.e.nxt ELSE s.o END, 'e': x.e}} END,
+   {{'st': []::VARCHAR[], 'd': 0::BIGINT, 'o': txts[1], 'e': NULL}}).o, txts[1]) AS doc
+  FROM x_cut LEFT JOIN x_list USING (page_id))"""
 
 
 def references() -> str:
@@ -145,13 +185,22 @@ def _walk(segs: str) -> str:
     return f"regexp_replace({joined}, '^/?', '/')"
 
 
+ODD_MARKUP = """CASE page_id % 7
+  WHEN 1 THEN replace(html, '<article>', '<aside>before<aside>inner</aside>after</aside><article>')
+  WHEN 2 THEN replace(html, '<article>', '<div><nav>menu <b>bold</div><article>')
+  WHEN 3 THEN replace(html, '</article>', '')
+  WHEN 4 THEN replace(html, '<article>', '<nav/><header class="x"><nav>deep</header><article><noscript>off</article>')
+  WHEN 5 THEN replace(html, '</article>', '<footer>never closed</article>')
+  WHEN 6 THEN html || '<script>var a = "<p>"; track('
+  ELSE html END"""
+
 VARIED = """CASE page_id % 5
   WHEN 1 THEN replace(html, '<head>', '<head><meta content=" Notes &amp; pages &#233; ' || page_id || ' " name="description">')
   WHEN 2 THEN replace(replace(html, '<article>', '<main><article>'), '</article>', '</article></main>')
   WHEN 3 THEN replace(replace(html, '<article>', '<div>'), '</article>', '</div>')
   WHEN 4 THEN replace(html, '</article>', array_to_string(list_transform(range(1, 61), lambda k: '<a href="../x' || k
               || '/./y?q=' || page_id || '&amp;r#"><b>Link</b> ' || k || '</a>'), '') || '</article>')
-  ELSE html END"""
+  ELSE html END""".replace("html", f"({ODD_MARKUP})")
 
 
 def extraction(policy, tags=None, cap: int = MAX_LINKS_PER_PAGE, html: str = VARIED) -> str:
@@ -167,7 +216,7 @@ def extraction(policy, tags=None, cap: int = MAX_LINKS_PER_PAGE, html: str = VAR
         return " || ".join(f"regexp_extract({tag_col}, {lit(pat)}, {first + i})" for i in range(3))
 
     return f"""{references()},
-x_doc AS (SELECT page_id, url, {https_upgrade('url')} AS fetch_url, {strip_boilerplate(html, tags)} AS doc FROM pages),
+{without_boilerplate(html, tags)},
 x_reg AS (SELECT *, CASE WHEN regexp_matches(doc, {lit('(?i)' + element('main'))}) THEN {_region('main')}
                          WHEN regexp_matches(doc, {lit('(?i)' + element('article'))}) THEN {_region('article')}
                          WHEN regexp_matches(doc, {lit('(?i)' + element('body'))}) THEN {_region('body')}

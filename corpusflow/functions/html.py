@@ -33,19 +33,122 @@ def open_tag(name: str) -> str:
     return rf"<{name}(?:\s{_IN_TAG})?>"
 
 
-def element_re(name: str) -> str:
-    return rf"{open_tag(name)}.*?</{name}\s*>"
-
-
-def boilerplate_re(tags=DEFAULT_BOILERPLATE_TAGS) -> str:
-    branches = ["<!--.*?-->"] + [element_re(t) for t in tags]
-    return "(?is)" + "|".join(branches)
+# --- Fixed values: element types of the HTML parser --------------------------
+VOID_TAGS = ("area", "base", "basefont", "bgsound", "br", "col", "command", "embed", "frame", "hr", "image", "img",
+             "input", "isindex", "keygen", "link", "menuitem", "meta", "nextid", "param", "source", "spacer", "track",
+             "wbr")
+RAW_TEXT_TAGS = ("script", "style")     # their content is not markup
+# --- end of fixed values -----------------------------------------------------
+REGION_TAGS = ("main", "article", "body")
+NEITHER, OPENS, CLOSES, ALONE, EMPTY = 0, 1, 2, 3, 4
+
+
+def raw_element_re(name: str) -> str:
+    """A raw-text element up to its end tag or the end of the page; not the
+    self-closed form."""
+    last = r"""(?:[^>"'/]|"[^"]*"|'[^']*')"""
+    return rf"<{name}(?:\s*|\s{_IN_TAG}{last})>.*?(?:</{name}\s*>|\z)"
+
+
+#: Markup tokens: comments and raw-text elements whole, else single tags.
+TOKEN_RE = "(?is)" + "|".join(["<!--.*?-->", *map(raw_element_re, RAW_TEXT_TAGS), TAG_RE])
+
+
+def _token_marks(tokens: Column, tags) -> Column:
+    """``array<struct<at, kind, name>>`` of the tokens that matter: tags that
+    open or close an element, what is dropped on its own, and regions that are
+    closed in their own tag."""
+    def mark(t, i):
+        name = F.lower(F.regexp_extract(t, r"^</?([a-zA-Z][^\s/>]*)", 1))
+        closed = t.endswith("/>") & ~t.rlike(r"""=[^\s"'>]*/>$""")
+        whole = closed | name.isin(*RAW_TEXT_TAGS)
+        kind = (F.when(t.startswith("<!--"), ALONE)
+                .when(name == "", NEITHER)
+                .when(t.startswith("</"), CLOSES)
+                .when(whole, F.when(name.isin(*tags), ALONE).when(name.isin(*REGION_TAGS), EMPTY).otherwise(NEITHER))
+                .when(name.isin(*VOID_TAGS), NEITHER)
+                .otherwise(OPENS))
+        return F.struct(i.alias("at"), kind.alias("kind"), name.alias("name"))
+    return F.filter(F.transform(tokens, mark), lambda m: m["kind"] != NEITHER)
+
+
+_CUT = "struct<first: int, last: int, put: string>"
+_FOLD = f"struct<open: array<string>, drop: int, since: int, cuts: array<{_CUT}>>"
+
+
+def _cut(first, last, put) -> Column:
+    return F.array(F.struct(first.alias("first"), last.alias("last"), put.alias("put")).cast(_CUT))
+
+
+def _fold_step(s: Column, m: Column, tags) -> Column:
+    """One token of the stack fold. ``open`` holds the names of the open
+    elements, ``drop`` the depth of the dropped element the token is in (0:
+    none), which began at place ``since``. An end tag closes the nearest open
+    element of its name and all inside it, or nothing. Token ``at`` stands at
+    place 2 at + 1 of the page, the text before it at 2 at."""
+    here = m["at"] * 2 + 1
+    none = F.array().cast(f"array<{_CUT}>")
+
+    def state(open_, drop, since, more):
+        return F.struct(open_.alias("open"), drop.cast("int").alias("drop"), since.cast("int").alias("since"),
+                        F.concat(s["cuts"], more).alias("cuts")).cast(_FOLD)
+
+    def opened() -> Column:
+        begins = (s["drop"] == 0) & m["name"].isin(*tags)
+        return state(F.array_append(s["open"], m["name"]),
+                     F.when(begins, F.size(s["open"]) + 1).otherwise(s["drop"]),
+                     F.when(begins, here).otherwise(s["since"]), none)
+
+    def closed(p: Column) -> Column:
+        ends = (s["drop"] > 0) & (p <= s["drop"])
+        own = ends & (p == s["drop"])
+        # elements that end without an end tag of their own; inside a dropped
+        # one they do not show
+        top = F.when(s["drop"] == 0, F.size(s["open"])).otherwise(s["drop"] - 1)
+        implied = F.filter(F.slice(s["open"], p + 1, F.greatest(top - p, F.lit(0))), lambda n: n.isin(*REGION_TAGS))
+        ends_of = F.array_join(F.transform(F.reverse(implied), lambda n: F.concat(F.lit("</"), n, F.lit(">"))), "")
+        dropped = F.when(ends, _cut(s["since"], F.when(own, here).otherwise(here - 1), F.lit("\n"))).otherwise(none)
+        shown = ~own & ((s["drop"] == 0) | ends) & (F.size(implied) > 0)
+        return state(F.slice(s["open"], F.lit(1), p - 1), F.when(ends, 0).otherwise(s["drop"]), s["since"],
+                     F.concat(dropped, F.when(shown, _cut(here, here - 1, ends_of)).otherwise(none)))
+
+    nearest = F.size(s["open"]) + 1 - F.array_position(F.reverse(s["open"]), m["name"]).cast("int")
+    put = F.when(m["kind"] == EMPTY, F.concat(F.lit("<"), m["name"], F.lit("></"), m["name"], F.lit(">"))).otherwise("\n")
+    alone = F.when(s["drop"] == 0, state(s["open"], s["drop"], s["since"], _cut(here, here, put))).otherwise(s)
+    return (F.when(m["kind"] == OPENS, opened())
+            .when(m["kind"].isin(ALONE, EMPTY), alone)
+            .when(F.array_contains(s["open"], m["name"]), bind(nearest, closed))
+            .otherwise(s))
 
 
 def strip_boilerplate(html: Column, tags=DEFAULT_BOILERPLATE_TAGS) -> Column:
-    """Drop comments and boilerplate elements (leftmost match wins, like a
-    tokenizer); each removal leaves a line break."""
-    return F.regexp_replace(html, boilerplate_re(tags), "\n")
+    """Drop comments and boilerplate elements, each leaving a line break, by a
+    fold over the page's tags with the stack of open elements; nested elements
+    of one name and elements without an end tag end where the parser ends them.
+    Regions that end without their end tag get one, so ``main_region`` can go
+    by the tags of one name."""
+    tags = tuple(tags)
+
+    def rebuilt(tokens: Column, texts: Column) -> Column:
+        parts = F.concat(F.slice(texts, 1, 1), F.flatten(F.transform(
+            tokens, lambda t, i: F.array(t, F.get(texts, i + 1)))))
+        start = F.struct(F.array().cast("array<string>").alias("open"), F.lit(0).alias("drop"), F.lit(0).alias("since"),
+                         F.array().cast(f"array<{_CUT}>").alias("cuts")).cast(_FOLD)
+        cuts = F.aggregate(
+            _token_marks(tokens, tags), start, lambda s, m: _fold_step(s, m, tags),
+            lambda s: F.when(s["drop"] > 0, F.concat(s["cuts"], _cut(s["since"], F.size(tokens) * 2, F.lit("\n"))))
+            .otherwise(s["cuts"]))
+
+        def joined(p: Column, cs: Column) -> Column:
+            def kept(c, k):
+                before = F.coalesce(F.get(cs, k - 1)["last"], F.lit(-1))
+                return F.concat(F.array_join(F.slice(p, before + 2, c["first"] - before - 1), ""), c["put"])
+            last = F.coalesce(F.get(cs, F.size(cs) - 1)["last"], F.lit(-1))
+            return F.concat(F.array_join(F.transform(cs, kept), ""),
+                            F.array_join(F.slice(p, last + 2, F.greatest(F.size(p) - last - 1, F.lit(0))), ""))
+        return bind(parts, lambda p: bind(cuts, lambda cs: joined(p, cs)))
+    return bind(F.regexp_extract_all(html, F.lit(TOKEN_RE), F.lit(0)),
+                lambda tokens: bind(F.split(html, TOKEN_RE), lambda texts: rebuilt(tokens, texts)))
 
 
 def page_title(doc: Column) -> Column:

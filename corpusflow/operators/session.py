@@ -93,7 +93,7 @@ def kth_smallest(df: DataFrame, col: str, k: int):
 
 def crawl_session(seeds: DataFrame, snapshot: DataFrame, policy: CrawlPolicy,
                   robots: DataFrame | None = None, running_counts: bool = False,
-                  strict: bool = False) -> DataFrame:
+                  strict: bool = False, known: DataFrame | None = None, used: int = 0) -> DataFrame:
     """Verdict of every seed row ``(ordinal, url)``.
 
     ``snapshot`` is the captured fetch log ``(url, status, content_type,
@@ -109,6 +109,9 @@ def crawl_session(seeds: DataFrame, snapshot: DataFrame, policy: CrawlPolicy,
     page extraction is pruned from that job) and checkpointed; the budget
     is the ordinal of the ``max_pages``-th new visit, so the verdict needs
     no window over the session rows.
+
+    A session that goes on after another one takes ``known(fetch_url)``, the
+    seeds' URLs visited before it, and ``used``, the pages visited so far.
     """
     ensure_checkpoint_dir(seeds.sparkSession)
     s = with_policy(seeds, policy)
@@ -117,12 +120,21 @@ def crawl_session(seeds: DataFrame, snapshot: DataFrame, policy: CrawlPolicy,
     s = s.withColumn("ok", F.col("rule").isNull() & F.col("robots_ok") & (F.col("outcome") == "fetched"))
     first_ok = (s.filter("ok").groupBy("fetch_url")
                 .agg(F.min("ordinal").alias("_first_ok"))).checkpoint()
+    before = F.lit(False)
+    if known is not None:
+        known = known.select("fetch_url").distinct()
+        first_ok = first_ok.join(known, "fetch_url", "left_anti")
+        s = s.join(known.withColumn("_known", F.lit(True)), "fetch_url", "left")
+        before = F.coalesce("_known", F.lit(False))
     s = (s.join(first_ok, "fetch_url", "left")
-         .withColumn("prev_ok", F.coalesce(F.col("ordinal") > F.col("_first_ok"), F.lit(False)))
+         .withColumn("prev_ok", before | F.coalesce(F.col("ordinal") > F.col("_first_ok"), F.lit(False)))
          .withColumn("new_visit", F.coalesce(F.col("ordinal") == F.col("_first_ok"), F.lit(False)))
-         .drop("_first_ok"))
-    cutoff = kth_smallest(first_ok, "_first_ok", policy.max_pages) if policy.max_pages is not None else None
-    over = F.lit(False) if cutoff is None else F.col("ordinal") > F.lit(cutoff)
+         .drop("_first_ok", "_known"))
+    over = F.lit(False)
+    if policy.max_pages is not None:
+        room = policy.max_pages - used
+        cutoff = kth_smallest(first_ok, "_first_ok", room) if room > 0 else None
+        over = F.lit(True) if room <= 0 else F.lit(False) if cutoff is None else F.col("ordinal") > F.lit(cutoff)
     if running_counts:
         s = running_count_before(s, "new_visit", out="visits_before")
         s = s.withColumn("pages_crawled_so_far", F.col("visits_before") + F.col("new_visit").cast("long"))

@@ -4,9 +4,8 @@ batch of questions from it.
 ``crawl_job`` is the Spark form of one crawl request: payloads -> seeds ->
 crawl session -> table-of-contents follow-up level by level -> stored
 documents -> object store + sidecars -> chunk table. The follow-up order
-is breadth first (depth, parent order, link position). Every level re-runs
-the session over all rows so far, so the visited set and the page budget
-carry across levels exactly.
+is breadth first (depth, parent order, link position). A level works on its
+own rows; the visited set and the page budget carry across levels as state.
 
 ``ask_job`` embeds questions, searches the chunk table, and returns the
 retrieved chunks, de-duplicated sources and the grounding context.
@@ -16,18 +15,17 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import MAX_FOLLOW_LINKS, RETRIEVE_K, ChunkConfig, CrawlPolicy
-from ..functions.urls import has_excluded_extension, is_allowed_domain
+from ..config import RETRIEVE_K, ChunkConfig, CrawlPolicy
 from ..operators import documents as D
 from ..operators import knowledge as K
-from ..operators.extract import page_kind
+from ..operators.crawl import PageTable, crawl_levels
 from ..operators.reports import run_summary
 from ..operators.seeds import seed_urls
-from ..operators.session import crawl_session, ordinals
-from ..session import ensure_checkpoint_dir, scratch_path
+from ..operators.session import ordinals
+from ..session import scratch_path
 from ..sources import corpus as C
 
 
@@ -41,64 +39,17 @@ class CrawlResult:
     chunk_path: str | None   # None when nothing was stored
 
 
-def follow_up(session: DataFrame, policy: CrawlPolicy) -> DataFrame:
-    """Links handed back by thin table-of-contents rows: ``(parent_ordinal,
-    rank, url)``, at most 20 per row, in link order.
-
-    A link is followable if its host is allowed, its path has no excluded
-    extension and its URL string was not visited when the page was fetched
-    (visited before it, or the page itself).
-    """
-    visited = session.filter("new_visit").select(F.col("fetch_url").alias("_v"),
-                                                 F.col("ordinal").alias("_v_at"))
-    thin = session.filter((F.col("verdict") == "ok") & (F.length("content") < policy.min_content_length))
-    links = (thin.select("ordinal", F.posexplode("links").alias("pos", "l"))
-             .select("ordinal", "pos", F.col("l.url").alias("url"))
-             .filter(is_allowed_domain(F.col("url"), policy) & ~has_excluded_extension(F.col("url"), policy)))
-    fresh = (links.join(visited, links["url"] == visited["_v"], "left")
-             .filter(F.col("_v_at").isNull() | (F.col("_v_at") > F.col("ordinal"))))
-    # at most 50 links per page (extraction cap): the window is bounded
-    ranked = fresh.withColumn("rank", F.row_number().over(Window.partitionBy("ordinal").orderBy("pos")))
-    return ranked.filter(F.col("rank") <= MAX_FOLLOW_LINKS).select(
-        F.col("ordinal").alias("parent_ordinal"), "rank", "url")
-
-
-def crawl_levels(seeds: DataFrame, snapshot: DataFrame, policy: CrawlPolicy,
-                 robots: DataFrame | None = None) -> DataFrame:
-    """Session over the seeds and their TOC follow-up, up to
-    ``policy.max_link_depth`` levels; adds ``depth`` and ``kind``."""
-    ensure_checkpoint_dir(seeds.sparkSession)
-    rows = seeds.select("ordinal", "url", F.lit(0).alias("depth")).checkpoint()
-    for depth in range(1, policy.max_link_depth + 1):
-        sess = crawl_session(rows, snapshot, policy, robots)
-        nxt = follow_up(sess.filter(F.col("depth") == depth - 1), policy)
-        base = rows.agg(F.max("ordinal")).first()[0] + 1
-        # numbered after all rows so far, in (parent, link) order
-        new_rows = ordinals(nxt, "parent_ordinal", "rank").select(
-            (F.lit(base) + F.col("ordinal")).alias("ordinal"), "url", F.lit(depth).alias("depth"))
-        if new_rows.isEmpty():
-            break
-        rows = rows.unionByName(new_rows)
-    return page_kind(crawl_session(rows, snapshot, policy, robots), policy)
-
-
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def crawl_job(spark: SparkSession, payloads: DataFrame, snapshot: DataFrame, policy: CrawlPolicy,
               crawled_at: str, robots: DataFrame | None = None, chunk_cfg: ChunkConfig = ChunkConfig(),
               store_root: str | None = None) -> CrawlResult:
     """Crawl request -> knowledge base. ``payloads(payload_id, payload)``
     are request JSON texts; ``snapshot`` is the captured fetch log with the
     extracted page (see ``plans.crawl.snapshot``)."""
-    # pages are extracted once, the session is worked out once; both are read
-    # again with column pruning by what follows
-    snapshot = _stored(snapshot, "kb-snapshot")
+    # the snapshot is stored by URL once, each level reads what it can hit; the
+    # session is read again with column pruning by what follows
+    pages = PageTable.write(snapshot)
     seeds = ordinals(seed_urls(payloads).filter(F.col("url").isNotNull()), "payload_id", "pos").select("ordinal", "url")
-    session = _stored(crawl_levels(seeds, snapshot, policy, robots), "kb-session")
+    session = crawl_levels(seeds, pages, policy, robots)
     stored = session.filter((F.col("verdict") == "ok") & (F.col("kind") == "ok"))
     requests = stored.select("ordinal", F.col("fetch_url").alias("url"), "title",
                              F.lit("").alias("content"), F.lit("").alias("metadata"))

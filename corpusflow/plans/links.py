@@ -7,6 +7,7 @@ import os
 from pyspark.sql import functions as F
 
 from ..config import TEST_POLICY, TEST_THIN_LENGTH
+from ..operators.crawl import PageTable, crawl_levels
 from ..operators.links import link_limits, toc_expand, unvisited_links
 from ..operators.reports import spacing_audit, visited_urls
 from ..operators.session import fetch_outcome
@@ -47,6 +48,24 @@ def q_toc_expand(spark, sf):
     return toc_expand(seeds, toc_pages(spark, sf), links, POLICY)
 
 
+#: Levels below the seeds that the registered crawl follows.
+FOLLOW_DEPTH = 4
+
+
+def q_crawl_follow(spark, sf):
+    """Crawl over the links found in the pages' own markup: seeds are pages no
+    page leads to, thin pages hand on their links, the budget is half of all
+    pages."""
+    pages = T.read_table(spark, sf, "pages").select("page_id", "url")
+    led_to = T.page_edges(spark, sf).select(F.col("to").alias("page_id"))
+    seeds = pages.join(led_to, "page_id", "left_anti").select(F.col("page_id").alias("ordinal"), "url")
+    policy = POLICY.with_(max_pages=pages.count() // 2, max_link_depth=FOLLOW_DEPTH)
+    log = PageTable.write(T.fetch_log(spark, sf, pages=T.linked_pages(spark, sf)))
+    rows = crawl_levels(seeds, log, policy, T.robots_rules(spark, sf, policy.agent_token))
+    return rows.select("depth", "url", "fetch_url", "verdict", (F.col("new_visit") & (F.col("verdict") == "ok")).alias("visited"),
+                       "kind", "link_count")
+
+
 def q_request_spacing(spark, sf):
     """Audit of the request log: gap to the previous request overall (the
     crawler's delay is global, not per host) and whether it is too short;

@@ -92,6 +92,24 @@ def path_exists(spark: SparkSession, uri: str) -> bool:
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
 
 
+def path_state(spark: SparkSession, uri: str) -> str:
+    """Names, sizes and times of the files at a path, as one string."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(uri)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    return ";".join(sorted(f"{f.getPath()}|{f.getLen()}|{f.getModificationTime()}" for f in found))
+
+
+def stored_once(spark: SparkSession, name: str, source: str, make):
+    """What ``make`` stored for the files at ``source``, made at the first call
+    of a session and again when the files have changed."""
+    sc = spark.sparkContext
+    kept = sc.__dict__.setdefault("_corpusflow_stored", {})
+    state = path_state(spark, source)
+    if kept.get((name, source), (None,))[0] != state:
+        kept[name, source] = state, make()
+    return kept[name, source][1]
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -19,20 +19,41 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
+def table_path(sf_dir: str, name: str) -> str:
+    return os.path.join(sf_dir, f"{name}.parquet")
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Parquet scan; later projections/filters prune columns and push down."""
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spark.read.parquet(table_path(sf_dir, name))
+
+
+def _put(x, old, new):
+    return F.replace(x, F.lit(old), new if not isinstance(new, str) else F.lit(new))
+
+
+def odd_markup(html: str = "html", page_id: str = "page_id"):
+    """Page markup as browsers get it, by ``page_id`` modulo 7: 1 nested
+    boilerplate of one name, 2 and 4 boilerplate that ends with its parent, 3 an
+    article and 5 a footer without end tags, 6 an unfinished script."""
+    h, r = F.col(html), F.pmod(F.col(page_id), F.lit(7))
+    return (F.when(r == 1, _put(h, "<article>", "<aside>before<aside>inner</aside>after</aside><article>"))
+            .when(r == 2, _put(h, "<article>", "<div><nav>menu <b>bold</div><article>"))
+            .when(r == 3, _put(h, "</article>", ""))
+            .when(r == 4, _put(h, "<article>", '<nav/><header class="x"><nav>deep</header><article><noscript>off</article>'))
+            .when(r == 5, _put(h, "</article>", "<footer>never closed</article>"))
+            .when(r == 6, F.concat(h, F.lit('<script>var a = "<p>"; track('))).otherwise(h))
 
 
 def varied_html(html: str = "html", page_id: str = "page_id"):
     """Page markup with every case of extraction among the rows, by
     ``page_id`` modulo 5: 1 gets a description with character references, 2 a
     ``main`` around the article, 3 loses its article element, 4 gets 60 relative
-    links (more than any cap keeps); 0 stays as it is."""
-    h, i = F.col(html), F.col(page_id)
-
-    def put(x, old, new):
-        return F.replace(x, F.lit(old), new if not isinstance(new, str) else F.lit(new))
+    links (more than any cap keeps); 0 stays as it is. Before that, by
+    ``page_id`` modulo 7, elements are nested in others of their name or lose
+    their end tags (``odd_markup``)."""
+    h, i = odd_markup(html, page_id), F.col(page_id)
+    put = _put
     meta = F.concat(F.lit('<head><meta content=" Notes &amp; pages &#233; '), i.cast("string"),
                     F.lit(' " name="description">'))
     links = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(60)), lambda k: F.concat(
@@ -45,7 +66,34 @@ def varied_html(html: str = "html", page_id: str = "page_id"):
             .when(r == 4, put(h, "</article>", F.concat(links, F.lit("</article>")))).otherwise(h))
 
 
-def fetch_log(spark: SparkSession, sf_dir: str, transform=None) -> DataFrame:
+def page_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(page_id, pos, to)``: page i leads to pages 2i+1 and 2i+2 (unless
+    multiples of 7) and, if i is a multiple of 5, back to its parent; pages
+    whose id leaves remainder 2 modulo 3 lead nowhere."""
+    i = F.col("page_id")
+
+    def child(c):
+        return F.when(c % 7 != 0, c)
+    pages = read_table(spark, sf_dir, "pages").select("page_id")
+    out = pages.filter(i % 3 != 2).select("page_id", F.posexplode(F.array(
+        child(i * 2 + 1), child(i * 2 + 2), F.when((i % 5 == 0) & (i > 0), F.floor((i - 1) / 2)).cast("long"))).alias("pos", "to"))
+    return out.join(pages.withColumnRenamed("page_id", "to"), "to", "left_semi")
+
+
+def linked_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``pages`` whose markup links to other pages: pages that lead anywhere
+    (``page_edges``) are short tables of contents, the others keep their text."""
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    named = page_edges(spark, sf_dir).join(pages.select(F.col("page_id").alias("to"), "url"), "to")
+    anchor = F.concat(F.lit('<li><a href="'), F.replace("url", F.lit("&"), F.lit("&amp;")), F.lit('">part '),
+                      F.col("to").cast("string"), F.lit("</a></li>"))
+    lists = named.groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct("pos", anchor.alias("a")))).alias("l"))
+    body = F.concat(F.lit("<html><head><title>Contents</title></head><body><h1>Contents</h1><ul>"),
+                    F.array_join(F.transform("l", lambda x: x["a"]), ""), F.lit("</ul></body></html>"))
+    return pages.join(lists, "page_id", "left").select("page_id", "url", F.coalesce(body, "html").alias("html"))
+
+
+def fetch_log(spark: SparkSession, sf_dir: str, transform=None, pages: DataFrame | None = None) -> DataFrame:
     """Captured fetch snapshot ``(url, page_id, status, content_type, error,
     html)`` keyed by the upgraded URL, one row per URL (lowest page_id).
 
@@ -57,9 +105,11 @@ def fetch_log(spark: SparkSession, sf_dir: str, transform=None) -> DataFrame:
     ``transform`` (e.g. page extraction) is applied before the per-URL
     dedupe, so the dedupe join moves the transformed rows (bounded text)
     instead of raw HTML. The dedupe key table holds only (url, page_id).
+    ``pages`` takes the place of the table's pages and their variants.
     """
     from ..session import spread
-    pages = read_table(spark, sf_dir, "pages")
+    html = varied_html() if pages is None else F.col("html")
+    pages = read_table(spark, sf_dir, "pages") if pages is None else pages
     d10 = F.col("page_id") % 10
     p = spread(pages).select(
         https_upgrade(F.col("url")).alias("url"), "page_id",
@@ -68,7 +118,7 @@ def fetch_log(spark: SparkSession, sf_dir: str, transform=None) -> DataFrame:
         F.when(F.col("page_id") % 7 == 5, F.lit("application/pdf"))
         .otherwise(F.lit("text/html; charset=utf-8")).alias("content_type"),
         F.when(d10 == 4, F.lit("timeout")).alias("error"),
-        varied_html().alias("html"))
+        html.alias("html"))
     if transform is not None:
         p = transform(p)
     first = (pages.select(https_upgrade(F.col("url")).alias("url"), "page_id")
