@@ -380,10 +380,9 @@ def vector_topk_ann(questions: DataFrame, corpus: DataFrame, k: int = RETRIEVE_K
                     c_vec: str = "vector", seed: int = 7,
                     max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Inverted-file approximate search: each question is compared with the
-rows of its ``n_probe`` nearest lists; by default as many as ANN_TRIED of the
+    rows of its ``n_probe`` nearest lists; by default as many as ANN_TRIED of the
     questions need to find ANN_RECALL of their exact top-k (one scan of the
-    corpus for those questions). Lists are a column, not a are a column, not a
-    partitioning, so a list holding a third of the corpus is still spread over
+    corpus for those questions). Lists are a column, not a partitioning, so a list holding a third of the corpus is still spread over
     all tasks. Output and block-wise question side as ``vector_topk``."""
     cents, assigned = ivf_index(corpus.select(F.col(c_id).alias("c_id"), F.col(c_vec).alias("vector")),
                                 n_lists, seed)
@@ -406,14 +405,18 @@ rows of its ``n_probe`` nearest lists; by default as many as ANN_TRIED of the
 
 # ---- retrieval, citations, context ----------------------------------------------
 
-def retrieve(questions: DataFrame, chunks: DataFrame, k: int = RETRIEVE_K) -> DataFrame:
+def retrieve(questions: DataFrame, chunks: DataFrame, k: int = RETRIEVE_K, index=None) -> DataFrame:
     """Top-k chunks per question with score, snippet and source location.
 
     ``questions(q_id, vector)``, ``chunks(chunk_id, vector, text, uri, ...)``.
-    Missing score -> 0, missing text -> '', missing uri -> ''.
+    Missing score -> 0, missing text -> '', missing uri -> ''. ``index`` is the
+    inverted index over the chunk vectors (``blocks.build``), made here if
+    there is none yet.
     """
-    hits = vector_topk(questions, chunks.select(F.col("chunk_id").alias("c_id"), "vector"), k,
-                       q_id="q_id", c_id="c_id")
+    from . import blocks
+    if index is None:
+        index = blocks.build(chunks, "lists", "chunk_id", "vector")
+    hits, _ = blocks.topk(questions, index, k)
     meta = chunks.drop("vector").withColumnRenamed("chunk_id", "c_id")
     # every hit names an existing chunk, so an inner join is exact; the hit
     # side (k rows per question) is the small, broadcastable build side

@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import TEST_CHUNKS, TEST_POLICY
+from ..operators import blocks as B
 from ..operators import documents as D
 from ..operators import knowledge as K
-from ..session import scratch_path
+from ..operators import quantised as Q
+from ..session import scratch_path, stored_once
 from ..sources import corpus as C
 from ..sources import tables as T
 
@@ -45,14 +47,22 @@ def questions(spark: SparkSession, sf: str, dim: int = CFG.dim) -> DataFrame:
     return K.embed(b, "text", dim)
 
 
+def knowledge_base(spark, sf) -> tuple[DataFrame, B.Index]:
+    """Chunk table and its inverted index, built once per session and state of
+    the ``documents`` files and read by every retrieval query."""
+    def make():
+        path = C.write_chunk_table(kb_chunks(spark, sf), scratch_path(spark, "chunk-table"))
+        return path, B.build(spark.read.parquet(path), "lists", "chunk_id", "vector")
+    path, index = stored_once(spark, "knowledge-base", T.table_path(sf, "documents"), make)
+    return spark.read.parquet(path), index
+
+
 def retrieved(spark, sf):
-    """Top-5 chunks per benchmark question. The chunk table is built once
-    as Parquet and read with column pruning on both sides of the search (ids
-    and vectors to find the hits, texts to show them)."""
-    path = C.write_chunk_table(kb_chunks(spark, sf), scratch_path(spark, "chunk-table"))
-    chunks = spark.read.parquet(path)
+    """Top-5 chunks per benchmark question. The chunk table is read with
+    column pruning: the search reads its index, texts are read to be shown."""
+    chunks, index = knowledge_base(spark, sf)
     attributes = {c: F.get_json_object("metadata", f"$.{c}") for c in ("source_url", "title")}
-    return K.retrieve(questions(spark, sf), chunks.withColumns(attributes))
+    return K.retrieve(questions(spark, sf), chunks.withColumns(attributes), index=index)
 
 
 def responses(spark, sf):
@@ -93,17 +103,19 @@ def q_embed_chunks(spark, sf):
     return K.sparse_weights(kb_chunks(spark, sf), "chunk_id")
 
 
+def embeddings(spark, sf):
+    return T.read_table(spark, sf, "embeddings").select(F.col("vec_id").alias("c_id"), F.col("embedding").alias("vector"))
+
+
 def q_vector_topk(spark, sf):
-    e = T.read_table(spark, sf, "embeddings").select(F.col("vec_id").alias("c_id"), F.col("embedding").alias("vector"))
-    hits = K.vector_topk(questions(spark, sf, 64), e, 5)
+    hits, _ = B.topk(questions(spark, sf, 64), B.build(embeddings(spark, sf), "pivots"), 5)
     return hits.select(F.col("q_id").alias("item_id"), "rank", F.col("c_id").alias("vec_id"),
                        F.round("distance", 6).alias("distance"))
 
 
 def q_vector_topk_ann(spark, sf):
-    e = T.read_table(spark, sf, "embeddings").select(F.col("vec_id").alias("c_id"), F.col("embedding").alias("vector"))
-    q = questions(spark, sf, 64)
-    hits = K.vector_topk_ann(q, e, 5)
+    e, q = embeddings(spark, sf), questions(spark, sf, 64)
+    hits, _ = Q.topk(q, Q.build(e), 5)
     # recall is the mean of ``in_exact`` over 5 x questions
     exact = K.vector_topk(q, e, 5).select("q_id", "c_id", F.lit(True).alias("in_exact"))
     return hits.join(exact, ["q_id", "c_id"], "left").select(
