@@ -63,4 +63,7 @@ def queries() -> dict[str, str]:
                          f"{side} AS sidecar FROM docs"),
         "latest_document": (f"{w} SELECT filename, max(ordinal) AS ordinal, md5(arg_max(content, ordinal)) AS content_md5, "
                             f"count(*) AS writes FROM docs GROUP BY filename"),
+        "document_store": (f"{w} SELECT filename, ordinal, md5(content) AS content_md5, n AS writes FROM ("
+                           f"SELECT *, count(*) OVER (PARTITION BY filename) AS n, row_number() OVER "
+                           f"(PARTITION BY filename ORDER BY ordinal DESC) AS r FROM docs) WHERE r = 1"),
     }

@@ -120,6 +120,9 @@ def queries() -> dict[str, str]:
         "chunk_table": (f"{w} SELECT chunk_id, doc_id, md5(text) AS text_md5, "
                         f"to_json({{'source_url': source_url, 'title': title}})::VARCHAR AS metadata, "
                         f"CAST({DIM} AS INTEGER) AS n_dims FROM chunks"),
+        "chunk_refresh": (f"{w} SELECT chunk_id, doc_id, md5(text) AS text_md5, "
+                          f"to_json({{'source_url': source_url, 'title': title}})::VARCHAR AS metadata, "
+                          f"CAST({DIM} AS INTEGER) AS n_dims FROM chunks"),
         "corpus_scan": (f"{doc_ctes()}, last AS (SELECT 'crawled-docs/' || filename || '.md' AS key, "
                         f"arg_max(source_url, ordinal) AS source_url, arg_max(title, ordinal) AS title, "
                         f"arg_max('# ' || title || chr(10) || chr(10) || '**Source:** ' || source_url || chr(10) || "

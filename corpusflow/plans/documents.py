@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from ..config import TEST_CRAWLED_AT, TEST_POLICY
 from ..operators import documents as D
+from ..session import scratch_path
 from ..sources import tables as T
+from ..sources.keyed import store_documents
 
 POLICY = TEST_POLICY.with_(bucket="corpus-bucket")
 JSON_POLICY = POLICY.with_(output_format="json")
@@ -57,3 +59,14 @@ def q_sidecar_docs(spark, sf):
 def q_latest_document(spark, sf):
     d = _docs(spark, sf).select("filename", "ordinal", "content")
     return D.latest_document(d).select("filename", "ordinal", F.md5("content").alias("content_md5"), "writes")
+
+
+def q_document_store(spark, sf):
+    """The document store after two runs, one for each pass of store calls;
+    the second rewrites only the buckets of its keys."""
+    d = _docs(spark, sf).select("filename", "ordinal", "content")
+    root = scratch_path(spark, "document-store")
+    second = F.col("ordinal") >= T.ORDINAL_STRIDE
+    for some in (~second, second):
+        store_documents(d.filter(some), root)
+    return spark.read.parquet(root).select("filename", "ordinal", F.md5("content").alias("content_md5"), "writes")

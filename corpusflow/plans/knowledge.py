@@ -16,6 +16,7 @@ from ..operators import quantised as Q
 from ..session import scratch_path, stored_once
 from ..sources import corpus as C
 from ..sources import tables as T
+from ..sources.keyed import refresh_chunks
 
 CFG = TEST_CHUNKS
 BUCKET = "corpus-bucket"
@@ -167,6 +168,22 @@ def q_chunk_table(spark, sf):
                     F.size("vector").alias("n_dims"))
 
 
+def q_chunk_refresh(spark, sf):
+    """The chunk table after two runs of the ingestion. Before the second one a
+    tenth of the documents is new, a third has another text, and some, which
+    have negative ids, are gone."""
+    docs = kb_documents(spark, sf)
+    i = F.col("doc_id")
+    earlier = docs.filter(i % 10 != 9).withColumn("text", F.when(i % 3 == 0, F.concat(F.lit("old "), F.col("text")))
+                                                  .otherwise(F.col("text")))
+    gone = docs.filter(i % 20 == 0).withColumn("doc_id", -i - 1)
+    root = scratch_path(spark, "chunk-refresh")
+    for some in (earlier.unionByName(gone), docs):
+        refresh_chunks(some, CFG, root)
+    t = spark.read.parquet(f"{root}/chunks")
+    return t.select("chunk_id", "doc_id", F.md5("text").alias("text_md5"), "metadata", F.size("vector").alias("n_dims"))
+
+
 def q_corpus_scan(spark, sf):
     """Store the rendered documents (last write per object key, as an
     object store keeps it) with sidecars, then scan them back."""
