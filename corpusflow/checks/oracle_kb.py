@@ -94,7 +94,7 @@ def _attr(key: str) -> str:
 
 def queries() -> dict[str, str]:
     w = _ctes()
-    return {
+    q = {
         "chunk_documents": (f"{w} SELECT chunk_id, doc_id, pos, CAST(len({_words('text')}) AS INTEGER) AS n_words, "
                             f"md5(text) AS text_md5 FROM chunks"),
         "chunk_metadata": (f"{w} SELECT chunk_id, doc_id, uri, to_json({{'source_url': source_url, 'title': title}})::VARCHAR "
@@ -131,3 +131,5 @@ def queries() -> dict[str, str]:
                         f"SELECT key, CASE WHEN o % 7 = 0 THEN 'store://' || key ELSE source_url END AS source_url, "
                         f"CASE WHEN o % 7 = 0 THEN '' ELSE title END AS title, md5(body) AS body_md5 FROM last"),
     }
+    q["file_corpus"] = q["corpus_scan"]
+    return q

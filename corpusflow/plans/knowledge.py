@@ -184,14 +184,23 @@ def q_chunk_refresh(spark, sf):
     return t.select("chunk_id", "doc_id", F.md5("text").alias("text_md5"), "metadata", F.size("vector").alias("n_dims"))
 
 
-def q_corpus_scan(spark, sf):
-    """Store the rendered documents (last write per object key, as an
-    object store keeps it) with sidecars, then scan them back."""
+def _stored(spark, sf):
+    """Rendered documents, the last write per object key, as an object store
+    keeps it, and their sidecars; every seventh document has lost its sidecar."""
     from . import documents as P
-    objs = D.rendered(P._docs(spark, sf), P.POLICY)
-    last = D.latest_document(objs, key="key").drop("writes")
-    # every seventh document has lost its sidecar
-    side = D.sidecar(last).filter(F.pmod("ordinal", F.lit(7)) != 0)
-    root = C.write_store(last, side, scratch_path(spark, "doc-store"))
-    s = C.corpus_scan(spark, root, P.POLICY.key_prefix)
+    last = D.latest_document(D.rendered(P._docs(spark, sf), P.POLICY), key="key").drop("writes")
+    return last, D.sidecar(last).filter(F.pmod("ordinal", F.lit(7)) != 0)
+
+
+def q_corpus_scan(spark, sf):
+    """Store the documents and sidecars as tables, then scan them back."""
+    root = C.write_store(*_stored(spark, sf), scratch_path(spark, "doc-store"))
+    s = C.corpus_scan(spark, root, PREFIX)
+    return s.select("key", "source_url", "title", F.md5("body").alias("body_md5"))
+
+
+def q_file_corpus(spark, sf):
+    """The same as one file per document with its sidecar beside it."""
+    root = C.write_files(*_stored(spark, sf), scratch_path(spark, "doc-files"))
+    s = C.file_corpus(spark, root, PREFIX)
     return s.select("key", "source_url", "title", F.md5("body").alias("body_md5"))

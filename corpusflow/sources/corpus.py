@@ -2,9 +2,9 @@
 
 One file per document is not Spark-shaped at scale, so the store is a pair
 of tables under a prefix: objects ``(key, body)`` and sidecars
-``(sidecar_key, sidecar)``. ``read_text_corpus`` also reads a folder of
-plain files (one document per file, ``*.metadata.json`` beside them), the
-layout other tools produce.
+``(sidecar_key, sidecar)``. ``write_files`` and ``file_corpus`` keep one file per
+document with its sidecar beside it, for tools that need files;
+``read_text_corpus`` reads any folder of plain files laid out like that.
 """
 
 from __future__ import annotations
@@ -14,6 +14,9 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship_package
+from .files import DocumentFiles
+
 SIDECAR_SCHEMA = ("struct<metadataAttributes: struct<"
                   "source_url: struct<value: struct<type: string, stringValue: string>, includeForEmbedding: boolean>, "
                   "title: struct<value: struct<type: string, stringValue: string>, includeForEmbedding: boolean>>>")
@@ -57,6 +60,30 @@ def read_text_corpus(spark: SparkSession, folder: str, glob: str = "*.md") -> Da
                     F.coalesce(m["title"]["value"]["stringValue"], F.lit("")).alias("title"))
 
 
+def write_files(objects: DataFrame, sidecars: DataFrame, root: str) -> str:
+    """One file per object under ``root`` with its sidecar beside it."""
+    _files(objects.sparkSession)
+    side = sidecars.select(F.expr("left(sidecar_key, length(sidecar_key) - 14)").alias("key"), "sidecar")
+    (objects.select("key", "body").join(side, "key", "left").select("key", "body", "sidecar")
+     .write.format("document_files").mode("append").save(root))
+    return root
+
+
+def file_corpus(spark: SparkSession, root: str, prefix: str = "") -> DataFrame:
+    """``corpus_scan`` over single files: ``(key, body, source_url, title)``."""
+    _files(spark)
+    m = F.from_json("sidecar", SIDECAR_SCHEMA)["metadataAttributes"]
+    return spark.read.format("document_files").option("prefix", prefix).load(root).select(
+        "key", "body",
+        F.coalesce(m["source_url"]["value"]["stringValue"], F.concat(F.lit("store://"), F.col("key"))).alias("source_url"),
+        F.coalesce(m["title"]["value"]["stringValue"], F.lit("")).alias("title"))
+
+
+def _files(spark: SparkSession) -> None:
+    ship_package(spark)
+    spark.dataSource.register(DocumentFiles)
+
+
 def write_chunk_table(chunks: DataFrame, root: str) -> str:
     """Vector-store rows ``(chunk_id, doc_id, pos, text, metadata, vector)``
     plus the object location ``uri`` when present; metadata stays a plain,

@@ -56,3 +56,26 @@ def test_kth_smallest(spark):
     for k in (1, 7, 1000, 2000):
         assert kth_smallest(df, "v", k) == s[k - 1]
     assert kth_smallest(df, "v", 2001) is None
+
+
+def test_files_with_sidecars(spark):
+    from corpusflow.sources.corpus import file_corpus, write_files
+    from corpusflow.sources.files import place
+    keys = ["p/a.md", "p/Ünï_日本%2F.md", "_hidden", ".dot", "p/\\x\t.md", "q/c.md"] + [f"p/n{i}.md" for i in range(60)]
+    side_of = {k: json.dumps({"metadataAttributes": {
+        "source_url": {"value": {"type": "STRING", "stringValue": f"https://w/{k}"}, "includeForEmbedding": False},
+        "title": {"value": {"type": "STRING", "stringValue": "T"}, "includeForEmbedding": False}}})
+        for i, k in enumerate(keys) if i % 3}
+    objs = spark.createDataFrame([(k, f"body of {k}\n") for k in keys], "key string, body string").repartition(3)
+    side = spark.createDataFrame([(k + ".metadata.json", s) for k, s in side_of.items()], "sidecar_key string, sidecar string")
+    root = scratch_path(spark, "t-doc-files")
+    want = {k: (f"body of {k}\n", f"https://w/{k}" if k in side_of else f"store://{k}", "T" if k in side_of else "") for k in keys}
+    for _ in range(2):                                       # a repeated run leaves the same files
+        write_files(objs, side, root)
+        assert {r.key: (r.body, r.source_url, r.title) for r in file_corpus(spark, root).collect()} == want
+    assert {r.key for r in file_corpus(spark, root, "q/").collect()} == {"q/c.md"}
+    write_files(objs, side.filter("sidecar_key <> 'p/n1.md.metadata.json'"), root)        # a sidecar that goes
+    assert "p/n1.md" in side_of and file_corpus(spark, root).filter("key = 'p/n1.md'").first().title == ""
+    names = [n for _, _, f in os.walk(root.removeprefix("file:")) for n in f]
+    assert len(names) == len(set(names)) == len(keys) + len(side_of) - 1 + 1 and not any(n.startswith(".") and n.endswith(".tmp") for n in names)
+    assert len({place(k) for k in keys}) == len(keys)
