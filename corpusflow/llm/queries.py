@@ -162,6 +162,61 @@ def op11_rare_token_index(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(found["name"], ",").alias("templates"))
 
 
+def _sql_licences() -> str:
+    """The licence scan as joins: postings of templates and files, votes per
+    (file, template, cell), phrases as equal list slices."""
+    def text(s):
+        return "'" + s.replace("'", "''") + "'"
+    low, fold = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')", r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+    named = ", ".join(f"({text(t.name)}, {text(t.label)}, {text(t.text)}, {i})" for i, t in enumerate(licences.TEMPLATES))
+    phrases = ", ".join(f"({text(t.name)}, {k}, {text(p)})" for t in licences.TEMPLATES for k, p in enumerate(t.phrases))
+    base = ", ".join(f"({text(p)}, {text(label)})" for p, label in licences.BASE)
+    cells = "[CAST(floor({0} / 16.0) AS INTEGER) * 2, CAST(floor(({0} + 8) / 16.0) AS INTEGER) * 2 + 1]"
+    return f"""
+WITH t AS (SELECT name, label, ord, regexp_extract_all({low}, {fold}) AS ws FROM (VALUES {named}) v(name, label, text, ord)),
+p AS (SELECT name, k, regexp_extract_all({low}, {fold}) AS ps FROM (VALUES {phrases}) v(name, k, text)),
+b AS (SELECT string_split(text, ' ') AS ps, label FROM (VALUES {base}) v(text, label)),
+q AS (SELECT name, ws[i + 1] AS w, CAST(i AS INTEGER) AS q FROM t, range(0, 100) r(i) WHERE i < len(ws)),
+h AS (SELECT p.*, (SELECT min(i) FROM range(0, 100) r(i) WHERE t.ws[(i + 1):(i + len(ps))] = ps) AS home FROM p JOIN t USING (name)),
+d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({low}, {fold}) AS ws FROM documents),
+u AS (SELECT r, CAST(unnest(range(0, len(ws))) AS INTEGER) AS i, unnest(ws) AS w FROM d),
+v AS (SELECT DISTINCT w FROM q UNION SELECT unnest(ps) FROM b),
+f AS (SELECT w, count(DISTINCT r) AS df FROM u SEMI JOIN v USING (w) GROUP BY w),
+g AS (SELECT v.w, greatest(1, CAST(round(1000 * ln(((SELECT count(*) FROM d) + 1) / (coalesce(df, 0) + 1))) AS BIGINT)) AS weight
+  FROM v LEFT JOIN f USING (w)),
+x AS (SELECT DISTINCT r, w FROM u SEMI JOIN v USING (w)),
+n AS (SELECT name, list_distinct(flatten(list(ps))) AS need FROM p GROUP BY name),
+a AS (SELECT r, name FROM x JOIN (SELECT name, unnest(need) AS w, len(need) AS n FROM n) USING (w) GROUP BY r, name, n HAVING count(*) = n),
+y AS (SELECT a.r, a.name, x.w, weight FROM a JOIN x USING (r) JOIN (SELECT DISTINCT name, w FROM q) q ON q.name = a.name AND q.w = x.w JOIN g ON g.w = x.w),
+z AS (SELECT *, row_number() OVER (PARTITION BY r, name ORDER BY weight DESC, w) AS k, count(*) OVER (PARTITION BY r, name) AS present FROM y),
+c AS (SELECT DISTINCT y.r, y.name, y.w, unnest({cells.format('(u.i - q.q)')}) AS cell FROM y JOIN u ON u.r = y.r AND u.w = y.w
+  JOIN q ON q.name = y.name AND q.w = y.w),
+s AS (SELECT c.r, c.name, cell FROM c JOIN z ON z.r = c.r AND z.name = c.name AND z.w = c.w AND z.k <= {licences.PROBES}
+  GROUP BY c.r, c.name, cell, present HAVING 2 * count(*) >= least(present, {licences.PROBES})),
+o AS (SELECT DISTINCT a.r, a.name, h.k, unnest({cells.format('(u.i - h.home)')}) AS cell FROM a JOIN h ON h.name = a.name
+  JOIN u ON u.r = a.r AND u.w = h.ps[1] JOIN d ON d.r = a.r WHERE d.ws[(u.i + 1):(u.i + len(h.ps))] = h.ps),
+e AS (SELECT s.r, s.name, s.cell FROM s JOIN o ON o.r = s.r AND o.name = s.name AND o.cell = s.cell
+  GROUP BY s.r, s.name, s.cell HAVING count(*) = (SELECT count(*) FROM p WHERE p.name = s.name)),
+m AS (SELECT e.r, e.name, e.cell, sum(weight) AS got FROM e JOIN c ON c.r = e.r AND c.name = e.name AND c.cell = e.cell
+  JOIN g ON g.w = c.w GROUP BY e.r, e.name, e.cell),
+k AS (SELECT r, m.name, CAST(max(got) AS DOUBLE) / (SELECT sum(weight) FROM g WHERE w IN (SELECT w FROM q WHERE q.name = m.name)) AS score
+  FROM m GROUP BY r, m.name),
+l AS (SELECT k.r, max(score) AS score, list(DISTINCT label) AS labels, string_agg(t.name, ',' ORDER BY ord) AS templates
+  FROM k JOIN t ON t.name = k.name WHERE score >= {licences.SHARE} GROUP BY k.r),
+j AS (SELECT u.r, label, count(*) AS n, min(u.i) AS lo, max(u.i) AS hi FROM u JOIN b ON b.ps[1] = u.w JOIN d ON d.r = u.r
+  WHERE d.ws[(u.i + 1):(u.i + len(b.ps))] = b.ps GROUP BY u.r, label),
+i AS (SELECT r, CAST(sum(n) AS BIGINT) AS n, min(lo) AS lo, max(hi) AS hi, list(DISTINCT label) AS labels FROM j GROUP BY r)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(i.n, 0) AS n_base, CAST(i.lo AS BIGINT) AS first_word,
+  CAST(i.hi AS BIGINT) AS last_word, coalesce(array_to_string(list_sort(i.labels), ','), '') AS base_labels,
+  array_to_string(list_sort(list_distinct(list_concat(coalesce(i.labels, []), coalesce(l.labels, [])))), ',') AS labels,
+  coalesce(l.score, 0.0) AS score, coalesce(l.templates, '') AS templates
+FROM d LEFT JOIN i ON i.r = d.r LEFT JOIN l ON l.r = d.r
+"""
+
+
+OP11_SQL = _sql_licences()
+
+
 def op12_merkle_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaves, roots and proofs of all documents; a third of them tampered."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
@@ -259,5 +314,5 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_chat_format": OP2_SQL, "op12_merkle_intervals": OP12_SQL,
+    return {"op2_chat_format": OP2_SQL, "op11_rare_token_index": OP11_SQL, "op12_merkle_intervals": OP12_SQL,
             "op13_top_order_phrases": OP13_SQL}

@@ -129,3 +129,20 @@ def test_no_python_on_the_executors(spark, tmp_path):
     full_documents(spark, [(1, "Released under the MIT License.")]).write.parquet(f"{tmp_path}/documents.parquet")
     plan = queries.op11_rare_token_index(spark, str(tmp_path))._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas|MapIn", plan)
+
+
+def test_sql_equals_brute_force(tmp_path):
+    """The oracle SQL on damaged notices, where scores lie between 0 and 1."""
+    import duckdb
+    texts = sample(3) + [None, "", "mit license" * 3, "MIT License " * 200]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate(texts)))
+    label = {t.name: t.label for t in licences.TEMPLATES}
+    want = []
+    for doc, (n, base, found) in enumerate(brute(texts)):
+        at = [i for p in base.values() for i in p]
+        own = {b for b, p in base.items() if p}
+        want.append((doc, n, len(at), min(at, default=None), max(at, default=None), ",".join(sorted(own)),
+                     ",".join(sorted(own | {label[f] for f in found})), max(found.values(), default=0.0)))
+    assert sorted(r[:8] for r in con.execute(queries.OP11_SQL).fetchall()) == want
