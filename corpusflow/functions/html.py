@@ -40,6 +40,7 @@ VOID_TAGS = ("area", "base", "basefont", "bgsound", "br", "col", "command", "emb
 RAW_TEXT_TAGS = ("script", "style")     # their content is not markup
 # --- end of fixed values -----------------------------------------------------
 REGION_TAGS = ("main", "article", "body")
+PIECE = "\x01"          # between the pieces of a page
 NEITHER, OPENS, CLOSES, ALONE, EMPTY = 0, 1, 2, 3, 4
 
 
@@ -54,44 +55,56 @@ def raw_element_re(name: str) -> str:
 TOKEN_RE = "(?is)" + "|".join(["<!--.*?-->", *map(raw_element_re, RAW_TEXT_TAGS), TAG_RE])
 
 
-def _token_marks(tokens: Column, tags) -> Column:
+def _pieces(html: Column) -> Column:
+    """Texts and markup tokens in turn; a text stands at every even place."""
+    def both(tokens: Column, texts: Column) -> Column:
+        return F.concat(F.slice(texts, 1, 1), F.flatten(F.transform(
+            tokens, lambda t, i: F.array(t, F.get(texts, i + 1)))))
+    # one pass with marks around the tokens, unless the page holds the mark
+    marked = F.split(F.regexp_replace(html, TOKEN_RE, f"{PIECE}$0{PIECE}"), PIECE)
+    apart = bind(F.regexp_extract_all(html, F.lit(TOKEN_RE), F.lit(0)),
+                 lambda tokens: bind(F.split(html, TOKEN_RE), lambda texts: both(tokens, texts)))
+    return F.when(html.contains(PIECE), apart).otherwise(marked)
+
+
+def _token_marks(pieces: Column, tags) -> Column:
     """``array<struct<at, kind, name>>`` of the tokens that matter: tags that
     open or close an element, what is dropped on its own, and regions that are
     closed in their own tag."""
     def mark(t, i):
-        name = F.lower(F.regexp_extract(t, r"^</?([a-zA-Z][^\s/>]*)", 1))
-        closed = t.endswith("/>") & ~t.rlike(r"""=[^\s"'>]*/>$""")
-        whole = closed | name.isin(*RAW_TEXT_TAGS)
-        kind = (F.when(t.startswith("<!--"), ALONE)
-                .when(name == "", NEITHER)
-                .when(t.startswith("</"), CLOSES)
-                .when(whole, F.when(name.isin(*tags), ALONE).when(name.isin(*REGION_TAGS), EMPTY).otherwise(NEITHER))
-                .when(name.isin(*VOID_TAGS), NEITHER)
-                .otherwise(OPENS))
-        return F.struct(i.alias("at"), kind.alias("kind"), name.alias("name"))
-    return F.filter(F.transform(tokens, mark), lambda m: m["kind"] != NEITHER)
+        def of(name):
+            closed = t.endswith("/>") & ~t.rlike(r"""=[^\s"'>]*/>$""")
+            kind = (F.when(t.startswith("<!--"), ALONE)
+                    .when(name == "", NEITHER)
+                    .when(t.startswith("</"), CLOSES)
+                    .when(closed | name.isin(*RAW_TEXT_TAGS),
+                          F.when(name.isin(*tags), ALONE).when(name.isin(*REGION_TAGS), EMPTY).otherwise(NEITHER))
+                    .when(name.isin(*VOID_TAGS), NEITHER)
+                    .otherwise(OPENS))
+            return F.struct(i.alias("at"), kind.alias("kind"), name.alias("name"))
+        return F.when(i % 2 == 1, bind(F.lower(F.regexp_extract(t, r"^</?([a-zA-Z][^\s/>]*)", 1)), of))
+    return F.filter(F.transform(pieces, mark), lambda m: m.isNotNull() & (m["kind"] != NEITHER))
 
 
 _CUT = "struct<first: int, last: int, put: string>"
-_FOLD = f"struct<open: array<string>, drop: int, since: int, cuts: array<{_CUT}>>"
 
 
 def _cut(first, last, put) -> Column:
-    return F.array(F.struct(first.alias("first"), last.alias("last"), put.alias("put")).cast(_CUT))
+    return F.array(F.struct(first.alias("first"), last.alias("last"), put.alias("put")))
 
 
 def _fold_step(s: Column, m: Column, tags) -> Column:
     """One token of the stack fold. ``open`` holds the names of the open
     elements, ``drop`` the depth of the dropped element the token is in (0:
     none), which began at place ``since``. An end tag closes the nearest open
-    element of its name and all inside it, or nothing. Token ``at`` stands at
-    place 2 at + 1 of the page, the text before it at 2 at."""
-    here = m["at"] * 2 + 1
+    element of its name and all inside it, or nothing. ``at`` is the token's
+    place among the pieces, the text before it is one place earlier."""
+    here = m["at"]
     none = F.array().cast(f"array<{_CUT}>")
 
     def state(open_, drop, since, more):
-        return F.struct(open_.alias("open"), drop.cast("int").alias("drop"), since.cast("int").alias("since"),
-                        F.concat(s["cuts"], more).alias("cuts")).cast(_FOLD)
+        return F.struct(open_.alias("open"), drop.alias("drop"), since.alias("since"),
+                        F.concat(s["cuts"], more).alias("cuts"))
 
     def opened() -> Column:
         begins = (s["drop"] == 0) & m["name"].isin(*tags)
@@ -129,26 +142,23 @@ def strip_boilerplate(html: Column, tags=DEFAULT_BOILERPLATE_TAGS) -> Column:
     by the tags of one name."""
     tags = tuple(tags)
 
-    def rebuilt(tokens: Column, texts: Column) -> Column:
-        parts = F.concat(F.slice(texts, 1, 1), F.flatten(F.transform(
-            tokens, lambda t, i: F.array(t, F.get(texts, i + 1)))))
+    def rebuilt(pieces: Column) -> Column:
         start = F.struct(F.array().cast("array<string>").alias("open"), F.lit(0).alias("drop"), F.lit(0).alias("since"),
-                         F.array().cast(f"array<{_CUT}>").alias("cuts")).cast(_FOLD)
+                         F.array().cast(f"array<{_CUT}>").alias("cuts"))
         cuts = F.aggregate(
-            _token_marks(tokens, tags), start, lambda s, m: _fold_step(s, m, tags),
-            lambda s: F.when(s["drop"] > 0, F.concat(s["cuts"], _cut(s["since"], F.size(tokens) * 2, F.lit("\n"))))
+            _token_marks(pieces, tags), start, lambda s, m: _fold_step(s, m, tags),
+            lambda s: F.when(s["drop"] > 0, F.concat(s["cuts"], _cut(s["since"], F.size(pieces) - 1, F.lit("\n"))))
             .otherwise(s["cuts"]))
 
-        def joined(p: Column, cs: Column) -> Column:
+        def joined(cs: Column) -> Column:
             def kept(c, k):
                 before = F.coalesce(F.get(cs, k - 1)["last"], F.lit(-1))
-                return F.concat(F.array_join(F.slice(p, before + 2, c["first"] - before - 1), ""), c["put"])
+                return F.concat(F.array_join(F.slice(pieces, before + 2, c["first"] - before - 1), ""), c["put"])
             last = F.coalesce(F.get(cs, F.size(cs) - 1)["last"], F.lit(-1))
             return F.concat(F.array_join(F.transform(cs, kept), ""),
-                            F.array_join(F.slice(p, last + 2, F.greatest(F.size(p) - last - 1, F.lit(0))), ""))
-        return bind(parts, lambda p: bind(cuts, lambda cs: joined(p, cs)))
-    return bind(F.regexp_extract_all(html, F.lit(TOKEN_RE), F.lit(0)),
-                lambda tokens: bind(F.split(html, TOKEN_RE), lambda texts: rebuilt(tokens, texts)))
+                            F.array_join(F.slice(pieces, last + 2, F.greatest(F.size(pieces) - last - 1, F.lit(0))), ""))
+        return bind(cuts, joined)
+    return bind(_pieces(html), rebuilt)
 
 
 def page_title(doc: Column) -> Column:

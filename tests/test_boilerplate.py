@@ -67,3 +67,9 @@ def test_derived_pages_equal_a_dom_walk(spark):
 
 def test_element_types_cover_the_walk():
     assert VOID <= set(VOID_TAGS) and not set(RAW_TEXT_TAGS) & set(VOID_TAGS)
+
+
+def test_page_that_holds_the_mark(spark):
+    from corpusflow.functions.html import PIECE
+    pages = [f"a{PIECE}<nav>x</nav>b{PIECE}c", f"<aside>{PIECE}</aside>d"]
+    assert contents(spark, pages) == {i: walk(p)[1] for i, p in enumerate(pages)}
