@@ -19,6 +19,7 @@ from ..operators.admission import robots_allowed, with_policy
 from ..operators.extract import extract_pages, page_kind, page_preview
 from ..operators.seeds import seed_urls
 from ..operators.session import crawl_session, verdict_detail
+from ..session import scratch_path, stored_once
 from ..sources import tables as T
 
 POLICY = TEST_POLICY
@@ -45,9 +46,15 @@ def session(spark: SparkSession, sf: str, policy: CrawlPolicy | None = None,
     return crawl_session(seeds, T.fetch_log(spark, sf).drop("html"), policy, robots, running_counts)
 
 
-def extracted(spark: SparkSession, sf: str, policy: CrawlPolicy = POLICY) -> DataFrame:
-    """Extracted text and links of every page, by ``page_id``."""
-    return extract_pages(pages_upgraded(spark, sf), policy, url_col="fetch_url").drop("url", "fetch_url")
+def extracted(spark: SparkSession, sf: str) -> DataFrame:
+    """Extracted text and links of every page, by ``page_id``: stored once per
+    session and state of the ``pages`` files, read with column pruning (a filter
+    on an extracted column would otherwise extract a second time)."""
+    def make():
+        path = scratch_path(spark, "extracted-pages")
+        extract_pages(pages_upgraded(spark, sf), POLICY, url_col="fetch_url").drop("url", "fetch_url").write.parquet(path)
+        return path
+    return spark.read.parquet(stored_once(spark, "extracted-pages", T.table_path(sf, "pages"), make))
 
 
 def with_pages(rows: DataFrame, spark: SparkSession, sf: str) -> DataFrame:

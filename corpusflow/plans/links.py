@@ -33,9 +33,9 @@ def q_link_limits(spark, sf):
 
 def toc_pages(spark, sf):
     """Upgraded URLs of fetched HTML pages whose content is thin."""
-    snap = crawl.snapshot(spark, sf)
     fetched = fetch_outcome(F.col("status"), F.col("content_type"), F.col("error"), F.lit(True)) == "fetched"
-    return snap.filter(fetched & (F.length("content") < TEST_THIN_LENGTH)).select("url")
+    thin = crawl.extracted(spark, sf).filter(F.length("content") < TEST_THIN_LENGTH).select("page_id")
+    return T.fetch_log(spark, sf).drop("html").filter(fetched).join(thin, "page_id", "left_semi").select("url")
 
 
 def q_toc_expand(spark, sf):
