@@ -73,6 +73,9 @@ class KeySet:
         """Distinct ``key`` values of ``keys`` that a batch before ``before``
         added."""
         n = self.buckets
+        self.buckets_read = self.keys_read = 0
+        if not path_exists(self.spark, self._folder("keys", n)):
+            return keys.select(key).limit(0)
         asked = keys.select(F.col(key).alias("key")).distinct().withColumn("bucket", key_bucket("key", n))
         asked = asked.withColumn("slot", F.pmod(_hash("key", 1), F.lit(SLOTS)).cast("int")).withColumn("at", _bits("key"))
         path = scratch_path(self.spark, "asked-keys")
