@@ -2,9 +2,8 @@
 citations and grounding context.
 
 * Chunking and token bucketing are native array expressions (no shuffle).
-* The dense vector of a chunk is built by an Arrow batch function
-  (``mapInArrow``): bucket ids in, normalised float vector out, numpy does
-  the counting. It is the pluggable embedder hook.
+* The dense vector of a chunk is built by an Arrow UDF: tokens in, normalised
+  float vector out, numpy does the counting. It is the pluggable embedder hook.
 * Exact top-k never forms question x chunk pairs as rows: the question side
   is broadcast after a size check (batched when it is too large), every
   corpus partition keeps a running top-k per question in numpy, and a final
@@ -31,8 +30,9 @@ from ..session import scratch_path, ship_package, spread
 
 # Question side broadcast per pass; larger question sets run in batches.
 MAX_BROADCAST_BYTES = 64 << 20
-# Distinct tokens whose bucket is remembered per task.
-MEMO_LIMIT = 1 << 20
+# Distinct tokens whose bucket is remembered per task, and tokens counted at once.
+MEMO_LIMIT = 1 << 17
+SLICE_TOKENS = 1 << 19
 # Entries of a dense matrix built per slice inside a task (float64: 32 MiB).
 MATRIX_BUDGET = 4 << 20
 
@@ -44,6 +44,11 @@ def words(text: Column) -> Column:
     return F.filter(F.split(text, f"[{PY_SPACE}]+"), lambda w: w != "")
 
 
+def has_words(text: Column) -> Column:
+    """Whether ``words`` finds any; reads up to the first one."""
+    return text.rlike(f"[^{PY_SPACE}]")
+
+
 def chunk_documents(docs: DataFrame, cfg: ChunkConfig, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """Split each document into windows of ``cfg.size`` words that overlap
@@ -62,7 +67,8 @@ def chunk_documents(docs: DataFrame, cfg: ChunkConfig, id_col: str = "doc_id",
                         lambda p: F.struct(F.array_join(F.slice("_w", p * step + 1, cfg.size), " ").alias("text"),
                                            F.least(F.lit(cfg.size), n - p * step).alias("n_words")))
     carry = [c for c in docs.columns if c != text_col]
-    return (spread(docs).withColumn("_w", w).filter(F.size("_w") > 0)
+    # asked of the text: a filter on the words would split every text once more
+    return (spread(docs).filter(has_words(F.col(text_col))).withColumn("_w", w)
             .select(*carry, F.posexplode(texts).alias("pos", "_c"))
             .select(*carry, "pos", "_c.text", "_c.n_words")
             .withColumn("chunk_id", F.concat(F.col(id_col).cast("string"), F.lit("-"), F.col("pos").cast("string"))))
@@ -78,51 +84,50 @@ def raw_tokens(text: Column) -> Column:
 
 def token_bucket(token: str, dim: int) -> int:
     """Hash bucket of a token: first 32 bits of its md5, modulo ``dim``."""
-    return int(hashlib.md5(token.encode("utf-8")).hexdigest()[:8], 16) % dim
+    return int.from_bytes(hashlib.md5(token.encode("utf-8")).digest()[:4], "big") % dim
 
 
-def _bag_to_vectors(dim: int, tok_col: str, out_col: str):
-    """Arrow batch function: token lists -> L2-normalised bucket counts.
+def _bag_to_vectors(dim: int):
+    """Arrow function: token lists -> L2-normalised bucket counts.
 
-    Only the distinct tokens of a slice are hashed (``pc.unique`` +
-    ``index_in``); counting is one ``bincount`` over row*dim + bucket. Rows
-    are taken in slices so the dense count matrix stays within
-    MATRIX_BUDGET entries.
-    """
-    def vectors(rb, memo):
-        col = rb.column(rb.schema.get_field_index(tok_col))
-        n = rb.num_rows
+    Lists are taken in slices of about SLICE_TOKENS tokens, and of as many rows
+    as keep the dense count matrix within MATRIX_BUDGET entries; the distinct
+    tokens of a slice are hashed, those met before come from a bounded memo.
+    What a worker holds depends on neither the rows nor the vocabulary."""
+    def vectors(col, memo):
+        n = len(col)
         offsets = np.asarray(col.offsets, dtype=np.int64)
-        rows = np.repeat(np.arange(n, dtype=np.int64), np.diff(offsets - offsets[0]))
-        flat = col.flatten()
-        keep = np.asarray(pc.fill_null(pc.not_equal(flat, ""), False))
-        uniq = pc.unique(flat)
-        if len(memo) > MEMO_LIMIT:   # bound per-task memory on large vocabularies
+        rows = np.repeat(np.arange(n, dtype=np.int64), np.diff(offsets))
+        coded = pc.dictionary_encode(col.flatten())
+        names = coded.dictionary.to_pylist()
+        if len(memo) > MEMO_LIMIT:
             memo.clear()
-        names = uniq.to_pylist()
         for u in names:
-            if u is not None and u not in memo:
+            if u not in memo:
                 memo[u] = token_bucket(u, dim)
-        ub = np.asarray([memo.get(u, 0) for u in names], dtype=np.int64)
-        idx = np.asarray(pc.fill_null(pc.index_in(flat, value_set=uniq), 0), dtype=np.int64)
-        cells = rows[keep] * dim + ub[idx[keep]] if len(ub) else np.zeros(0, np.int64)
-        mat = np.bincount(cells, minlength=n * dim).astype(np.float64).reshape(n, dim)
+        # null and empty tokens count nowhere
+        ub = np.asarray([memo[u] if u else -1 for u in names] + [-1], dtype=np.int64)
+        buckets = ub[np.asarray(pc.fill_null(coded.indices, len(names)), dtype=np.int64)]
+        keep = buckets >= 0
+        mat = np.bincount(rows[keep] * dim + buckets[keep], minlength=n * dim).astype(np.float64).reshape(n, dim)
         norm = np.sqrt((mat * mat).sum(axis=1))
         norm[norm == 0] = 1.0
         vec = (mat / norm[:, None]).astype(np.float32)
-        arr = pa.ListArray.from_arrays(pa.array(np.arange(0, (n + 1) * dim, dim, dtype=np.int32)),
-                                       pa.array(vec.reshape(-1)))
-        keep_cols = [rb.column(i) for i, f in enumerate(rb.schema) if f.name != tok_col]
-        names = [f.name for f in rb.schema if f.name != tok_col]
-        return pa.RecordBatch.from_arrays(keep_cols + [arr], names=names + [out_col])
+        return pa.ListArray.from_arrays(pa.array(np.arange(0, (n + 1) * dim, dim, dtype=np.int32)), pa.array(vec.reshape(-1)))
 
-    def run(batches):
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         memo: dict[str, int] = {}
-        step = max(64, MATRIX_BUDGET // dim)
+        most = max(64, MATRIX_BUDGET // dim)
         for whole in batches:
-            for off in range(0, whole.num_rows, step):
-                yield vectors(whole.slice(off, step), memo)
-    return run
+            offsets = np.asarray(whole.offsets, dtype=np.int64)
+            parts, at = [], 0
+            while at < len(whole):
+                upto = int(np.searchsorted(offsets, offsets[at] + SLICE_TOKENS, side="right")) - 1
+                upto = min(max(upto, at + 1), at + most, len(whole))
+                parts.append(vectors(whole.slice(at, upto - at), memo))
+                at = upto
+            yield pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.float32()))
+    return F.arrow_udf(run, "array<float>")
 
 
 def embed(df: DataFrame, text_col: str, dim: int, out_col: str = "vector", embedder=None) -> DataFrame:
@@ -131,14 +136,12 @@ def embed(df: DataFrame, text_col: str, dim: int, out_col: str = "vector", embed
     ``embedder(texts: list[str], dim: int) -> array (rows x dim)`` is called
     per bounded slice of an Arrow batch. Without one: hashed bag of words,
     L2-normalised; tokenising runs in the JVM, hashing of distinct tokens and
-    counting per Arrow batch."""
+    counting per Arrow batch. Only the tokens travel to Python, the other
+    columns of ``df`` stay in the JVM."""
     ship_package(df.sparkSession)
     if embedder is not None:
         return df.withColumn(out_col, _embed_with(embedder, dim)(F.col(text_col)))
-    with_t = df.withColumn("_t", raw_tokens(F.col(text_col)))
-    schema = T.StructType([f for f in with_t.schema.fields if f.name != "_t"]
-                          + [T.StructField(out_col, T.ArrayType(T.FloatType()))])
-    return with_t.mapInArrow(_bag_to_vectors(dim, "_t", out_col), schema)
+    return df.withColumn(out_col, _bag_to_vectors(dim)(raw_tokens(F.col(text_col))))
 
 
 def _embed_with(embedder, dim: int):

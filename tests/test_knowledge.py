@@ -1,6 +1,7 @@
 """Chunking, embedding, exact and approximate search, citations."""
 
 import json
+import re
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -28,6 +29,32 @@ def test_embedding_is_normalised_bag(spark):
     assert np.allclose(v[1], exp / np.linalg.norm(exp), atol=1e-6)
 
 
+def test_a_text_is_split_once(spark):
+    """A filter on the words was pushed down as a second split of every text."""
+    docs = spark.createDataFrame([(1, "a b"), (2, " \t\u3000"), (3, None), (4, ""), (5, "\u00a0x")], "doc_id long, text string")
+    chunks = K.chunk_documents(docs, ChunkConfig(size=5, overlap=2, dim=8))
+    assert sorted((r.doc_id, r.text) for r in chunks.collect()) == [(1, "a b"), (5, "x")]
+    plan = chunks._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(text") == 1
+
+
+def test_only_tokens_reach_python_in_bounded_slices(spark, monkeypatch):
+    texts = ["a b c", "", "--", None, " ".join(f"w{i}" for i in range(40)), "B a", "\u00e9t\u00e9 b"] * 3
+    df = spark.createDataFrame([(i, t, "x" * 50) for i, t in enumerate(texts)], "id long, text string, other string").coalesce(1)
+    whole = {r.id: tuple(r.vector) for r in K.embed(df, "text", 16).collect()}
+    monkeypatch.setattr(K, "SLICE_TOKENS", 5)
+    monkeypatch.setattr(K, "MEMO_LIMIT", 3)
+    out = K.embed(df, "text", 16)
+    assert {r.id: tuple(r.vector) for r in out.collect()} == whole and len(whole) == len(texts)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan        # whole rows went through Python
+    for i, t in enumerate(texts):
+        want = np.zeros(16)
+        for w in filter(None, re.split(r"[^a-z0-9\u00e9]+", (t or "").lower())):
+            want[K.token_bucket(w, 16)] += 1
+        assert np.allclose(whole[i], want / (np.linalg.norm(want) or 1.0), atol=1e-6)
+
+
 def _brute(q, c, k):
     out = {}
     for qi, qv in q.items():
