@@ -17,7 +17,8 @@ PY_SPACE = (r"\t\n\x{0b}\x{0c}\r\x{1c}-\x{1f} \x{85}\x{a0}\x{1680}"
 PY_LINE_BREAK = r"\r\n|[\n\r\x{0b}\x{0c}\x{1c}-\x{1e}\x{85}\x{2028}\x{2029}]"
 # --- end of fixed values ---------------------------------------------------
 
-STRIP_RE = rf"^[{PY_SPACE}]+|[{PY_SPACE}]+\z"
+SPACE_CHARS = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+                                0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 
 
 def _low_charref(n: int) -> str:
@@ -42,8 +43,9 @@ def bind(value: Column, fn) -> Column:
 
 
 def py_strip(c: Column) -> Column:
-    """Python ``str.strip()``: Unicode whitespace at both ends."""
-    return F.regexp_replace(c, STRIP_RE, "")
+    """Python ``str.strip()``: Unicode whitespace at both ends; only the ends
+    are looked at."""
+    return F.btrim(c, F.lit(SPACE_CHARS))
 
 
 def charref(code: Column) -> Column:

@@ -93,14 +93,23 @@ def linked_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.join(lists, "page_id", "left").select("page_id", "url", F.coalesce(body, "html").alias("html"))
 
 
+def captured_as(page_id: str = "page_id") -> dict:
+    """``status``, ``content_type`` and ``error`` of a page's capture, by a fixed
+    rule on ``page_id``: 404 for ids ending in 3, a timeout for ids ending in 4,
+    a PDF body for ids with remainder 5 modulo 7, HTML otherwise."""
+    d10 = F.col(page_id) % 10
+    return {"status": F.when(d10 == 3, F.lit(404)).when(d10 == 4, F.lit(None)).otherwise(F.lit(200)).cast("int"),
+            "content_type": F.when(F.col(page_id) % 7 == 5, F.lit("application/pdf"))
+            .otherwise(F.lit("text/html; charset=utf-8")),
+            "error": F.when(d10 == 4, F.lit("timeout"))}
+
+
 def fetch_log(spark: SparkSession, sf_dir: str, transform=None, pages: DataFrame | None = None) -> DataFrame:
     """Captured fetch snapshot ``(url, page_id, status, content_type, error,
     html)`` keyed by the upgraded URL, one row per URL (lowest page_id).
 
     The live GET of the crawler is re-aimed as a join with this snapshot.
-    Status and content type are assigned by a fixed rule on ``page_id``:
-    404 for ids ending in 3, a timeout for ids ending in 4, a PDF body for
-    ids with remainder 5 modulo 7, HTML otherwise.
+    Status and content type are assigned by ``captured_as``.
 
     ``transform`` (e.g. page extraction) is applied before the per-URL
     dedupe, so the dedupe join moves the transformed rows (bounded text)
@@ -110,15 +119,9 @@ def fetch_log(spark: SparkSession, sf_dir: str, transform=None, pages: DataFrame
     from ..session import spread
     html = varied_html() if pages is None else F.col("html")
     pages = read_table(spark, sf_dir, "pages") if pages is None else pages
-    d10 = F.col("page_id") % 10
     p = spread(pages).select(
         https_upgrade(F.col("url")).alias("url"), "page_id",
-        F.when(d10 == 3, F.lit(404)).when(d10 == 4, F.lit(None)).otherwise(F.lit(200))
-        .cast("int").alias("status"),
-        F.when(F.col("page_id") % 7 == 5, F.lit("application/pdf"))
-        .otherwise(F.lit("text/html; charset=utf-8")).alias("content_type"),
-        F.when(d10 == 4, F.lit("timeout")).alias("error"),
-        html.alias("html"))
+        *[c.alias(name) for name, c in captured_as().items()], html.alias("html"))
     if transform is not None:
         p = transform(p)
     first = (pages.select(https_upgrade(F.col("url")).alias("url"), "page_id")

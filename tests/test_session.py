@@ -186,3 +186,29 @@ def test_robots_paths_are_compared_like_the_standard_library(spark):
     df = with_policy(spark.createDataFrame([(u,) for u in urls], "url string"), CrawlPolicy(allowed_domains=()))
     got = {r.url: r.robots_ok for r in robots_allowed(df, table, CrawlPolicy()).collect()}
     assert got == {u: parser.can_fetch("corpusflowcrawler", u) for u in urls}
+
+
+def test_only_pages_a_session_can_fetch_are_extracted(spark, tmp_path):
+    from corpusflow.plans import crawl
+    hosts = ["https://a.example.com/p{}", "http://b.example.org/q{}", "https://spam-farm.example.com/{}",
+             "https://other.net/{}", "https://a.example.com/f{}.html", "HTTPS://A.Example.com/u{}"]
+    rows = [(i, hosts[i % 6].format(i), f"<html><title>T{i}</title><body><p>{'word ' * (i + 20)}</p></body></html>")
+            for i in range(180)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    sf = str(tmp_path)
+    ok = crawl.session(spark, sf).filter("verdict = 'ok'").checkpoint()
+    cols = ["ordinal", "page_id", "title", "content", "links"]
+    got = sorted(map(tuple, crawl.with_pages(ok, spark, sf).select(cols).collect()))
+    want = sorted(map(tuple, ok.join(crawl.extracted(spark, sf), "page_id").select(cols).collect()))
+    assert got == want and len(got) == ok.count() > 0
+    stored = {r[0] for r in crawl.fetched_pages(spark, sf).select("page_id").collect()}
+    assert stored == {i for i in range(180) if i % 6 in (0, 1, 5) and i % 10 not in (3, 4) and i % 7 != 5}
+
+
+def test_strip_looks_at_the_ends_as_python_does(spark):
+    from corpusflow.functions.text import py_strip
+    every = [chr(i) for i in range(1, 0x3100) if not 0xD800 <= i < 0xE000] + ["\ufeff", "\u200b", "\U0001f600"]
+    texts = [f"{c}{c}a{c}b {c}" for c in every] + ["", " ", "\t\n\u3000"]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", py_strip(F.col("t")).alias("s"))
+    assert all(r.s == r.t.strip() for r in got.collect())
+    assert "regexp" not in got._jdf.queryExecution().optimizedPlan().toString()
