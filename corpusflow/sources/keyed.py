@@ -1,8 +1,8 @@
 """Tables kept by key in hash buckets, changed a few buckets at a time.
 
-A change reads the buckets that its keys fall into, builds their new rows, stores
-them aside and replaces those buckets (dynamic partition overwrite); all other
-buckets stay as they are, file by file. A repeated change finds its rows in
+A change reads the buckets that its keys fall into and replaces those buckets
+with their new rows (dynamic partition overwrite, which stages all rows before it
+replaces a folder); all other buckets stay as they are, file by file. A repeated change finds its rows in
 place and leaves the same table.
 
 ``store_documents`` keeps the last write of every document, object and sidecar
@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 
 from ..config import ChunkConfig
 from ..operators import knowledge as K
-from ..operators.documents import latest_document
 from ..session import path_exists, scratch_path
 from .keyset import DYNAMIC, key_bucket
 
@@ -32,15 +31,14 @@ def _held(spark: SparkSession, root: str, touched: list[int], like: DataFrame) -
             .select(*like.columns))
 
 
-def _replace(rows: DataFrame, root: str, touched: list[int]) -> None:
-    """Make ``rows`` the content of the touched buckets."""
+def _replace(rows: DataFrame, root: str, touched: list[int], left: list[int]) -> None:
+    """Make ``rows`` the content of the touched buckets; ``left`` are those that
+    get rows. ``rows`` may read the same buckets: the old files stay until all
+    new ones are written. A large bucket is written by several tasks."""
     spark = rows.sparkSession
-    aside = scratch_path(spark, "new-buckets")
-    rows.write.parquet(aside)            # read in full before its folders are replaced
-    new = spark.read.schema(rows.schema).parquet(aside)
-    (new.repartition("bucket").write.mode("overwrite").option(*DYNAMIC).partitionBy("bucket").parquet(root))
-    left = {r[0] for r in new.select("bucket").distinct().collect()}
-    for bucket in set(touched) - left:   # every row of it went
+    if left:
+        (rows.hint("rebalance", "bucket").write.mode("overwrite").option(*DYNAMIC).partitionBy("bucket").parquet(root))
+    for bucket in set(touched) - set(left):   # every row of it went
         path = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/bucket={bucket}")
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
@@ -58,15 +56,26 @@ def store_documents(docs: DataFrame, root: str, key: str = "filename", order: st
     spark = docs.sparkSession
     path = scratch_path(spark, "store-calls")
     docs.withColumn("bucket", key_bucket(key, buckets)).write.parquet(path)
-    calls = spark.read.parquet(path)
+    calls = spark.read.parquet(path).filter(F.col(key).isNotNull())
     touched = _buckets(calls)
     held = _held(spark, root, touched, calls.withColumn("writes", F.lit(0).cast("long")))
+    # what stays is found out from keys and orders alone; bodies travel once
     before = held.select(key, F.col(order).alias("_order"), F.col("writes").alias("_writes"))
-    fresh = calls.join(before, key, "left").filter(F.col("_order").isNull() | (F.col(order) > F.col("_order")))
-    last = latest_document(fresh.drop("_order"), key, order)
-    last = last.withColumn("writes", F.col("writes") + F.coalesce("_writes", F.lit(0))).drop("_writes")
-    kept = held.join(last.select(key), key, "left_anti")
-    _replace(kept.unionByName(last), root, touched)
+    narrow = calls.select(key, order).join(before, key, "left").filter(
+        F.col("_order").isNull() | (F.col(order) > F.col("_order")))
+    last = (narrow.groupBy(key).agg(F.max(order).alias(order), F.count(F.lit(1)).alias("_new"))
+            .join(before.select(key, "_writes"), key, "left")
+            .select(key, order, (F.col("_new") + F.coalesce("_writes", F.lit(0))).alias("writes")))
+    path = scratch_path(spark, "last-calls")
+    last.write.parquet(path)
+    last = spark.read.parquet(path)
+    if last.filter((F.col("writes") != 1) | F.col(order).isNull()).isEmpty() and last.count() == calls.count():
+        rows = calls.withColumn("writes", F.lit(1).cast("long"))   # each the first of its key
+    else:
+        rows = calls.join(last, [key, order]).select(*held.columns)
+    if not before.join(last, key, "left_anti").isEmpty():
+        rows = held.join(last.select(key), key, "left_anti").unionByName(rows)
+    _replace(rows, root, touched, touched)   # a touched bucket holds a call, or what was newer
     return root
 
 
@@ -83,10 +92,12 @@ def refresh_chunks(docs: DataFrame, cfg: ChunkConfig, root: str, doc_id: str = "
     docs = docs.withColumn("_key", key).withColumn("bucket", key_bucket("_key", buckets))
     state, table = f"{root.rstrip('/')}/documents", f"{root.rstrip('/')}/chunks"
     path = scratch_path(spark, "document-hashes")
-    docs.select(doc_id, "bucket", content.alias("content")).write.parquet(path)
-    now = spark.read.parquet(path)
+    some = F.coalesce(K.has_words(F.col("text")) & F.col(doc_id).isNotNull(), F.lit(False))
+    docs.select(doc_id, "bucket", content.alias("content"), some.alias("has_chunks")).write.parquet(path)
+    all_now = spark.read.parquet(path)
+    now, first = all_now.drop("has_chunks"), not path_exists(spark, state)
     old = (spark.read.schema(f"{doc_id} long, content string, bucket int").parquet(state)
-           if path_exists(spark, state) else now.limit(0))
+           if not first else now.limit(0))
     was = old.select(doc_id, F.col("content").alias("_was"), F.col("bucket").alias("_bucket"))
     both = now.join(was, doc_id, "full").filter(~F.col("content").eqNullSafe(F.col("_was")))
     path = scratch_path(spark, "changed-documents")
@@ -95,14 +106,17 @@ def refresh_chunks(docs: DataFrame, cfg: ChunkConfig, root: str, doc_id: str = "
     touched = _buckets(changed)
     if not touched:
         return 0
-    todo = docs.drop("_key").join(changed.filter("here").select(doc_id), doc_id, "left_semi")
+    docs = docs.drop("_key")
+    # at first every document is new, and no text has to meet the list of the changed
+    todo = (docs.filter(F.col(doc_id).isNotNull()) if first
+            else docs.join(changed.filter("here").select(doc_id), doc_id, "left_semi"))
     chunks = K.chunk_documents(todo, cfg, doc_id).withColumn("metadata", F.to_json(F.struct("source_url", "title")))
     embed_text = F.concat_ws("\n", F.col("title"), F.col("text")) if cfg.include_title else F.col("text")
     chunks = K.embed(chunks.withColumn("_embed_text", embed_text), "_embed_text", cfg.dim).select(
         "chunk_id", doc_id, "pos", "text", "metadata", "vector", "uri", "bucket")
     kept = _held(spark, table, touched, chunks).join(changed.select(doc_id), doc_id, "left_anti")
-    _replace(kept.unionByName(chunks), table, touched)
+    mine = all_now.filter(F.col("bucket").isin(touched))
+    _replace(kept.unionByName(chunks), table, touched, _buckets(mine.filter("has_chunks")))
     # the hashes come last: a run that fails before is done again
-    mine = now.filter(F.col("bucket").isin(touched))
-    _replace(mine, state, touched)
+    _replace(mine.drop("has_chunks"), state, touched, _buckets(mine))
     return changed.filter("here").count()

@@ -70,3 +70,22 @@ def test_chunk_refresh_equals_a_full_run(spark):
     assert refresh_chunks(documents(spark, second), CFG, root) == 0 and files(root) == before
     assert refresh_chunks(documents(spark, second[:1]), CFG, root) == 0      # all others are removed
     assert {r[1] for r in table(spark, root)} == {second[0][0]}
+
+
+def recorded(monkeypatch):
+    """Names of the scratch folders that a change writes."""
+    from corpusflow.sources import keyed
+    names = []
+    monkeypatch.setattr(keyed, "scratch_path", lambda spark, name: names.append(name) or scratch_path(spark, name))
+    return names
+
+
+def test_bodies_are_staged_once(spark, monkeypatch):
+    names, root = recorded(monkeypatch), scratch_path(spark, "t-store")
+    kind = "filename string, ordinal long, content string"
+    store_documents(spark.createDataFrame([("a", 1, "a1"), ("b", 2, "b2"), (None, 3, "x"), ("c", None, "c")], kind), root)
+    store_documents(spark.createDataFrame([("a", 4, "a4"), ("a", 5, "a5"), ("b", 2, "late"), ("d", 6, "d6"), (None, 7, "y")], kind), root)
+    store_documents(spark.createDataFrame([("d", 8, "d8")], kind), root)
+    got = spark.read.parquet(root).select("filename", "ordinal", "content", "writes").collect()
+    assert sorted(map(tuple, got)) == [("a", 5, "a5", 3), ("b", 2, "b2", 1), ("d", 8, "d8", 2)]
+    assert names == ["store-calls", "last-calls"] * 3
