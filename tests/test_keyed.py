@@ -89,3 +89,14 @@ def test_bodies_are_staged_once(spark, monkeypatch):
     got = spark.read.parquet(root).select("filename", "ordinal", "content", "writes").collect()
     assert sorted(map(tuple, got)) == [("a", 5, "a5", 3), ("b", 2, "b2", 1), ("d", 8, "d8", 2)]
     assert names == ["store-calls", "last-calls"] * 3
+
+
+def test_first_refresh_writes_chunks_once_and_emptied_buckets_go(spark, monkeypatch):
+    names, root = recorded(monkeypatch), scratch_path(spark, "t-chunks")
+    rows = [(i, f"a b c{i}") for i in range(40)] + [(None, "no id"), (90, None), (91, " ")]
+    assert refresh_chunks(documents(spark, rows), CFG, root) == 43
+    assert names == ["document-hashes", "changed-documents"]
+    assert sorted({r[1] for r in table(spark, root)}) == list(range(40))
+    assert refresh_chunks(documents(spark, [(i, "" if i else "z") for i in range(40)]), CFG, root) == 40
+    assert [(r[1], r[3]) for r in table(spark, root)] == [(0, "z")]
+    assert len(files(f"{root}/chunks")) == 1
