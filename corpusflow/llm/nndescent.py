@@ -12,8 +12,10 @@ shuffle on node ids; a task holds one block or one node's few candidates.
 ``search`` walks the graph for all queries together: every query keeps a beam
 of the best nodes seen, each round its best nodes not yet expanded are joined
 with their adjacency (neighbour ids and vectors, stored once, bucketed by
-node), and the beam takes the nearest. It ends when no beam has anything left
-to expand.
+node, in rows of at most ``PIECE`` bytes of vectors, so that neither a batch of
+rows on its way to Python nor a read of the store is large), and the beam takes
+the nearest; a neighbour that a full beam would not take is dropped where its
+similarity is found. It ends when no beam has anything left to expand.
 
 The effort follows the data: NN-descent goes on until a round renews at most
 ``DELTA`` of all list entries, and the beam is doubled until ``TRIED`` of the
@@ -57,6 +59,8 @@ DELTA = 0.01          # NN-descent ends when a round renews a smaller share of a
 SAMPLE = 8            # new and old neighbours a node sends in a round, each
 JOINED = 32           # candidates a node compares in a round
 BEAM = 256            # first beam; doubled until RECALL is met
+PIECE = 1 << 11       # bytes of vectors in a row of the adjacency (one vector at least)
+STEP = 512            # rows of a batch that are worked on at a time
 RECALL, TRIED = 0.95, 128     # wanted on so many queries, against the exact neighbours
 ERROR = 1e-13         # more than a double cosine's rounding
 SEED = 11
@@ -322,7 +326,8 @@ def build(df: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", top:
 
 def adjacency(index: Index) -> DataFrame:
     """``(node, ids, vecs)``: every list with the neighbours' vectors, stored
-    bucketed by node."""
+    bucketed by node; a list is several rows of at most ``PIECE`` bytes of
+    vectors."""
     spark = index.nodes.sparkSession
     width = partitions(spark)
 
@@ -335,16 +340,20 @@ def adjacency(index: Index) -> DataFrame:
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in groups(batches):
-            vecs = [r["vec"] for r in rows]
+            step = max(1, PIECE // len(rows[0]["vec"]))
+            pieces = [rows[at:at + step] for at in range(0, len(rows), step)]
             yield pa.RecordBatch.from_arrays(
-                [_long(np.array([rows[0]["node"]])), _packed([np.array([r["other"] for r in rows], dtype="<i8")]),
-                 pa.array([b"".join(vecs)], pa.binary())], ["node", "ids", "vecs"])
+                [_long(np.full(len(pieces), rows[0]["node"])),
+                 _packed([np.array([r["other"] for r in piece], dtype="<i8") for piece in pieces]),
+                 pa.array([b"".join(r["vec"] for r in piece) for piece in pieces], pa.binary())],
+                ["node", "ids", "vecs"])
 
     pairs = index.lists.select("node", "ids").mapInArrow(edges, "node long, other long")
     joined = pairs.join(index.nodes.select(F.col("node").alias("other"), "vec"), "other")
     name = "nn_adjacency_" + tmp("t").strip("_")
+    # dealt by node as the buckets are: a task writes one bucket
     (joined.select("node", "other", "vec").repartition(width, "node").sortWithinPartitions("node")
-     .mapInArrow(gather, "node long, ids binary, vecs binary").repartition(width, "node")
+     .mapInArrow(gather, "node long, ids binary, vecs binary")
      .write.bucketBy(width, "node").option("path", scratch_path(spark, name)).saveAsTable(name))
     return spark.table(name)
 
@@ -397,24 +406,38 @@ def walk(index: Index, near: DataFrame, start: DataFrame, beam: int) -> DataFram
                  _packed([np.zeros(len(i), np.uint8) for i in ids])], ["node", "vec", "ids", "sims", "done"])
 
     def frontier(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The open nodes of each beam, with the similarity a neighbour needs
+        to enter it."""
         for batch in batches:
-            at, who, vecs = [], [], []
-            for r in batch.to_pylist():
+            for row in range(batch.num_rows):
+                r = batch.slice(row, 1).to_pylist()[0]
                 open_ = np.frombuffer(r["ids"], "<i8")[np.frombuffer(r["done"], np.uint8) == 0][:expanded]
-                at += open_.tolist()
-                who += [r["node"]] * len(open_)
-                vecs += [r["vec"]] * len(open_)
-            yield pa.RecordBatch.from_arrays([_long(np.array(at)), _long(np.array(who)), pa.array(vecs, pa.binary())],
-                                             ["node", "query", "qvec"])
+                sims = np.frombuffer(r["sims"], "<f8")
+                worst = sims[-1] if len(sims) >= beam else -9.0
+                yield pa.RecordBatch.from_arrays(
+                    [_long(open_), _long(np.full(len(open_), r["node"])),
+                     pa.array([r["vec"]] * len(open_), pa.binary()), pa.array(np.full(len(open_), worst))],
+                    ["node", "query", "qvec", "worst"])
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out_ids, out_sims = [], []
-            for ids, vecs, q in zip(*(batch.column(c).to_pylist() for c in (1, 2, 3)), strict=True):
-                out_ids.append(ids)
-                out_sims.append((unit(vecs, kind, len(ids) // 8) @ unit(q, kind, 1)[0]).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out_ids, pa.binary()),
-                                              pa.array(out_sims, pa.binary())], ["node", "ids", "sims"])
+            for at in range(0, batch.num_rows, STEP):
+                part = batch.slice(at, STEP)
+                query, ids, vecs = (part.column(c).to_pylist() for c in range(3))
+                sizes = np.array([len(i) // 8 for i in ids])
+                q = np.repeat(_vectors(part.column(3), kind), sizes, axis=0)
+                sims = np.einsum("ij,ij->i", unit(b"".join(vecs), kind, len(q)), q)
+                near_enough = sims >= np.repeat(part.column(4).to_numpy() - ERROR, sizes)
+                ends = np.cumsum(sizes)
+                who, out_ids, out_sims = [], [], []
+                for node, own, start, end in zip(query, ids, ends - sizes, ends, strict=True):
+                    keep = near_enough[start:end]
+                    if keep.any():
+                        who.append(node)
+                        out_ids.append(np.frombuffer(own, "<i8")[keep])
+                        out_sims.append(sims[start:end][keep])
+                yield pa.RecordBatch.from_arrays([_long(np.array(who)), _packed(out_ids), _packed(out_sims)],
+                                                 ["node", "ids", "sims"])
 
     def absorb(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in groups(batches):
@@ -437,16 +460,15 @@ def walk(index: Index, near: DataFrame, start: DataFrame, beam: int) -> DataFram
     state = start.join(index.lists.select("node", "ids", "sims"), "node", "left").select("node", "vec", "ids", "sims")
     state = materialise(state.mapInArrow(begin, STATE), "nn-beams")
     # a node that has left a beam cannot come back, so this ends
-    while True:
-        ahead = materialise(state.mapInArrow(frontier, "node long, query long, qvec binary"), "nn-frontier")
-        if ahead.isEmpty():
-            return state
-        found = (ahead.join(near, "node").select(F.col("query").alias("node"), "ids", "vecs", "qvec")
+    while not state.filter(F.contains("done", F.lit(b"\0"))).isEmpty():
+        ahead = state.mapInArrow(frontier, "node long, query long, qvec binary, worst double")
+        found = (ahead.join(near, "node").select(F.col("query").alias("node"), "ids", "vecs", "qvec", "worst")
                  .mapInArrow(expand, "node long, ids binary, sims binary"))
         none = F.lit(None).cast("binary")
         rows = state.unionByName(found.select("node", none.alias("vec"), "ids", "sims", none.alias("done")))
         state = materialise(rows.repartition(width, "node").sortWithinPartitions("node").mapInArrow(absorb, STATE),
                             "nn-beams")
+    return state
 
 
 def search(index: Index, queries: DataFrame, top: int = 5) -> DataFrame:

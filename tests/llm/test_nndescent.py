@@ -87,3 +87,20 @@ def test_near_copies_and_scaled_copies(spark):
                for q, found in got.items() if q < 2000)
     assert len(got) == 31 and hits >= 0.95 * 150, hits
     assert [i for _, i, _ in got[2100]] == [2000, 2001, 2002, 2003, 2004]
+
+
+def test_adjacency_rows_are_small_and_whole(spark):
+    # a list of 32 vectors of 256 bytes: batches of such rows filled the executors
+    rng = np.random.default_rng(8)
+    rows = [(i, [float(c) for c in v]) for i, v in enumerate(rng.normal(size=(200, 64)))]
+    index = nndescent.build(spark.createDataFrame(rows, SCHEMA))
+    stored = nndescent.adjacency(index).collect()
+    assert max(len(r["vecs"]) for r in stored) <= 2048
+    vec = {r["node"]: bytes(r["vec"]) for r in index.nodes.collect()}
+    got = {}
+    for r in stored:
+        ids = np.frombuffer(r["ids"], "<i8").tolist()
+        assert bytes(r["vecs"]) == b"".join(vec[i] for i in ids)
+        got.setdefault(r["node"], []).extend(ids)
+    assert {n: sorted(ids) for n, ids in got.items()} == {
+        r["node"]: sorted(np.frombuffer(r["ids"], "<i8").tolist()) for r in index.lists.collect()}
